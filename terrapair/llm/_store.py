@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,3 +42,9 @@ def drop_stored(df: DataFrame) -> None:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of frames that are no longer referenced."""
+    gc.collect()
+    spark._jvm.System.gc()

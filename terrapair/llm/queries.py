@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrapair.llm import _store, decontaminate, language_id, media, mixing, secrets, token_counts, token_file
+from terrapair.llm import _store, decontaminate, jaccard_join, language_id, media, mixing, secrets, token_counts, token_file
 
 documents = _store.documents
 
@@ -22,6 +22,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.poisson_mix(documents(spark, sf_dir))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(documents(spark, sf_dir), shingle=4, threshold=85)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -48,6 +52,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
     "op5_token_file": op5_token_file,
