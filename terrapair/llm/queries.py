@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrapair.llm import _store, decontaminate, jaccard_join, language_id, media, mixing, secrets, token_counts, token_file
+from terrapair.llm import _store, decontaminate, jaccard_join, language_id, media, mixing, secrets, substring_dedup, suffix_dedup, token_counts, token_file
 
 documents = _store.documents
 
@@ -42,6 +42,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(documents(spark, sf_dir))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(documents(spark, sf_dir))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(documents(spark, sf_dir))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(documents(spark, sf_dir))
 
@@ -57,6 +65,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_token_file": op5_token_file,
     "op6_language_id": op6_language_id,
+    "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_media": op10_media,
 }
