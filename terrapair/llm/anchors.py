@@ -39,7 +39,7 @@ SEEN = 500_000
 CHUNK_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1
 
-_CONTEXTS = "key long, bucket int, cid long, eid long, base int, n int, anchor int, sure boolean, body binary"
+_CONTEXTS = "key long, bucket int, cid long, eid long, bases binary, n int, anchor int, sure boolean, body binary"
 _SPANS = "cid long, s int, e int"
 
 
@@ -221,27 +221,34 @@ def _contexts(scheme: Scheme):
             pos, key, first, last, doc, parts = (x[pick] for x in (pos, key, first, last, doc, parts))
             end = last + scheme.window
             base = first - sym.off[doc]
-            sure = np.zeros(len(pick), bool)
-            if scheme.within:  # equal contexts in one text: all are repeats, one stands for them
-                sums = T.prefix(sym.values)
-                same = T.mix(T.ranges(sums, first, end) + T.mix((end - first).astype(T.U64) * T.U64(1 << 32) + (pos - first).astype(T.U64)) + T.mix(doc.astype(T.U64)))
-                _, one, inverse, times = np.unique(same, return_index=True, return_inverse=True, return_counts=True)
-                sure = times[inverse.reshape(-1)] > 1
-                rest = np.ones(len(pick), bool)
-                rest[one] = False
-            else:
-                rest = np.zeros(len(pick), bool)
+            # equal contexts in one text: one stands for them, with the places of all; where
+            # repeats inside a text count, all are repeats and the others are done
+            sums = T.prefix(sym.values)
+            same = T.mix(T.ranges(sums, first, end) + T.mix((end - first).astype(T.U64) * T.U64(1 << 32) + (pos - first).astype(T.U64)) + T.mix(doc.astype(T.U64)))
+            _, one, inverse, times = np.unique(same, return_index=True, return_inverse=True, return_counts=True)
+            inverse = inverse.reshape(-1)
+            sure = (times[inverse] > 1) & scheme.within
+            rest = np.ones(len(pick), bool)
+            rest[one] = False
+            places = base[np.argsort(inverse, kind="stable")].astype(np.int32)
+            upto = np.concatenate([[0], np.cumsum(times)])
+            bases = [base[j : j + 1].astype(np.int32).tobytes() if scheme.within else places[upto[k] : upto[k + 1]].tobytes() for j, k in enumerate(inverse.tolist())]
             source = data if sym.words is None else sym.values
             rows: list[tuple] = []
             bodies: list[bytes] = []
-            for j in range(len(pick)):
+            # what is decided here goes on as merged runs, dealt out by the text
+            done = np.flatnonzero(rest) if scheme.within else np.zeros(0, np.int64)
+            new = np.ones(len(done), bool)
+            new[1:] = (doc[done[1:]] != doc[done[:-1]]) | (first[done[1:]] > end[done[:-1]])
+            at = np.flatnonzero(new)
+            for j, k in zip(done[at].tolist(), done[np.append(at[1:], len(done)) - 1].tolist() if len(at) else []):
+                rows.append((T.U64(int(cids[doc[j]]) & NO_ID), -1, cids[doc[j]], 0, bases[j], last[k] - first[j] + 1, 0, True))
+                bodies.append(b"")
+            for j in np.flatnonzero(~rest).tolist():
                 c, e, n = cids[doc[j]], eids[doc[j]], last[j] - first[j] + 1
                 a = pos[j] - first[j]
-                if rest[j]:
-                    rows.append((key[j], -1, c, e, base[j], n, a, True))
-                    bodies.append(b"")
-                elif parts[j] == 1:
-                    rows.append((key[j], 0, c, e, base[j], n, a, sure[j]))
+                if parts[j] == 1:
+                    rows.append((key[j], 0, c, e, bases[j], n, a, sure[j]))
                     bodies.append(source[first[j] : end[j]].astype(kind, copy=False).tobytes())
                 else:
                     rank, _ = fingerprints(sym.values[first[j] : end[j]], np.array([0, end[j] - first[j]]), scheme.window)
@@ -249,12 +256,19 @@ def _contexts(scheme: Scheme):
                     offset = int(pos[j] - first[j])
                     for p in np.unique(part).tolist():
                         at = np.flatnonzero(part == p)
-                        rows.append((key[j], p + 1, c, e, base[j], len(at), offset, sure[j]))
+                        rows.append((key[j], p + 1, c, e, bases[j], len(at), offset, sure[j]))
                         bodies.append(rank[at].tobytes() + at.astype(np.uint32).tobytes())
             col = list(zip(*rows))
             yield pa.record_batch(
-                [pa.array(np.array(col[0], T.U64).view(np.int64)), *(pa.array(np.array(col[k]), t) for k, t in ((1, pa.int32()), (2, pa.int64()), (3, pa.int64()), (4, pa.int32()), (5, pa.int32()), (6, pa.int32()))), pa.array(np.array(col[7], bool)), pa.array(bodies, pa.binary())],
-                names=["key", "bucket", "cid", "eid", "base", "n", "anchor", "sure", "body"],
+                [
+                    pa.array(np.array(col[0], T.U64).view(np.int64)),
+                    *(pa.array(np.array(col[k]), t) for k, t in ((1, pa.int32()), (2, pa.int64()), (3, pa.int64()))),
+                    pa.array(col[4], pa.binary()),
+                    *(pa.array(np.array(col[k]), pa.int32()) for k in (5, 6)),
+                    pa.array(np.array(col[7], bool)),
+                    pa.array(bodies, pa.binary()),
+                ],
+                names=["key", "bucket", "cid", "eid", "bases", "n", "anchor", "sure", "body"],
             )
 
     return run
@@ -267,7 +281,7 @@ class Chunk:
     key: np.ndarray
     cid: np.ndarray
     eid: np.ndarray
-    base: np.ndarray
+    bases: list[np.ndarray]
     n: np.ndarray
     anchor: np.ndarray
     sure: np.ndarray
@@ -280,7 +294,7 @@ Resolver = Callable[[Chunk, Scheme], np.ndarray]
 
 
 def ranks(chunk: Chunk, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rank, context, window start relative to the context's base) of every window of a chunk."""
+    """(rank, context, window start relative to the context) of every window of a chunk."""
     owner = np.repeat(np.arange(len(chunk.n)), chunk.n)
     if chunk.ranked:
         rank = np.concatenate([np.frombuffer(b, T.U64, n) for b, n in zip(chunk.bodies, chunk.n)])
@@ -304,13 +318,27 @@ def _resolve(scheme: Scheme, resolver: Resolver):
         new[1:] = (owner[1:] != owner[:-1]) | (at[1:] > at[:-1] + 1)
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(at)) - 1 if len(at) else first
-        start = chunk.base[owner[first]]
-        return pa.record_batch([pa.array(chunk.cid[owner[first]]), pa.array((start + at[first]).astype(np.int32)), pa.array((start + at[last] + scheme.window).astype(np.int32))], names=["cid", "s", "e"])
+        # a context's runs at each of its places, merged where they touch
+        times = np.array([len(x) for x in chunk.bases], np.int64)
+        owner, rel, size = owner[first], at[first], at[last] - at[first] + scheme.window
+        some = times[owner]
+        place = np.concatenate(chunk.bases).astype(np.int64)
+        upto = np.cumsum(times) - times
+        index = np.repeat(upto[owner] - np.cumsum(some) + some, some) + np.arange(some.sum())
+        s, e, owner = place[index] + np.repeat(rel, some), np.repeat(size, some), np.repeat(owner, some)
+        order = np.lexsort((s, owner))
+        s, e, owner = s[order], s[order] + e[order], owner[order]
+        far = np.maximum.accumulate(owner * (1 << 40) + e) - owner * (1 << 40)
+        new = np.ones(len(s), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (s[1:] > far[:-1])
+        first = np.flatnonzero(new)
+        e = np.maximum.reduceat(e, first) if len(first) else e
+        return pa.record_batch([pa.array(chunk.cid[owner[first]]), pa.array(s[first].astype(np.int32)), pa.array(e.astype(np.int32))], names=["cid", "s", "e"])
 
     def chunk_of(parts: list[pa.RecordBatch], ranked: bool) -> Chunk:
         table = pa.Table.from_batches(parts)
         get = lambda name: table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
-        return Chunk(get("key"), get("cid"), get("eid"), get("base").astype(np.int64), get("n").astype(np.int64), get("anchor").astype(np.int64), get("sure").astype(bool), table.column("body").to_pylist(), ranked)
+        return Chunk(get("key"), get("cid"), get("eid"), [np.frombuffer(x, np.int32) for x in table.column("bases").to_pylist()], get("n").astype(np.int64), get("anchor").astype(np.int64), get("sure").astype(bool), table.column("body").to_pylist(), ranked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -323,7 +351,7 @@ def _resolve(scheme: Scheme, resolver: Resolver):
                 group = (int(key[a]), int(bucket[a]))
                 part = batch.slice(a, b - a)
                 if group[1] < 0:  # decided where it was found
-                    base, n = T.column(part, "base").to_numpy(), T.column(part, "n").to_numpy()
+                    base, n = T.buffers(T.column(part, "bases"))[0].copy().view(np.int32), T.column(part, "n").to_numpy()
                     yield pa.record_batch([T.column(part, "cid"), pa.array(base), pa.array((base + n - 1 + scheme.window).astype(np.int32))], names=["cid", "s", "e"])
                     continue
                 kind = group[1] > 0
@@ -407,7 +435,7 @@ def repeated_windows(docs: DataFrame, scheme: Scheme, resolver: Resolver, id_col
     found = found.join(shared, "cid").dropDuplicates(["cid"])
     held = _store.stored(found.select("cid", "eid", "text", "shared"), "shared-texts", "zstd")
     contexts = held.mapInArrow(_contexts(scheme), _CONTEXTS)
-    contexts = contexts.repartition("key", "bucket").sortWithinPartitions("key", "bucket", "eid", "cid", "base")
+    contexts = contexts.repartition("key", "bucket").sortWithinPartitions("key", "bucket", "eid", "cid")
     spans = contexts.mapInArrow(_resolve(scheme, resolver), _SPANS)
     spans = spans.groupBy("cid").agg(F.collect_list("s").alias("starts"), F.collect_list("e").alias("ends"))
     cut = held.select("cid", "text").join(spans, "cid").mapInArrow(_apply(scheme), "cid long, n_removed long, n_spans long, kept_sha256 string, kept binary")
