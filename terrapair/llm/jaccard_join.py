@@ -10,16 +10,18 @@ All sets are handled as classes of documents with equal shingle sets. The plan:
 2. The shingles of the remaining sets are read in full (texts are thinned by a Bloom filter
    before anything is shuffled) and ordered by rarity; the same test, now sharp, leaves sets
    with their rarest shared shingles, the *prefix*.
-3. Groups: in each of ROUNDS orders a set is compared with the first set (its leader)
-   among all that share a prefix shingle; leaders link most near copies with one comparison
-   each. The components of those links are the groups.
-4. Token-group matrix: groups are cut into blocks of at most BLOCK sets with the union of
-   their shingles. A set is queried against blocks of other groups that share one of its
-   prefix shingles; a block is opened only if the overlap with its union can reach the
-   threshold, and then counted member by member. One link joins two groups.
-
-Prefix shingles of one group only need no query, so many copies never become pairs. No step gathers
-the sets of one shingle, group or component in one place beyond BLOCK.
+3. Leaders: in each of ROUNDS orders a set is compared with the first set (its leader)
+   among all that share a prefix shingle, which links most near copies with one comparison
+   each. The components of those links are known from here on.
+4. Token-group matrix: the sets of one leader are similar and form a group, cut into blocks
+   of at most BLOCK sets with the union of their shingles. A set is queried against the blocks of
+   groups that share one of its prefix shingles, unless these are all in its own component;
+   a block is opened only if the overlap with its union can reach the threshold, and
+   then counted member by member through its inverted lists. Links to other components come out.
+
+Prefix shingles of one component only need no query, so many copies never become pairs. No
+step gathers the sets of one shingle, group or component in one place: blocks have a bounded number
+of members, and the queries of a block are dealt out in chunks of about QUERIES.
 
 Shingles are compared by 64-bit hashes.
 
@@ -47,6 +49,7 @@ SHINGLE, THRESHOLD = 5, 80
 SAMPLE = 4 / 3
 ROUNDS = 2
 BLOCK = 512
+QUERIES = 4096
 #: Classes that a task remembers so as to send their shingles once.
 SEEN = 500_000
 
@@ -188,36 +191,38 @@ def _links(threshold: int):
 class Block:
     """A row of the token-group matrix: a block's members and the union of their shingles."""
 
-    def __init__(self, members: list[tuple[int, int, np.ndarray]]):
-        self.cids = [c for c, _, _ in members]
-        self.n = np.array([n for _, n, _ in members], np.int64)
-        flat = np.concatenate([t for _, _, t in members])
+    def __init__(self, members: list[tuple[int, int, int, np.ndarray]]):
+        self.cids = np.array([m[0] for m in members], np.int64)
+        self.comps = np.array([m[1] for m in members], np.int64)
+        self.n = np.array([m[2] for m in members], np.int64)
+        flat = np.concatenate([m[3] for m in members])
         order = np.argsort(flat, kind="stable")
-        owner = np.repeat(np.arange(len(members)), [len(t) for _, _, t in members])[order]
+        self.owner = np.repeat(np.arange(len(members)), [len(m[3]) for m in members])[order]
         self.union, first = np.unique(flat[order], return_index=True)
-        self.first, self.owner = np.append(first, len(flat)), owner
+        self.first = np.append(first, len(flat))
 
-    def link(self, n: int, tokens: np.ndarray, threshold: int) -> int | None:
-        """A member linked with the query, if the overlap bound lets it be opened and there is one."""
+    def links(self, comp: int, n: int, tokens: np.ndarray, threshold: int) -> np.ndarray:
+        """Members of other components that the query is linked with, one a component, if the
+        overlap bound lets the block be opened."""
         at = np.searchsorted(self.union, tokens)
         at = at[self.union[np.minimum(at, len(self.union) - 1)] == tokens]
         if 100 * len(at) < threshold * n:  # a link shares at least threshold * n shingles
-            return None
+            return self.cids[:0]
         sizes = self.first[at + 1] - self.first[at]
         picks = np.repeat(self.first[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
         both = np.bincount(self.owner[picks], minlength=len(self.n))
-        good = np.flatnonzero(100 * both >= threshold * (n + self.n - both))
-        return self.cids[good[0]] if len(good) else None
+        good = np.flatnonzero((100 * both >= threshold * (n + self.n - both)) & (self.comps != comp))
+        return self.cids[good[np.unique(self.comps[good], return_index=True)[1]]]
 
 
 def _open_blocks(threshold: int):
-    """Rows sorted by block, its members (kind 0) before the queries (kind 1): links found."""
+    """Rows sorted by block and chunk, the members (kind 0) before the queries (kind 1): links found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, members, block = None, [], None
         for batch in batches:
-            key = list(zip(T.column(batch, "group").to_pylist(), T.column(batch, "part").to_pylist()))
-            kind, cid, n = (T.column(batch, x).to_pylist() for x in ("kind", "cid", "n"))
+            key = list(zip(*(T.column(batch, x).to_pylist() for x in ("group", "part", "chunk"))))
+            kind, cid, comp, n = (T.column(batch, x).to_pylist() for x in ("kind", "cid", "comp", "n"))
             lists = T.column(batch, "tokens")
             off, flat = np.asarray(lists.offsets), np.asarray(lists.values).view(T.U64)
             found = []
@@ -226,12 +231,10 @@ def _open_blocks(threshold: int):
                     now, members, block = key[i], [], None
                 tokens = flat[off[i] : off[i + 1]]
                 if kind[i] == 0:
-                    members.append((cid[i], n[i], tokens.copy()))
+                    members.append((cid[i], comp[i], n[i], tokens.copy()))
                 elif members:
                     block = block or Block(members)
-                    other = block.link(n[i], tokens, threshold)
-                    if other is not None:
-                        found.append((cid[i], other))
+                    found += [(cid[i], x) for x in block.links(comp[i], n[i], tokens, threshold).tolist()]
             if found:
                 a, b = zip(*found)
                 yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -239,39 +242,52 @@ def _open_blocks(threshold: int):
     return run
 
 
-def _leader_links(sets: DataFrame, heads: DataFrame, round_: int, threshold: int) -> DataFrame:
-    """Links of sets with the first set, in this round's order, of all that share a prefix shingle."""
+def _leaders(heads: DataFrame, round_: int) -> DataFrame:
+    """(cid, leader): the first set, in this round's order, of all that share a prefix shingle."""
     # the order is a bijection of the class hash, so that the first set is found with min()
     rank = F.col("cid") if round_ == 0 else F.struct(F.xxhash64("cid", F.lit(round_)).alias("r"), "cid")
     first = heads.groupBy("token").agg(F.min(rank).alias("first"))
     mine = heads.select("token", "cid").join(first, "token").groupBy("cid").agg(F.min("first").alias("first"))
-    leader = F.col("first") if round_ == 0 else F.col("first.cid")
-    pairs = mine.select("cid", leader.alias("leader")).where("leader <> cid")
+    return mine.select("cid", (F.col("first") if round_ == 0 else F.col("first.cid")).alias("leader"))
+
+
+def _leader_links(sets: DataFrame, leaders: DataFrame, threshold: int) -> DataFrame:
+    """Links of sets with their leaders."""
     other = sets.select(F.col("cid").alias("leader"), F.col("n").alias("m"), F.col("tokens").alias("other"))
-    rows = pairs.join(sets.select("cid", "n", "tokens"), "cid").join(other, "leader")
-    fits = (F.lit(100) * F.least("n", "m") >= F.lit(threshold) * F.greatest("n", "m"))
+    rows = leaders.where("leader <> cid").join(sets.select("cid", "n", "tokens"), "cid").join(other, "leader")
+    fits = F.lit(100) * F.least("n", "m") >= F.lit(threshold) * F.greatest("n", "m")
     return rows.where(fits).select("cid", "leader", "n", "m", "tokens", "other").mapInArrow(_links(threshold), "a long, b long")
 
 
-def _group_links(sets: DataFrame, heads: DataFrame, groups: DataFrame, threshold: int) -> DataFrame:
-    """Links between sets of different groups, through the token-group matrix."""
-    label = sets.select("cid", "n").join(groups, sets["cid"] == groups["node"], "left").select("cid", "n", F.coalesce("label", "cid").alias("group"))
+def _group_links(sets: DataFrame, heads: DataFrame, leaders: DataFrame, known: DataFrame, threshold: int) -> DataFrame:
+    """Links between sets of different components, through the token-group matrix."""
+    label = sets.select("cid", "n").join(leaders, "cid").join(known, F.col("cid") == F.col("node"), "left")
+    label = label.select("cid", "n", F.col("leader").alias("group"), F.coalesce("label", "cid").alias("comp"))
     size = label.groupBy("group").agg(F.expr(f"cast(ceil(count(1) / {BLOCK}) as int)").alias("parts"))
-    label = label.join(size, "group").select("cid", "n", "group", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("cid"), "parts")).otherwise(0).cast("int").alias("part"))
+    label = label.join(size, "group").select("cid", "n", "comp", "group", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("cid"), "parts")).otherwise(0).cast("int").alias("part"))
     label = _store.stored(label, "groups")
+    bounds = [F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("lo"), F.max("comp").alias("hi")]
+    open_ = ~((F.col("lo") == F.col("hi")) & (F.col("lo") == F.col("comp")))
+    fits = (F.lit(100) * F.col("most") >= F.lit(threshold) * F.col("n")) & (F.lit(threshold) * F.col("least") <= F.lit(100) * F.col("n"))
+
     rows = heads.select("token", "cid").join(label, "cid")
-    mixed = rows.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("token")
+    mixed = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     rows = _store.stored(rows.join(mixed, "token"), "mixed")
-    matrix = rows.groupBy("token", "group", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    query = rows.select("token", "cid", "n", F.col("group").alias("own"))
-    fits = (F.lit(100) * F.col("most") >= F.lit(threshold) * F.col("n")) & (F.lit(threshold) * F.col("least") <= F.lit(100) * F.col("n"))
-    asked = query.join(matrix, "token").where((F.col("own") > F.col("group")) & fits).select("cid", "group", "part").distinct()
+    matrix = rows.groupBy("token", "group").agg(*bounds)
+    query = rows.select("token", "cid", "n", "comp", F.col("group").alias("own"), F.col("part").alias("own_part"))
+    asked = query.join(matrix, "token").where((F.col("own") >= F.col("group")) & fits & open_)
+    asked = asked.select("cid", "n", "comp", "own", "own_part", "group").distinct()
+    blocks = label.groupBy("group", "part").agg(*bounds)
+    later = (F.col("own") > F.col("group")) | (F.col("own_part") >= F.col("part"))
+    asked = asked.join(blocks, "group").where(later & fits & open_).select("cid", "comp", "group", "part")
     asked = _store.stored(asked, "asked")
-    opened = asked.select("group", "part").distinct()
-    content = sets.select("cid", "n", "tokens")
-    members = label.join(opened, ["group", "part"], "left_semi").select("cid", "group", "part").withColumn("kind", F.lit(0))
-    both = members.union(asked.select("cid", "group", "part").withColumn("kind", F.lit(1))).join(content, "cid")
-    both = both.select("group", "part", "kind", "cid", "n", "tokens").repartition("group", "part").sortWithinPartitions("group", "part", "kind")
+    chunks = asked.groupBy("group", "part").agg(F.expr(f"cast(ceil(count(1) / {QUERIES}) as int)").alias("chunks"))
+    asked = asked.join(chunks, ["group", "part"]).select("cid", "comp", "group", "part", F.pmod(F.xxhash64("cid"), "chunks").cast("int").alias("chunk"), F.lit(1).alias("kind"))
+    members = label.select("cid", "comp", "group", "part").join(chunks, ["group", "part"])
+    members = members.select("cid", "comp", "group", "part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("kind"))
+    both = members.union(asked).join(sets.select("cid", "n", "tokens"), "cid")
+    key = ("group", "part", "chunk")
+    both = both.select(*key, "kind", "cid", "comp", "n", "tokens").repartition(*key).sortWithinPartitions(*key, "kind")
     return both.mapInArrow(_open_blocks(threshold), "a long, b long")
 
 
@@ -297,20 +313,20 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, threshold: int =
 
     bits = bloom.build(alive, "cid")
     full = texts.select("text").mapInArrow(_full_sets(shingle, bits), _SETS)
-    full = _store.stored(full.join(alive, "cid", "left_semi").dropDuplicates(["cid"]), "sets")
+    full = full.join(alive, "cid", "left_semi").dropDuplicates(["cid"])
     shared = _shared(full.select("cid", "n", F.explode("tokens").alias("token")), True)
     heads = shared.groupBy("cid").agg(F.first("n").alias("n"), F.collect_list("token").alias("tokens"), F.collect_list("df").alias("dfs"))
     sets = _store.stored(heads.mapInArrow(_prefixes(threshold), f"{_SETS}, head array<long>"), "prefixes")
-    _store.drop_stored(full)
     del full, shared, heads
     _store.release(spark)
 
     heads = _store.stored(sets.select("cid", F.explode("head").alias("token")), "heads")
-    links = _store.stored(_leader_links(sets, heads, 0, threshold), "links")
+    leaders = _store.stored(_leaders(heads, 0), "leaders")
+    links = _store.stored(_leader_links(sets, leaders, threshold), "links")
     for k in range(1, ROUNDS):
-        links = links.union(_store.stored(_leader_links(sets, heads, k, threshold), "links"))
+        links = links.union(_store.stored(_leader_links(sets, _leaders(heads, k), threshold), "links"))
     groups = _store.stored(components(links), "labels")
-    more = _store.stored(_group_links(sets, heads, groups, threshold), "links")
+    more = _store.stored(_group_links(sets, heads, leaders, groups, threshold), "links")
     label = groups
     if not more.isEmpty():
         label = components(links.union(more))
