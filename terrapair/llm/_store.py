@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of frames that are no longer referenced."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Let Spark's cleaner drop the shuffle files of frames that are no longer referenced.
+
+    Python's handles go first and are released in the background, hence two rounds.
+    """
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.3)
+        spark._jvm.System.gc()
+    time.sleep(0.3)

@@ -85,7 +85,7 @@ def poisson_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     out = out.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     out = out.withColumn("_key", F.expr(f"md5(concat('{seed}/', {text}, '/', _copy))"))
     shown = [F.col(f"c{i}").alias(x) for i, x in enumerate(names)]
-    shown += [F.col("_copy").alias(copy_col)] * bool(copy_col) + [F.col("_key").alias(order_col)] * bool(order_col)
+    shown += [F.col(c).alias(x) for c, x in (("_copy", copy_col), ("_key", order_col)) if x]
     # ties, which only repeated ids can make, are ordered by the hash of the whole row
     ties = F.xxhash64(*(f"c{i}" for i in range(len(names))))
     return out.withColumn("_tie", ties).orderBy("_key", "_tie").select(*shown)
