@@ -1,11 +1,7 @@
 """Every query of the library with its SQL oracle."""
 
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from terrapair.plans import baseline_queries, extract_queries, match_queries, trend_queries  # noqa: F401  they register
+from terrapair.plans.registry import ORACLE_SQL, QUERIES
 
 FLAGSHIP = "unadjusted_baseline"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
