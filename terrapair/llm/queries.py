@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrapair.llm import _store, decontaminate, jaccard_join, language_id, media, mixing, secrets, substring_dedup, suffix_dedup, token_counts, token_file
+from terrapair.llm import _store, decontaminate, jaccard_join, language_id, media, mixing, oracles, secrets, substring_dedup, suffix_dedup, token_counts, token_file
 
 documents = _store.documents
 
@@ -70,4 +70,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_media": op10_media,
 }
-ORACLE_SQL: dict[str, str] = {"op1_mixing": mixing.MIX_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_mixing": mixing.MIX_SQL,
+    "op2_jaccard_join": oracles.JACCARD,
+    "op3_decontamination": oracles.CONTAMINATION,
+    "op8_substring_dedup": oracles.SUBSTRINGS,
+}
