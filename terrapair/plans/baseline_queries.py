@@ -167,8 +167,8 @@ def carbon_table_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 EXTENTS = SweepConfig().extents
-_BOX = "b as (select min(x_utm) x0, max(x_utm) x1, min(y_utm) y0, max(y_utm) y1 from c where grid_col between 400 and 600 and grid_row < 20)"
-_SWEEP = f"""c as ({CELLS_SQL}), {_BOX}, p as (select count(*) n_project from c where grid_col between 400 and 600 and grid_row < 20),
+_BOX = "b as (select min(x_utm) x0, max(x_utm) x1, min(y_utm) y0, max(y_utm) y1 from c where grid_col between 40 and 60 and grid_row < 20)"
+_SWEEP = f"""c as ({CELLS_SQL}), {_BOX}, p as (select count(*) n_project from c where grid_col between 40 and 60 and grid_row < 20),
 e as (select * from (values ('full', 1e300), ('5', 5e0), ('10', 10e0), ('20', 20e0), ('30', 30e0)) e(extent, km)),
 n as (select extent, count(*) n_donor from c, b, e where l_returnflag <> 'R' and greatest(x0 - x_utm, x_utm - x1, y0 - y_utm, y_utm - y1, 0) / 1e3 <= km group by 1),
 m as (select extent, n_project, n_donor, least(n_project, n_donor // 20) as n_matched, n_donor / n_project::double as ratio, 1e-2 + 1e0 / sqrt(n_donor) as smd_max from n, p),
@@ -178,7 +178,7 @@ ratio >= 3 and n_matched / n_project::double * 100 >= 90 and smd_max <= 1e-1 as
 
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = cells(spark, sf_dir, "l_returnflag")
-    project = c.where("grid_col between 400 and 600 and grid_row < 20")
+    project = c.where("grid_col between 40 and 60 and grid_row < 20")
     box = extract.bbox(project) or (0.0, 0.0, 0.0, 0.0)
     tagged = sweep.tag_extents(c.where("l_returnflag <> 'R'"), box, EXTENTS)
     n = tagged.groupBy("extent").agg(F.count(F.lit(1)).alias("n_donor")).crossJoin(project.agg(F.count(F.lit(1)).alias("n_project")))

@@ -34,11 +34,11 @@ def bbox_edge_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-with c as ({CELLS_SQL}), b as (select min(x_utm) x0, max(x_utm) x1, min(y_utm) y0, max(y_utm) y1 from c where grid_col between 400 and 600 and grid_row < 20)
+with c as ({CELLS_SQL}), b as (select min(x_utm) x0, max(x_utm) x1, min(y_utm) y0, max(y_utm) y1 from c where grid_col between 40 and 60 and grid_row < 20)
 select l_orderkey, l_linenumber, grid_row, grid_col from c, b where x_utm between x0 - 1e3 and x1 + 1e3 and y_utm between y0 - 1e3 and y1 + 1e3""")
 def donor_extent_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = cells(spark, sf_dir, *KEY)
-    box = extract.bbox(c.where("grid_col between 400 and 600 and grid_row < 20"))
+    box = extract.bbox(c.where("grid_col between 40 and 60 and grid_row < 20"))
     return (extract.clip_to_extent(c, box, 1) if box else c.limit(0)).select(*KEY, "grid_row", "grid_col")
 
 
