@@ -113,9 +113,12 @@ def rolling(values: np.ndarray, k: int, base: np.uint64 = _BASE) -> np.ndarray:
 
 
 class Words:
-    """The words of a slice: byte spans, owning text and a 64-bit hash each."""
+    """The words of a slice: byte spans, owning text and a 64-bit hash each.
 
-    def __init__(self, data: np.ndarray, off: np.ndarray, table: np.ndarray, hashes: bool = True):
+    `apart` are two more byte tables; words are also cut where bytes of both meet.
+    """
+
+    def __init__(self, data: np.ndarray, off: np.ndarray, table: np.ndarray, hashes: bool = True, apart: tuple[np.ndarray, np.ndarray] | None = None):
         member = table[data]
         before = np.zeros(len(data), bool)
         before[1:] = member[:-1]
@@ -125,13 +128,21 @@ class Words:
         after[:-1] = member[1:]
         ends = off[1:-1]
         after[ends[(ends > 0) & (ends <= len(data))] - 1] = False
+        if apart is not None:
+            one, two = apart[0][data], apart[1][data]
+            cut = np.flatnonzero((one[:-1] & two[1:]) | (two[:-1] & one[1:]))
+            before[cut + 1] = False
+            after[cut] = False
         self.start = np.flatnonzero(member & ~before)
         self.end = np.flatnonzero(member & ~after) + 1
         self.off = np.searchsorted(self.start, off)  # first word of each text
         self.count = np.diff(self.off)
         self.doc = np.repeat(np.arange(len(off) - 1), self.count)
         if hashes:
-            self.hash = mix(ranges(prefix(data.astype(U64) + U64(1)), self.start, self.end))
+            self.hash_of(data)
+
+    def hash_of(self, data: np.ndarray) -> None:
+        self.hash = mix(ranges(prefix(data.astype(U64) + U64(1)), self.start, self.end))
 
 
 def windows(off: np.ndarray, k: int) -> np.ndarray:

@@ -8,10 +8,13 @@ shared folder, written by Spark's committer, so a lost executor leaves no half f
 Hadoop file system will do. Boundaries take about 2 + log2(mean length) bits a document
 instead of 64, and `EliasFano.select` reads one of them without decoding the rest.
 
-Words (runs without ASCII white space, which the tokenizer drops) are encoded by the
-tokenizers library once per worker and looked up afterwards by a 64-bit hash; their ids are
-joined in order, which equals encoding the whole text because neither the normaliser nor the
-pre-tokeniser looks across white space.
+Words (runs without ASCII white space, which the tokenizer drops, cut where ASCII letters
+and punctuation meet) are encoded by the tokenizers library once per worker and looked up
+afterwards by a 64-bit hash; their ids are joined in order. That equals encoding the whole
+text because neither the normaliser nor the pre-tokeniser looks across these places: apostrophes, which
+contractions hold, and the signs of special tokens are not cut at. Words of ASCII alone are
+lower-cased before they are looked up, as the tokenizer does with them (not those with
+``<``, which may be special; and not others, whose composed forms may depend on their case).
 
 Defined cases: a null text is empty and has just the end id; null doc_ids come first, in
 the order of their texts; rows of one doc_id follow in the order of their texts (null
@@ -41,6 +44,10 @@ SEGMENTS = "shard int, seq int, before long, n_docs long, n_ids long, image bina
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
+_LETTERS = np.array([65 <= b <= 90 or 97 <= b <= 122 for b in range(256)])
+_SIGNS = np.array([33 <= b <= 126 and not chr(b).isalnum() and chr(b) not in "'<|>" for b in range(256)])
+
+
 class EliasFano:
     """A sorted list of integers in its low bits and a unary coded bit map of the high ones."""
 
@@ -139,15 +146,38 @@ class Encoder:
         self.end = end_id
         wide = max(self.tokenizer.get_vocab_size(), end_id + 1) > 1 << 16
         self.cache = WordCache(np.uint32 if wide else np.uint16)
+        self._check()
+
+    def _check(self) -> None:
+        """Refuse tokenizers whose text can't be cut into words."""
+        probe = ["the", "an", "it's 12 (or, so)!", "a.b c"]
+        whole = self.tokenizer.encode(" ".join(probe), add_special_tokens=False).ids
+        parts = [x for w in ("the", "an", "it's", "12", "(", "or", ",", "so", ")!", "a", ".", "b", "c") for x in self._words([w.encode()])[0]]
+        if whole != parts:
+            raise ValueError("this tokenizer doesn't drop white space or keeps words together")
 
     def _words(self, words: list[bytes]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+        """Ids of each word. Lower-case ASCII letters are one pre-token that the normaliser and the
+        byte mapping leave alone, so the library's model takes them directly."""
+        tokenize = self.tokenizer.model.tokenize
+        out = [[t.id for t in tokenize(w.decode())] if w.isalpha() else None for w in words]
+        rest = [i for i, x in enumerate(out) if x is None]
+        coded = self.tokenizer.encode_batch_fast([words[i].decode("utf-8", "replace") for i in rest], add_special_tokens=False)
+        for i, x in zip(rest, coded):
+            out[i] = x.ids
+        return out
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids with end ids, ids of each text)."""
-        words = T.Words(data, off, T.NON_SPACE)
+        words = T.Words(data, off, T.NON_SPACE, False, (_LETTERS, _SIGNS))
         if len(words.start):
-            rows = self.cache.rows(words, data.tobytes(), self._words)
+            as_is = np.concatenate([[0], np.cumsum((data >= 0x80) | (data == ord("<")))])
+            plain = np.repeat(as_is[words.end] == as_is[words.start], words.end - words.start)
+            at = np.flatnonzero(T.NON_SPACE[data])[plain]
+            low = data.copy()
+            low[at] = T.LOWER[low[at]]
+            words.hash_of(low)
+            rows = self.cache.rows(words, low.tobytes(), self._words)
             sizes, first = self.cache.size[rows], self.cache.first[rows]
         else:
             sizes = first = np.zeros(0, np.int64)

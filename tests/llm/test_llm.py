@@ -135,6 +135,7 @@ def test_token_file(spark, docs):
 
     path = tokenizer_path("word_bpe_49k.json")
     more = [*docs, (95, "It's <|endoftext|> don't é \x1c日本 😀, 12x34"), (96, "İstanbul ΣΑΣ")]
+    more += [(97, "J\u030c j\u030c K\u0301,E\u0301 'S don'T,'re (it's) a.b'll <|STARTOFTEXT|> a<|startoftext|>b. <|end.oftext|> x_Y-z3.14 =\u0338 a=\u0338 <\u0338")]
     tok, start, want = Tokenizer.from_file(path), 0, []
     for d, t in sorted(more, key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or "")):
         ids = [*tok.encode(t or "", add_special_tokens=False).ids, 1]
