@@ -31,6 +31,8 @@ BLOCK_ROWS = 300_000
 DIGITS = 9
 #: Distances computed at once, in cells.
 CELLS = 4_000_000
+#: Open pairs that a round of `enforce_reuse` goes through one by one.
+REUSE_CHUNK = 200_000
 
 
 @dataclass(frozen=True)
@@ -333,33 +335,62 @@ def flag_reuse(pairs: DataFrame, cls: str, max_reuse: int, donor: str = "d_donor
     return pairs.withColumn("donor_use", use).withColumn("reuse_exceeded", F.col("donor_use") > max_reuse)
 
 
-def enforce_reuse(cand: DataFrame, max_reuse: int, rounds: int = 20, store=None) -> DataFrame:
+def _in_order(max_reuse: int):
+    """Pairs of one partition, gone through by distance, project and donor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = list(batches)
+        if not batches:
+            return
+        t = pa.Table.from_batches(batches)
+        proj, donor, used = (t.column(c).to_numpy() for c in ("p_proj_idx", "d_donor_idx", "used"))
+        order = np.lexsort((donor, proj, t.column("distance").fill_null(-np.inf).to_numpy()))
+        done: set[int] = set()
+        uses: dict[int, int] = {}
+        won = []
+        for i, p, d, u in zip(order.tolist(), proj[order].tolist(), donor[order].tolist(), used[order].tolist()):
+            if p not in done and (n := uses.get(d, u)) < max_reuse:
+                done.add(p)
+                uses[d] = n + 1
+                won.append(i)
+        yield from t.select(["p_proj_idx", "d_donor_idx", "distance"]).take(pa.array(won, pa.int64())).to_batches()
+
+    return run
+
+
+def enforce_reuse(cand: DataFrame, max_reuse: int, store=None, chunk: int = REUSE_CHUNK) -> DataFrame:
     """Pairs from passing candidates with no donor used more than max_reuse times.
 
-    Rounds of proposals: every open project proposes to its best open donor, a donor
-    accepts its nearest proposals up to its free places. `store` cuts the lineage of a
-    round, for instance with checkpoint().
+    Greedy: in the order of distance, project and donor a pair is taken if its project is open
+    and its donor has a free place. A round takes two parts of that result at once: pairs that
+    come first for their project and within the free places of their donor, and those
+    of the first `chunk` open pairs, gone through in order, which carries a group that
+    shares one donor order over many donors. A round decides its whole chunk, so the rounds
+    end by themselves, and only when no open pair is left. `store` cuts the lineage of a round,
+    for instance with checkpoint().
     """
     store = store or (lambda df: df.checkpoint())
-    open_ = cand.where("passed").select("p_proj_idx", "d_donor_idx", "distance")
+    names = ["p_proj_idx", "d_donor_idx", "distance"]
+    open_ = store(cand.where("passed").select(*names))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in open_.schema.fields)
+    best = Window.partitionBy("p_proj_idx").orderBy("distance", "d_donor_idx")
+    win = Window.partitionBy("d_donor_idx").orderBy("distance", "p_proj_idx")
     taken: DataFrame | None = None
-    for _ in range(rounds):
-        rest = open_
+    while True:
         if taken is not None:
             used = taken.groupBy("d_donor_idx").agg(F.count(F.lit(1)).alias("used"))
-            full = used.where(F.col("used") >= max_reuse)
-            rest = rest.join(taken, "p_proj_idx", "left_anti").join(full, "d_donor_idx", "left_anti").join(used, "d_donor_idx", "left")
+            rest = open_.join(taken.select("p_proj_idx"), "p_proj_idx", "left_anti").join(used, "d_donor_idx", "left")
+            rest = rest.select(*names, F.coalesce("used", F.lit(0).cast("long")).alias("used")).where(F.col("used") < max_reuse)
         else:
-            rest = rest.withColumn("used", F.lit(0))
-        best = Window.partitionBy("p_proj_idx").orderBy("distance", "d_donor_idx")
-        asked = rest.withColumn("_r", F.row_number().over(best)).where("_r = 1")
-        win = Window.partitionBy("d_donor_idx").orderBy("distance", "p_proj_idx")
-        won = asked.withColumn("_a", F.row_number().over(win)).where(F.col("_a") + F.coalesce("used", F.lit(0)) <= max_reuse)
-        won = store(won.select("p_proj_idx", "d_donor_idx", "distance"))
+            rest = open_.withColumn("used", F.lit(0).cast("long"))
+        asked = rest.withColumn("_r", F.row_number().over(best)).where("_r = 1").select(*names)
+        first = rest.withColumn("_a", F.row_number().over(win)).where(F.col("_a") <= max_reuse).where(F.col("_a") + F.col("used") <= max_reuse)
+        mutual = asked.join(first.select("p_proj_idx", "d_donor_idx"), ["p_proj_idx", "d_donor_idx"], "left_semi").select(*names)
+        early = rest.orderBy("distance", "p_proj_idx", "d_donor_idx").limit(chunk).coalesce(1).mapInArrow(_in_order(max_reuse), schema)
+        won = store(mutual.unionByName(early).distinct())
         if won.isEmpty():
-            break
+            return won if taken is None else taken
         taken = won if taken is None else store(taken.unionByName(won))
-    return taken if taken is not None else open_.limit(0)
 
 
 def pair_table(pairs: DataFrame, project: DataFrame, donors: DataFrame, run_id: str = "run", shown: Sequence[str] = ("SOC_g_kg", "NDVI_t0", "elevation", "slope_deg", "dist_roads_km")) -> DataFrame:

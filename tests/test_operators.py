@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from terrapair.config import AreaConfig, BaselineConfig, CarbonSpec, ExtractConfig, Grid, MatchConfig, TrendConfig
 from terrapair.functions import columns, ols, projection, ranking
 from terrapair.operators import area, balance, baseline, carbon, extract, matching, raster, scenes, sweep, trend
+from terrapair.plans.pipeline import shared_store
 from terrapair.sources import tables
 
 GRID = Grid(0.0, 300.0)
@@ -195,6 +196,28 @@ def test_reuse_flag_and_enforcement(spark):
     assert sorted((r["p_proj_idx"], r["d_donor_idx"]) for r in got.collect()) == [(1, 10), (2, 12), (3, 11)]
 
 
+def greedy(pairs, max_reuse):
+    """Brute force: pairs by distance, project and donor; a project once, a donor max_reuse times."""
+    done, uses, out = set(), {}, []
+    for dist, p, d in sorted((x[2], x[0], x[1]) for x in pairs):
+        if p not in done and uses.get(d, 0) < max_reuse:
+            done.add(p)
+            uses[d] = uses.get(d, 0) + 1
+            out.append((p, d))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("max_reuse, chunk", [(1, 200_000), (1, 1500), (3, 1500)])
+def test_enforced_reuse_equals_greedy_with_many_projects_on_one_donor_order(spark, max_reuse, chunk):
+    rng = random.Random(5)
+    pairs = [(p, 1000 + d, float(d // 2)) for p in range(60) for d in range(90)]  # one donor order, donors tied by twos
+    pairs += [(p, 1000 + d, round(rng.uniform(0, 60), 1)) for p in range(60, 100) for d in rng.sample(range(150), 30)]
+    cand = spark.createDataFrame([(*x, True) for x in pairs] + [(7, 5000, 0.0, False)], "p_proj_idx long, d_donor_idx long, distance double, passed boolean")
+    more = {} if chunk == 200_000 else {"chunk": chunk}
+    got = sorted((r["p_proj_idx"], r["d_donor_idx"]) for r in matching.enforce_reuse(cand, max_reuse, store=shared_store(spark, "reuse"), **more).collect())
+    assert got == greedy(pairs, max_reuse) and len(got) == 100
+
+
 def test_knn_blocks_sql_and_numpy_agree(spark):
     rng = np.random.default_rng(0)
     p = spark.createDataFrame([(i, *map(float, rng.normal(size=3))) for i in range(40)], "proj_idx long, a double, b double, c double")
