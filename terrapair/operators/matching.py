@@ -170,8 +170,23 @@ def _side(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(f"{prefix}{c}") for c in df.columns])
 
 
+def _least_of_equals(k: int, donor_ids: np.ndarray, donor_z: np.ndarray) -> np.ndarray:
+    """Rows without those that have k equal vectors of smaller ids before them."""
+    order = np.lexsort((donor_ids, *donor_z.T))
+    z = donor_z[order]
+    new = np.ones(len(z), bool)
+    new[1:] = (z[1:] != z[:-1]).any(1)
+    first = np.flatnonzero(new)
+    return np.sort(order[np.arange(len(z)) - first[np.cumsum(new) - 1] < k])
+
+
 def _nearest(k: int, donor_ids: np.ndarray, donor_z: np.ndarray):
+    few = _least_of_equals(k, donor_ids, donor_z)
+    donor_ids, donor_z = donor_ids[few], donor_z[few]
     norms = (donor_z**2).sum(1)
+    # rounding of the product form, as a share of the squared norms of both sides
+    unit = 8 * (donor_z.shape[1] + 4) * np.finfo(float).eps
+    longest = float(np.nan_to_num(norms).max(initial=0.0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = max(1, CELLS // max(1, len(donor_ids)))
@@ -182,15 +197,22 @@ def _nearest(k: int, donor_ids: np.ndarray, donor_z: np.ndarray):
             z = np.stack([batch.column(i).to_numpy() for i in range(1, batch.num_columns)], axis=1)
             for a in range(0, len(ids), step):
                 part = z[a : a + step]
-                rough = (part**2).sum(1)[:, None] + norms - 2 * part @ donor_z.T
-                # rounding of the product form may swap near ties at the rim: take a few more, then measure exactly
-                more = min(len(donor_ids), keep + 16)
-                near = np.argpartition(rough, more - 1, axis=1)[:, :more]
-                dist = np.round(np.sqrt(((part[:, None, :] - donor_z[near]) ** 2).sum(2)), DIGITS)
-                order = np.lexsort((donor_ids[near], dist), axis=1)[:, :keep]
-                near, dist = np.take_along_axis(near, order, 1), np.take_along_axis(dist, order, 1)
+                square = (part**2).sum(1)
+                rough = square[:, None] + norms - 2 * part @ donor_z.T
+                rough[np.isnan(rough)] = np.inf
+                # every donor that may have the rounded distance of the k-th one or less is measured exactly
+                slack = unit * (square + longest)
+                rim = np.sqrt(np.maximum(np.partition(rough, keep - 1, axis=1)[:, keep - 1], 0) + slack) + 2 * 10.0**-DIGITS
+                row, near = np.nonzero(~(rough > (rim**2 + slack)[:, None]))
+                dist = np.zeros(len(row))
+                for j in range(z.shape[1]):
+                    dist += (part[row, j] - donor_z[near, j]) ** 2
+                dist = np.round(np.sqrt(dist), DIGITS)
+                order = np.lexsort((donor_ids[near], dist, row))
+                start = np.searchsorted(row, np.arange(len(part)))
+                order = order[(start[:, None] + np.arange(keep)).reshape(-1)]
                 yield pa.record_batch(
-                    [pa.array(np.repeat(ids[a : a + step], keep)), pa.array(donor_ids[near].reshape(-1)), pa.array(dist.reshape(-1)), pa.array(np.tile(np.arange(1, keep + 1), len(part)).astype(np.int32))],
+                    [pa.array(np.repeat(ids[a : a + step], keep)), pa.array(donor_ids[near[order]]), pa.array(dist[order]), pa.array(np.tile(np.arange(1, keep + 1), len(part)).astype(np.int32))],
                     names=["proj_idx", "donor_idx", "distance", "rank"],
                 )
 

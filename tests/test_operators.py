@@ -228,6 +228,23 @@ def test_knn_blocks_sql_and_numpy_agree(spark):
     assert [x[:2] for x in one] == [x[:2] for x in sorted(rows(matching.knn_sql(p, d, metric, 7)))]
 
 
+@pytest.mark.parametrize("spread", [0, 1e-12])
+def test_knn_gives_ties_to_the_smaller_ids(spark, spread):
+    """Hundreds of donors at one distance, equal ones and ones on a circle, in shuffled id order."""
+    rng = np.random.default_rng(2)
+    ids = rng.permutation(900)
+    angle = rng.uniform(0, 2 * math.pi, 900)
+    at = [(5.0 + spread * i, 1.0) if i % 3 else (1e3 + 2 * math.cos(t), 1e3 + 2 * math.sin(t)) for i, t in zip(ids.tolist(), angle.tolist())]
+    d = spark.createDataFrame([(int(i), *x) for i, x in zip(ids, at)], "donor_idx long, a double, b double")
+    p = spark.createDataFrame([(0, 4.0, 1.0), (1, 1e3, 1e3), (2, 5.0, 1.0)], "proj_idx long, a double, b double")
+    metric = matching.Metric(("a", "b"), np.zeros(2), np.ones(2), np.eye(2))
+    tied = {0: [i for i in range(900) if i % 3], 1: list(range(0, 900, 3))}
+    tied[2] = tied[0]
+    for block_rows in (300_000, 200):
+        got = sorted((r["proj_idx"], r["rank"], r["donor_idx"]) for r in matching.knn(p, d, metric, 7, block_rows).collect())
+        assert got == [(q, k + 1, tied[q][k]) for q in range(3) for k in range(7)]
+
+
 def test_ledoit_wolf_against_numpy(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(80, 4)) @ rng.normal(size=(4, 4)) + 5
