@@ -18,7 +18,8 @@ import binascii
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,10 +34,21 @@ BASE_KINDS = ("assign", "access", "hex")
 MIN_VALUE = 6
 
 # Candidates for structural confirmation.
-SIGNED = re.compile(rb"eyJ[A-Za-z0-9_-]+={0,2}\.[A-Za-z0-9_-]+={0,2}\.[A-Za-z0-9_-]*")
-BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{40,}={0,2}")
-ANY_HEX = re.compile(rb"(?:[0-9a-f]{64,}|[0-9A-F]{64,})")
-PEM = re.compile(rb"-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s\\]{16,}?)-----END \1-----")
+#: The first of three dotted parts; a header naming an algorithm has 14 characters at least.
+SIGNED = re.compile(rb"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{14,}+)={0,2}+(?=(\.([A-Za-z0-9_-]++={0,2}+)\.[A-Za-z0-9_-]*+))")
+#: A header is a JSON object; these are the characters its first byte, a brace or a blank, can start with.
+HEADER = re.compile(rb"[eICD]")
+OBJECT = re.compile(rb"[ \t\r\n]*(?:\{[ \t\r\n]*(?:\"|$)|$)")
+#: Runs, also wrapped over lines.
+BASE64 = re.compile(rb"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[ \t]*+(?:\r?\n|\r|\\r\\n|\\n)[ \t]*+[A-Za-z0-9+/_-]++)*+")
+BREAK = re.compile(rb"[ \t]*(?:\r?\n|\r|\\r\\n|\\n)[ \t]*")
+MIN_BASE64 = 40
+ANY_HEX = re.compile(rb"[0-9a-fA-F]{64,}")
+PEM = re.compile(rb"-----BEGIN ([A-Z ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s\\:,._]|-(?!----)){16,}?)-----END \1-----")
+DEK = re.compile(rb"DEK-Info:\s*[A-Za-z0-9-]+,[0-9A-Fa-f]{16,}")
+#: A SEQUENCE of under 128 bytes or with a length field, as encoded.
+START64, START_HEX = re.compile(rb"(?=M[A-I])"), re.compile(rb"(?=30[0-8])")
+OPENSSH64 = re.compile(rb"b3BlbnNzaC1rZXktdjEA")
 OPENSSH = b"openssh-key-v1\x00"
 #: A keyword is followed by a quote, blanks, then ':' or '='; texts without either need no search.
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
@@ -68,7 +80,8 @@ def _children(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | No
 
 def is_key(data: bytes) -> bool:
     """Does `data` hold a key: PKCS#1, PKCS#8, SEC 1 or subject-public-key DER with nested
-    lengths that add up exactly, or an OpenSSH container with a sane first field?"""
+    lengths that add up exactly, encrypted PKCS#8 too, or an OpenSSH container with a sane
+    first field?"""
     if data.startswith(OPENSSH):
         n = int.from_bytes(data[len(OPENSSH) : len(OPENSSH) + 4], "big")
         return 0 < n <= 64 and len(data) > len(OPENSSH) + 4 + n
@@ -91,6 +104,9 @@ def is_key(data: bytes) -> bool:
     if tags[0] == 0x30 and tags[1] == 0x03 and len(tags) == 2:  # SubjectPublicKeyInfo
         algorithm = _children(data, inner[0][1], inner[0][2])
         return bool(algorithm) and algorithm[0][0] == 0x06
+    if tags == [0x30, 0x04] and inner[1][2] - inner[1][1] >= 16:  # EncryptedPrivateKeyInfo
+        algorithm = _children(data, inner[0][1], inner[0][2])
+        return bool(algorithm) and [x[0] for x in algorithm] == [0x06, 0x30]
     return False
 
 
@@ -104,16 +120,97 @@ def decode64(raw: bytes) -> bytes | None:
         return None
 
 
-def _is_signed(raw: bytes) -> bool:
-    header, body, _ = raw.split(b".", 2)
-    parts = [decode64(header), decode64(body)]
-    if None in parts:
-        return False
-    try:
-        head = json.loads(parts[0])
-    except ValueError:
+def _unhex(raw: bytes) -> bytes | None:
+    return binascii.unhexlify(raw) if len(raw) % 2 == 0 else None
+
+
+def _signed(raw: bytes) -> Iterator[tuple[int, int, str]]:
+    """Tokens whose header, from any place in its run on, is a JSON object naming an algorithm."""
+    upto = 0
+    for m in SIGNED.finditer(raw):
+        if m.start() < upto or decode64(m[3]) is None:
+            continue
+        for x in HEADER.finditer(m[1]):
+            header = m[1][x.start() :]
+            first = decode64(header[:12])
+            if first is None or not OBJECT.match(first) or (body := decode64(header)) is None:
+                continue
+            try:
+                head = json.loads(body)
+            except ValueError:
+                continue
+            if isinstance(head, dict) and isinstance(head.get("alg"), str):
+                upto = m.end(2)
+                yield m.start() + x.start(), upto, "signed"
+                break
+
+
+def _is_pem(body: bytes) -> bool:
+    """A key, or with header lines of encryption anything whole that decodes."""
+    lines = re.split(rb"(?:\\r|\\n|\r|\n)+", body)
+    headers = b"\n".join(x for x in lines if b":" in x)
+    data = decode64(re.sub(rb"\s|\\", b"", b"".join(x for x in lines if b":" not in x)))
+    if data is None:
         return False
-    return isinstance(head, dict) and isinstance(head.get("alg"), str)
+    if b"ENCRYPTED" in headers and DEK.search(headers):
+        return len(data) >= 16 and len(data) % 8 == 0
+    return is_key(data)
+
+
+def _sizes(head: bytes) -> int:
+    """Bytes of the SEQUENCE that starts so, 0 if none of a key's forms does."""
+    if len(head) < 8 or head[0] != 0x30:
+        return 0
+    k = head[1] & 0x7F if head[1] & 0x80 else 0
+    if k > 4 or head[1] == 0x80:
+        return 0
+    n = int.from_bytes(head[2 : 2 + k], "big") if k else head[1]
+    return n + 2 + k if head[2 + k] in (0x02, 0x30) else 0
+
+
+def _keys(run: bytes, starts: re.Pattern, decode: Callable[[bytes], bytes | None], per: int) -> Iterator[tuple[int, int]]:
+    """(first, end) in `run` of the keys that start anywhere in it. A byte takes `per` / 3 characters.
+
+    A whole structure of another kind, as a certificate, is passed over with what it holds.
+    """
+    upto = 0
+    for m in starts.finditer(run):
+        a = m.start()
+        if a < upto or not (n := _sizes(decode(run[a : a + 4 * per]) or b"")):
+            continue
+        b = a - (-n * per // 3)
+        if b > len(run) or (data := decode(run[a:b])) is None:
+            continue
+        if is_key(data):
+            upto = b
+            yield a, b
+        elif n >= 100 and (top := _der(data, 0, n)) and top[2] == n and _children(data, top[1], n):
+            upto = b
+
+
+def _keys64(raw: bytes) -> Iterator[tuple[int, int, str]]:
+    for m in BASE64.finditer(raw):
+        run, gaps = m[0], []
+        if cut := list(BREAK.finditer(run)):
+            at = 0
+            for x in cut:
+                at += x.end() - x.start()
+                gaps.append((x.end() - at, at))
+            run = BREAK.sub(b"", run)
+        if len(run) < MIN_BASE64:
+            continue
+        place = [0, *(p for p, _ in gaps)]
+        more = [0, *(g for _, g in gaps)]
+        found = list(_keys(run, START64, decode64, 4))
+        for x in OPENSSH64.finditer(run):
+            data = decode64(run[x.start() : len(run) - ((len(run) - x.start()) % 4 == 1)])
+            if data is not None and is_key(data):
+                found.append((x.start(), len(run)))
+                break
+        for a, b in found:
+            first = m.start() + a + more[bisect_right(place, a) - 1]
+            end = m.start() + b - 1 + more[bisect_right(place, b - 1) - 1] + 1
+            yield first, end + len(re.match(rb"={0,2}", raw[end : end + 2])[0]), "key64"
 
 
 def scan(raw: bytes) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
@@ -125,20 +222,13 @@ def scan(raw: bytes) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, s
         base += [(m.start(), m.end(), "access") for m in ACCESS.finditer(raw)]
     base += [(m.start(), m.end(), "hex") for m in HEX.finditer(raw)]
     added: list[tuple[int, int, str]] = []
-    if b"eyJ" in raw:
-        added += [(m.start(), m.end(), "signed") for m in SIGNED.finditer(raw) if _is_signed(m[0])]
+    if b"." in raw:
+        added += _signed(raw)
     if b"-----BEGIN " in raw:
-        for m in PEM.finditer(raw):
-            body = decode64(re.sub(rb"\\n|\\r|\s|\\", b"", m[2]))
-            if body is not None and is_key(body):
-                added.append((m.start(), m.end(), "pem"))
-    for m in BASE64.finditer(raw):
-        body = decode64(m[0])
-        if body is not None and is_key(body):
-            added.append((m.start(), m.end(), "key64"))
+        added += [(m.start(), m.end(), "pem") for m in PEM.finditer(raw) if _is_pem(m[2])]
+    added += _keys64(raw)
     for m in ANY_HEX.finditer(raw):
-        if len(m[0]) % 2 == 0 and is_key(binascii.unhexlify(m[0])):
-            added.append((m.start(), m.end(), "keyhex"))
+        added += [(m.start() + a, m.start() + b, "keyhex") for a, b in _keys(m[0], START_HEX, _unhex, 6)]
     order = {k: i for i, k in enumerate(BASE_KINDS)}
     base.sort(key=lambda x: (x[0], order[x[2]]))
     return base, added

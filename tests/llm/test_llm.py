@@ -230,6 +230,31 @@ def test_secrets(spark):
     assert f"signed:3:{3 + len(jwt)}" in out[13]["spans"] and out[8]["base_sha256"] == brute.sha("")
 
 
+def test_secrets_in_other_forms():
+    rng = random.Random(2)
+    integer = lambda n: _der(2, b"\x01" + rng.randbytes(n - 1))
+    b64 = lambda x: base64.b64encode(x).decode()
+    url = lambda x: base64.urlsafe_b64encode(x).rstrip(b"=").decode()
+    rsa = _der(0x30, _der(2, b"\0") + integer(128) + integer(3) + integer(128))
+    closed = _der(0x30, _der(0x30, _der(6, b"\x2a\x86\x48") + _der(0x30, _der(4, rng.randbytes(8)))) + _der(4, rng.randbytes(64)))
+    lines = lambda x: "\n".join(b64(x)[i : i + 64] for i in range(0, len(b64(x)), 64))
+    mixed = "".join(c.upper() if i % 3 else c for i, c in enumerate(rsa.hex()))
+    found = lambda text: [(text.encode()[a:b].decode(), k) for a, b, k in secrets.scan(text.encode())[1]]
+    for header in (b'{ "alg": "none"}', b'{\n"alg":"HS256"}', b' {"alg":"HS256"}'):
+        token = f"{url(header)}.{url(b'{}')}.{url(b'sig')}"
+        assert found(f"see {token} end") == [(token, "signed")] == found(f"www.example.{token}") == found(f"a_{token}")
+    assert found(b64(closed)) == [(b64(closed), "key64")]
+    for label, body in (("ENCRYPTED PRIVATE KEY", lines(closed)), ("RSA PRIVATE KEY", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n" + lines(rng.randbytes(640))), ("RSA PRIVATE KEY", lines(rsa))):
+        text = f"-----BEGIN {label}-----\n{body}\n-----END {label}-----"
+        assert (text, "pem") in found(f"x {text} y") and (text.replace("\n", "\\n"), "pem") in found(text.replace("\n", "\\n"))
+    assert found(f"a\n{lines(rsa)}\nb c") == [(lines(rsa), "key64")]
+    for glue in "-_/":
+        assert found(f"prod{glue}key{glue}{b64(rsa)}") == [(b64(rsa), "key64")]
+    assert found(f"x {mixed} y") == [(mixed, "keyhex")]
+    certificate = _der(0x30, _der(0x30, _der(0x30, _der(0x30, _der(6, b"\x2a\x86\x48")) + _der(3, rng.randbytes(140)))) + _der(0x30, _der(6, b"\x2a\x86")) + _der(3, rng.randbytes(65)))
+    assert found(b64(certificate)) == [] == found(lines(rng.randbytes(3000))) == found("www.example.com/some-long-name_of.page.html")
+
+
 def test_media(spark, docs):
     column = media.to_media(frame(spark, docs))
     out = {}
