@@ -35,6 +35,8 @@ from terrapair.llm import _text as T
 
 HOT = 4096
 SEEN = 500_000
+#: Grams whose least are found at once: their places take the low 24 bits of a hash, in every text.
+PIECE = 1 << 24
 #: Contexts are resolved in chunks of whole groups of about this many bytes.
 CHUNK_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1
@@ -68,17 +70,9 @@ def symbols(data: np.ndarray, off: np.ndarray, scheme: Scheme) -> Symbols:
     return Symbols(words.hash, words.off, words)
 
 
-def runs(sym: Symbols, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor position, its gram hash, first and last window start) of every anchor."""
-    w = scheme.window - scheme.gram + 1
-    inside = T.windows(sym.off, scheme.window)
-    none = np.zeros(0, np.int64)
-    if not inside.any():
-        return none, none.astype(T.U64), none, none
-    h = T.mix(T.rolling(sym.values, scheme.gram))
-    low = T.U64((1 << 24) - 1)
-    if len(h) > 1 << 24:  # one text that long: positions take more bits
-        low = T.U64((1 << 32) - 1)
+def _leftmost(h: np.ndarray, w: int) -> np.ndarray:
+    """For each w neighbours, the place of the least by its top 40 bits, the leftmost of equals."""
+    low = T.U64(PIECE - 1)
     packed = (h & ~low) | np.arange(len(h), dtype=T.U64)
     # sliding minimum: a window's is the least of a block's suffix and the next block's prefix
     blocks = -(-len(packed) // w)
@@ -89,7 +83,20 @@ def runs(sym: Symbols, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarr
     tail = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].reshape(-1)
     n = len(packed) - w + 1
     least = np.minimum(tail[:n], head[w - 1 : w - 1 + n])
-    at = (least & low).astype(np.int64)
+    return (least & low).astype(np.int64)
+
+
+def runs(sym: Symbols, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor position, its gram hash, first and last window start) of every anchor."""
+    w = scheme.window - scheme.gram + 1
+    inside = T.windows(sym.off, scheme.window)
+    none = np.zeros(0, np.int64)
+    if not inside.any():
+        return none, none.astype(T.U64), none, none
+    h = T.mix(T.rolling(sym.values, scheme.gram))
+    # pieces share w - 1 grams, so that every window of a long text is in one of them
+    step = PIECE - w + 1
+    at = np.concatenate([a + _leftmost(h[a : a + PIECE], w) for a in range(0, len(h) - w + 1, step)])
     starts = np.flatnonzero(inside)
     at = at[starts]
     new = np.ones(len(at), bool)

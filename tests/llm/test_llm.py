@@ -118,6 +118,21 @@ def test_suffix_dedup(spark, docs, hot, monkeypatch):
         assert brute.sha(bytes(r["kept"])) == r["kept_sha256"]
 
 
+def test_anchors_in_a_huge_text_are_those_of_a_short_one(monkeypatch):
+    """Hashes that differ only below their top 32 bits."""
+    mix = anchors.T.mix
+    monkeypatch.setattr(anchors.T, "mix", lambda x: (mix(x) >> np.uint64(56)) << np.uint64(24))
+    scheme = anchors.Scheme(words=False, window=400, gram=100, within=True)
+    short = np.frombuffer(random.Random(3).randbytes(5000), np.uint8)
+    huge = np.concatenate([np.zeros(1 << 24, np.uint8), short])
+    got = []
+    for data in (short, huge):
+        pos, _, first, last = anchors.runs(anchors.symbols(data, np.array([0, len(data)]), scheme), scheme)
+        own = first >= len(data) - 4500
+        got.append([(x[own] - (len(data) - len(short))).tolist() for x in (pos, first, last)])
+    assert got[0] == got[1] and len(got[0][0]) > 10
+
+
 def test_suffix_dedup_other_threshold(spark, docs):
     out = suffix_dedup.suffix_dedup(frame(spark, docs), threshold=100, gram=40)
     assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.suffixes(docs, 100)
