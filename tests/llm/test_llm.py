@@ -270,6 +270,14 @@ def test_secrets_in_other_forms():
     assert found(b64(certificate)) == [] == found(lines(rng.randbytes(3000))) == found("www.example.com/some-long-name_of.page.html")
 
 
+def test_pipeline_keeps_texts_of_close_languages(spark):
+    import corpus_pipeline
+
+    rows = [(i, "one text for all", f"l{i % 6}", "s", 16) for i in range(60)] + [(60, None, "l0", "s", 0), (61, "12 34", "l1", "s", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.identify(spark, docs, "").collect()) == list(range(60))
+
+
 def test_media(spark, docs):
     column = media.to_media(frame(spark, docs))
     out = {}
