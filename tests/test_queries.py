@@ -62,7 +62,9 @@ def test_entry_works_without_the_optional_part(tmp_path):
         if p.name not in ("llm", "__pycache__"):
             (tmp_path / "terrapair" / p.name).symlink_to(p)
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 40 and not any(k.startswith('op') or k == 'pipeline' for k in q); assert set(e.oracle_sql()) <= set(q)"
-    (tmp_path / "__spark_entry__.py").write_text((root / "__spark_entry__.py").read_text())
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if (root / name).exists():
+            (tmp_path / name).write_text((root / name).read_text())
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, check=True)
 
 
