@@ -2,14 +2,15 @@
 
 A document is factored against the documents before it (by doc_id): the index of reference
 blocks maps content-defined grams of GRAM words to the contexts they stand in (see
-`anchors`), the earliest document's context being the block that is factored against. A
-factor is the longest match with the block around the gram; a factor of at least WINDOW words is a
-duplicate span. Windows that no factor covers, those at factor boundaries, are checked by
-fingerprint against all others of the same gram: a window that a factor covers equals
-the block's, so windows left over can only equal one another.
+`anchors`). Every context of a gram, however many there are, is joined with the earliest
+document's context, its reference block; the factor is the longest match around the gram.
+A factor of at least WINDOW words is a duplicate span. Windows that no factor covers, those at
+factor boundaries and those that only later blocks hold, are then ranked against the windows of all
+blocks of the gram: a window that a factor covers equals the reference block's, so windows
+left over can only equal one another.
 
 A word goes if a window of WINDOW words that covers it also starts in a document with a smaller
-doc_id. Words are compared by 64-bit hashes, their grams before that.
+doc_id. Words are compared by 64-bit hashes, windows by two more.
 
 Defined cases: a null text has no words; texts below the window lose nothing; a null
 doc_id counts as larger than all others and not as smaller than another null; rows with
@@ -19,7 +20,6 @@ whole; other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 
 from terrapair.llm import anchors
@@ -28,67 +28,11 @@ WINDOW = 50
 GRAM = 10
 
 
-def _factors(chunk: anchors.Chunk, scheme: anchors.Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(earliest context of the gram, words that match it to the left and to the right of the anchor)."""
-    size = chunk.n + scheme.window - 1
-    first = np.concatenate([[0], np.cumsum(size)])
-    flat = np.frombuffer(b"".join(chunk.bodies), np.uint64)
-    group = np.concatenate([[True], chunk.key[1:] != chunk.key[:-1]])
-    # rows come sorted by document within a gram
-    block = np.flatnonzero(group)[np.cumsum(group) - 1]
-    me, other = first[:-1] + chunk.anchor, first[block] + chunk.anchor[block]
-    left = np.minimum(chunk.anchor, chunk.anchor[block])
-    right = np.minimum(size - chunk.anchor, (size - chunk.anchor)[block])
-
-    def reach(step: int, room: np.ndarray) -> np.ndarray:
-        far = np.zeros(len(me), np.int64)
-        alive = np.arange(len(me))
-        d = 0
-        while len(alive := alive[room[alive] > d]):
-            shift = d if step > 0 else -d - 1
-            alive = alive[flat[me[alive] + shift] == flat[other[alive] + shift]]
-            d += 1
-            far[alive] = d
-        return far
-
-    return block, reach(-1, left), reach(1, right)
-
-
-def resolve(chunk: anchors.Chunk, scheme: anchors.Scheme):
-    """(mask of windows that an earlier document has, context, start) of a chunk's windows."""
-    if chunk.ranked:
-        rank, owner, at = anchors.ranks(chunk, scheme)
-        return _later(rank, chunk.eid[owner]), owner, at
-    block, left, right = _factors(chunk, scheme)
-    owner = np.repeat(np.arange(len(chunk.n)), chunk.n)
-    at = np.arange(len(owner)) - np.repeat(np.cumsum(chunk.n) - chunk.n, chunk.n)
-    before = chunk.anchor[owner] - at
-    covered = (before <= left[owner]) & (scheme.window - before <= right[owner])
-    out = covered & (chunk.eid[owner] > chunk.eid[block][owner])
-    rest = np.flatnonzero(~covered)
-    if len(rest):
-        rank = anchors.ranks(chunk, scheme)[0]
-        out[rest] = _later(rank[rest], chunk.eid[owner[rest]])
-    return out, owner, at
-
-
-def _later(rank: np.ndarray, eid: np.ndarray) -> np.ndarray:
-    """Mask of the windows whose rank also has a smaller document."""
-    order = np.lexsort((eid, rank))
-    r, e = rank[order], eid[order]
-    new = np.ones(len(r), bool)
-    new[1:] = r[1:] != r[:-1]
-    least = e[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(e) else e
-    out = np.zeros(len(rank), bool)
-    out[order] = e > least
-    return out
-
-
 def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 (kept words joined by one space).
 
     With `texts` also kept, those bytes, null where nothing was removed.
     """
-    scheme = anchors.Scheme(words=True, window=window, gram=gram, within=False)
-    out = anchors.repeated_windows(docs, scheme, resolve, id_col, text_col, texts).withColumnRenamed("n", "n_words")
-    return out.drop("n_spans")
+    scheme = anchors.Scheme(words=True, lengths=(window,), gram=gram, within=False)
+    out = anchors.repeated_windows(docs, scheme, id_col, text_col, texts).withColumnRenamed("n", "n_words")
+    return out.drop("n_spans", "n_shared")

@@ -1,15 +1,20 @@
 """Suffix-array dedup: distributed prefix doubling.
 
-A byte goes if a 400-byte string that covers it starts anywhere else. Ranks of growing
-prefixes decide that: Spark sorts positions by the rank of their first GRAM bytes; positions
-whose rank is unique are done; for the others the pairs (rank of a prefix, rank of the prefix
-that follows it) give the rank of twice the length, up to the threshold.
+A byte goes if a 400-byte string that covers it starts anywhere else. Positions are ranked by
+strings of growing length, and those whose rank is unique drop out between the rounds:
 
-Plain doubling sorts every byte of the corpus several times, which takes tens of times the
-input on disk. Here only content-defined positions are sorted (see `anchors`): every
-400-byte string holds exactly one that it is decided at. The later rounds run where the
-first one has put the positions, since strings that are equal over 400 bytes meet there.
-Ranks are 64-bit fingerprints.
+* round 0 ranks the first GRAM bytes at anchors (see `anchors`): every longer string holds one, at a
+  place that its content fixes, so a position whose anchor's gram is unique is unique;
+* round 1 ranks the threshold's half, 200 bytes, at the positions that are left;
+* round 2 ranks twice that at the positions whose half was repeated, next to one another or not.
+
+Each round is a Spark aggregate over (rank, position) rows, joined back to the positions.
+Neighbouring positions share a row as long as they agree. A rank is a pair of 64-bit hashes,
+not an ordinal: no round needs the order of the ranks, only which of them are equal, so
+strings are hashed where they are and no offset is fetched by a join.
+
+The first round also tells what is repeated at half the threshold: n_shared counts bytes in
+200-byte strings that also start in another document. They are not removed.
 
 Defined cases: a null text is empty; texts below the threshold lose nothing and count
 nowhere; repeats inside a text and rows with equal doc_ids count like any other; a null
@@ -18,35 +23,18 @@ doc_id is kept; texts are whole; other columns are ignored; an empty table gives
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 
 from terrapair.llm import anchors
 
 THRESHOLD = 400
-GRAM = 100
-
-
-def _repeats(rank: np.ndarray) -> np.ndarray:
-    """Mask of the ranks that are not unique."""
-    order = np.argsort(rank, kind="stable")
-    same = rank[order][1:] == rank[order][:-1]
-    out = np.zeros(len(rank), bool)
-    out[order[1:][same]] = True
-    out[order[:-1][same]] = True
-    return out
-
-
-def resolve(chunk: anchors.Chunk, scheme: anchors.Scheme):
-    """(mask of repeated windows, context, start) of a chunk's windows."""
-    rank, owner, at = anchors.ranks(chunk, scheme)
-    return _repeats(rank) | chunk.sure[owner], owner, at
+GRAM = 50
 
 
 def suffix_dedup(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+    """Per document: doc_id, n_bytes, n_removed, n_spans, n_shared, kept_sha256.
 
     With `texts` also kept, the remaining bytes, null where nothing was removed.
     """
-    scheme = anchors.Scheme(words=False, window=threshold, gram=gram, within=True)
-    return anchors.repeated_windows(docs, scheme, resolve, id_col, text_col, texts).withColumnRenamed("n", "n_bytes")
+    scheme = anchors.Scheme(words=False, lengths=(threshold // 2, threshold), gram=gram, within=True)
+    return anchors.repeated_windows(docs, scheme, id_col, text_col, texts).withColumnRenamed("n", "n_bytes")

@@ -72,6 +72,23 @@ def suffixes(docs, k):
     return sorted(out, key=str)
 
 
+def shared(docs, k):
+    """Bytes of each text in k-byte strings that also start in another one."""
+    raw = [(x or "").encode() for _, x in docs]
+    owners = collections.defaultdict(set)
+    for j, t in enumerate(raw):
+        for i in range(len(t) - k + 1):
+            owners[t[i : i + k]].add(j)
+    out = []
+    for (d, _), t in zip(docs, raw):
+        hit = set()
+        for i in range(len(t) - k + 1):
+            if len(owners[t[i : i + k]]) > 1:
+                hit.update(range(i, i + k))
+        out.append((d, len(hit)))
+    return sorted(out, key=str)
+
+
 def substrings(docs, k):
     least = {}
     words = [(d, WORD.findall(x or "")) for d, x in docs]

@@ -108,12 +108,13 @@ def test_contamination(spark, docs):
     assert got(decontaminate.contamination(df, bench.limit(0)), "n_hit") == [(0,)] * len(docs)
 
 
-@pytest.mark.parametrize("hot", [4096, 2])
-def test_suffix_dedup(spark, docs, hot, monkeypatch):
-    monkeypatch.setattr(anchors, "HOT", hot)
+@pytest.mark.parametrize("block", [16, 1, 40])
+def test_suffix_dedup(spark, docs, block, monkeypatch):
+    monkeypatch.setattr(anchors, "BLOCK", block)
     out = suffix_dedup.suffix_dedup(frame(spark, docs), texts=True)
     cols = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert got(out, *cols) == brute.suffixes(docs, 400)
+    assert got(out, "doc_id", "n_shared") == brute.shared(docs, 200)
     for r in out.where("kept is not null").collect():
         assert brute.sha(bytes(r["kept"])) == r["kept_sha256"]
 
@@ -122,7 +123,7 @@ def test_anchors_in_a_huge_text_are_those_of_a_short_one(monkeypatch):
     """Hashes that differ only below their top 32 bits."""
     mix = anchors.T.mix
     monkeypatch.setattr(anchors.T, "mix", lambda x: (mix(x) >> np.uint64(56)) << np.uint64(24))
-    scheme = anchors.Scheme(words=False, window=400, gram=100, within=True)
+    scheme = anchors.Scheme(words=False, lengths=(400,), gram=100, within=True)
     short = np.frombuffer(random.Random(3).randbytes(5000), np.uint8)
     huge = np.concatenate([np.zeros(1 << 24, np.uint8), short])
     got = []
@@ -138,9 +139,9 @@ def test_suffix_dedup_other_threshold(spark, docs):
     assert got(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.suffixes(docs, 100)
 
 
-@pytest.mark.parametrize("hot", [4096, 2])
-def test_substring_dedup(spark, docs, hot, monkeypatch):
-    monkeypatch.setattr(anchors, "HOT", hot)
+@pytest.mark.parametrize("block", [16, 1, 40])
+def test_substring_dedup(spark, docs, block, monkeypatch):
+    monkeypatch.setattr(anchors, "BLOCK", block)
     out = substring_dedup.substring_dedup(frame(spark, docs))
     assert got(out, "doc_id", "n_words", "n_removed", "kept_sha256") == brute.substrings(docs, 50)
 
