@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from terrapair.config import TrendConfig
@@ -55,6 +57,10 @@ def to_long(pairs: DataFrame, years: Sequence[int], pair_id: str = "pair_id", pr
     return pairs.select(pair_id, F.explode(F.array(*cells)).alias("c")).select(pair_id, "c.*").where("value is not null")
 
 
+#: Least standard error of an interaction: exact lines have a t of 0 instead of none.
+SE_LEAST = 1e-15
+
+
 def interaction_sums(long: DataFrame) -> DataFrame:
     """One row: the group-by-year interaction of y = b0 + b1 g + b2 year + b3 g year and its t.
 
@@ -69,10 +75,10 @@ def interaction_sums(long: DataFrame) -> DataFrame:
     )
     sse = [F.greatest(F.col(f"syy{k}") - F.col(f"sxy{k}") * F.col(f"sxy{k}") / F.col(f"sxx{k}"), F.lit(0.0)) for k in (0, 1)]
     n = F.col("n0") + F.col("n1")
-    se = F.sqrt((sse[0] + sse[1]) / (n - 4) * (F.lit(1.0) / F.col("sxx0") + F.lit(1.0) / F.col("sxx1")))
-    ok = (F.col("groups") == 2) & (n >= 8) & (F.col("n_years") >= 3)
+    se = F.greatest(F.sqrt((sse[0] + sse[1]) / (n - 4) * (F.lit(1.0) / F.col("sxx0") + F.lit(1.0) / F.col("sxx1"))), F.lit(SE_LEAST))
+    ok = (F.col("groups") == 2) & (n >= 8) & (F.col("n_years") >= 3) & (F.col("sxx0") > 0) & (F.col("sxx1") > 0)
     diff = F.when(ok, F.col("slope1") - F.col("slope0"))
-    return wide.select(n.alias("n"), diff.alias("interaction"), F.when(ok, se).alias("se"), F.when(ok & (se > 0), diff / se).alias("t"))
+    return wide.select(n.alias("n"), diff.alias("interaction"), F.when(ok, se).alias("se"), F.when(ok, diff / se).alias("t"))
 
 
 @dataclass(frozen=True)
@@ -102,10 +108,10 @@ def paired_sums(pairs: DataFrame) -> DataFrame:
 
 def _paired(r: Row, cfg: TrendConfig) -> Test:
     n, mean, sd = int(r["n"] or 0), r["mean_diff"], r["sd"]
-    if n < 3 or mean is None:
+    if n < 3 or mean is None or not sd:  # without a spread there is no t, and the test fails
         return Test(n, mean, None, None, False)
-    t = mean / (sd / math.sqrt(n)) if sd else (math.copysign(math.inf, mean) if mean else 0.0)
-    p = 0.0 if math.isinf(t) else t_sf2(t, n - 1)
+    t = mean / (sd / math.sqrt(n))
+    p = t_sf2(t, n - 1)
     return Test(n, mean, t, p, p > cfg.p_threshold and abs(mean) <= cfg.slope_threshold)
 
 
@@ -113,24 +119,72 @@ def paired_slope_test(pairs: DataFrame, cfg: TrendConfig = TrendConfig()) -> Tes
     return _paired(paired_sums(pairs).first(), cfg)
 
 
-def prefix_statistics(pairs: DataFrame, sizes: Sequence[int], pair_id: str = "pair_id") -> DataFrame:
-    """(size, n, mean_diff, sd) of every nested prefix of the valid pairs by slope difference.
+#: Sums of a series' points that an interaction needs; years are counted from a middle one.
+_POINTS = ("n", "x", "y", "xx", "xy", "yy")
 
-    One rank and one scan of conditional aggregates answer all prefixes.
-    """
-    ranked = global_rank(pairs.where("ols_valid").select("slope_diff", pair_id, (F.col("proj_slope") - F.col("ref_slope")).alias("d")), "slope_diff", pair_id)
-    aggs = []
-    for k in sizes:
-        d = F.when(F.col("rank") <= k, F.col("d"))
-        aggs += [F.count(d).alias(f"n_{k}"), F.avg(d).alias(f"m_{k}"), F.stddev_samp(d).alias(f"s_{k}")]
-    rows = ", ".join(f"{k}, n_{k}, m_{k}, s_{k}" for k in sizes)
-    return ranked.agg(*aggs).selectExpr(f"stack({len(sizes)}, {rows}) as (size, n, mean_diff, sd)")
 
+def _point_sums(columns: Sequence[str], years: Sequence[int], middle: float) -> dict[str, Column]:
+    """Sums over the finite values of one row's series."""
+    at = [(float(y) - middle, finite(F.col(f"`{c}`").cast("double"))) for c, y in zip(columns, years)]
+
+    def total(of) -> Column:
+        return reduce(add, [F.coalesce(of(x, v), F.lit(0.0)) for x, v in at])
+
+    return {
+        "n": total(lambda x, v: v * 0 + 1),
+        "x": total(lambda x, v: v * 0 + x),
+        "y": total(lambda x, v: v),
+        "xx": total(lambda x, v: v * 0 + x * x),
+        "xy": total(lambda x, v: v * x),
+        "yy": total(lambda x, v: v * v),
+    }
 
-def prefix_sizes(n_valid: int, cfg: TrendConfig = TrendConfig()) -> list[int]:
-    """Distinct prefix lengths, longest first; short ones collapse onto the minimum."""
-    least = least_pairs(n_valid, cfg)
-    return list(dict.fromkeys(min(n_valid, max(least, int(n_valid * f))) for f in cfg.fractions))
+
+def prefix_statistics(pairs: DataFrame, sizes: Sequence[int], years: Sequence[int], pair_id: str = "pair_id", prefix: str = "NDVI_") -> DataFrame:
+    """Both tests' statistics of every nested prefix of the valid pairs by slope difference.
+
+    (size, n, mean_diff, sd; n_obs, interaction, se, t). One rank, then one sum for each step from a
+    prefix to the next longer one; their running totals are the prefixes.
+    """
+    sizes = sorted(sizes)
+    middle = sum(years) / len(years)
+    sums = {f"{k}{g}": v for g, side in ((1, "proj"), (0, "ref")) for k, v in _point_sums([f"{side}_{prefix}{y}" for y in years], years, middle).items()}
+    seen = {f"y{y}": F.coalesce(finite(F.col(f"proj_{prefix}{y}").cast("double")), finite(F.col(f"ref_{prefix}{y}").cast("double"))).isNotNull().cast("int") for y in years}
+    valid = pairs.where("ols_valid").select("slope_diff", pair_id, (F.col("proj_slope") - F.col("ref_slope")).alias("d"), *[v.alias(k) for k, v in (sums | seen).items()])
+    ranked = global_rank(valid, "slope_diff", pair_id)
+    step = F.array_min(F.filter(F.array(*map(F.lit, sizes)), lambda k: k >= F.col("rank")))
+    parts = ranked.withColumn("size", step).where("size is not null").groupBy("size")
+    parts = parts.agg(F.count("d").alias("c"), F.sum("d").alias("s"), F.sum(F.col("d") * F.col("d")).alias("q"), *[F.sum(k).alias(k) for k in sums], *[F.max(k).alias(k) for k in seen])
+    upto = Window.orderBy("size").rowsBetween(Window.unboundedPreceding, 0)  # a row for each size
+    parts = parts.select("size", *[F.sum(c).over(upto).alias(c) for c in ("c", "s", "q", *sums)], *[F.max(c).over(upto).alias(c) for c in seen])
+    c = F.col
+    var = F.greatest(c("q") - c("s") * c("s") / c("c"), F.lit(0.0)) / (c("c") - 1)
+    sxx, sxy, syy = ([c(f"{a}{b}{g}") - c(f"{a}{g}") * c(f"{b}{g}") / c(f"n{g}") for g in (0, 1)] for a, b in ("xx", "xy", "yy"))
+    n = c("n0") + c("n1")
+    ok = (c("n0") > 0) & (c("n1") > 0) & (n >= 8) & (reduce(add, [c(k) for k in seen]) >= 3) & (sxx[0] > 1e-9) & (sxx[1] > 1e-9)
+    beta = F.when(ok, sxy[1] / sxx[1] - sxy[0] / sxx[0])
+    sse = [F.greatest(syy[g] - sxy[g] * sxy[g] / sxx[g], F.lit(0.0)) for g in (0, 1)]
+    se = F.when(ok, F.greatest(F.sqrt((sse[0] + sse[1]) / (n - 4) * (F.lit(1.0) / sxx[0] + F.lit(1.0) / sxx[1])), F.lit(SE_LEAST)))
+    return parts.select(
+        "size", c("c").alias("n"), (c("s") / c("c")).alias("mean_diff"), F.when(c("c") > 1, F.sqrt(var)).alias("sd"), n.cast("long").alias("n_obs"), beta.alias("interaction"), se.alias("se"), (beta / se).alias("t")
+    )
+
+
+def _interaction(r: Row, cfg: TrendConfig) -> Test:
+    if r["t"] is None:
+        return Test(int(r["n_obs"] or 0), r["interaction"], None, None, False)
+    p = t_sf2(r["t"], r["n_obs"] - 4)
+    return Test(r["n_obs"], r["interaction"], r["t"], p, p > cfg.p_threshold)
+
+
+def prefix_sizes(n_valid: int, n_pairs: int, cfg: TrendConfig = TrendConfig()) -> dict[float, int]:
+    """Prefix length of each fraction of the valid pairs, longest first; those beyond all are left out.
+
+    None is shorter than the least number of pairs, which goes by all pairs.
+    """
+    least = least_pairs(n_pairs, cfg)
+    sizes = {f: max(least, int(n_valid * f)) for f in cfg.fractions}
+    return {f: k for f, k in sizes.items() if k <= n_valid}
 
 
 def least_pairs(n: int, cfg: TrendConfig) -> int:
@@ -139,45 +193,48 @@ def least_pairs(n: int, cfg: TrendConfig) -> int:
 
 @dataclass(frozen=True)
 class Selection:
-    """`pairs` have the columns selected and twin_compliant."""
+    """`pairs` have the columns selected and twin_compliant; both tests must pass for that."""
 
     pairs: DataFrame
     mode: str
     test: Test
+    interaction: Test
     compliant: bool
     n_selected: int
+    fraction: float
 
 
-def select_parallel(pairs: DataFrame, cfg: TrendConfig = TrendConfig(), pair_id: str = "pair_id") -> Selection:
-    """Pairs whose trends are parallel in aggregate.
+def select_parallel(pairs: DataFrame, years: Sequence[int], cfg: TrendConfig = TrendConfig(), pair_id: str = "pair_id", prefix: str = "NDVI_") -> Selection:
+    """Pairs whose trends are parallel in aggregate: the interaction and the paired slope test pass.
 
     First all valid pairs within the slope threshold (or, if these are too few, all valid
     ones); failing that the longest passing prefix by slope difference; failing that the
-    best one, which is marked as selected but not as compliant.
+    best one (the smallest mean difference, then the largest interaction p), which is selected
+    but not compliant. With no prefix to try, the first set stays, not compliant either.
     """
-    n = pairs.count()
-    head = pairs.agg(F.count_if("ols_valid").alias("valid"), F.count_if(F.col("ols_valid") & F.col("pair_slope_ok")).alias("ok")).first()
-    fixed = head["ok"] >= least_pairs(n, cfg)
-    keep = F.col("ols_valid") & (F.col("pair_slope_ok") if fixed else F.lit(True))
-    test = paired_slope_test(pairs.where(keep), cfg)
-
-    def done(mask, mode: str, t: Test, compliant: bool, size: int) -> Selection:
-        out = pairs.withColumn("selected", F.coalesce(mask, F.lit(False)))
-        return Selection(out.withColumn("twin_compliant", F.col("selected") & F.lit(compliant)), mode, t, compliant, size)
-
-    if test.passed:
-        return done(keep, "fixed_pair_slope_threshold" if fixed else "all_valid_fallback", test, True, test.n)
-    if not head["valid"]:
-        return done(F.lit(False), "no_valid_pairs", test, False, 0)
-    sizes = prefix_sizes(head["valid"], cfg)
-    rows = sorted(prefix_statistics(pairs, sizes, pair_id).collect(), key=lambda r: -r["size"])
-    tests = [(r["size"], _paired(r, cfg)) for r in rows]
-    won = next(((k, t) for k, t in tests if t.passed), None)
-    mode = "iterative_prefix" if won else "best_available"
-    size, best = won or min(tests, key=lambda x: (abs(x[1].estimate or math.inf), -(x[1].pvalue or 0.0)))
+    head = pairs.agg(F.count(F.lit(1)).alias("all"), F.count_if("ols_valid").alias("valid"), F.count_if(F.col("ols_valid") & F.col("pair_slope_ok")).alias("ok")).first()
+    n = head["all"]
+    keep = F.col("ols_valid") & (F.col("pair_slope_ok") if head["ok"] >= least_pairs(n, cfg) else F.lit(True))
+    base = pairs.where(keep)
+    test, inter = paired_slope_test(base, cfg), interaction_test(to_long(base, years, pair_id, prefix), cfg)
+
+    def done(mode: str, compliant: bool) -> Selection:
+        out = pairs.withColumn("selected", F.coalesce(keep, F.lit(False)))
+        return Selection(out.withColumn("twin_compliant", F.col("selected") & F.lit(compliant)), mode, test, inter, compliant, test.n, test.n / max(1, n))
+
+    if test.passed and inter.passed:
+        return done("fixed_pair_slope_threshold", True)
+    sizes = prefix_sizes(head["valid"], n, cfg)
+    if not sizes:
+        return done("failed_no_valid_candidate", False)
+    rows = {r["size"]: r for r in prefix_statistics(pairs, sorted(set(sizes.values())), years, pair_id, prefix).collect()}  # a row for each size
+    tests = [(f, k, _paired(rows[k], cfg), _interaction(rows[k], cfg)) for f, k in sizes.items()]
+    won = next((x for x in tests if x[2].passed and x[3].passed), None)
+    fraction, size, test, inter = won or min(tests, key=lambda x: (abs(x[2].estimate) if x[2].estimate is not None else math.inf, -(x[3].pvalue or 0.0)))
     ranked = global_rank(pairs.where("ols_valid").select("slope_diff", pair_id), "slope_diff", pair_id).where(F.col("rank") <= size).select(F.col(pair_id).alias("_pick"))
     marked = pairs.join(ranked, pairs[pair_id] == ranked["_pick"], "left").withColumn("selected", F.col("_pick").isNotNull()).drop("_pick")
-    return Selection(marked.withColumn("twin_compliant", F.col("selected") & F.lit(bool(won))), mode, best, bool(won), size)
+    mode = "iterative_smallest_slope_diff" if won else "best_available_failed_or_marginal"
+    return Selection(marked.withColumn("twin_compliant", F.col("selected") & F.lit(bool(won))), mode, test, inter, bool(won), size, fraction)
 
 
 def trend_table(long: DataFrame, sets: Sequence[str] = ()) -> DataFrame:

@@ -97,7 +97,7 @@ def tested(run: Run, store: Callable) -> Run:
     years = [y for y, _ in extract.series_columns(run.project.columns)]
     pairs = trend.attach_series(run.pairs, run.project, years)
     pairs = store(trend.pair_slopes(pairs, years, run.config.trend))
-    run.selection = trend.select_parallel(pairs, run.config.trend, "proj_idx")
+    run.selection = trend.select_parallel(pairs, years, run.config.trend, "proj_idx")
     run.pairs = store(run.selection.pairs)
     return run
 

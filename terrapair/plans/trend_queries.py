@@ -88,20 +88,47 @@ def paired_slope_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("n", r6("mean_diff", digits=3), r6("median_abs_diff", digits=3), r6("sd", digits=3), r6("t"))
 
 
+_SIZES = "sizes as (select distinct greatest(30, floor(n_all * 3e-1), floor(n_valid * (95 - 5 * i) / 100))::bigint as size, n_valid from (select count(*) n_all, count(slope_diff) n_valid from pairs), generate_series(0, 13) g(i)), k as (select size from sizes where size <= n_valid)"
+_PREFIX = f"""{_PAIRS}, {_SIZES}, v as (select pair_id, proj_slope - ref_slope as d, row_number() over (order by slope_diff, pair_id) as r from pairs where slope_diff is not null),
+pts as (select v.r, 1 as grp, t.season, t.v from v join totals t on t.o_custkey = v.pair_id union all select v.r, 0, t.season, t.v from v join totals t on t.o_custkey = v.pair_id + 1),
+pt as (select size, count(d) as n, avg(d) as mean_diff, stddev_samp(d) as sd from k, v where r <= size group by 1),
+g as (select size, grp, regr_slope(v, season) s, regr_sxx(v, season) sxx, greatest(regr_syy(v, season) - power(regr_sxy(v, season), 2) / regr_sxx(v, season), 0) sse, count(*) n from k, pts where r <= size group by 1, 2),
+it as (select size, sum(n)::bigint as n_obs, max(s) filter (where grp = 1) - max(s) filter (where grp = 0) as beta, sqrt(sum(sse) / (sum(n) - 4) * sum(1 / sxx)) as se from g group by 1)"""
+
+
 @query(f"""
-with {_PAIRS}, v as (select proj_slope - ref_slope as d, row_number() over (order by slope_diff, pair_id) as r from pairs where slope_diff is not null),
-k as (select distinct least(n, greatest(30, floor(n * 3e-1), floor(n * (95 - 5 * i) / 100)))::bigint as size from (select count(*) n from v), generate_series(0, 13) g(i))
-select size, count(d) as n, round(avg(d), 3) + 0 as mean_diff, round(stddev_samp(d), 3) as sd from k, v where r <= size group by 1""")
+with {_PREFIX}
+select size, n, round(mean_diff, 3) + 0 as mean_diff, round(sd, 3) as sd, n_obs, round(beta, 3) + 0 as interaction, round(se, 3) as se, round(beta / se, 6) + 0 as t from pt join it using (size)""")
 def prefix_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tests of every prefix."""
     s = sloped(spark, sf_dir)
-    sizes = trend.prefix_sizes(s.where("ols_valid").count(), CFG)
-    out = trend.prefix_statistics(s, sizes)
-    return out.select(F.col("size").cast("long").alias("size"), "n", r6("mean_diff", digits=3), r6("sd", digits=3))
+    head = s.agg(F.count(F.lit(1)), F.count_if("ols_valid")).first()
+    sizes = trend.prefix_sizes(head[1], head[0], CFG)
+    out = trend.prefix_statistics(s, sorted(set(sizes.values())), YEARS)
+    return out.select(F.col("size").cast("long").alias("size"), "n", r6("mean_diff", digits=3), r6("sd", digits=3), "n_obs", r6("interaction", digits=3), r6("se", digits=3), r6("t"))
+
 
+#: Two-sided 5 % point of t by Cornish-Fisher terms in 1 / dof: p > 0.05 is |t| below it.
+_POINT = "(1.959963984540054 + 2.3722712 / {0} + 2.8225 / ({0} * {0}) + 2.55585 / power({0}, 3) + 1.59 / power({0}, 4))"
+_PASSED = f"(abs(mean_diff / (sd / sqrt(n))) < {_POINT.format('(n - 1)')} and abs(mean_diff) <= 2e4 and abs(beta / se) < {_POINT.format('(n_obs - 4)')})"
 
-@query(None)
+
+@query(f"""
+with {_PREFIX}, head as (select count(*) n_all, count(slope_diff) n_valid, count(*) filter (where slope_diff <= 2e4) n_ok from pairs),
+base as (select pair_id, proj_slope - ref_slope as d from pairs, head where slope_diff is not null and (slope_diff <= 2e4 or n_ok < greatest(30, floor(n_all * 3e-1)))),
+bp as (select count(d) as n, avg(d) as mean_diff, stddev_samp(d) as sd from base),
+bl as (select 1 as grp, t.season, t.v from base b join totals t on t.o_custkey = b.pair_id union all select 0, t.season, t.v from base b join totals t on t.o_custkey = b.pair_id + 1),
+bg as (select grp, regr_slope(v, season) s, regr_sxx(v, season) sxx, greatest(regr_syy(v, season) - power(regr_sxy(v, season), 2) / regr_sxx(v, season), 0) sse, count(*) n from bl group by 1),
+bi as (select sum(n) as n_obs, max(s) filter (where grp = 1) - max(s) filter (where grp = 0) as beta, sqrt(sum(sse) / (sum(n) - 4) * sum(1 / sxx)) as se from bg),
+first as (select {_PASSED} as passed from bp, bi),
+tried as (select size, {_PASSED} as passed, abs(mean_diff) as off, abs(beta / se) as far from pt join it using (size)),
+best as (select size, passed from tried order by passed desc, case when passed then -size else off end, far limit 1),
+choice as (select case when first.passed then 'fixed_pair_slope_threshold' when best.size is null then 'failed_no_valid_candidate' when best.passed then 'iterative_smallest_slope_diff' else 'best_available_failed_or_marginal' end as mode, size, first.passed or coalesce(best.passed, false) as compliant from first left join best on true)
+select p.pair_id, case when mode like 'f%' then b.pair_id is not null else coalesce(v.r <= size, false) end as selected, compliant and (case when mode like 'f%' then b.pair_id is not null else coalesce(v.r <= size, false) end) as twin_compliant, mode
+from pairs p left join v on v.pair_id = p.pair_id left join base b on b.pair_id = p.pair_id, choice""")
 def parallel_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen = trend.select_parallel(sloped(spark, sf_dir), CFG)
+    """The pairs that pass both tests."""
+    chosen = trend.select_parallel(sloped(spark, sf_dir), YEARS, CFG)
     return chosen.pairs.select("pair_id", "selected", "twin_compliant").withColumn("mode", F.lit(chosen.mode))
 
 

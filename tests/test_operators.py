@@ -314,13 +314,50 @@ def test_selection_modes(spark, kind):
     else:
         diffs = [0.05 + 1e-4 * i for i in range(40)]
     pairs, years = pair_frame(spark, diffs)
-    s = trend.select_parallel(trend.pair_slopes(pairs, years), TrendConfig())
+    s = trend.select_parallel(trend.pair_slopes(pairs, years), years, TrendConfig())
     n = s.pairs.where("selected").count()
-    assert s.mode == {"fixed": "fixed_pair_slope_threshold", "prefix": "iterative_prefix", "never": "best_available"}[kind]
+    assert s.mode == {"fixed": "fixed_pair_slope_threshold", "prefix": "iterative_smallest_slope_diff", "never": "best_available_failed_or_marginal"}[kind]
     assert s.compliant == (kind != "never") and n == s.n_selected > 0
     assert s.pairs.where("twin_compliant").count() == (n if s.compliant else 0)
 
 
+def gaps_frame(spark, n=40):
+    """Pairs of equal slopes whose references are low in early years and high in late ones, the rest missing."""
+    rng = random.Random(8)
+    years = (2013, 2014, 2015, 2016, 2017)
+    data = []
+    for i in range(n):
+        ref = [0.4 + 0.01 * k + rng.uniform(-0.001, 0.001) + (0.2 if i % 2 else 0.0) if (k >= 2 if i % 2 else k <= 2) else None for k in range(5)]
+        data.append((i, *[0.5 + 0.01 * k + rng.uniform(-0.001, 0.001) for k in range(5)], *ref))
+    names = [f"proj_NDVI_{y} double" for y in years] + [f"ref_NDVI_{y} double" for y in years]
+    return spark.createDataFrame(data, "pair_id long, " + ", ".join(names)), list(years)
+
+
+def test_selection_needs_both_tests(spark):
+    pairs, years = gaps_frame(spark)
+    sloped = trend.pair_slopes(pairs, years)
+    assert trend.paired_slope_test(sloped).passed and not trend.interaction_test(trend.to_long(sloped, years)).passed
+    s = trend.select_parallel(sloped, years)
+    assert not s.compliant and s.test.passed and not s.interaction.passed and s.mode == "best_available_failed_or_marginal"
+    assert s.pairs.where("selected").count() == s.n_selected > 0 and s.pairs.where("twin_compliant").count() == 0
+    few = trend.select_parallel(sloped.limit(12), years)  # no prefix of 30 pairs
+    assert few.mode == "failed_no_valid_candidate" and few.n_selected == 12 and not few.compliant
+    none = trend.select_parallel(sloped.limit(0), years)
+    assert none.mode == "failed_no_valid_candidate" and none.n_selected == 0
+
+
+def test_prefix_statistics_equal_the_single_tests(spark):
+    pairs, years = gaps_frame(spark)
+    sloped = trend.pair_slopes(pairs, years)
+    order = [r["pair_id"] for r in sloped.orderBy("slope_diff", "pair_id").collect()]
+    for r in trend.prefix_statistics(sloped, [20, 30, 38], years).collect():
+        part = sloped.where(F.col("pair_id").isin(order[: r["size"]]))
+        one, two = trend.paired_sums(part).first(), trend.interaction_sums(trend.to_long(part, years)).first()
+        assert [r[k] for k in ("n", "mean_diff", "sd")] == pytest.approx([one[k] for k in ("n", "mean_diff", "sd")])
+        assert [r[k] for k in ("n_obs", "interaction", "se", "t")] == pytest.approx([two[k] for k in ("n", "interaction", "se", "t")])
+    assert trend.prefix_sizes(40, 200) == {} and list(trend.prefix_sizes(40, 40).values())[:3] == [38, 36, 34]
+
+
 def test_attach_and_long(spark):
     pairs = spark.createDataFrame([(1, 10, 0.1234567891, 1.0, 0.3), (2, 11, 5.0, 5.0, None)], "pair_id long, proj_idx long, proj_lon double, proj_lat double, NDVI_2013 double")
     proj = spark.createDataFrame([(10, 0.1234567892, 1.0, 0.9), (12, 0.1234567892, 1.0, 0.9)], "proj_idx long, lon double, lat double, NDVI_2013 double")
