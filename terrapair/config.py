@@ -64,7 +64,8 @@ class ExtractConfig:
 class MatchConfig:
     matches_per_pixel: int = 1
     candidates: int = 150
-    donor_cap: int | None = 300_000
+    #: Donors kept at most, by a stratified draw (an opt-in; 300_000 is the method's value on one machine).
+    donor_cap: int | None = None
     fallback: bool = False
     max_reuse: int = 1
     fit_rows: int | None = None

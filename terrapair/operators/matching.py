@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapair.config import MANDATORY_COLUMNS, TENURE_COLUMNS, TEXTURE_FALLBACK, MatchConfig
+from terrapair.functions.columns import finite
 
 #: Donor rows in one broadcast block; with 8 covariates a block has about 20 MB.
 BLOCK_ROWS = 300_000
@@ -109,9 +110,9 @@ def fit_metric(project: DataFrame, donors: DataFrame, covs: Sequence[str], cfg:
     sigma, shrink = ledoit_wolf(m)
     eye = cfg.ridge * np.eye(len(covs))
     inverse = np.linalg.inv(sigma + eye) + eye
-    w, v = np.linalg.eigh((inverse + inverse.T) / 2)
-    if w.min() < 1e-10:
-        inverse = (v * np.maximum(w, 1e-10)) @ v.T
+    least = np.linalg.eigvalsh(inverse).min()
+    if least < 1e-10:  # made positive definite by a multiple of the identity
+        inverse = inverse + (abs(least) + 1e-8) * np.eye(len(covs))
     return Metric(tuple(covs), m.mean, m.std, np.linalg.cholesky(inverse), shrink)
 
 
@@ -125,8 +126,9 @@ def whitened(metric: Metric) -> list[Column]:
     return out
 
 
-def adaptive_k(n: int, base: int, most: int = 150) -> int:
-    return max(base, min(most, int(0.95 * n), n))
+def adaptive_k(n: Column, cfg: MatchConfig) -> Column:
+    """Candidates that a class of n donors gets: nearly all of a small class."""
+    return F.greatest(F.lit(cfg.matches_per_pixel), F.least(F.lit(cfg.candidates), F.floor(F.lit(0.95) * n).cast("int"), n.cast("int")))
 
 
 def validate_mandatory(project: DataFrame, donors: DataFrame, cfg: MatchConfig = MatchConfig(), columns: Sequence[str] = MANDATORY_COLUMNS) -> None:
@@ -152,11 +154,16 @@ class Caliper:
 
 
 def calipers(project: DataFrame, cfg: MatchConfig = MatchConfig()) -> list[Caliper]:
-    """The method's calipers, two of them relative to the project's means."""
+    """The method's calipers, two of them relative to the project's means.
+
+    Fails if such a mean is missing: without it the caliper would let nothing, or anything, through.
+    """
     have = set(project.columns)
     relative = [(c, f) for c, f in (("SOC_g_kg", cfg.soc_fraction), ("NDVI_t0", cfg.ndvi_fraction)) if c in have]
-    means = project.agg(*[F.avg(c) for c, _ in relative]).first() if relative else []
-    out = [Caliper(c, max(abs(m or 0.0) * f, 1e-9)) for (c, f), m in zip(relative, means)]
+    means = project.agg(*[F.avg(finite(F.col(c).cast("double"))) for c, _ in relative]).first() if relative else []
+    if missing := [c for (c, _), m in zip(relative, means) if m is None]:
+        raise ValueError(f"no project mean for relative calipers: {missing}")
+    out = [Caliper(c, max(abs(m) * f, 1e-9)) for (c, f), m in zip(relative, means)]
     fixed = (("elevation", cfg.elevation_m), ("slope_deg", cfg.slope_deg), ("dist_roads_km", cfg.roads_km))
     return out + [Caliper(c, t) for c, t in fixed if c in have]
 
@@ -256,12 +263,21 @@ def knn_sql(project: DataFrame, donors: DataFrame, metric: Metric, k: int, most_
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def compatible(p: Column, d: Column, fallback: bool) -> Column:
-    """Is a donor's class allowed for a project class: equal, or with fallback any in its list."""
-    if not fallback:
-        return p == d
-    lists = F.create_map(*[x for k, v in TEXTURE_FALLBACK.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-    return F.array_contains(lists[p], d)
+def allowed_classes(available: Sequence[str], fallback: bool) -> dict[str, list[str]]:
+    """Donor classes that are candidates for each project class.
+
+    A class that has donors takes only those; one without takes, with fallback, the classes in its
+    list that have donors. Candidates of another class still fail the exact class caliper.
+    """
+    out = {c: [c] for c in available}
+    if fallback:
+        out |= {c: near for c, names in TEXTURE_FALLBACK.items() if c not in out and (near := [x for x in names if x in out])}
+    return out
+
+
+def same_tenure(tenure: str | None) -> Column:
+    """Equal tenure of a p_ and a d_ side, as strings; two missing values are equal."""
+    return F.lit(True) if tenure is None else F.col(f"p_{tenure}").cast("string").eqNullSafe(F.col(f"d_{tenure}").cast("string"))
 
 
 @dataclass
@@ -274,8 +290,8 @@ class Matching:
     candidates: DataFrame
 
 
-def candidates_by_bins(project: DataFrame, donors: DataFrame, limits: Sequence[Caliper], cls: str, bins: int = 2) -> DataFrame:
-    """Donor candidates within all calipers by an equi-join on class and caliper-wide bins.
+def candidates_by_bins(project: DataFrame, donors: DataFrame, limits: Sequence[Caliper], cls: str, bins: int = 2, tenure: str | None = None) -> DataFrame:
+    """Donor candidates within all calipers by an equi-join on class, tenure and caliper-wide bins.
 
     |p - d| <= tolerance puts d's bin within one of p's, so the project side is repeated 3 times
     per binned column; the first `bins` calipers are binned and all are checked exactly.
@@ -284,54 +300,68 @@ def candidates_by_bins(project: DataFrame, donors: DataFrame, limits: Sequence[C
     left, right = _side(project, "p_"), _side(donors, "d_")
     used = list(limits[:bins])
     whole = reduce(and_, [F.col(f"p_{c.column}").isNotNull() for c in used]) if used else F.lit(True)
-    exact = reduce(and_, [within(c, f"p_{c.column}", f"d_{c.column}") for c in limits]) if limits else F.lit(True)
-    binned, keys = left.where(whole), [F.col(f"p_{cls}") == F.col(f"d_{cls}")]
+    exact = reduce(and_, [within(c, f"p_{c.column}", f"d_{c.column}") for c in limits], F.lit(True))
+    same = [F.col(f"p_{cls}") == F.col(f"d_{cls}"), same_tenure(tenure)]
+    binned, keys = left.where(whole), [*same]
     for i, c in enumerate(used):
         binned = binned.withColumn(f"b{i}", F.explode(F.array(*[F.floor(F.col(f"p_{c.column}") / c.tolerance) + k for k in (-1, 0, 1)])))
         right = right.withColumn(f"e{i}", F.floor(F.col(f"d_{c.column}") / c.tolerance))
         keys.append(F.col(f"b{i}") == F.col(f"e{i}"))
     out = binned.join(right, reduce(and_, keys)).where(exact)
-    rest = left.where(~whole).join(_side(donors, "d_"), F.col(f"p_{cls}") == F.col(f"d_{cls}")).where(exact)
+    rest = left.where(~whole).join(_side(donors, "d_"), reduce(and_, same)).where(exact)
     return out.select(*rest.columns).unionByName(rest)
 
 
 def match(project: DataFrame, donors: DataFrame, covs: Sequence[str], limits: Sequence[Caliper], cls: str = "texture_class", cfg: MatchConfig = MatchConfig(), metric: Metric | None = None) -> Matching:
-    """Pair each project row (proj_idx) with its nearest donor (donor_idx) within all calipers."""
+    """Pair each project row (proj_idx) with its nearest donor (donor_idx) within all calipers.
+
+    The class and, if both sides have one, the tenure column are calipers too: they must be equal,
+    also where a class without donors of its own falls back on candidates of others.
+    """
     metric = metric or fit_metric(project, donors, covs, cfg)
     counts = donors.groupBy(cls).agg(F.count(F.lit(1)).alias("donor_n"))
-    n_donors = donors.count()
-    keep_p = list(dict.fromkeys(["proj_idx", cls, *covs, *[c.column for c in limits]]))
-    keep_d = list(dict.fromkeys(["donor_idx", cls, *covs, *[c.column for c in limits]]))
+    have = {r[0]: r[1] for r in counts.where(F.col(cls).isNotNull()).collect()}  # a row a class
+    allowed = allowed_classes(list(have), cfg.fallback)
+    spark = project.sparkSession
+    lists = spark.createDataFrame([(c, names, sum(have[x] for x in names), c in have) for c, names in allowed.items()], "_cls string, _allowed array<string>, donor_n long, texture_exact boolean")
+    lists = lists.withColumn("k_query", adaptive_k(F.col("donor_n"), cfg))
+    tenure = tenure_column(project, donors)
+    more = [c.column for c in limits] + ([tenure] if tenure else [])
+    keep_p = list(dict.fromkeys(["proj_idx", cls, *covs, *more]))
+    keep_d = list(dict.fromkeys(["donor_idx", cls, *covs, *more]))
     left, right = _side(project.select(*keep_p), "p_"), _side(donors.select(*keep_d), "d_")
-    passes = reduce(and_, [within(c, f"p_{c.column}", f"d_{c.column}") for c in limits]) if limits else F.lit(True)
+    passes = reduce(and_, [within(c, f"p_{c.column}", f"d_{c.column}") for c in limits], (F.col(f"p_{cls}") == F.col(f"d_{cls}")) & same_tenure(tenure))
     if cfg.mode == "caliper_first":
-        near = candidates_by_bins(project.select(*keep_p), donors.select(*keep_d), limits, cls)
+        near = candidates_by_bins(project.select(*keep_p), donors.select(*keep_d), limits, cls, tenure=tenure)
         cand = near.withColumns({"distance": _distance(metric), "passed": F.lit(True)})
     else:
-        k = adaptive_k(n_donors, cfg.candidates, cfg.candidates)
+        k = max(cfg.matches_per_pixel, cfg.candidates)
         found = knn(project, donors, metric, k)
-        cand = found.join(left, F.col("proj_idx") == F.col("p_proj_idx")).join(right, F.col("donor_idx") == F.col("d_donor_idx"))
-        cand = cand.where(compatible(F.col(f"p_{cls}"), F.col(f"d_{cls}"), cfg.fallback)).drop("proj_idx", "donor_idx", "rank")
+        cand = found.join(left, F.col("proj_idx") == F.col("p_proj_idx")).join(right, F.col("donor_idx") == F.col("d_donor_idx")).drop("proj_idx", "donor_idx", "rank")
+    cand = cand.join(F.broadcast(lists), F.col(f"p_{cls}") == F.col("_cls")).where(F.array_contains("_allowed", F.col(f"d_{cls}")))
+    if cfg.mode != "caliper_first":
         cand = cand.withColumn("passed", passes)
     w = Window.partitionBy("p_proj_idx").orderBy("distance", "d_donor_idx")
     cand = cand.withColumn("match_rank", F.row_number().over(w))
     if cfg.mode != "caliper_first":
-        # a class takes at most its adaptive number of candidates
-        quota = counts.select(F.col(cls).alias("_cls"), F.expr(f"greatest({cfg.matches_per_pixel}, least({cfg.candidates}, cast(floor(0.95 * donor_n) as int), cast(donor_n as int)))").alias("_quota"))
-        cand = cand.join(F.broadcast(quota), F.col(f"p_{cls}") == F.col("_cls"), "left").where(F.col("match_rank") <= F.coalesce("_quota", F.lit(cfg.candidates))).drop("_cls", "_quota")
+        cand = cand.where(F.col("match_rank") <= F.col("k_query"))
+    cand = cand.drop("_cls", "_allowed", "donor_n", "k_query")
     won = Window.partitionBy("p_proj_idx").orderBy(F.desc("passed"), "match_rank")
     cand = cand.withColumn("_won", F.row_number().over(won))
     per = Window.partitionBy("p_proj_idx")
     cand = cand.withColumn("rejected", F.sum((~F.col("passed")).cast("int")).over(per))
     pairs = cand.where(F.col("passed") & (F.col("_won") <= cfg.matches_per_pixel)).drop("_won", "passed")
     pairs = flag_reuse(pairs.withColumn("match_distance", F.col("distance")).drop("distance"), cls, cfg.max_reuse)
-    tested = cand.groupBy("p_proj_idx").agg(F.count(F.lit(1)).alias("queried_n"), F.max("passed").alias("any_passed"), F.first("rejected").alias("rejected"), F.min("distance").alias("nearest"))
-    base = project.select("proj_idx", cls).join(F.broadcast(counts), cls, "left").join(tested, F.col("proj_idx") == F.col("p_proj_idx"), "left").drop("p_proj_idx")
-    reason = F.when(F.col("donor_n").isNull(), "no_texture_donor").when(F.col("queried_n").isNull(), "no_texture_compatible_in_knn").when(~F.col("any_passed"), "no_candidate_passed_hard_calipers")
-    unmatched = base.withColumn("reason", reason).where(F.col("reason").isNotNull()).select("proj_idx", F.col(cls).alias("proj_texture"), "reason", F.when(F.col("reason") == "no_candidate_passed_hard_calipers", F.col("queried_n")).alias("queried_n"))
+    tested = cand.groupBy("p_proj_idx").agg(F.max("passed").alias("any_passed"), F.first("rejected").alias("rejected"), F.min("distance").alias("nearest"))
+    base = project.select("proj_idx", cls).join(F.broadcast(lists), F.col(cls) == F.col("_cls"), "left").join(tested, F.col("proj_idx") == F.col("p_proj_idx"), "left").drop("p_proj_idx", "_cls", "_allowed")
+    reason = F.when(F.col("donor_n").isNull(), "no_texture_donor").when(F.col("any_passed").isNull(), "no_texture_compatible_in_knn").when(~F.col("any_passed"), "no_candidate_passed_hard_calipers")
+    unmatched = base.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    unmatched = unmatched.select("proj_idx", F.col(cls).alias("proj_texture"), "reason", F.when(F.col("reason") == "no_candidate_passed_hard_calipers", F.col("k_query")).alias("queried_n"))
     summary = base.groupBy(cls).agg(
         F.count(F.lit(1)).alias("proj_n"),
         F.coalesce(F.first("donor_n"), F.lit(0)).alias("donor_n"),
+        F.first("k_query").alias("k_query"),
+        F.coalesce(F.first("texture_exact"), F.lit(False)).alias("exact_texture"),
         F.count_if(F.coalesce("any_passed", F.lit(False))).alias("matched_n"),
         F.count_if(~F.coalesce("any_passed", F.lit(False))).alias("unmatched_n"),
         F.coalesce(F.sum("rejected"), F.lit(0)).alias("rejected_total"),
@@ -420,7 +450,7 @@ def pair_table(pairs: DataFrame, project: DataFrame, donors: DataFrame, run_id:
     p = project.select(F.col("proj_idx").alias("p_proj_idx"), *[F.col(c).alias(f"proj_{c}") for c in ("lon", "lat", "texture_class", *shown) if c in project.columns])
     keep = [c for c in donors.columns if c not in ("lon", "lat")]
     d = donors.select(*[F.col(c).alias("d_donor_idx" if c == "donor_idx" else c) for c in keep], *[F.col(c).alias(f"ref_{c}") for c in ("lon", "lat", "cell_xmin", "cell_ymin", "cell_xmax", "cell_ymax", "pixel_id", "grid_row", "grid_col", *shown) if c in donors.columns])
-    out = pairs.select("p_proj_idx", "d_donor_idx", "match_distance", "match_rank", "rejected", "donor_use", "reuse_exceeded")
+    out = pairs.select("p_proj_idx", "d_donor_idx", "match_distance", "match_rank", "rejected", "donor_use", "reuse_exceeded", "texture_exact")
     out = out.join(p, "p_proj_idx").join(d, "d_donor_idx").withColumns({"run_id": F.lit(run_id), "all_calipers_passed": F.lit(True)})
     for c in shown:
         if f"proj_{c}" in out.columns and f"ref_{c}" in out.columns:

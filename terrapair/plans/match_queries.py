@@ -27,7 +27,7 @@ cand0 as (select t.*, p.cls, abs(d.p_retailprice - p.p_retailprice) <= tol.t as
           row_number() over (partition by t.proj_idx order by distance, t.donor_idx) as match_rank
           from top t join proj p on t.proj_idx = p.p_partkey join don d on t.donor_idx = d.p_partkey and d.cls = p.cls, tol),
 cand as (select c.*, ok_price and ok_size and ok_elev as passed from cand0 c join quota on c.cls = quota.cls where match_rank <= q),
-won as (select proj_idx, min(match_rank) filter (where passed) as best, sum((not passed)::int)::bigint as rejected, count(*) as queried_n, min(distance) as nearest from cand group by 1),
+won as (select proj_idx, min(match_rank) filter (where passed) as best, sum((not passed)::int)::bigint as rejected, min(distance) as nearest from cand group by 1),
 matched as (select c.proj_idx, c.donor_idx, c.cls, c.distance, c.match_rank, w.rejected from cand c join won w on c.proj_idx = w.proj_idx and c.match_rank = w.best)"""
 
 
@@ -104,7 +104,7 @@ _REASON = "case when q.cls is null then 'no_texture_donor' when w.proj_idx is nu
 
 @query(f"""
 with {_SIDES}, {_CAND}
-select * from (select p.p_partkey as proj_idx, p.cls as proj_texture, {_REASON} as reason, case when q.cls is not null and w.best is null then w.queried_n end as queried_n
+select * from (select p.p_partkey as proj_idx, p.cls as proj_texture, {_REASON} as reason, case when w.proj_idx is not null and w.best is null then q.q::int end as queried_n
 from proj p left join quota q on p.cls = q.cls left join won w on p.p_partkey = w.proj_idx) where reason is not null""")
 def caliper_unmatched_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir).unmatched
@@ -119,7 +119,7 @@ def donor_reuse_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 with {_SIDES}, {_CAND}
-select p.cls, count(*) as proj_n, coalesce(any_value(q.donor_n), 0) as donor_n, count(w.best) as matched_n, count(*) - count(w.best) as unmatched_n, coalesce(sum(w.rejected), 0)::bigint as rejected_total, round(avg(w.nearest), 6) as mean_nn_dist
+select p.cls, count(*) as proj_n, coalesce(any_value(q.donor_n), 0) as donor_n, any_value(q.q)::int as k_query, count(q.cls) > 0 as exact_texture, count(w.best) as matched_n, count(*) - count(w.best) as unmatched_n, coalesce(sum(w.rejected), 0)::bigint as rejected_total, round(avg(w.nearest), 6) as mean_nn_dist
 from proj p left join quota q on p.cls = q.cls left join won w on p.p_partkey = w.proj_idx group by 1""")
 def class_match_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir).summary.withColumn("mean_nn_dist", r6("mean_nn_dist"))

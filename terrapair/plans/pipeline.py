@@ -17,7 +17,7 @@ from terrapair.sources import tables
 def shared_store(spark: SparkSession, name: str = "stage") -> Callable[[DataFrame], DataFrame]:
     """A function that writes a frame into the folder of spark.checkpoint.dir and reads it back,
     which cuts lineage with files that outlive executors."""
-    root = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints").rstrip("/")
+    root = tables.shared_dir(spark)
 
     def store(df: DataFrame) -> DataFrame:
         path = f"{root}/{name}-{uuid.uuid4().hex}"
@@ -51,6 +51,8 @@ class Run:
     matching: matching.Matching | None = None
     pairs: DataFrame | None = None
     smd: DataFrame | None = None
+    audit: DataFrame | None = None
+    covariates: DataFrame | None = None
     selection: trend.Selection | None = None
     cells: DataFrame | None = None
     manifest: dict | None = None
@@ -88,7 +90,10 @@ def matched(run: Run, store: Callable) -> Run:
     run.matching = matching.match(p, d, covs, limits, "texture_class", m)
     run.project, run.donors = p, d
     run.pairs = store(matching.pair_table(run.matching.pairs, p, d, run.config.effective_id))
-    run.smd = balance.smd(p, d.join(run.pairs.select("donor_idx"), "donor_idx", "left_semi"), covs, m.smd_threshold)
+    # the matched rows, so a donor counts as often as it was used
+    run.smd = balance.smd(p, run.pairs, covs, m.smd_threshold)
+    run.audit = balance.audit(run.pairs, ["texture_exact", "all_calipers_passed"])
+    run.covariates = balance.covariate_summary(run.pairs, covs)
     return run
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,16 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which a cluster must name; a local session gets one of its own."""
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
+    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-"))
+    return spark.conf.get("spark.checkpoint.dir")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)

@@ -185,6 +185,37 @@ def test_matching_finds_planted_twins_in_both_modes(spark):
         assert set(got) | set(un) == {r["proj_idx"] for r in p.collect()} and not set(got) & set(un)
 
 
+@pytest.mark.parametrize("mode", ["reference", "caliper_first"])
+def test_tenure_is_an_exact_caliper(spark, mode):
+    p = spark.createDataFrame([(1, "x", 0.0, "a"), (2, "x", 0.0, None), (3, "x", 0.0, "c")], "proj_idx long, cls string, a double, tenure_status string")
+    d = spark.createDataFrame([(10, "x", 0.0, "b"), (11, "x", 0.5, "a"), (12, "x", 0.7, None), (13, "x", 90.0, "d")], "donor_idx long, cls string, a double, tenure_status string")
+    metric = matching.Metric(("a",), np.zeros(1), np.ones(1), np.eye(1))
+    m = matching.match(p, d, ["a"], [matching.Caliper("a", 10.0)], "cls", MatchConfig(mode=mode), metric)
+    assert sorted((r["p_proj_idx"], r["d_donor_idx"]) for r in m.pairs.collect()) == [(1, 11), (2, 12)]
+    reason = "no_candidate_passed_hard_calipers" if mode == "reference" else "no_texture_compatible_in_knn"
+    assert [(r["proj_idx"], r["reason"], r["queried_n"]) for r in m.unmatched.collect()] == [(3, reason, 3 if mode == "reference" else None)]
+
+
+def test_fallback_classes_are_candidates_but_fail_the_class_caliper(spark):
+    p = spark.createDataFrame([(1, "sand", 0.0), (2, "loam", 0.0), (3, "other", 0.0)], "proj_idx long, cls string, a double")
+    d = spark.createDataFrame([(10, "sandy_loam", 0.0), (11, "loam", 5.0)], "donor_idx long, cls string, a double")
+    metric = matching.Metric(("a",), np.zeros(1), np.ones(1), np.eye(1))
+    m = matching.match(p, d, ["a"], [], "cls", MatchConfig(fallback=True), metric)
+    assert [(r["p_proj_idx"], r["d_donor_idx"], r["rejected"]) for r in m.pairs.collect()] == [(2, 11, 0)]  # a class with donors doesn't fall back
+    assert sorted((r["proj_idx"], r["reason"], r["queried_n"]) for r in m.unmatched.collect()) == [(1, "no_candidate_passed_hard_calipers", 1), (3, "no_texture_donor", None)]
+    s = {r["cls"]: r for r in m.summary.collect()}
+    assert (s["sand"]["exact_texture"], s["sand"]["rejected_total"], s["loam"]["exact_texture"], s["sand"]["k_query"]) == (False, 1, True, 1)
+    m = matching.match(p, d, ["a"], [], "cls", MatchConfig(), metric)
+    assert {r["proj_idx"]: r["reason"] for r in m.unmatched.collect()} == {1: "no_texture_donor", 3: "no_texture_donor"}
+
+
+def test_relative_calipers_need_a_mean(spark):
+    p = spark.createDataFrame([(1, None, 0.5)], "proj_idx long, SOC_g_kg double, NDVI_t0 double")
+    with pytest.raises(ValueError, match="SOC_g_kg"):
+        matching.calipers(p)
+    assert matching.calipers(p.drop("SOC_g_kg"))[0] == matching.Caliper("NDVI_t0", 0.05)
+
+
 def test_reuse_flag_and_enforcement(spark):
     p = spark.createDataFrame([(1, "x", 0.0), (2, "x", 0.1), (3, "x", 0.2)], "proj_idx long, cls string, a double")
     d = spark.createDataFrame([(10, "x", 0.0), (11, "x", 1.0), (12, "x", 2.0)], "donor_idx long, cls string, a double")
@@ -264,7 +295,8 @@ def test_validation(spark):
     with pytest.raises(ValueError):
         matching.validate_mandatory(p, d)
     assert matching.tenure_column(p, d) is None
-    assert matching.adaptive_k(100, 1) == 95 and matching.adaptive_k(1000, 1) == 150
+    k = [r[0] for r in spark.range(0, 3000, 1000).select(matching.adaptive_k(F.col("id") + 1, MatchConfig())).collect()]
+    assert sorted(k) == [1, 150, 150]
 
 
 def test_balance(spark):
