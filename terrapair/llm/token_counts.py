@@ -31,8 +31,9 @@ from terrapair.llm.word_cache import WordCache
 
 SPACE = "▁"
 BYTE_SCORE = -14.0
-#: Pre-tokens up to so many characters share a trie; longer ones are passed over one by one.
-TRIE_DEPTH = 48
+#: Tries hold words of up to TIER, 2 TIER, 4 TIER, ... characters, and about CELLS characters each.
+TIER = 48
+CELLS = 1 << 20
 SCHEMA = "doc_id long, n_words long, n_tokens long"
 
 
@@ -86,48 +87,56 @@ class Unigram:
         return count[-1]
 
     def counts(self, words: list[str]) -> np.ndarray:
-        """Tokens of each pre-token, through the trie of all."""
+        """Tokens of each pre-token, through tries of bounded size: of words of like length, so that
+        few cells are empty, and of consecutive words in their order, so that prefixes are shared."""
         out = np.zeros(len(words), np.int64)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        for i in np.flatnonzero(sizes > TRIE_DEPTH):
-            out[i] = self.count_one(words[i])
-        rows = np.flatnonzero(sizes <= TRIE_DEPTH)
-        if not len(rows):
-            return out
-        rows = np.array(sorted(rows.tolist(), key=words.__getitem__))
-        size = sizes[rows]
-        deep = int(size.max())
-        flat = np.frombuffer("".join(words[i] for i in rows).encode("utf-32-le", "surrogatepass"), np.uint32)
-        points = np.zeros((len(rows), deep), np.uint32)
-        points[np.arange(deep) < size[:, None]] = flat
-        same = np.zeros((len(rows), deep), bool)  # a row's prefix is also that of the row above
-        same[1:] = np.logical_and.accumulate(points[1:] == points[:-1], axis=1)
+        tier = np.ceil(np.log2(np.maximum(sizes, TIER) / TIER)).astype(np.int64)
+        order = np.array(sorted(range(len(words)), key=lambda i: (tier[i], words[i])), np.int64)
+        at = 0
+        while at < len(order):
+            upto = int(np.searchsorted(tier[order], tier[order[at]], "right"))
+            many = max(1, CELLS // (TIER << int(tier[order[at]])))
+            rows = order[at : min(upto, at + many)]
+            out[rows] = self._trie([words[i] for i in rows])
+            at += len(rows)
+        return out
+
+    def _trie(self, words: list[str]) -> np.ndarray:
+        """Counts of sorted words; a node is a run of rows with a common prefix."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        deep = int(size.max(initial=0))
+        if not deep:
+            return np.zeros(len(words), np.int64)
+        flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        points = np.zeros((len(words), deep), np.uint32)
+        there = np.arange(deep) < size[:, None]
+        points[there] = flat
+        same = np.zeros((len(words), deep), bool)  # a row's prefix is also that of the row above, and both have it
+        same[1:] = np.logical_and.accumulate((points[1:] == points[:-1]) & there[1:] & there[:-1], axis=1)
         power, inverse = T.powers(deep + 1)
-        sums = np.zeros((len(rows), deep + 1), T.U64)
+        sums = np.zeros((len(words), deep + 1), T.U64)
         np.cumsum((points.astype(T.U64) + T.U64(1)) * power[:deep], axis=1, out=sums[:, 1:])
-        best = np.zeros((len(rows), deep + 1))
-        count = np.zeros((len(rows), deep + 1), np.int64)
+        best = np.zeros((len(words), deep + 1))
+        count = np.zeros((len(words), deep + 1), np.int64)
         for d in range(1, deep + 1):
-            node = ~same[:, d - 1]
-            at = np.flatnonzero(node & (size >= d))
+            at = np.flatnonzero(~same[:, d - 1] & (size >= d))
             if not len(at):
                 continue
-            top, tokens = np.full(len(at), -np.inf), np.zeros(len(at), np.int64)
-            for n in range(1, min(self.longest, d) + 1):
-                s = self.lookup(T.mix((sums[at, d] - sums[at, d - n]) * inverse[d - n]))
-                k = np.ones(len(at), np.int64)
-                if n == 1:
-                    c = points[at, d - 1]
-                    width = 1 + (c > 0x7F).astype(np.int64) + (c > 0x7FF) + (c > 0xFFFF)
-                    none = np.isinf(s)
-                    s, k = np.where(none, BYTE_SCORE * width, s), np.where(none, width, k)
-                s = s + best[at, d - n]
-                better = s > top
-                top, tokens = np.where(better, s, top), np.where(better, count[at, d - n] + k, tokens)
-            owner = np.maximum(np.searchsorted(at, np.arange(len(rows)), "right") - 1, 0)
-            best[:, d], count[:, d] = top[owner], tokens[owner]
-        out[rows] = count[np.arange(len(rows)), size]
-        return out
+            # every last piece at once, the shortest first
+            back = d - np.arange(1, min(self.longest, d) + 1)
+            scores = self.lookup(T.mix((sums[at, d][:, None] - sums[at[:, None], back]) * inverse[back]).reshape(-1)).reshape(len(at), -1)
+            none = np.isinf(scores[:, 0])
+            c = points[at, d - 1]
+            width = 1 + (c > 0x7F).astype(np.int64) + (c > 0x7FF) + (c > 0xFFFF)
+            scores[none, 0] = BYTE_SCORE * width[none]
+            scores += best[at[:, None], back]
+            won = scores.argmax(1)
+            rows = np.arange(len(at))
+            tokens = count[at, d - 1 - won] + np.where(none & (won == 0), width, 1)
+            owner = np.maximum(np.searchsorted(at, np.arange(len(words)), "right") - 1, 0)
+            best[:, d], count[:, d] = scores[rows, won][owner], tokens[owner]
+        return count[np.arange(len(words)), size]
 
 
 _COUNTERS: dict[str, tuple[Unigram, WordCache]] = {}
