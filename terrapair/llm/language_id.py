@@ -5,8 +5,11 @@ Training counts are gathered per task and summed by Spark; the log-probability m
 checked against MAX_MATRIX. Scoring gathers the rows of a whole batch's n-grams at once
 and sums them per document: one scan, no shuffle.
 
-The classifier is fitted on at most ``sample_rows`` labelled rows (a documented bound),
-picked by the order of a hash of doc_id; everything is scored.
+The classifier is fitted on a bounded sample of labelled rows: of every language at most
+``sample_rows`` different rows, the first ones by a hash of doc_id and text, so that a rare language is
+there at any size of the table. Everything is scored. The prior is a language's share of all
+labelled rows, and the score is the posterior of the predicted one, tempered to at most
+TEMPER independent n-grams.
 
 Defined cases: null text, or a text without a letter, predicts ``und`` with score 0; a null
 doc_id is never trained on and is not held out; rows with a null lang are never trained
@@ -20,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapair.llm import _text as T
@@ -28,7 +31,11 @@ from terrapair.llm import _text as T
 UNKNOWN = "und"
 GRAMS = (1, 2, 3)
 BUCKETS = 1 << 16
-SAMPLE_ROWS = 6000
+#: Training rows of each language.
+SAMPLE_ROWS = 1500
+#: Languages at most; with BUCKETS that bounds the matrix before anything is gathered.
+MAX_LANGS = 1000
+TEMPER = 32
 #: A score below this is a guess, to a filter.
 MIN_SCORE = 0.4
 #: Largest log-probability matrix that may be broadcast, in cells.
@@ -68,14 +75,11 @@ def features(data: np.ndarray, off: np.ndarray, buckets: int = BUCKETS) -> Itera
 def _train(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
-        rows: dict[str, int] = {}
         for batch in T.slices(batches):
             langs = np.array(T.column(batch, "lang").to_pylist(), dtype=object)
             data, off = T.buffers(T.column(batch, "text"))
             names = sorted(set(langs))
             code = np.searchsorted(names, list(langs)).astype(np.int64)
-            for k, name in enumerate(names):
-                rows[name] = rows.get(name, 0) + int((code == k).sum())
             for h, start in features(data, off, buckets):
                 owner = np.repeat(code, np.diff(start))
                 got = np.bincount(owner * buckets + h, minlength=len(names) * buckets).reshape(len(names), buckets)
@@ -84,7 +88,7 @@ def _train(buckets: int):
         for name, x in seen.items():
             at = np.flatnonzero(x)
             yield pa.record_batch(
-                [pa.array([name] * (len(at) + 1)), pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(x[at], rows[name]).astype(np.int64))],
+                [pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(x[at].astype(np.int64))],
                 names=["lang", "bucket", "n"],
             )
 
@@ -96,29 +100,31 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.expr(f"crc32(cast(cast(`{id_col}` as string) as binary)) % {FOLDS} = 0"), F.lit(False))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS) -> tuple[list[str], np.ndarray]:
-    """(languages, log-probabilities [buckets, languages]) from labelled, not held-out rows."""
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(languages, log-probabilities [buckets, languages], log-priors) from labelled, not held-out rows."""
+    none = [], np.zeros((buckets, 0), np.float32), np.zeros(0)
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
-    order = F.xxhash64(F.col(id_col).cast("string"), F.lit(7))
-    # only ids meet in the ordering; texts of the picked rows are read again
-    picked = labelled.select(F.col(id_col).cast("long").alias("_pick"), order.alias("_o")).orderBy("_o", "_pick").limit(sample_rows).select("_pick").distinct()
-    sample = labelled.select(F.col(id_col).cast("long").alias("_pick"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    sample = sample.join(F.broadcast(picked), "_pick", "left_semi").select("text", "lang")
-    counts = sample.mapInArrow(_train(buckets), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    langs = sorted(set(counts.column("lang").to_pylist()))
-    if len(langs) * buckets > MAX_MATRIX:
+    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("_o"))
+    # a language's share, and the hash below which about sample_rows of its rows lie
+    shares = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).orderBy("lang").limit(MAX_LANGS + 1).toArrow()
+    langs, total = shares.column("lang").to_pylist(), shares.column("rows").to_numpy()
+    if len(langs) > MAX_LANGS or len(langs) * buckets > MAX_MATRIX:
         raise ValueError(f"{len(langs)} languages x {buckets} buckets exceed the broadcast bound; use fewer buckets")
     if not langs:
-        return [], np.zeros((buckets, 0), np.float32)
+        return none
+    least = -(1 << 63)
+    upto = [min(-least - 1, int(least + min(1.0, (1.2 * sample_rows + 60) / n) * (1 << 64))) for n in total.tolist()]
+    below = docs.sparkSession.createDataFrame(list(zip(langs, upto)), "_lang string, _upto long")
+    near = rows.join(F.broadcast(below), F.col("lang") == F.col("_lang")).where("_o <= _upto").dropDuplicates(["lang", "_o"])
+    first = Window.partitionBy("lang").orderBy("_o", "text")  # of about 1.2 sample_rows each
+    sample = near.select("lang", "text", "_o").withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= sample_rows).select("text", "lang")
+    counts = sample.mapInArrow(_train(buckets), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros((buckets, len(langs)))
-    prior = np.zeros(len(langs))
     code = np.searchsorted(langs, counts.column("lang").to_pylist())
-    bucket, n = counts.column("bucket").to_numpy(), counts.column("n").to_numpy()
-    table[bucket[bucket >= 0], code[bucket >= 0]] = n[bucket >= 0]
-    prior[code[bucket < 0]] = n[bucket < 0]
+    table[counts.column("bucket").to_numpy(), code] = counts.column("n").to_numpy()
     smooth = 0.5
     log = np.log(table + smooth) - np.log(table.sum(0) + smooth * buckets)
-    return langs, log.astype(np.float32)
+    return langs, log.astype(np.float32), np.log(total / total.sum())
 
 
 def score_batch(data: np.ndarray, off: np.ndarray, log: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,26 +147,26 @@ def _has_letter(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def _decide(data: np.ndarray, off: np.ndarray, log: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _decide(data: np.ndarray, off: np.ndarray, log: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(index of the predicted language, or the number of languages for ``und``; score)."""
     known = _has_letter(data, off) & (log.shape[1] > 0)
     if not known.any():
         return np.full(len(known), log.shape[1]), np.zeros(len(known))
     total, grams = score_batch(data, off, log)
-    best = total.argmax(1)
-    # tempered: as if a text had 32 independent n-grams at most
-    z = total * (np.minimum(grams, 32) / np.maximum(grams, 1))[:, None]
+    best = (total + prior).argmax(1)
+    # n-grams overlap and repeat: a text counts as TEMPER independent ones at most
+    z = (total + prior) * (np.minimum(grams, TEMPER) / np.maximum(grams, 1))[:, None]
     z = np.exp(z - z.max(1, keepdims=True))
     score = z[np.arange(len(z)), best] / z.sum(1)
     return np.where(known, best, log.shape[1]), np.where(known, score, 0.0)
 
 
-def _predict(langs: list[str], log: np.ndarray):
+def _predict(langs: list[str], log: np.ndarray, prior: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*langs, UNKNOWN], dtype=object)
         for batch in T.slices(batches, size=1 << 20):
             data, off = T.buffers(T.column(batch, "text"))
-            best, score = _decide(data, off, log)
+            best, score = _decide(data, off, log, prior)
             yield pa.record_batch(
                 [T.column(batch, "doc_id"), T.column(batch, "held_out"), pa.array(names[best].tolist(), pa.string()), pa.array(score)],
                 names=["doc_id", "held_out", "lang_pred", "score"],
@@ -174,16 +180,16 @@ def language_id(docs: DataFrame, train: DataFrame | None = None, id_col: str = "
 
     lang, source and doc_id are never inputs of a prediction. `train` defaults to `docs`.
     """
-    langs, log = fit(docs if train is None else train, id_col, text_col, lang_col, sample_rows, buckets)
+    langs, log, prior = fit(docs if train is None else train, id_col, text_col, lang_col, sample_rows, buckets)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_predict(langs, log), SCHEMA)
+    return rows.mapInArrow(_predict(langs, log, prior), SCHEMA)
 
 
-def _keep(log: np.ndarray, text_at: int, min_score: float):
+def _keep(log: np.ndarray, prior: np.ndarray, text_at: int, min_score: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in T.slices(iter([whole]), whole.schema.names[text_at], 1 << 20):
-                best, score = _decide(*T.buffers(batch.column(text_at)), log)
+                best, score = _decide(*T.buffers(batch.column(text_at)), log, prior)
                 yield batch.filter(pa.array((best < log.shape[1]) & (score >= min_score)))
 
     return run
@@ -192,8 +198,8 @@ def _keep(log: np.ndarray, text_at: int, min_score: float):
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS) -> DataFrame:
     """`docs` with all columns, without the documents that are predicted to be ``und`` or
     whose language is a guess (a score below `min_score`)."""
-    _, log = fit(docs, id_col, text_col, lang_col, sample_rows, buckets)
+    _, log, prior = fit(docs, id_col, text_col, lang_col, sample_rows, buckets)
     names = docs.columns
     inner = docs.toDF(*(f"c{i}" for i in range(len(names))))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in inner.schema.fields)
-    return inner.mapInArrow(_keep(log, names.index(text_col), min_score), schema).toDF(*names)
+    return inner.mapInArrow(_keep(log, prior, names.index(text_col), min_score), schema).toDF(*names)
