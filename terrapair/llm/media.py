@@ -8,8 +8,11 @@ of a frame have that one symbol, each of a block's 64 coefficients (the first on
 since every block is a restart interval) is a 0 bit and 8 amplitude bits, a block is
 72 bytes, and whole batches of blocks are packed and unpacked at once.
 
-Shots are found by the difference of consecutive frames' histograms against a threshold
-that adapts to the differences before, which gives timed clips. Two scans, no shuffle.
+Frames are decoded to pixels too (dequantised, inverse cosine transform, clipped to 0 to 255).
+Shots are found by the difference of consecutive frames' pixel histograms against a threshold
+that adapts to the differences before, which gives timed clips: `clips` has a row for each,
+and the feature string their times. Two scans, no shuffle. The reader takes frames with
+this format's Huffman tables and refuses others.
 
 Defined cases: a null or empty text is 64 zero bytes in one frame; equal texts give
 equal files; a null doc_id is kept; repeated rows give repeated results; other columns are
@@ -20,6 +23,7 @@ are far below (Spark's own limit of a value is 2 GB).
 from __future__ import annotations
 
 import hashlib
+import math
 import struct
 import zlib
 from collections.abc import Iterator
@@ -173,8 +177,33 @@ def _coded_blocks(jpeg: bytes) -> np.ndarray:
     return np.stack([np.frombuffer(p.replace(b"\xff\x00", b"\xff"), np.uint8) for p in parts])
 
 
+def _zigzag() -> np.ndarray:
+    """Row-major place of each coefficient in the order in which a block is coded."""
+    cells = [(i, j) for i in range(8) for j in range(8)]
+    cells.sort(key=lambda c: (c[0] + c[1], c[0] if (c[0] + c[1]) % 2 else c[1]))
+    return np.array([8 * i + j for i, j in cells])
+
+
+_ZIGZAG = _zigzag()
+#: The cosine transform in whole numbers of 2**-11, so that sums are exact in any order.
+_SCALE = 2048
+_COSINE = np.array([[round(_SCALE / 2 * math.cos((2 * x + 1) * k * math.pi / 16) * (math.sqrt(0.5) if k == 0 else 1.0)) for x in range(8)] for k in range(8)], float)
+
+
+def pixels(payload: np.ndarray) -> np.ndarray:
+    """Pixels of the blocks whose coded amplitudes are the payload: [n * 64], 8 x 8 each."""
+    v = payload.reshape(-1, BLOCK).astype(np.float64)
+    v -= 255.0 * (v < 128)  # category 8: -255 to -128 and 128 to 255
+    block = np.empty_like(v)
+    block[:, _ZIGZAG] = v
+    rows = (block.reshape(-1, 8) @ _COSINE).reshape(-1, 8, 8)  # along each row of coefficients
+    both = np.ascontiguousarray(rows.transpose(0, 2, 1)).reshape(-1, 8) @ _COSINE
+    out = np.floor(both / (_SCALE * _SCALE) + 0.5).reshape(-1, 8, 8).transpose(0, 2, 1) + 128
+    return np.clip(out, 0, 255).astype(np.uint8).reshape(-1)
+
+
 def shots(units: np.ndarray, sizes: np.ndarray) -> list[int]:
-    """First frames of the shots of one file, from its frames' histograms."""
+    """First frames of the shots of one file, from the histograms of its frames' pixels."""
     n = len(sizes)
     if n == 1:
         return [0]
@@ -203,27 +232,35 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([T.column(batch, "doc_id"), pa.array(sizes), pa.array(files, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
 
-def _decoded(files: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(payload, payload bytes of each frame) of each file."""
+def _decoded(files: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(payload, pixels, pixels of each frame) of each file."""
     frames = [[_coded_blocks(f) for f in _frames(x)] for x in files]
     every = [b for one in frames for b in one]
     payload = unpack_blocks(np.concatenate(every)) if every else np.zeros(0, np.uint8)
+    seen = pixels(payload)
     at = 0
     for one in frames:
         sizes = np.array([len(b) * BLOCK for b in one])
-        yield payload[at : at + sizes.sum()], sizes
-        at += sizes.sum()
+        part = slice(at, at + int(sizes.sum()))
+        yield payload[part], seen[part], sizes
+        at = part.stop
+
+
+def _times(seen: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
+    """First frame and frame after the last of each shot."""
+    cuts = [*shots(seen, sizes), len(sizes)]
+    return list(zip(cuts, cuts[1:]))
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in T.slices(batches, "media", 1 << 20):
         files = T.column(batch, "media").to_pylist()
         rows = []
-        for raw, (payload, sizes) in zip(files, _decoded(files)):
-            cuts = shots(payload, sizes)
+        for raw, (payload, seen, sizes) in zip(files, _decoded(files)):
             data = payload.tobytes()
-            peak = int(np.bincount(payload, minlength=256).argmax())
-            rows.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-BLOCK:]), len(raw), hashlib.sha256(raw).hexdigest(), f"frames={len(sizes)};peak={peak};cuts={','.join(map(str, cuts))}"))
+            luma = int(seen.sum(dtype=np.int64)) // len(seen)
+            clips = ",".join(f"{FRAME_MS * a}-{FRAME_MS * b}" for a, b in _times(seen, sizes))
+            rows.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-BLOCK:]), len(raw), hashlib.sha256(raw).hexdigest(), f"frames={len(sizes)};luma={luma};clips_ms={clips}"))
         c = list(zip(*rows))
         kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         yield pa.record_batch(
@@ -235,9 +272,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _clips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in T.slices(batches, "media", 1 << 20):
         files, rows = T.column(batch, "media").to_pylist(), []
-        for doc, (payload, sizes) in zip(T.column(batch, "doc_id").to_pylist(), _decoded(files)):
-            cuts = [*shots(payload, sizes), len(sizes)]
-            rows += [(doc, k, FRAME_MS * a, FRAME_MS * b, b - a) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+        for doc, (_, seen, sizes) in zip(T.column(batch, "doc_id").to_pylist(), _decoded(files)):
+            rows += [(doc, k, FRAME_MS * a, FRAME_MS * b, b - a) for k, (a, b) in enumerate(_times(seen, sizes))]
         c = list(zip(*rows))
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
         yield pa.record_batch([pa.array(x, k) for x, k in zip(c, kinds)], names=[x.split()[0] for x in CLIPS.split(", ")])
