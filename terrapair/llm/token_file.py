@@ -48,21 +48,29 @@ _LETTERS = np.array([65 <= b <= 90 or 97 <= b <= 122 for b in range(256)])
 _SIGNS = np.array([33 <= b <= 126 and not chr(b).isalnum() and chr(b) not in "'<|>" for b in range(256)])
 
 
+#: Place of the r-th set bit of a byte.
+_PLACE = np.array([[([i for i in range(8) if b >> i & 1] + [0] * 8)[r] for r in range(8)] for b in range(256)])
+
+
 class EliasFano:
-    """A sorted list of integers in its low bits and a unary coded bit map of the high ones."""
+    """A sorted list of integers in its low bits and a unary coded bit map of the high ones.
+
+    The place of every STEP-th one of the bit map is stored with it, so any value is read from
+    the nearest mark on, without decoding the rest.
+    """
 
-    STEP = 256  # every STEP-th position of the bit map is kept for select
+    STEP = 256
+    HEAD = "<qIBII"
 
-    def __init__(self, base: int, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
-        self.base, self.n, self.low_bits, self.low, self.high = base, n, low_bits, low, high
-        self._marks: np.ndarray | None = None
+    def __init__(self, base: int, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, marks: np.ndarray):
+        self.base, self.n, self.low_bits, self.low, self.high, self.marks = base, n, low_bits, low, high, marks
 
     @classmethod
     def of(cls, values: np.ndarray) -> EliasFano:
         values = np.asarray(values, np.int64)
         n = len(values)
         if not n:
-            return cls(0, 0, 0, np.zeros(0, np.uint8), np.zeros(0, np.uint8))
+            return cls(0, 0, 0, np.zeros(0, np.uint8), np.zeros(0, np.uint8), np.zeros(0, np.uint32))
         base = int(values[0])
         v = (values - base).astype(np.uint64)
         span = int(v[-1])
@@ -72,46 +80,43 @@ class EliasFano:
         high = (v >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
         unary = np.zeros(int(high[-1]) + 1, np.uint8)
         unary[high] = 1
-        return cls(base, n, low_bits, np.packbits(bits.reshape(-1), bitorder="little"), np.packbits(unary, bitorder="little"))
-
-    def values(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        out = (ones - np.arange(self.n)).astype(np.int64) << self.low_bits
-        if self.low_bits and self.n:
-            bits = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits)
-            out += bits.astype(np.int64) @ (np.int64(1) << np.arange(self.low_bits, dtype=np.int64))
-        return out + self.base
+        return cls(base, n, low_bits, np.packbits(bits.reshape(-1), bitorder="little"), np.packbits(unary, bitorder="little"), high[:: cls.STEP].astype(np.uint32))
 
-    def select(self, i: int) -> int:
-        """The i-th value alone: from the nearest mark on, byte by byte."""
-        if not 0 <= i < self.n:
+    def select(self, i: np.ndarray | int) -> np.ndarray:
+        """The i-th values, each from its mark on: bytes are passed over by their number of ones."""
+        i = np.atleast_1d(np.asarray(i, np.int64))
+        if len(i) and not (0 <= i.min() and i.max() < self.n):
             raise IndexError(i)
-        if self._marks is None:
-            self._marks = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:: self.STEP]
-        mark = int(self._marks[i // self.STEP])
-        left, byte = i % self.STEP, mark >> 3
-        x = int(self.high[byte]) >> (mark & 7) << (mark & 7)
-        while left >= x.bit_count():
-            left -= x.bit_count()
-            byte += 1
-            x = int(self.high[byte])
-        for _ in range(left):
-            x &= x - 1
-        at = byte * 8 + (x & -x).bit_length() - 1
-        low = 0
-        for b in range(self.low_bits):
-            p = i * self.low_bits + b
-            low |= (int(self.low[p >> 3]) >> (p & 7) & 1) << b
-        return self.base + ((at - i) << self.low_bits) + low
+        mark, left = self.marks[i // self.STEP].astype(np.int64), i % self.STEP
+        byte = mark >> 3
+        x = self.high[byte] >> (mark & 7) << (mark & 7) & 0xFF
+        on = np.flatnonzero(left >= np.bitwise_count(x))
+        while len(on):
+            left[on] -= np.bitwise_count(x[on])
+            byte[on] += 1
+            x[on] = self.high[byte[on]]
+            on = on[left[on] >= np.bitwise_count(x[on])]
+        out = (byte * 8 + _PLACE[x, left] - i) << self.low_bits
+        if self.low_bits:
+            p = i * self.low_bits
+            wide = np.concatenate([self.low, np.zeros(9, np.uint8)])[(p >> 3)[:, None] + np.arange(9)].astype(np.uint64)
+            rest = (p & 7).astype(np.uint64)
+            low = wide[:, 0] >> rest
+            for k in range(1, 9):
+                low |= wide[:, k] << (np.uint64(8 * k) - rest) if k < 8 else np.where(rest > 0, wide[:, 8] << np.minimum(np.uint64(64) - rest, np.uint64(63)), np.uint64(0))
+            out |= (low & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
+        return out + self.base
 
     def tobytes(self) -> bytes:
-        return struct.pack("<qIBII", self.base, self.n, self.low_bits, len(self.low), len(self.high)) + self.low.tobytes() + self.high.tobytes()
+        head = struct.pack(self.HEAD, self.base, self.n, self.low_bits, len(self.low), len(self.high))
+        return head + self.low.tobytes() + self.high.tobytes() + self.marks.astype("<u4").tobytes()
 
     @classmethod
     def read(cls, raw: bytes, at: int) -> tuple[EliasFano, int]:
-        base, n, low_bits, a, b = struct.unpack_from("<qIBII", raw, at)
-        at += struct.calcsize("<qIBII")
-        return cls(base, n, low_bits, np.frombuffer(raw, np.uint8, a, at), np.frombuffer(raw, np.uint8, b, at + a)), at + a + b
+        base, n, low_bits, a, b = struct.unpack_from(cls.HEAD, raw, at)
+        at += struct.calcsize(cls.HEAD)
+        marks = -(-n // cls.STEP)
+        return cls(base, n, low_bits, np.frombuffer(raw, np.uint8, a, at), np.frombuffer(raw, np.uint8, b, at + a), np.frombuffer(raw, "<u4", marks, at + a + b)), at + a + b + 4 * marks
 
 
 def image(doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray) -> bytes:
@@ -133,7 +138,7 @@ def read_image(raw: bytes) -> tuple[list[int | None], EliasFano, np.ndarray]:
     ids = np.frombuffer(raw, f"<u{width}", n_ids, at)
     if bounds.n != n + 1 or names.n != n - nulls:
         raise ValueError("damaged token segment")
-    return [None] * nulls + names.values().tolist(), bounds, ids
+    return [None] * nulls + names.select(np.arange(names.n)).tolist(), bounds, ids
 
 
 class Encoder:
@@ -149,12 +154,13 @@ class Encoder:
         self._check()
 
     def _check(self) -> None:
-        """Refuse tokenizers whose text can't be cut into words."""
-        probe = ["the", "an", "it's 12 (or, so)!", "a.b c"]
-        whole = self.tokenizer.encode(" ".join(probe), add_special_tokens=False).ids
-        parts = [x for w in ("the", "an", "it's", "12", "(", "or", ",", "so", ")!", "a", ".", "b", "c") for x in self._words([w.encode()])[0]]
-        if whole != parts:
-            raise ValueError("this tokenizer doesn't drop white space or keeps words together")
+        """Refuse tokenizers that the cuts, or the lower-casing, would give other ids than whole texts get."""
+        probe = ["the an it's 12 (or, so)! a.b c", "The THE iT'S NASA-x McDonald UPPER", "É é Straße ΣΑΣ İ x\u0301 日本語 K\u0301", "a<b> <|x|> don'T,'re A_B|c"]
+        raw = [x.encode() for x in probe]
+        got, counts = self.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        want = [[*x.ids, self.end] for x in self.tokenizer.encode_batch(probe, add_special_tokens=False)]
+        if counts.tolist() != list(map(len, want)) or got.tolist() != [y for x in want for y in x]:
+            raise ValueError("this tokenizer doesn't drop white space, keeps words together or tells letters by their case")
 
     def _words(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word. Lower-case ASCII letters are one pre-token that the normaliser and the
@@ -250,7 +256,7 @@ def _read(base: dict[int, int]):
             for i in range(batch.num_rows):
                 shard, before = T.column(batch, "shard")[i].as_py(), T.column(batch, "before")[i].as_py()
                 names, bounds, ids = read_image(T.column(batch, "image")[i].as_py())
-                at = bounds.values()
+                at = bounds.select(np.arange(bounds.n))
                 wide = memoryview(ids.astype("<u4")).cast("B")
                 crc = [zlib.crc32(wide[4 * a : 4 * b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
                 yield pa.record_batch(
