@@ -41,7 +41,7 @@ from terrapair.llm import _store, bloom
 from terrapair.llm import _text as T
 
 #: Neighbouring windows that are ranked together first.
-BLOCK = 16
+BLOCK = 8
 SEEN = 500_000
 #: Grams whose least are found at once: their places take the low 24 bits of a hash, in every text.
 PIECE = 1 << 24
@@ -509,15 +509,16 @@ def repeated_windows(docs: DataFrame, scheme: Scheme, id_col: str, text_col: str
     wide = _store.stored(source.mapInArrow(_scan(scheme), "doc_id long, c1 long, c2 long, n long, sha string, keys array<long>, own array<long>"), "anchors")
     narrow = _store.stored(wide.select("doc_id", "c1", "c2", "n", "sha"), "documents")
     classes = narrow.groupBy("c1", "c2").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("eid"), F.count(F.lit(1)).alias("copies"))
+    classes = _store.stored(classes, "classes")
 
-    keys = wide.where("size(keys) > 0").select("c1", "c2", F.explode("keys").alias("key"))
-    many = keys.groupBy("key").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("c1", "c2") for f in (F.min, F.max)])
-    many = many.where("min_c1 < max_c1 or min_c2 < max_c2").select("key")
-    shared = keys.join(many, "key").select("c1", "c2", "key")
+    # half a class will do to list grams: one too many is found to be unique later
+    keys = wide.where("size(keys) > 0").select("c1", F.explode("keys").alias("key"))
+    many = keys.groupBy("key").agg(F.min("c1").alias("lo"), F.max("c1").alias("hi")).where("lo < hi").select("key")
+    shared = keys.join(many, "key").select("c1", "key")
     if scheme.within:
-        shared = shared.union(wide.where("size(own) > 0").select("c1", "c2", F.explode("own").alias("key"))).distinct()
-    shared = shared.groupBy("c1", "c2").agg(F.collect_list("key").alias("shared"))
-    shared = _store.stored(shared.join(classes.select("c1", "c2", "eid"), ["c1", "c2"]), "shared")
+        shared = shared.union(wide.where("size(own) > 0").select("c1", F.explode("own").alias("key")))
+    shared = shared.groupBy("c1").agg(F.collect_list("key").alias("shared"))
+    shared = _store.stored(shared.join(classes.select("c1", "c2", "eid"), "c1"), "shared")
     _store.drop_stored(wide)
     del wide, keys, many
     _store.release(spark)
@@ -560,6 +561,7 @@ def repeated_windows(docs: DataFrame, scheme: Scheme, id_col: str, text_col: str
     now = open_.drop("earliest")
     for h in scheme.lengths:
         found = ranked(now, scheme, h)
+        _store.release(spark)
         parts.append(found)
         back = root.join(found, "pid").select(*places)
         if h == scheme.lengths[-1]:
@@ -582,8 +584,14 @@ def repeated_windows(docs: DataFrame, scheme: Scheme, id_col: str, text_col: str
     del union, spans, held, root, open_, now, every, parts
     _store.release(spark)
 
-    out = narrow.join(classes, ["c1", "c2"]).join(cut, ["c1", "c2"], "left")
-    copy = (F.col("copies") > 1) if scheme.within else (F.coalesce("doc_id", F.lit(NO_ID)) > F.col("eid"))
+    # a table of its own, so that Spark can split the join where a class has very many copies
+    changed = _store.stored(classes.join(cut, ["c1", "c2"], "left").where("copies > 1 or n_removed is not null"), "changed")
+    _store.drop_stored(classes)
+    _store.drop_stored(cut)
+    out = narrow.join(changed, ["c1", "c2"], "left")
+    copy = F.coalesce(F.col("copies"), F.lit(1)) > 1
+    if not scheme.within:
+        copy &= F.coalesce("doc_id", F.lit(NO_ID)) > F.col("eid")
     whole = copy & (F.col("n") >= scheme.lengths[-1])
     shared_whole = copy & (F.col("n") >= scheme.lengths[0])
     empty = hashlib.sha256(b"").hexdigest()

@@ -5,16 +5,16 @@ strings of growing length, and those whose rank is unique drop out between the r
 
 * round 0 ranks the first GRAM bytes at anchors (see `anchors`): every longer string holds one, at a
   place that its content fixes, so a position whose anchor's gram is unique is unique;
-* round 1 ranks the threshold's half, 200 bytes, at the positions that are left;
-* round 2 ranks twice that at the positions whose half was repeated, next to one another or not.
+* round 1 ranks the first FIRST bytes at the positions that are left;
+* round 2 ranks the threshold's 400 bytes at the positions whose first part was repeated.
 
 Each round is a Spark aggregate over (rank, position) rows, joined back to the positions.
 Neighbouring positions share a row as long as they agree. A rank is a pair of 64-bit hashes,
 not an ordinal: no round needs the order of the ranks, only which of them are equal, so
 strings are hashed where they are and no offset is fetched by a join.
 
-The first round also tells what is repeated at half the threshold: n_shared counts bytes in
-200-byte strings that also start in another document. They are not removed.
+Round 1 also tells what is repeated below the threshold: n_shared counts bytes in strings of FIRST
+bytes that also start in another document. They are not removed.
 
 Defined cases: a null text is empty; texts below the threshold lose nothing and count
 nowhere; repeats inside a text and rows with equal doc_ids count like any other; a null
@@ -28,13 +28,14 @@ from pyspark.sql import DataFrame
 from terrapair.llm import anchors
 
 THRESHOLD = 400
-GRAM = 50
+FIRST = 256
+GRAM = 64
 
 
-def suffix_dedup(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
+def suffix_dedup(docs: DataFrame, threshold: int = THRESHOLD, first: int = FIRST, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, n_shared, kept_sha256.
 
     With `texts` also kept, the remaining bytes, null where nothing was removed.
     """
-    scheme = anchors.Scheme(words=False, lengths=(threshold // 2, threshold), gram=gram, within=True)
+    scheme = anchors.Scheme(words=False, lengths=(first, threshold), gram=gram, within=True)
     return anchors.repeated_windows(docs, scheme, id_col, text_col, texts).withColumnRenamed("n", "n_bytes")

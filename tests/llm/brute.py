@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -59,6 +60,71 @@ def contamination(docs, items):
     return sorted(out, key=str)
 
 
+def language(train, texts, buckets, temper=32):
+    """(language, score) of each text by naive Bayes over dictionaries of n-grams; train: (text, lang)."""
+
+    def grams(text):
+        t = re.sub(r"[\x00-\x40\x5b-\x60\x7b-\x7f]", " ", text.translate(LOWER))
+        return [t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)]
+
+    langs = sorted({g for _, g in train})
+    seen = {g: collections.Counter() for g in langs}
+    rows = collections.Counter(g for _, g in train)
+    for t, g in train:
+        seen[g].update(grams(t))
+    size = {g: sum(seen[g].values()) for g in langs}
+    out = []
+    for t in texts:
+        if t is None or not any(c.isalpha() for c in t):
+            out.append(("und", 0.0))
+            continue
+        x = grams(t)
+        logs = [math.log(rows[g] / len(train)) + sum(math.log((seen[g][y] + 0.5) / (size[g] + 0.5 * buckets)) for y in x) for g in langs]
+        z = [math.exp((v - max(logs)) * min(len(x), temper) / len(x)) for v in logs]
+        out.append((langs[logs.index(max(logs))], max(z) / sum(z)))
+    return out
+
+
+def secrets_base(text):
+    """Base spans over code points, as the contract words them: (counts, digest)."""
+    found = []
+    for rank, (kind, pattern, least) in enumerate((("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6), ("access", "AKIA[A-Z0-9]+", 20), ("hex", "[0-9a-f]+", 24))):
+        for m in re.finditer(pattern, text or ""):
+            if len(m.group(2) if kind == "assign" else m.group()) >= least:
+                found.append((m.start(), rank, kind, m.end()))
+    found.sort()
+    return [sum(x[2] == k for x in found) for k in ("assign", "access", "hex")], sha(",".join(f"{k}:{a}:{b}" for a, _, k, b in found))
+
+
+def shots(payload, frame=4096, look_back=8):
+    """First frames of shots: each block's transform by its formula, histograms, adaptive threshold."""
+    order = sorted(((i, j) for i in range(8) for j in range(8)), key=lambda c: (c[0] + c[1], c[0] if (c[0] + c[1]) % 2 else c[1]))
+    c = [[round(1024 * math.cos((2 * x + 1) * k * math.pi / 16) * (math.sqrt(0.5) if k == 0 else 1.0)) for x in range(8)] for k in range(8)]
+    histograms = []
+    for a in range(0, len(payload), frame):
+        h = collections.Counter()
+        for b in range(a, min(a + frame, len(payload)), 64):
+            v = [[0] * 8 for _ in range(8)]
+            for (i, j), x in zip(order, payload[b : b + 64]):
+                v[i][j] = x if x >= 128 else x - 255
+            half = [[sum(v[i][j] * c[j][x] for j in range(8)) for x in range(8)] for i in range(8)]
+            for y in range(8):
+                for x in range(8):
+                    s = sum(half[i][x] * c[i][y] for i in range(8))
+                    h[min(255, max(0, (s + (1 << 21) >> 22) + 128))] += 1
+        n = sum(h.values())
+        histograms.append({k: x / n for k, x in h.items()})
+    diff = [sum(abs(a.get(k, 0) - b.get(k, 0)) for k in set(a) | set(b)) / 2 for a, b in zip(histograms, histograms[1:])]
+    cuts = [0]
+    for t, d in enumerate(diff):
+        before = diff[max(0, t - look_back) : t]
+        mean = sum(before) / len(before) if before else 0
+        least = max(0.25, mean + 3 * math.sqrt(sum((x - mean) ** 2 for x in before) / len(before))) if before else 0.25
+        if d > least:
+            cuts.append(t + 1)
+    return cuts, len(histograms)
+
+
 def suffixes(docs, k):
     raw = [(x or "").encode() for _, x in docs]
     seen = collections.Counter(t[i : i + k] for t in raw for i in range(len(t) - k + 1))
