@@ -535,7 +535,7 @@ def repeated_windows(docs: DataFrame, scheme: Scheme, id_col: str, text_col: str
 
     # equal contexts of a gram
     equal = contexts.groupBy("key", "whole").agg(F.sum("times").alias("c"), F.min("who").alias("first"), F.max("who").alias("last"), F.min("pid").alias("lead"))
-    per = contexts.groupBy("key").agg((F.min("whole") < F.max("whole")).alias("several"), F.min("who").alias("earliest"))
+    per = _store.stored(contexts.groupBy("key").agg((F.min("whole") < F.max("whole")).alias("several"), F.min("who").alias("earliest")), "grams")
     equal = equal.join(per, "key").where("c > 1 or several")
     hit = (F.col("c") > 1) if scheme.within else (F.col("who") > F.col("first"))
     goes_on = F.col("several") & (((F.col("c") == 1) | (F.col("pid") == F.col("lead"))) if scheme.within else (F.col("who") == F.col("first")))
@@ -544,6 +544,7 @@ def repeated_windows(docs: DataFrame, scheme: Scheme, id_col: str, text_col: str
     ).where("hit or goes_on")
     root = _store.stored(root, "groups")
     _store.drop_stored(contexts)
+    _store.drop_stored(per)
     del contexts, equal, per
     _store.release(spark)
 
