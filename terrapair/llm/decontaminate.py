@@ -4,9 +4,9 @@ The benchmark's windows (13 words, or a whole shorter item) are hashed on the dr
 broadcast; training texts are scanned once, every rolling word window is looked up, hits
 are verified word by word, and the hit words mark spans. One scan, no shuffle.
 
-The set is broadcast only in blocks of at most BLOCK_BYTES of benchmark text, a bound
-checked before collecting: a larger benchmark is taken in several blocks, one pass over
-the texts each, with hits carried along between passes.
+The set is broadcast only in blocks of about BLOCK_BYTES of benchmark text, a bound
+checked before collecting; a block's arrays take some ten times that. A larger benchmark is
+taken in several blocks, one pass over the texts each, with hits carried along between passes.
 
 Defined cases: null text has no words, is never hit; a null or wordless item has no
 windows; items of fewer than 13 words are one window; a null item_id counts as the empty
@@ -30,55 +30,68 @@ from terrapair.llm import _text as T
 WINDOW = 13
 #: Contaminated: hit words are at least one in SHARE of the words.
 SHARE = 20
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
+_SECOND = T.U64(0x8CB92BA72F3D8DD7)
 REPORT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 _CARRY = "hits array<int>, items array<string>"
 
 
 class Grams:
-    """Windows of a block of items: by length a hash table with the windows' words and items."""
+    """Windows of a block of items: by length the different windows by hash, a place of each
+    in the items' text, and its items. A few dozen bytes a word, whatever the items share."""
 
     def __init__(self, ids: list[str], texts: pa.Array, window: int = WINDOW):
         data, off = T.buffers(texts)
-        data = T.LOWER[data]
-        words = T.Words(data, off, T.ALNUM)
-        raw = data.tobytes()
-        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, dict[int, dict[bytes, set[str]]]]] = {}
-        found: dict[int, dict[int, dict[bytes, set[str]]]] = {}
-        hashes = {}
-        for i, name in enumerate(ids):
-            a, b = words.off[i], words.off[i + 1]
-            if a == b:
-                continue
-            k = min(window, b - a)
-            if k not in hashes:
-                hashes[k] = T.rolling(words.hash, k)
-            for p in range(a, b - k + 1):
-                spelled = b" ".join(raw[words.start[q] : words.end[q]] for q in range(p, p + k))
-                found.setdefault(k, {}).setdefault(int(hashes[k][p]), {}).setdefault(spelled, set()).add(name)
-        for k, table in found.items():
-            keys = np.array(sorted(table), dtype=T.U64)
+        self.data = T.LOWER[data]
+        words = T.Words(self.data, off, T.ALNUM)
+        self.start, self.end = words.start, words.end
+        self.names = sorted(set(ids))
+        code = {x: i for i, x in enumerate(self.names)}
+        name = np.array([code[x] for x in ids], np.int64)
+        second = T.ranges(T.prefix(self.data.astype(T.U64) + T.U64(1), _SECOND), words.start, words.end, _SECOND)
+        self.by_length: dict[int, tuple[np.ndarray, ...]] = {}
+        size = np.minimum(window, words.count)
+        for k in np.unique(size[size > 0]).tolist():
+            at = np.flatnonzero(T.windows(words.off, k) & (size[words.doc[: max(0, len(words.start) - k + 1)]] == k))
+            h, g = T.rolling(words.hash, k)[at], T.rolling(T.mix(second), k, _SECOND)[at]
+            item = name[words.doc[at]]
+            order = np.lexsort((item, g, h))
+            h, g, item, at = h[order], g[order], item[order], at[order]
+            window_ = np.ones(len(h), bool)
+            window_[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+            once = window_.copy()
+            once[1:] |= item[1:] != item[:-1]
+            first = np.flatnonzero(window_)
+            items = np.flatnonzero(once)
             bits = np.zeros(1 << 20, bool)
-            bits[(T.mix(keys) >> T.U64(44)).astype(np.int64)] = True
-            self.by_length[int(k)] = (keys, bits, table)
+            bits[(T.mix(h[first]) >> T.U64(44)).astype(np.int64)] = True
+            self.by_length[k] = (h[first], bits, at[first], np.append(np.searchsorted(items, first), len(items)), item[items])
+
+    def _spelled(self, p: int, k: int) -> list[bytes]:
+        return [self.data[a:b].tobytes() for a, b in zip(self.start[p : p + k].tolist(), self.end[p : p + k].tolist())]
 
     def hits(self, data: np.ndarray, words: T.Words) -> tuple[np.ndarray, list[set[str]]]:
         """(mask of hit words, item ids of each text) of a lower-cased slice."""
         change = np.zeros(len(words.start) + 1, np.int64)
-        items: list[set[str]] = [set() for _ in range(len(words.off) - 1)]
-        for k, (keys, bits, table) in self.by_length.items():
+        found: list[set[int]] = [set() for _ in range(len(words.off) - 1)]
+        for k, (keys, bits, place, cut, item) in self.by_length.items():
             h = T.rolling(words.hash, k)
             at = np.flatnonzero(bits[(T.mix(h) >> T.U64(44)).astype(np.int64)])
-            at = at[keys[np.minimum(np.searchsorted(keys, h[at]), len(keys) - 1)] == h[at]]
-            at = at[words.doc[at] == words.doc[at + k - 1]]
-            for p in at:
-                spelled = b" ".join(data[words.start[q] : words.end[q]].tobytes() for q in range(p, p + k))
-                names = table[int(h[p])].get(spelled)
-                if names:
-                    change[p] += 1
-                    change[p + k] -= 1
-                    items[words.doc[p]] |= names
-        return np.cumsum(change[:-1]) > 0, items
+            row = np.searchsorted(keys, h[at])
+            hit = (keys[np.minimum(row, len(keys) - 1)] == h[at]) & (words.doc[at] == words.doc[at + k - 1])
+            spelled: dict[int, list[bytes]] = {}
+            for p, j in zip(at[hit].tolist(), row[hit].tolist()):
+                mine = [data[a:b].tobytes() for a, b in zip(words.start[p : p + k].tolist(), words.end[p : p + k].tolist())]
+                while j < len(keys) and keys[j] == h[p]:
+                    if j not in spelled:
+                        spelled[j] = self._spelled(int(place[j]), k)
+                    if spelled[j] == mine:
+                        change[p] += 1
+                        change[p + k] -= 1
+                        found[words.doc[p]].update(item[cut[j] : cut[j + 1]].tolist())
+                        break
+                    j += 1
+        return np.cumsum(change[:-1]) > 0, [{self.names[x] for x in one} for one in found]
 
 
 def _runs(mask: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
