@@ -8,14 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where a session names no folder, as in local tests.
-LOCAL_DEFAULT = "/tmp/checkpoints"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a local default only where it is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_DEFAULT).rstrip("/")
-
+from terrapair.sources.tables import shared_dir
 
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

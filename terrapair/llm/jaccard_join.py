@@ -288,7 +288,10 @@ def _group_links(sets: DataFrame, heads: DataFrame, leaders: DataFrame, known: D
     both = members.union(asked).join(sets.select("cid", "n", "tokens"), "cid")
     key = ("group", "part", "chunk")
     both = both.select(*key, "kind", "cid", "comp", "n", "tokens").repartition(*key).sortWithinPartitions(*key, "kind")
-    return both.mapInArrow(_open_blocks(threshold), "a long, b long")
+    links = _store.stored(both.mapInArrow(_open_blocks(threshold), "a long, b long"), "links")
+    for done in (label, rows, asked):
+        _store.drop_stored(done)
+    return links
 
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -330,7 +333,10 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, threshold: int =
         links = links.union(_store.stored(_leader_links(sets, _leaders(heads, k), threshold), "links"))
     _store.release(spark)
     groups = _store.stored(components(links), "labels")
-    more = _store.stored(_group_links(sets, heads, leaders, groups, threshold), "links")
+    more = _group_links(sets, heads, leaders, groups, threshold)
+    for done in (alive, sets, heads, leaders):
+        _store.drop_stored(done)
+    del sets, heads, leaders
     _store.release(spark)
     label = groups
     if not more.isEmpty():
