@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrapair.functions.columns import finite
 
 
+def difference(mean_p: Column, var_p: Column, mean_r: Column, var_r: Column) -> Column:
+    """Standardised mean difference from moments; 0 where neither side varies."""
+    pooled = F.sqrt((var_p + var_r) / 2)
+    return F.when(pooled == 0, F.lit(0.0)).otherwise(F.abs(mean_p - mean_r) / pooled)
+
+
 def smd(project: DataFrame, reference: DataFrame, covs: Sequence[str], threshold: float = 0.1) -> DataFrame:
     """Standardised mean difference of each covariate; `passed` judges the unrounded value.
 
@@ -19,9 +25,7 @@ def smd(project: DataFrame, reference: DataFrame, covs: Sequence[str], threshold
     wide = sides[0].crossJoin(sides[1])  # one row each
     rows = ", ".join(f"'{c}', `pm_{c}`, `pv_{c}`, `rm_{c}`, `rv_{c}`" for c in covs)
     long = wide.selectExpr(f"stack({len(covs)}, {rows}) as (covariate, proj_mean, pv, ref_mean, rv)")
-    pooled = F.sqrt((F.col("pv") + F.col("rv")) / 2)
-    value = F.when(pooled == 0, F.lit(0.0)).otherwise(F.abs(F.col("proj_mean") - F.col("ref_mean")) / pooled)
-    out = long.withColumn("_smd", value)
+    out = long.withColumn("_smd", difference(F.col("proj_mean"), F.col("pv"), F.col("ref_mean"), F.col("rv")))
     return out.select("covariate", F.round("_smd", 4).alias("smd"), "proj_mean", "ref_mean", F.coalesce(F.col("_smd") < threshold, F.lit(False)).alias("passed"))
 
 

@@ -333,7 +333,7 @@ def match(project: DataFrame, donors: DataFrame, covs: Sequence[str], limits: Se
     passes = reduce(and_, [within(c, f"p_{c.column}", f"d_{c.column}") for c in limits], (F.col(f"p_{cls}") == F.col(f"d_{cls}")) & same_tenure(tenure))
     if cfg.mode == "caliper_first":
         near = candidates_by_bins(project.select(*keep_p), donors.select(*keep_d), limits, cls, tenure=tenure)
-        cand = near.withColumns({"distance": _distance(metric), "passed": F.lit(True)})
+        cand = near.withColumns({"distance": whitened_distance(metric), "passed": F.lit(True)})
     else:
         k = max(cfg.matches_per_pixel, cfg.candidates)
         found = knn(project, donors, metric, k)
@@ -370,7 +370,7 @@ def match(project: DataFrame, donors: DataFrame, covs: Sequence[str], limits: Se
     return Matching(pairs, unmatched, summary, cand)
 
 
-def _distance(metric: Metric) -> Column:
+def whitened_distance(metric: Metric) -> Column:
     """Whitened distance between p_ and d_ columns of one row."""
     diff = [(F.col(f"p_{c}").cast("double") - F.col(f"d_{c}").cast("double")) / float(s) for c, s in zip(metric.covariates, metric.std)]
     out = []

@@ -33,6 +33,12 @@ def index(nir: Column, red: Column, floor: float = 1e-6) -> Column:
     return F.when(F.abs(nir + red) > floor, (nir - red) / (nir + red))
 
 
+def collection(scenes: DataFrame, ts: str, first: str, last: str, box: tuple[float, float, float, float], at: tuple[str, str] = ("x", "y"), cfg: SceneConfig = SceneConfig()) -> DataFrame:
+    """Scenes from `first` to before `last`, in a box, with little cloud: literals that reach the scan."""
+    dated = scenes.where((F.col(ts) >= F.lit(first).cast("timestamp")) & (F.col(ts) < F.lit(last).cast("timestamp")))
+    return dated.where(F.col(at[0]).between(box[0], box[2]) & F.col(at[1]).between(box[1], box[3]) & (F.col("cloud_cover") <= cfg.max_cloud))
+
+
 def prepare(scenes: DataFrame, cfg: SceneConfig = SceneConfig()) -> DataFrame:
     """Cloud-free observations with their index: filters by scene come first and reach the scan."""
     few = scenes.where(F.col("cloud_cover") <= cfg.max_cloud).where(clear(F.col("qa"), F.col("saturation")))

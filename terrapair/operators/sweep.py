@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrapair.config import BaselineConfig, SweepConfig
-from terrapair.operators import baseline
+from terrapair.operators import balance, baseline, matching
+from terrapair.operators.extract import bbox as extract_bbox
 
 FULL = float("inf")
 
@@ -28,6 +29,38 @@ def tag_extents(donors: DataFrame, box: tuple[float, float, float, float], exten
     return tagged.select(*donors.columns, F.col("_e.extent").alias("extent"), F.col("_e.extent_km").alias("extent_km"))
 
 
+def match_extents(project: DataFrame, donors: DataFrame, covs: Sequence[str], limits: Sequence[matching.Caliper], cls: str, metric: matching.Metric, extents: Sequence[float | str], balanced: Sequence[str], twin: Column) -> DataFrame:
+    """Metrics of every extent from one matching: n_project, n_donor, n_matched, n_pairs, n_selected, smd_max, twin_compliant.
+
+    Candidates within all calipers are found once, each with the extent that it needs; an extent's pairs are
+    the nearest candidates that it holds. `twin` judges a pair by its p_ and d_ columns.
+    """
+    box = extract_bbox(project)
+    spark = project.sparkSession
+    known = spark.createDataFrame([(str(e), FULL if e == "full" else float(e)) for e in extents], "extent string, extent_km double")
+    donors = donors.withColumn("need", extent_of(F.col("x_utm"), F.col("y_utm"), box))
+    cand = matching.candidates_by_bins(project, donors, limits, cls).withColumn("distance", matching.whitened_distance(metric))
+    kept = [f"d_{c}" for c in balanced]
+    held = cand.join(F.broadcast(known), F.col("d_need") <= F.col("extent_km"))
+    best = held.groupBy("extent", "p_proj_idx").agg(F.min_by(F.struct(*kept, twin.alias("twin")), F.struct("distance", "d_donor_idx")).alias("pair")).select("extent", "pair.*")
+    moments = [f(c).alias(f"{k}_{c}") for c in kept for k, f in (("m", F.avg), ("v", F.var_pop))]
+    pairs = best.groupBy("extent").agg(F.count(F.lit(1)).alias("n_matched"), F.count_if("twin").alias("n_selected"), *moments)
+    side = project.agg(F.count(F.lit(1)).alias("n_project"), *[f(c).alias(f"{k}_{c}") for c in balanced for k, f in (("pm", F.avg), ("pv", F.var_pop))])
+    count = donors.join(F.broadcast(known), F.col("need") <= F.col("extent_km")).groupBy("extent").agg(F.count(F.lit(1)).alias("n_donor"))
+    out = count.join(pairs, "extent", "left").crossJoin(side)  # one row
+    smd = [balance.difference(F.col(f"pm_{c}"), F.col(f"pv_{c}"), F.col(f"m_d_{c}"), F.col(f"v_d_{c}")) for c in balanced]
+    largest = F.round(F.greatest(*smd) if len(smd) > 1 else smd[0], 4)
+    matched = F.coalesce("n_matched", F.lit(0))
+    return out.select("extent", "n_project", "n_donor", matched.alias("n_matched"), matched.alias("n_pairs"), F.coalesce("n_selected", F.lit(0)).alias("n_selected"), largest.alias("smd_max"), F.lit(True).alias("twin_compliant"))
+
+
+def comparison_table(criteria: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(criterion, extent, cell): PASS or FAIL of each criterion in each extent."""
+    rows = ", ".join(f"'{c}', `{c}`" for c in names)
+    long = criteria.selectExpr("extent", f"stack({len(names)}, {rows}) as (criterion, ok)")
+    return long.select("criterion", "extent", F.when(F.col("ok"), "PASS").otherwise("FAIL").alias("cell"))
+
+
 def extent_criteria(metrics: DataFrame, cfg: SweepConfig = SweepConfig()) -> DataFrame:
     """Adds the sufficiency criteria of each extent and their conjunction.
 
@@ -84,6 +117,18 @@ def periods(spark, sources: Sequence[str], years: Sequence[tuple[int, int]]) ->
     return spark.createDataFrame(rows, "source string, t0_year int, monitoring_year int")
 
 
+def plan_status(plan: DataFrame, carbon: DataFrame) -> DataFrame:
+    """The plan with a status for each item: ready, or which carbon table is missing.
+
+    `source_period_batch` has rows for ready items only; this says what became of the others.
+    """
+    have = carbon.select("source", "year").distinct()
+    for name, col in (("start", "t0_year"), ("end", "monitoring_year")):
+        plan = plan.join(have.select("source", F.col("year").alias(col), F.lit(True).alias(f"_{name}")), ["source", col], "left")
+    status = F.when(F.col("_start").isNull(), "missing_start").when(F.col("_end").isNull(), "missing_end").otherwise("ready")
+    return plan.select("source", "t0_year", "monitoring_year", status.alias("status"))
+
+
 def source_period_batch(points: DataFrame, carbon: DataFrame, plan: DataFrame, factor: Column, area_ha: float, cfg: BaselineConfig = BaselineConfig(), side: str = "side") -> DataFrame:
     """Curated baseline row of every (source, t0_year, monitoring_year) in one job.
 

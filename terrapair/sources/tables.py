@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import tempfile
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,11 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the shared one."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)
@@ -75,12 +82,13 @@ def load_tiles(spark: SparkSession, paths: Sequence[str], keys: Sequence[str] =
 
     if not paths:
         raise FileNotFoundError("no tiles")
-    every = None
-    for path in paths:
-        one = load(spark, path)
-        if "source_tile" not in one.columns:
-            one = one.withColumn("source_tile", F.lit(path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]))
-        every = one if every is None else every.unionByName(one, allowMissingColumns=True)
+    # one scan over all files: bands that a tile lacks are null, a tile without a name gets its file's
+    if all(".parquet" in p.lower() or "." not in p.rsplit("/", 1)[-1] for p in paths):
+        every = clean(spark.read.option("mergeSchema", True).parquet(*paths))
+    else:
+        every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [load(spark, p) for p in paths])
+    named = F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[A-Za-z]+)?/[^/]*$", 1)
+    every = every.withColumn("source_tile", F.coalesce("source_tile", named) if "source_tile" in every.columns else named)
     order = [c for c in ("source_tile", "grid_row", "grid_col") if c in every.columns]
     return first_per_key(every, keys, order)
 
