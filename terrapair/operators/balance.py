@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrapair.functions.columns import finite
+from terrapair.functions.quantiles import exact_quantiles
 
 
 def difference(mean_p: Column, var_p: Column, mean_r: Column, var_r: Column) -> Column:
@@ -39,12 +40,11 @@ def audit(df: DataFrame, flags: Sequence[str]) -> DataFrame:
 
 def covariate_summary(df: DataFrame, covs: Sequence[str], decimals: int = 6) -> DataFrame:
     """n, mean, median, sample deviation, 2nd and 98th percentile; covariates without values are left out."""
-    v = {c: finite(F.col(c).cast("double")) for c in covs}
-    aggs = []
-    for c in covs:
-        q = F.percentile(v[c], F.array(F.lit(0.02), F.lit(0.5), F.lit(0.98)))
-        aggs += [F.count(v[c]).alias(f"n_{c}"), F.avg(v[c]).alias(f"m_{c}"), F.stddev_samp(v[c]).alias(f"s_{c}"), q.alias(f"q_{c}")]
-    rows = ", ".join(f"'{c}', `n_{c}`, `m_{c}`, `s_{c}`, `q_{c}`[0], `q_{c}`[1], `q_{c}`[2]" for c in covs)
-    long = df.agg(*aggs).selectExpr(f"stack({len(covs)}, {rows}) as (covariate, n, mean, std, q02, median, q98)")
+    v = {c: finite(F.col(f"`{c}`").cast("double")) for c in covs}
+    aggs = [f(v[c]).alias(f"{k}_{c}") for c in covs for k, f in (("n", F.count), ("m", F.avg), ("s", F.stddev_samp))]
+    row = df.agg(*aggs).first()
+    marks = exact_quantiles(df, covs, [0.02, 0.5, 0.98])
+    rows = [(c, row[f"n_{c}"], row[f"m_{c}"], marks[c][1], row[f"s_{c}"], marks[c][0], marks[c][2]) for c in covs if marks.get(c)]
     r = lambda c: F.round(c, decimals).alias(c)
-    return long.where("n > 0").select("covariate", "n", r("mean"), r("median"), r("std"), r("q02"), r("q98"))
+    out = df.sparkSession.createDataFrame(rows, "covariate string, n long, mean double, median double, std double, q02 double, q98 double")
+    return out.select("covariate", "n", r("mean"), r("median"), r("std"), r("q02"), r("q98"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Sequence
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from terrapair.config import NOT_COVARIATES, WRB_TO_TEXTURE, ExtractConfig, Grid
 from terrapair.functions.columns import all_finite, expect_columns, is_finite
+from terrapair.functions.quantiles import exact_quantiles
 
 _YEAR = re.compile(r"^NDVI_(\d{4})$")
 
@@ -121,28 +123,17 @@ def assign_texture(df: DataFrame, code: str = "WRB2_CODE", out: str = "texture_c
 
 
 def quantile_bounds(project: DataFrame, covs: Sequence[str], low: float = 0.01, high: float = 0.99, share: float = 0.2, floor: float = 1e-6) -> dict[str, tuple[float, float]]:
-    """[q_low - buffer, q_high + buffer] of each covariate over the project, in one aggregate.
-
-    Above EXACT_ROWS values exact percentiles would gather a column's distinct values, so
-    approximate ones with a bounded sketch take over.
-    """
-    big = project.count() > EXACT_ROWS
-    aggs = [(F.percentile_approx(c, [low, high], 100_000) if big else F.percentile(c, F.array(F.lit(low), F.lit(high)))).alias(c) for c in covs]
-    row = project.agg(*aggs).first()
+    """[q_low - buffer, q_high + buffer] of each covariate over the project, by exact quantiles."""
     out = {}
-    for c in covs:
-        if row is None or row[c] is None or any(v is None for v in row[c]):
+    for c, found in exact_quantiles(project, covs, [low, high]).items():
+        if found is None:
             continue
-        lo, hi = row[c]
+        lo, hi = found
         buffer = max(share * (hi - lo), floor)
         out[c] = (lo - buffer, hi + buffer)
     return out
 
 
-#: Rows up to which percentiles are exact.
-EXACT_ROWS = 20_000_000
-
-
 def prefilter(donors: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
     """Donors within all bounds: one conjunction of literals that reaches the scan."""
     for c, (lo, hi) in bounds.items():
@@ -154,18 +145,27 @@ def stratified_cap(donors: DataFrame, target: int, strata: str, key: Sequence[st
     """At most `target` donors with every stratum's share kept: max(1, round(n * share)) a stratum.
 
     Rows of a stratum are taken in the order of a seeded hash of `key` (of `key` itself
-    without a seed); then the whole is trimmed by the same order. Thresholds of the hash
-    come before ranks, so that only rows near the quota are sorted.
+    without a seed); then the whole is trimmed by the same order. With a seed, only rows whose hash
+    is below a threshold a little above their stratum's quota are sorted, a quota's worth
+    and not the stratum; the trim is a top-k by partitions.
     """
     sizes = {r[0]: r[1] for r in donors.groupBy(strata).count().collect()}  # a handful of classes
     total = sum(sizes.values())
     if total <= target:
         return donors
-    order = [F.xxhash64(F.lit(seed), *key)] * (seed is not None) + [F.col(k) for k in key]
-    quota = F.coalesce(*[F.when(F.col(strata).eqNullSafe(F.lit(s)), F.lit(max(1, round(n * target / total)))) for s, n in sizes.items()])
+    quotas = {s: min(n, max(1, round(n * target / total))) for s, n in sizes.items()}
+    pick = lambda of: F.coalesce(*[F.when(F.col(strata).eqNullSafe(F.lit(s)), F.lit(of(s))) for s in sizes])
+    order = [F.col(k) for k in key]
+    near = donors
+    if seed is not None:
+        hash_ = F.xxhash64(F.lit(seed), *key)
+        order = [hash_, *order]
+        # of n hashes, at least a quota lies below this but for one case in 10**12
+        share = {s: min(1.0, (q + 8 * math.sqrt(q) + 40) / sizes[s]) for s, q in quotas.items()}
+        near = donors.where(hash_ <= pick(lambda s: min((1 << 63) - 1, int(-(1 << 63) + share[s] * (1 << 64)))))
     w = Window.partitionBy(strata).orderBy(*order)
-    kept = donors.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= quota)
-    over = sum(min(n, max(1, round(n * target / total))) for n in sizes.values()) > target
+    kept = near.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= pick(lambda s: quotas[s]))
+    over = sum(quotas.values()) > target
     kept = kept.orderBy(*order).limit(target) if over else kept
     return kept.drop("_rank")
 

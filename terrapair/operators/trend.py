@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from terrapair.config import TrendConfig
 from terrapair.functions.columns import finite, t_sf2
+from terrapair.functions.quantiles import exact_quantiles
 from terrapair.functions.ols import grouped_ols, min_valid, row_ols
 from terrapair.functions.ranking import global_rank
 
@@ -101,7 +102,9 @@ def interaction_test(long: DataFrame, cfg: TrendConfig = TrendConfig()) -> Test:
 def paired_sums(pairs: DataFrame) -> DataFrame:
     """One row: n, mean, median |d| and t of the pairs' slope differences d (project - reference)."""
     d = F.when(F.col("ols_valid"), F.col("proj_slope") - F.col("ref_slope"))
-    s = pairs.select(d.alias("d")).agg(F.count("d").alias("n"), F.avg("d").alias("mean_diff"), F.percentile(F.abs("d"), F.lit(0.5)).alias("median_abs_diff"), F.stddev_samp("d").alias("sd"))
+    d = pairs.select(d.alias("d")).where("d is not null")
+    median = exact_quantiles(d.select(F.abs("d").alias("a")), ["a"], [0.5])["a"]
+    s = d.agg(F.count("d").alias("n"), F.avg("d").alias("mean_diff"), F.stddev_samp("d").alias("sd")).withColumn("median_abs_diff", F.lit(median[0] if median else None).cast("double"))
     t = F.when((F.col("n") >= 3) & (F.col("sd") > 0), F.col("mean_diff") / (F.col("sd") / F.sqrt("n")))
     return s.withColumn("t", t)
 
@@ -116,7 +119,8 @@ def _paired(r: Row, cfg: TrendConfig) -> Test:
 
 
 def paired_slope_test(pairs: DataFrame, cfg: TrendConfig = TrendConfig()) -> Test:
-    return _paired(paired_sums(pairs).first(), cfg)
+    d = F.when(F.col("ols_valid"), F.col("proj_slope") - F.col("ref_slope"))
+    return _paired(pairs.agg(F.count(d).alias("n"), F.avg(d).alias("mean_diff"), F.stddev_samp(d).alias("sd")).first(), cfg)
 
 
 #: Sums of a series' points that an interaction needs; years are counted from a middle one.

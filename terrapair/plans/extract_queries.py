@@ -267,7 +267,11 @@ def morphological_closing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.close(_dense(spark, sf_dir).where("k % 3 = 0"), 1)
 
 
-@query(None)
+@query(f"""
+with recursive s as materialized (select grid_row, grid_col, grid_row::bigint * 4294967296 + grid_col as id from ({_SPARSE})),
+e as materialized (select a.id as x, b.id as y from s a join s b on b.grid_row between a.grid_row - 1 and a.grid_row + 1 and b.grid_col between a.grid_col - 1 and a.grid_col + 1),
+r(x, y) as (select x, y from e union select r.x, e.y from r join e on r.y = e.x)
+select grid_row, grid_col, component from s join (select x, min(y) as component from r group by 1) on x = id""")
 def cell_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     from terrapair.plans.pipeline import shared_store
 

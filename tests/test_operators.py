@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrapair.config import AreaConfig, BaselineConfig, CarbonSpec, ExtractConfig, Grid, MatchConfig, TrendConfig
-from terrapair.functions import columns, ols, projection, ranking
+from terrapair.functions import columns, ols, projection, quantiles, ranking
 from terrapair.operators import area, balance, baseline, carbon, extract, matching, raster, scenes, sweep, trend
 from terrapair.plans.pipeline import shared_store
 from terrapair.sources import tables
@@ -100,6 +100,26 @@ def test_extraction_filters(spark):
     assert {r["source_tile"] for r in extract.first_per_key(twice, ["x_utm", "y_utm"], ["source_tile"]).collect()} == {"a"}
 
 
+def test_exact_quantiles_through_brackets(spark):
+    rng = np.random.default_rng(2)
+    a, b = rng.normal(size=5000), np.repeat([1.0, 2.0, 5.0], [2000, 2500, 500])
+    rng.shuffle(b)
+    rows = [(float(x), float(y), None, int(i % 7)) for i, (x, y) in enumerate(zip(a, b))] + [(float("nan"), float("inf"), None, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d int")
+    shares = [0.0, 0.01, 0.4, 0.5, 0.9, 0.98, 1.0]
+    for keep in (30, 100_000):
+        got = quantiles.exact_quantiles(df, ["a", "b", "c", "d"], shares, keep)
+        assert got["a"] == pytest.approx(np.quantile(a, shares)) and got["b"] == pytest.approx(np.quantile(b, shares))
+        assert got["c"] is None and got["d"] == pytest.approx(np.quantile(np.arange(5000) % 7, shares))
+
+
+def test_stratified_cap_by_thresholds_equals_all_ranks(spark):
+    df = spark.range(20000).select("id", (F.col("id") % 10 == 0).cast("string").alias("s"))
+    got = {r["id"] for r in extract.stratified_cap(df, 2000, "s", ["id"], 42).collect()}
+    order = df.select("id", "s", F.xxhash64(F.lit(42), "id").alias("h")).toPandas().sort_values(["h", "id"])
+    assert got == {x for s, q in (("true", 200), ("false", 1800)) for x in order[order.s == s].id[:q]}
+
+
 def test_texture_prefilter_cap(spark):
     df = spark.createDataFrame([(i, i % 32) for i in range(64)], "id long, WRB2_CODE int")
     assert extract.assign_texture(df).count() == 60
