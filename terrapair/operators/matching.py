@@ -7,8 +7,8 @@ Three ways to find candidates give the same pairs where their semantics agree:
   nearest; no candidate limit, no pairs outside the calipers' neighbourhood;
 * ``exact``: `reference` semantics as one SQL plan, for small donor sides.
 
-Donor matrices are broadcast in blocks of a bounded number of rows (`BLOCK_ROWS`): with more
-donors each block gives its k nearest and the blocks' lists are merged.
+A donor matrix is broadcast up to a bounded number of rows (`BLOCK_ROWS`); more donors are dealt
+to the boxes of a k-d tree, and a project row is searched in the boxes that it can reach.
 """
 
 from __future__ import annotations
@@ -26,8 +26,11 @@ from pyspark.sql import functions as F
 from terrapair.config import MANDATORY_COLUMNS, TENURE_COLUMNS, TEXTURE_FALLBACK, MatchConfig
 from terrapair.functions.columns import finite
 
-#: Donor rows in one broadcast block; with 8 covariates a block has about 20 MB.
+#: Donor rows that are broadcast at most; with 8 covariates they have about 20 MB.
 BLOCK_ROWS = 300_000
+#: Donors that the boxes of more are made from, and boxes at most.
+SAMPLE = 50_000
+MAX_LEAVES = 4096
 #: Distances are rounded to this, so that equal ones don't depend on the order of additions.
 DIGITS = 9
 #: Distances computed at once, in cells.
@@ -226,26 +229,138 @@ def _nearest(k: int, donor_ids: np.ndarray, donor_z: np.ndarray):
     return run
 
 
+@dataclass(frozen=True)
+class Leaves:
+    """A k-d tree over whitened space: inner nodes split a coordinate at a value, leaves are boxes."""
+
+    axis: np.ndarray  # of each node, -1 for a leaf
+    value: np.ndarray
+    child: np.ndarray  # the lower child, the upper one follows; a leaf's number for a leaf
+    low: np.ndarray  # [leaves, coordinates]
+    high: np.ndarray
+
+    @classmethod
+    def of(cls, z: np.ndarray, rows: int) -> Leaves:
+        """Split the widest coordinate at its median until a leaf holds at most `rows` of z."""
+        axis, value, child, boxes = [-1], [0.0], [0], []
+        stack = [(0, z, np.full(z.shape[1], -np.inf), np.full(z.shape[1], np.inf))]
+        while stack:
+            node, part, low, high = stack.pop()
+            spread = part.max(0) - part.min(0) if len(part) else np.zeros(z.shape[1])
+            j = int(spread.argmax())
+            cut = float(np.median(part[:, j])) if len(part) > rows and spread[j] > 0 else np.nan
+            below = part[:, j] < cut
+            if np.isnan(cut) or not below.any():
+                cut = float(part[:, j].max()) if not np.isnan(cut) else cut  # the median is the least value
+                below = part[:, j] < cut
+            if np.isnan(cut) or not below.any():
+                child[node] = len(boxes)
+                boxes.append((low, high))
+                continue
+            axis[node], value[node], child[node] = j, cut, len(axis)
+            axis += [-1, -1]
+            value += [0.0, 0.0]
+            child += [0, 0]
+            upper, lower = high.copy(), low.copy()
+            upper[j], lower[j] = cut, cut
+            stack += [(child[node], part[below], low, upper), (child[node] + 1, part[~below], lower, high)]
+        return cls(np.array(axis), np.array(value), np.array(child), np.array([x for x, _ in boxes]), np.array([x for _, x in boxes]))
+
+    def home(self, z: np.ndarray) -> np.ndarray:
+        """The leaf of each row."""
+        node = np.zeros(len(z), np.int64)
+        while len(on := np.flatnonzero(self.axis[node] >= 0)):
+            at = node[on]
+            node[on] = self.child[at] + ~(z[on, self.axis[at]] < self.value[at])
+        return self.child[node]
+
+    def near(self, z: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf) of the boxes that a ball around a row touches."""
+        gap = np.maximum(np.maximum(self.low - z[:, None], z[:, None] - self.high), 0.0)
+        # what rounding may hide
+        return np.nonzero(~(np.sqrt((gap**2).sum(2)) > (radius + 4 * 10.0**-DIGITS + 1e-9 * np.abs(radius))[:, None]))
+
+
+def _coordinates(batch: pa.RecordBatch, dims: int) -> np.ndarray:
+    return np.stack([batch.column(batch.schema.names.index(f"z{i}")).to_numpy(zero_copy_only=False) for i in range(dims)], axis=1).astype(float)
+
+
+def _dealt(tree: Leaves, dims: int, beyond: bool):
+    """Rows with their leaf; with `beyond` a row for each other leaf that the row's radius reaches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            step = max(1, CELLS // max(1, len(tree.low) * dims)) if beyond else max(1, whole.num_rows)
+            for a in range(0, whole.num_rows, step):
+                batch = whole.slice(a, step)
+                z = _coordinates(batch, dims)
+                home = tree.home(z)
+                row, leaf = np.arange(len(z)), home
+                if beyond:
+                    row, leaf = tree.near(z, batch.column(batch.schema.names.index("radius")).to_numpy(zero_copy_only=False))
+                    other = leaf != home[row]
+                    row, leaf = row[other], leaf[other]
+                names = [c for c in batch.schema.names if c != "radius"]
+                yield pa.record_batch([*(batch.column(batch.schema.names.index(c)).take(pa.array(row)) for c in names), pa.array(leaf.astype(np.int32))], names=[*names, "leaf"])
+
+    return run
+
+
+def _leaf_search(queries: DataFrame, donors: DataFrame, k: int, dims: int, rows: int) -> DataFrame:
+    """The k nearest donors of each query's leaf. A leaf with many queries is searched in several tasks."""
+    parts = queries.groupBy("leaf").agg(F.expr(f"cast(ceil(count(1) / {rows}) as int)").alias("parts"))
+    asked = queries.join(parts, "leaf").withColumn("part", F.pmod(F.xxhash64("proj_idx"), F.col("parts")).cast("int")).drop("parts")
+    there = donors.join(parts, "leaf").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        if left.num_rows and right.num_rows:
+            right = right.combine_chunks().to_batches()[0]
+            ids, z = right.column(right.schema.names.index("donor_idx")).to_numpy(), _coordinates(right, dims)
+            plain = left.select(["proj_idx", *(f"z{i}" for i in range(dims))]).combine_chunks()
+            out = list(_nearest(k, ids, z)(iter(plain.to_batches())))
+        schema = pa.schema([("proj_idx", pa.int64()), ("donor_idx", pa.int64()), ("distance", pa.float64()), ("rank", pa.int32())])
+        return pa.Table.from_batches(out, schema) if out else schema.empty_table()
+
+    return asked.groupBy("leaf", "part").cogroup(there.groupBy("leaf", "part")).applyInArrow(search, "proj_idx long, donor_idx long, distance double, rank int")
+
+
 def knn(project: DataFrame, donors: DataFrame, metric: Metric, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(proj_idx, donor_idx, distance, rank): the k nearest donors, ties by donor_idx."""
+    """(proj_idx, donor_idx, distance, rank): the k nearest donors, ties by donor_idx.
+
+    Up to block_rows donors are broadcast, a bound that is checked. More are dealt to the boxes of a
+    k-d tree that a bounded sample of them gives: a project row searches its own box, and then
+    the others that its k-th distance there still reaches. No donors come to the driver but the sample.
+    """
     coords = [c.alias(f"z{i}") for i, c in enumerate(whitened(metric))]
-    left = project.select("proj_idx", *coords)
-    right = donors.select("donor_idx", *coords)
-    n = right.count()
-    blocks = max(1, -(-n // block_rows))
-    parts = []
-    for b in range(blocks):
-        block = right if blocks == 1 else right.where(F.pmod(F.xxhash64("donor_idx"), F.lit(blocks)) == b)
-        table = block.toArrow()
-        ids = table.column(0).to_numpy()
-        z = np.stack([table.column(i).to_numpy() for i in range(1, table.num_columns)], axis=1) if len(ids) else np.zeros((0, len(coords)))
-        if len(ids):
-            parts.append(left.mapInArrow(_nearest(k, ids, z), "proj_idx long, donor_idx long, distance double, rank int"))
-    if not parts:
+    left = project.select(F.col("proj_idx").cast("long").alias("proj_idx"), *coords)
+    right = donors.select(F.col("donor_idx").cast("long").alias("donor_idx"), *coords)
+    n, dims = right.count(), len(coords)
+    out = "proj_idx long, donor_idx long, distance double, rank int"
+    if not n:
         return left.select("proj_idx", F.lit(0).cast("long").alias("donor_idx"), F.lit(0.0).alias("distance"), F.lit(0).alias("rank")).where("false")
-    if len(parts) == 1:
-        return parts[0]
-    every = reduce(DataFrame.unionByName, parts)
+    if n <= block_rows:
+        table = right.toArrow()
+        z = np.stack([table.column(i).to_numpy() for i in range(1, table.num_columns)], axis=1)
+        return left.mapInArrow(_nearest(k, table.column(0).to_numpy(), z), out)
+    # of equal vectors only the k smallest ids can be among the nearest; salted, as one may be very frequent
+    names = [f"z{i}" for i in range(dims)]
+    for by in ([*names, F.pmod(F.xxhash64("donor_idx"), F.lit(64))], names):
+        w = Window.partitionBy(*by).orderBy("donor_idx")
+        right = right.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
+    sample = right.orderBy(F.xxhash64("donor_idx")).limit(SAMPLE).toArrow()
+    z = np.stack([sample.column(c).to_numpy() for c in names], axis=1)
+    z = z[np.isfinite(z).all(1)]
+    # boxes of about half of block_rows donors, but not so many that they don't fit into a task
+    tree = Leaves.of(z, max(int(len(z) * block_rows / 2 / n), len(z) // MAX_LEAVES, 1))
+    dealt = ", ".join(f"{c} double" for c in names)
+    right = right.mapInArrow(_dealt(tree, dims, False), f"donor_idx long, {dealt}, leaf int")
+    home = left.mapInArrow(_dealt(tree, dims, False), f"proj_idx long, {dealt}, leaf int")
+    first = _leaf_search(home, right, k, dims, block_rows)
+    reach = first.groupBy("proj_idx").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("radius"))
+    again = left.join(reach, "proj_idx", "left").select("proj_idx", *names, F.coalesce("radius", F.lit(float("inf"))).alias("radius"))
+    again = again.mapInArrow(_dealt(tree, dims, True), f"proj_idx long, {dealt}, leaf int")
+    every = first.unionByName(_leaf_search(again, right, k, dims, block_rows)).drop("rank")
     w = Window.partitionBy("proj_idx").orderBy("distance", "donor_idx")
     return every.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

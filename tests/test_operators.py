@@ -279,6 +279,24 @@ def test_knn_blocks_sql_and_numpy_agree(spark):
     assert [x[:2] for x in one] == [x[:2] for x in sorted(rows(matching.knn_sql(p, d, metric, 7)))]
 
 
+def test_knn_in_boxes_equals_brute_force(spark):
+    """Clusters of donors, far project rows, a very frequent vector, more neighbours than a box holds."""
+    rng = np.random.default_rng(3)
+    at = np.concatenate([rng.normal(c, s, size=(n, 2)) for c, s, n in (((0, 0), 1, 900), ((50, 0), 0.1, 900), ((0, 9), 5, 300))] + [np.full((700, 2), 3.0)])
+    q = np.concatenate([rng.normal((0, 0), 4, size=(20, 2)), rng.normal((50, 0), 1, size=(20, 2)), [[500.0, -500.0], [3.0, 3.0]]])
+    d = spark.createDataFrame([(int(i), *map(float, x)) for i, x in zip(rng.permutation(len(at)), at)], "donor_idx long, a double, b double")
+    p = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(q)], "proj_idx long, a double, b double")
+    metric = matching.Metric(("a", "b"), np.zeros(2), np.ones(2), np.eye(2))
+    ids = np.array([r["donor_idx"] for r in d.collect()])
+    for k, rows_ in ((5, 100), (60, 100)):
+        got = {}
+        for r in matching.knn(p, d, metric, k, rows_).collect():
+            got.setdefault(r["proj_idx"], []).append((r["rank"], r["donor_idx"]))
+        for i, x in enumerate(q):
+            dist = np.round(np.sqrt(((at - x) ** 2).sum(1)), 9)
+            assert [j for _, j in sorted(got[i])] == ids[np.lexsort((ids, dist))[:k]].tolist()
+
+
 @pytest.mark.parametrize("spread", [0, 1e-12])
 def test_knn_gives_ties_to_the_smaller_ids(spark, spread):
     """Hundreds of donors at one distance, equal ones and ones on a circle, in shuffled id order."""
