@@ -153,6 +153,36 @@ def test_substring_dedup(spark, docs, block, monkeypatch):
     assert got(out, "doc_id", "n_words", "n_removed", "kept_sha256") == brute.substrings(docs, 50)
 
 
+def test_repeats_in_texts_longer_than_a_slice(spark, monkeypatch):
+    """Shared passages at both ends of texts that a batch holds one at a time."""
+    monkeypatch.setattr(anchors, "PIECE", 1 << 14)
+    rng = random.Random(12)
+    words = lambda n: " ".join(str(rng.randrange(10**6)) for _ in range(n))
+    passage, other = words(120), words(90)
+    docs = [(1, f"{passage} {words(200_000)} {other}"), (2, f"{words(190_000)} {other} {words(10)}"), (3, f"{words(5)} {passage} {words(5)}"), (4, other), (5, words(3000))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    out = {r["doc_id"]: r for r in suffix_dedup.suffix_dedup(df).collect()}
+    least = {1: len(passage) + len(other), 2: len(other), 3: len(passage), 4: len(other), 5: 0}
+    assert all(least[d] <= out[d]["n_removed"] <= least[d] + 8 and out[d]["n_spans"] == (2, 1, 1, 1, 0)[d - 1] for d in least)
+    out = {r["doc_id"]: r for r in substring_dedup.substring_dedup(df).collect()}
+    assert [out[d]["n_removed"] for d in range(1, 6)] == [0, 90, 120, 90, 0]
+
+
+def test_hot_passage_is_dealt_by_its_ranks(spark):
+    """One passage in thousands of different texts: no stage gathers its occurrences by the passage."""
+    rng = random.Random(13)
+    words = lambda n: " ".join(str(rng.randrange(10**6)) for _ in range(n))
+    passage = words(70)
+    docs = [(i, f"{words(60)} {passage} {words(60)}") for i in range(1500)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    removed = [r["n_removed"] for r in suffix_dedup.suffix_dedup(df).collect()]
+    assert len(removed) == 1500 and all(len(passage) <= n <= len(passage) + 14 for n in removed)
+    plan = suffix_dedup.suffix_dedup(df)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+    removed = [r["n_removed"] for r in substring_dedup.substring_dedup(df).orderBy("doc_id").collect()]
+    assert removed[0] == 0 and all(70 <= n <= 72 for n in removed[1:])
+
+
 def test_token_file(spark, docs):
     from tokenizers import Tokenizer
 
@@ -429,6 +459,32 @@ def test_empty_tables(spark):
     assert token_counts.token_counts(df, tokenizer_path("piece_bpe_32k.model")).count() == 0
 
 
+def test_pipeline_equals_plain_stages(spark, docs, tmp_path):
+    """run() against brute force of every stage, mixing by its SQL."""
+    import corpus_pipeline as cp
+    import duckdb
+    from tokenizers import Tokenizer
+
+    rows = [(d, t, ("en", "es")[i % 2], f"s{i % 3}", len(t or "")) for i, (d, t) in enumerate(docs)]
+    items = [(1, docs[3][1]), (2, docs[61][1])]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = [r for r in rows if r[1] is not None and any(c.isalpha() for c in r[1])]
+    gone = {d for d, _, c in brute.jaccard([r[:2] for r in left], 5, 80) if d is not None and c != d}
+    left = [r for r in left if r[0] not in gone]
+    left = [r for r in left if not brute.contamination([r[:2]], items)[0][5]]
+    db = duckdb.connect()
+    db.sql("create table documents (doc_id bigint, text varchar, lang varchar, source varchar, n_chars bigint)")
+    db.executemany("insert into documents values (?, ?, ?, ?, ?)", left)
+    mixed = db.sql(f"select doc_id, text from ({mixing.MIX_SQL})").fetchall()
+    tok, start, want = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json")), 0, []
+    for d, t in sorted(mixed, key=lambda x: (x[0] is not None, x[0] or 0, x[1])):
+        ids = [*tok.encode(t, add_special_tokens=False).ids, 1]
+        want.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert len(want) > 20 and got(cp.run(spark, str(tmp_path)), "doc_id", "start", "n_tokens", "ids_crc32") == sorted(want, key=str)
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     import corpus_pipeline as cp
 
