@@ -409,22 +409,43 @@ def candidates_by_bins(project: DataFrame, donors: DataFrame, limits: Sequence[C
     """Donor candidates within all calipers by an equi-join on class, tenure and caliper-wide bins.
 
     |p - d| <= tolerance puts d's bin within one of p's, so the project side is repeated 3 times
-    per binned column; the first `bins` calipers are binned and all are checked exactly.
-    A project without a value in a binned column isn't restricted by it and is joined by class.
+    per binned column; the first `bins` calipers are binned and all are checked exactly. A project
+    row without a value in one of these is binned by the first caliper that it has a value for;
+    one without any has no candidates here (see `unrestricted`).
     """
     left, right = _side(project, "p_"), _side(donors, "d_")
-    used = list(limits[:bins])
-    whole = reduce(and_, [F.col(f"p_{c.column}").isNotNull() for c in used]) if used else F.lit(True)
     exact = reduce(and_, [within(c, f"p_{c.column}", f"d_{c.column}") for c in limits], F.lit(True))
     same = [F.col(f"p_{cls}") == F.col(f"d_{cls}"), same_tenure(tenure)]
-    binned, keys = left.where(whole), [*same]
-    for i, c in enumerate(used):
-        binned = binned.withColumn(f"b{i}", F.explode(F.array(*[F.floor(F.col(f"p_{c.column}") / c.tolerance) + k for k in (-1, 0, 1)])))
-        right = right.withColumn(f"e{i}", F.floor(F.col(f"d_{c.column}") / c.tolerance))
-        keys.append(F.col(f"b{i}") == F.col(f"e{i}"))
-    out = binned.join(right, reduce(and_, keys)).where(exact)
-    rest = left.where(~whole).join(_side(donors, "d_"), reduce(and_, same)).where(exact)
-    return out.select(*rest.columns).unionByName(rest)
+
+    def joined(rows: DataFrame, used: Sequence[Caliper]) -> DataFrame:
+        there, keys = right, [*same]
+        for i, c in enumerate(used):
+            rows = rows.withColumn(f"b{i}", F.explode(F.array(*[F.floor(F.col(f"p_{c.column}") / c.tolerance) + k for k in (-1, 0, 1)])))
+            there = there.withColumn(f"e{i}", F.floor(F.col(f"d_{c.column}") / c.tolerance))
+            keys.append(F.col(f"b{i}") == F.col(f"e{i}"))
+        return rows.join(there, reduce(and_, keys)).where(exact).select(*left.columns, *right.columns)
+
+    has = [F.col(f"p_{c.column}").isNotNull() for c in limits]
+    used = list(limits[:bins])
+    whole = reduce(and_, has[: len(used)], F.lit(True))
+    parts = [joined(left.where(whole), used) if used else left.where("false").join(right, reduce(and_, same))]
+    if len(used) > 1:
+        for i, c in enumerate(limits):
+            first = reduce(and_, [~x for x in has[:i]], has[i])
+            parts.append(joined(left.where(~whole & first), [c]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def unrestricted(project: DataFrame, donors: DataFrame, limits: Sequence[Caliper], cls: str, classes: Sequence[str], metric: Metric, k: int, tenure: str | None = None) -> DataFrame | None:
+    """Candidates of project rows that no caliper restricts: the k nearest donors of their class, by `knn`."""
+    free = project.where(reduce(and_, [F.col(c.column).isNull() for c in limits], F.lit(True)))
+    if free.isEmpty():
+        return None
+    left, right = _side(project, "p_"), _side(donors, "d_")
+    found = [knn(free.where(F.col(cls) == c), donors.where(F.col(cls) == c), metric, k) for c in classes]  # a handful of classes
+    near = reduce(DataFrame.unionByName, found).select("proj_idx", "donor_idx")
+    out = near.join(left, F.col("proj_idx") == F.col("p_proj_idx")).join(right, F.col("donor_idx") == F.col("d_donor_idx"))
+    return out.where(same_tenure(tenure)).select(*left.columns, *right.columns)
 
 
 def match(project: DataFrame, donors: DataFrame, covs: Sequence[str], limits: Sequence[Caliper], cls: str = "texture_class", cfg: MatchConfig = MatchConfig(), metric: Metric | None = None) -> Matching:
@@ -448,6 +469,8 @@ def match(project: DataFrame, donors: DataFrame, covs: Sequence[str], limits: Se
     passes = reduce(and_, [within(c, f"p_{c.column}", f"d_{c.column}") for c in limits], (F.col(f"p_{cls}") == F.col(f"d_{cls}")) & same_tenure(tenure))
     if cfg.mode == "caliper_first":
         near = candidates_by_bins(project.select(*keep_p), donors.select(*keep_d), limits, cls, tenure=tenure)
+        free = unrestricted(project.select(*keep_p), donors.select(*keep_d), limits, cls, list(have), metric, max(cfg.matches_per_pixel, cfg.candidates), tenure)
+        near = near if free is None else near.unionByName(free)
         cand = near.withColumns({"distance": whitened_distance(metric), "passed": F.lit(True)})
     else:
         k = max(cfg.matches_per_pixel, cfg.candidates)

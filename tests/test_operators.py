@@ -229,6 +229,21 @@ def test_fallback_classes_are_candidates_but_fail_the_class_caliper(spark):
     assert {r["proj_idx"]: r["reason"] for r in m.unmatched.collect()} == {1: "no_texture_donor", 3: "no_texture_donor"}
 
 
+def test_caliper_first_with_missing_project_values(spark):
+    rng = random.Random(3)
+    p = spark.createDataFrame([(i, "xy"[i % 2], rng.choice([None, 0.0, 3.0, 9.0]), rng.choice([None, 1.0, 8.0]), rng.choice([None, 2.0]), float(i)) for i in range(40)], "proj_idx long, cls string, a double, b double, c double, z double")
+    d = spark.createDataFrame([(100 + i, "xy"[i // 3 % 2], rng.uniform(0, 9), rng.choice([None, 1.0, 7.5]), rng.uniform(0, 4), float(i)) for i in range(60)], "donor_idx long, cls string, a double, b double, c double, z double")
+    limits = [matching.Caliper("a", 2.0), matching.Caliper("b", 1.0), matching.Caliper("c", 1.5)]
+    metric = matching.Metric(("z",), np.zeros(1), np.ones(1), np.eye(1))
+    m = matching.match(p, d, ["z"], limits, "cls", MatchConfig(mode="caliper_first"), metric)
+    want = {}
+    for x in p.collect():
+        ok = [y for y in d.collect() if y["cls"] == x["cls"] and all(x[c.column] is None or (y[c.column] is not None and abs(y[c.column] - x[c.column]) <= c.tolerance) for c in limits)]
+        if ok:
+            want[x["proj_idx"]] = min((abs(y["z"] - x["z"]), y["donor_idx"]) for y in ok)[1]
+    assert {r["p_proj_idx"]: r["d_donor_idx"] for r in m.pairs.collect()} == want and len(want) > 25
+
+
 def test_relative_calipers_need_a_mean(spark):
     p = spark.createDataFrame([(1, None, 0.5)], "proj_idx long, SOC_g_kg double, NDVI_t0 double")
     with pytest.raises(ValueError, match="SOC_g_kg"):
