@@ -1,13 +1,16 @@
-"""A GeoTIFF reader as a Spark data source: strips and tiles, uncompressed or deflate.
+"""GeoTIFF rasters as tables: strips and tiles, classic and BigTIFF, uncompressed, deflate or LZW.
 
 ``spark.dataSource.register(GeoTiffSource)`` then
 ``spark.read.format("cells").option("path", file).load()`` gives a row for each valid cell with
 grid_row, grid_col and a double column a band. A partition is a block of rows, of which
-only its own strips are read. Written from the public TIFF 6.0 and GeoTIFF specifications.
+only its own strips are read; the path must be one that executors can open. `load_files` reads
+files from any store that Spark reads, a task each. Written from the public TIFF 6.0, BigTIFF
+and GeoTIFF specifications.
 """
 
 from __future__ import annotations
 
+import io
 import re
 import struct
 import zlib
@@ -16,9 +19,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-_TYPES = {1: "B", 2: "s", 3: "H", 4: "I", 5: "II", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q"}
+_TYPES = {1: "B", 2: "s", 3: "H", 4: "I", 5: "II", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 13: "I", 16: "Q", 17: "q", 18: "Q"}
 BLOCK_ROWS = 2048
 
 
@@ -64,35 +68,76 @@ class Header:
 
 
 def read_header(f) -> Header:
-    raw = f.read(8)
+    raw = f.read(16)
     order = {b"II": "<", b"MM": ">"}.get(raw[:2])
-    if order is None or struct.unpack(order + "H", raw[2:4])[0] != 42:
-        raise ValueError("not a classic TIFF file")
-    f.seek(struct.unpack(order + "I", raw[4:])[0])
+    kind = struct.unpack(order + "H", raw[2:4])[0] if order else 0
+    if kind not in (42, 43):
+        raise ValueError("not a TIFF file")
+    big = kind == 43
+    # places and counts have 4 bytes, or 8 in a BigTIFF, whose entries are longer by as much
+    word, count, wide = ("Q", "Q", 8) if big else ("I", "H", 4)
+    f.seek(struct.unpack_from(order + word, raw, 8 if big else 4)[0])
     tags: dict[int, tuple] = {}
-    entries = [f.read(12) for _ in range(struct.unpack(order + "H", f.read(2))[0])]
+    n_entries = struct.unpack(order + count, f.read(struct.calcsize(count)))[0]
+    entries = [f.read(4 + 2 * wide) for _ in range(n_entries)]
     for e in entries:
-        tag, kind, n = struct.unpack(order + "HHI", e[:8])
+        tag, kind, n = struct.unpack_from(f"{order}HH{word}", e)
         code = _TYPES.get(kind)
         if code is None:
             continue
         size = struct.calcsize(order + code) * n
-        data = e[8 : 8 + size]
-        if size > 4:
-            f.seek(struct.unpack(order + "I", e[8:])[0])
+        data = e[4 + wide : 4 + wide + size]
+        if size > wide:
+            f.seek(struct.unpack_from(order + word, e, 4 + wide)[0])
             data = f.read(size)
         tags[tag] = tuple(struct.unpack(f"{order}{n}s", data)) if code == "s" else tuple(struct.unpack(f"{order}{n * len(code)}{code[0]}", data))
     return Header(order, tags)
 
 
+def _lzw(data: bytes) -> bytes:
+    """TIFF's LZW: codes of 9 to 12 bits, most significant first, one code early to the next width."""
+    out, start = bytearray(), [bytes([i]) for i in range(256)] + [b"", b""]
+    table, width, before = list(start), 9, b""
+    held = bits = 0
+    for byte in data:
+        held, bits = (held << 8 | byte) & 0xFFFFFF, bits + 8
+        if bits < width:
+            continue
+        bits -= width
+        code = held >> bits & (1 << width) - 1
+        if code == 257:
+            break
+        if code == 256:
+            table, width, before = list(start), 9, b""
+            continue
+        if code > len(table) or (code == len(table) and not before):
+            raise ValueError("damaged LZW data")
+        entry = table[code] if code < len(table) else before + before[:1]
+        if before:
+            table.append(before + entry[:1])
+        out += entry
+        before = entry
+        if width < 12 and len(table) >= (1 << width) - 1:
+            width += 1
+    return bytes(out)
+
+
 def _unpack(data: bytes, h: Header, rows: int, width: int, bands: int) -> np.ndarray:
     compression = h.one(259, 1)
     if compression in (8, 32946):
         data = zlib.decompress(data)
+    elif compression == 5:
+        data = _lzw(data)
     elif compression != 1:
         raise ValueError(f"TIFF compression {compression} is not supported")
-    x = np.frombuffer(data, h.dtype, rows * width * bands).reshape(rows, width, bands)
     predictor = h.one(317, 1)
+    if predictor == 3:
+        # bytes of a row stand by significance, as differences to those of the pixel before
+        size = h.dtype.itemsize
+        planes = np.frombuffer(data, np.uint8, rows * width * bands * size).reshape(rows, size * width, bands)
+        planes = np.cumsum(planes, axis=1, dtype=np.uint8).reshape(rows, size, width * bands)
+        return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(h.dtype.newbyteorder(">")).reshape(rows, width, bands).astype(h.dtype)
+    x = np.frombuffer(data, h.dtype, rows * width * bands).reshape(rows, width, bands)
     if predictor == 2:
         x = np.cumsum(x, axis=1, dtype=h.dtype)
     elif predictor != 1:
@@ -155,11 +200,44 @@ class _Reader(DataSourceReader):
 
     def read(self, part: _Rows) -> Iterator[pa.RecordBatch]:
         with open(part.path, "rb") as f:
-            h = read_header(f)
-            for a in range(part.first, part.last, 256):
-                x = read_rows(f, h, a, min(part.last, a + 256)).astype(np.float64)
-                ok = np.isfinite(x).all(2)
-                if h.nodata is not None:
-                    ok &= (x != h.nodata).all(2)
-                r, c = np.nonzero(ok)
-                yield pa.record_batch([pa.array((r + a).astype(np.int32)), pa.array(c.astype(np.int32)), *(pa.array(x[r, c, b]) for b in range(h.bands))], names=["grid_row", "grid_col", *h.names])
+            yield from _cells(f, read_header(f), part.first, part.last)
+
+
+def _cells(f, h: Header, first: int, last: int) -> Iterator[pa.RecordBatch]:
+    """Valid cells of rows [first, last)."""
+    for a in range(first, last, 256):
+        x = read_rows(f, h, a, min(last, a + 256)).astype(np.float64)
+        ok = np.isfinite(x).all(2)
+        if h.nodata is not None:
+            ok &= (x != h.nodata).all(2)
+        r, c = np.nonzero(ok)
+        yield pa.record_batch([pa.array((r + a).astype(np.int32)), pa.array(c.astype(np.int32)), *(pa.array(x[r, c, b]) for b in range(h.bands))], names=["grid_row", "grid_col", *h.names])
+
+
+def _opened(names: list[str] | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1)):
+                f = io.BytesIO(content.as_buffer())
+                h = read_header(f)
+                if names is None:
+                    yield pa.record_batch([pa.array([h.names], pa.list_(pa.string()))], names=["names"])
+                    continue
+                tile = path.as_py().rsplit("/", 1)[-1].rsplit(".", 1)[0]
+                for cells in _cells(f, h, 0, h.size[0]):
+                    have = [cells.column(h.names.index(n) + 2) if n in h.names else pa.nulls(cells.num_rows, pa.float64()) for n in names]
+                    yield pa.record_batch([pa.array([tile] * cells.num_rows, pa.string()), cells.column(0), cells.column(1), *have], names=["source_tile", "grid_row", "grid_col", *names])
+
+    return run
+
+
+def load_files(spark: SparkSession, paths: str | list[str], pattern: str = "*.tif") -> DataFrame:
+    """Valid cells of files or folders in any store that Spark reads, with source_tile.
+
+    A file is one task and one value (2 GB at most), so that larger rasters should come as tiles. Bands that
+    a file lacks are null; of its header only the names of bands come to the driver.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(paths).select("path", "content")
+    found = files.mapInArrow(_opened(None), "names array<string>").selectExpr("explode(names) name").distinct().orderBy("name")
+    names = [r[0] for r in found.collect()]  # a handful of bands
+    return files.mapInArrow(_opened(names), "source_tile string, grid_row int, grid_col int, " + ", ".join(f"`{n}` double" for n in names))

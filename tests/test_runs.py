@@ -95,35 +95,68 @@ def test_tiles(spark, tmp_path):
     assert both.count() == 36 and "extra" in both.columns
 
 
-def tiff(path, data, nodata, names, rows_per_strip=3, deflate=True):
+def lzw(data):
+    """Encoder by the specification: a code of the longest known string, one code early to the next width."""
+    start = {bytes([i]): i for i in range(256)}
+    table, width, out, omega = dict(start), 9, [(256, 9)], b""
+    for byte in data:
+        more = omega + bytes([byte])
+        if more in table:
+            omega = more
+            continue
+        out.append((table[omega], width))
+        table[more] = len(table) + 2
+        omega = bytes([byte])
+        if len(table) + 2 == 4094:
+            out.append((256, width))
+            table, width = dict(start), 9
+        elif len(table) + 2 > (1 << width) - 1:
+            width += 1
+    if omega:
+        out.append((table[omega], width))
+        table[b"end"] = len(table) + 2
+        width += len(table) + 2 > (1 << width) - 1
+    out.append((257, width))
+    bits = "".join(f"{c:0{w}b}" for c, w in out)
+    return int(bits.ljust(-(-len(bits) // 8) * 8, "0"), 2).to_bytes(-(-len(bits) // 8), "big")
+
+
+def tiff(path, data, nodata, names, rows_per_strip=3, packed="deflate", predictor=1, big=False):
     """A striped file written by hand from the public specification."""
     h, w, bands = data.shape
-    strips = [data[a : a + rows_per_strip].astype("<f4").tobytes() for a in range(0, h, rows_per_strip)]
-    strips = [zlib.compress(s) for s in strips] if deflate else strips
+    strips = []
+    for a in range(0, h, rows_per_strip):
+        part = data[a : a + rows_per_strip].astype(">f4" if predictor == 3 else "<f4")
+        if predictor == 3:
+            planes = part.reshape(len(part), w * bands, 1).view(np.uint8).transpose(0, 2, 1).reshape(len(part), 4 * w, bands)
+            part = np.diff(planes.astype(int), axis=1, prepend=0).astype(np.uint8)
+        strips.append({"deflate": zlib.compress, "lzw": lzw, "none": bytes}[packed](part.tobytes()))
     meta = ("<GDALMetadata>" + "".join(f'<Item name="DESCRIPTION" sample="{i}" role="description">{n}</Item>' for i, n in enumerate(names)) + "</GDALMetadata>").encode() + b"\0"
-    at, offsets = 8, []
+    at, offsets = 16 if big else 8, []
     for s in strips:
         offsets.append(at)
         at += len(s)
-    tags = [(256, "I", [w]), (257, "I", [h]), (258, "H", [32] * bands), (259, "H", [8 if deflate else 1]), (262, "H", [1]), (273, "I", offsets), (277, "H", [bands]), (278, "I", [rows_per_strip]), (279, "I", [len(s) for s in strips]), (284, "H", [1]), (339, "H", [3] * bands), (33550, "d", [30.0, 30.0, 0.0]), (33922, "d", [0, 0, 0, 100.0, 900.0, 0]), (42112, "s", meta), (42113, "s", str(nodata).encode() + b"\0")]
-    code = {"H": 3, "I": 4, "d": 12, "s": 2}
-    extra, entries, base = b"", b"", at + 2 + 12 * len(tags) + 4
+    place, wide, head = ("Q", 8, 8) if big else ("I", 4, 2)
+    tags = [(256, "I", [w]), (257, "I", [h]), (258, "H", [32] * bands), (259, "H", [{"deflate": 8, "lzw": 5, "none": 1}[packed]]), (262, "H", [1]), (273, place, offsets), (277, "H", [bands]), (278, "I", [rows_per_strip]), (279, "I", [len(s) for s in strips]), (284, "H", [1]), (317, "H", [predictor]), (339, "H", [3] * bands), (33550, "d", [30.0, 30.0, 0.0]), (33922, "d", [0, 0, 0, 100.0, 900.0, 0]), (42112, "s", meta), (42113, "s", str(nodata).encode() + b"\0")]
+    code = {"H": 3, "I": 4, "d": 12, "s": 2, "Q": 16}
+    extra, entries, base = b"", b"", at + head + (4 + 2 * wide) * len(tags) + wide
     for tag, kind, v in tags:
         raw = bytes(v) if kind == "s" else struct.pack(f"<{len(v)}{kind}", *v)
         n = len(raw) if kind == "s" else len(v)
-        inline = raw.ljust(4, b"\0") if len(raw) <= 4 else struct.pack("<I", base + len(extra))
-        extra += raw if len(raw) > 4 else b""
-        entries += struct.pack("<HHI", tag, code[kind], n) + inline
+        inline = raw.ljust(wide, b"\0") if len(raw) <= wide else struct.pack(f"<{place}", base + len(extra))
+        extra += raw if len(raw) > wide else b""
+        entries += struct.pack(f"<HH{place}", tag, code[kind], n) + inline
     with open(path, "wb") as f:
-        f.write(b"II*\0" + struct.pack("<I", at) + b"".join(strips) + struct.pack("<H", len(tags)) + entries + struct.pack("<I", 0) + extra)
+        f.write(b"II" + (struct.pack("<HHHQ", 43, 8, 0, at) if big else struct.pack("<HI", 42, at)))
+        f.write(b"".join(strips) + struct.pack("<Q" if big else "<H", len(tags)) + entries + struct.pack(f"<{place}", 0) + extra)
 
 
-@pytest.mark.parametrize("deflate", [True, False])
-def test_geotiff(spark, tmp_path, deflate):
+@pytest.mark.parametrize("packed, predictor, big", [("deflate", 1, False), ("none", 1, False), ("lzw", 1, False), ("deflate", 3, False), ("lzw", 3, True), ("none", 1, True)])
+def test_geotiff(spark, tmp_path, packed, predictor, big):
     data = np.arange(7 * 5 * 2, dtype=np.float32).reshape(7, 5, 2)
     data[2, 3, 1] = -9999
     data[4, 1, 0] = np.nan
-    tiff(f"{tmp_path}/x.tif", data, -9999, ["NDVI_t0", "elevation"], deflate=deflate)
+    tiff(f"{tmp_path}/x.tif", data, -9999, ["NDVI_t0", "elevation"], packed=packed, predictor=predictor, big=big)
     spark.dataSource.register(geotiff.GeoTiffSource)
     df = spark.read.format("cells").option("path", f"{tmp_path}/x.tif").option("blockRows", "3").load()
     assert df.columns == ["grid_row", "grid_col", "NDVI_t0", "elevation"]
@@ -131,6 +164,19 @@ def test_geotiff(spark, tmp_path, deflate):
     assert len(got) == 33 and got[(6, 4)] == (68.0, 69.0) and (2, 3) not in got and (4, 1) not in got
     with open(f"{tmp_path}/x.tif", "rb") as f:
         assert geotiff.read_header(f).transform == (100.0, 900.0, 30.0, 30.0)
+    tiff(f"{tmp_path}/y.tif", data[:, :, :1], -9999, ["NDVI_t0"])
+    both = geotiff.load_files(spark, str(tmp_path))
+    assert both.columns == ["source_tile", "grid_row", "grid_col", "NDVI_t0", "elevation"]
+    assert {(r[1], r[2]): tuple(r[3:]) for r in both.where("source_tile = 'x'").collect()} == got
+    assert both.where("source_tile = 'y' and elevation is null").count() == 34
+
+
+def test_lzw_round_trip():
+    rng = np.random.default_rng(5)
+    for raw in (b"", b"a", b"aaaaaaa" * 900, rng.bytes(30_000), bytes(rng.integers(0, 3, 60_000, dtype=np.uint8))):
+        assert geotiff._lzw(lzw(raw)) == raw
+    with pytest.raises(ValueError):
+        geotiff._lzw(b"\x80\x3f\xff\xff")
 
 
 def test_streaming_equals_batch(spark, tmp_path):
