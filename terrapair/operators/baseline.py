@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from terrapair.config import TC_TO_TCO2E, Z90, BaselineConfig
 from terrapair.functions.columns import finite
+from terrapair.functions.quantiles import exact_quantiles
 
 
 def control_rows(df: DataFrame, unique: bool = False, lon: str = "ref_lon", lat: str = "ref_lat", decimals: int = 7, order: Sequence[str] = ()) -> DataFrame:
@@ -33,16 +34,23 @@ def block_interval(df: DataFrame, delta: str, block: str = "block_id", z: float
     return out.withColumns({"ci_block": F.when(enough, F.lit(z) * F.col("block_sd") / F.sqrt("n_blocks")), "block_status": F.when(enough, "computed").otherwise("not_enough_blocks")})
 
 
-def control_interval(df: DataFrame, delta: str = "delta_tC_ha_yr", lon: str = "ref_lon", lat: str = "ref_lat", cfg: BaselineConfig = BaselineConfig(), block: str = "block_id", by: Sequence[str] = ()) -> DataFrame:
+def control_interval(df: DataFrame, delta: str = "delta_tC_ha_yr", lon: str = "ref_lon", lat: str = "ref_lat", cfg: BaselineConfig = BaselineConfig(), block: str = "block_id", by: Sequence[str] = (), median: bool = True) -> DataFrame:
     """Mean change of the controls with its 90 % interval and the uncertainty ratio.
 
     Mean and deviation are over all rows; the standard error uses the distinct positions
-    if there are two at least. The wider of the pixel and the block interval counts.
+    if there are two at least. The wider of the pixel and the block interval counts. The median is
+    exact, a quantile search without groups and one percentile a group with them.
     """
     d = finite(F.col(delta).cast("double"))
     key = F.struct(F.round(lon, cfg.decimals), F.round(lat, cfg.decimals))
     rows = df.select("*", d.alias("_d")).where("_d is not null")
-    agg = rows.groupBy(*by).agg(F.count("_d").alias("n_rows"), F.avg("_d").alias("mean"), F.percentile("_d", F.lit(0.5)).alias("median"), F.stddev_samp("_d").alias("sd"), F.count_distinct(key).alias("n_unique"))
+    middle = []
+    if median and by:
+        middle = [F.percentile("_d", F.lit(0.5)).alias("median")]
+    elif median:
+        half = exact_quantiles(rows, ["_d"], [0.5])["_d"]
+        middle = [F.lit(half[0] if half else None).cast("double").alias("median")]
+    agg = rows.groupBy(*by).agg(F.count("_d").alias("n_rows"), F.avg("_d").alias("mean"), *middle, F.stddev_samp("_d").alias("sd"), F.count_distinct(key).alias("n_unique"))
     out = agg.withColumn("n_eff", F.when(F.col("n_unique") >= 2, F.col("n_unique")).otherwise(F.col("n_rows")))
     out = out.where(F.col("n_rows") >= cfg.min_controls)
     out = out.withColumns({"se": F.col("sd") / F.sqrt("n_eff"), "ci_pixel": F.lit(cfg.z) * F.col("sd") / F.sqrt("n_eff"), "ci_naive": F.lit(cfg.z) * F.col("sd") / F.sqrt("n_rows")})

@@ -145,7 +145,7 @@ def source_period_batch(points: DataFrame, carbon: DataFrame, plan: DataFrame, f
     rows = at.join(F.broadcast(plan), "source")
     delta = (F.try_element_at("stocks", F.col("monitoring_year")) - F.try_element_at("stocks", F.col("t0_year"))) * factor / (F.col("monitoring_year") - F.col("t0_year"))
     rows = rows.withColumn("delta_tC_ha_yr", delta).drop("stocks")
-    control = baseline.control_interval(rows.where(F.col(side) == "control"), "delta_tC_ha_yr", "lon", "lat", cfg, by=keys)
+    control = baseline.control_interval(rows.where(F.col(side) == "control"), "delta_tC_ha_yr", "lon", "lat", cfg, by=keys, median=False)
     project = baseline.project_summary(rows.where(F.col(side) == "project"), area_ha, "delta_tC_ha_yr", "lon", "lat", cfg.decimals, by=keys)
     out = baseline.unadjusted_baseline(control, project, (F.col("monitoring_year") - F.col("t0_year")).cast("double"), cfg, by=keys)
     return curated(out, keys)

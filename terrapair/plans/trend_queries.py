@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from terrapair.config import TrendConfig
 from terrapair.functions.ols import row_ols
 from terrapair.operators import scenes, trend
+from terrapair.plans.pipeline import shared_store
 from terrapair.plans.registry import query, r6, table
 
 YEARS = tuple(range(1995, 2001))
@@ -100,8 +101,8 @@ it as (select size, sum(n)::bigint as n_obs, max(s) filter (where grp = 1) - max
 with {_PREFIX}
 select size, n, round(mean_diff, 3) + 0 as mean_diff, round(sd, 3) as sd, n_obs, round(beta, 3) + 0 as interaction, round(se, 3) as se, round(beta / se, 6) + 0 as t from pt join it using (size)""")
 def prefix_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both tests of every prefix."""
-    s = sloped(spark, sf_dir)
+    """Both tests of every prefix; the slopes are stored, since sizes and ranks read them too."""
+    s = shared_store(spark, "slopes")(sloped(spark, sf_dir))
     head = s.agg(F.count(F.lit(1)), F.count_if("ols_valid")).first()
     sizes = trend.prefix_sizes(head[1], head[0], CFG)
     out = trend.prefix_statistics(s, sorted(set(sizes.values())), YEARS)
@@ -128,7 +129,7 @@ select p.pair_id, case when mode like 'f%' then b.pair_id is not null else coale
 from pairs p left join v on v.pair_id = p.pair_id left join base b on b.pair_id = p.pair_id, choice""")
 def parallel_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pairs that pass both tests."""
-    chosen = trend.select_parallel(sloped(spark, sf_dir), YEARS, CFG)
+    chosen = trend.select_parallel(shared_store(spark, "slopes")(sloped(spark, sf_dir)), YEARS, CFG)
     return chosen.pairs.select("pair_id", "selected", "twin_compliant").withColumn("mode", F.lit(chosen.mode))
 
 
