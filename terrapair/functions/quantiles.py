@@ -18,7 +18,7 @@ from terrapair.functions.columns import finite
 
 #: Values of a bracket that are gathered and sorted at last.
 KEEP = 100_000
-#: Ranks that the sketch of a bracket may be off by, as a share; and the margin that is taken.
+#: A sketch's ranks are off by one in ACCURACY at most; the margin that is taken is wider.
 ACCURACY, MARGIN = 2000, 1 / 500
 MAX_SCANS = 60
 
@@ -34,7 +34,6 @@ class _Bracket:
     lo: float | None = None
     hi: float | None = None
     below: int = 0
-    found: tuple[float, float] | None = None
 
     def inside(self) -> Column:
         v = finite(F.col(f"`{self.column}`").cast("double"))
@@ -45,21 +44,35 @@ class _Bracket:
             keep &= v < self.hi
         return F.when(keep, v)
 
-    def settle(self, lo: float, hi: float, under: int, at_lo: int, between: int, at_hi: int) -> None:
-        """Narrow to (lo, hi), from the numbers of values inside that are below, equal to lo, between and equal to hi."""
-        a, b = self.first - self.below, self.last - self.below
-        edges = (under, under + at_lo, under + at_lo + between, under + at_lo + between + at_hi)
+    def marks(self) -> Column:
+        """Values a little below and above the wanted ones, by a sketch."""
+        a, b = (self.first - self.below) / self.size, (self.last - self.below) / self.size
+        return _marks(self.inside(), a, b)
 
-        def place(k: int) -> float | None:
-            return lo if edges[0] <= k < edges[1] else hi if edges[2] <= k < edges[3] else None
+    def around(self, lo: float, hi: float) -> list[Column]:
+        """Numbers of values inside that are below lo, equal to it, between, and equal to hi."""
+        v = self.inside()
+        return [F.count_if(v < lo), F.count_if(v == lo), F.count_if((v > lo) & (v < hi)), F.count_if((v == hi) & (v > lo))]
 
-        x, y = place(a), place(b)
-        if x is not None and y is not None:
-            self.found = (x, y)
-        elif edges[1] <= a and b < edges[2]:
-            self.lo, self.hi, self.below, self.size = lo, hi, self.below + edges[1], between
-        else:
-            raise ArithmeticError("a sketch left its bounds")
+    def settle(self, lo: float, hi: float, under: int, at_lo: int, between: int, at_hi: int) -> tuple[dict[int, float], list[_Bracket]]:
+        """(order statistics that are lo or hi, brackets of the others)."""
+        found, inner = {}, []
+        for k in range(self.first, self.last + 1):
+            i = k - self.below - under
+            if 0 <= i < at_lo:
+                found[k] = lo
+            elif at_lo <= i < at_lo + between:
+                inner.append(k)
+            elif at_lo + between <= i < at_lo + between + at_hi:
+                found[k] = hi
+            else:
+                raise ArithmeticError("a sketch left its bounds")
+        rest = [_Bracket(self.column, inner[0], inner[-1], between, lo, hi, self.below + under + at_lo)] if inner else []
+        return found, rest
+
+
+def _marks(v: Column, a: float, b: float) -> Column:
+    return F.percentile_approx(v, F.array(F.lit(max(0.0, a - MARGIN)), F.lit(min(1.0, b + MARGIN))), ACCURACY)
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], keep: int = KEEP) -> dict[str, list[float] | None]:
@@ -67,45 +80,51 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
     columns = list(dict.fromkeys(columns))
     if not columns:
         return {}
-    counts = df.agg(*[F.count(finite(F.col(f"`{c}`").cast("double"))).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    n = {c: counts[i] for i, c in enumerate(columns)}
-    wanted: dict[tuple[str, float], _Bracket] = {}
-    for c in columns:
-        for q in shares:
+    value = {c: finite(F.col(f"`{c}`").cast("double")) for c in columns}
+    # one scan counts and marks: a share's rank is that share of the count, but for one place
+    head = df.agg(*[F.count(value[c]).alias(f"n{i}") for i, c in enumerate(columns)], *[_marks(value[c], q, q).alias(f"m{i}_{j}") for i, c in enumerate(columns) for j, q in enumerate(shares)]).first()
+    n = {c: head[i] for i, c in enumerate(columns)}
+    have: dict[tuple[str, int], float] = {}
+    todo, marks = [], []
+    for i, c in enumerate(columns):
+        for j, q in enumerate(shares):
             if n[c]:
                 at = q * (n[c] - 1)
-                # two orders are bracketed apart, since an edge may fall between them
-                for k in {math.floor(at), math.ceil(at)}:
-                    wanted.setdefault((c, k), _Bracket(c, k, k, n[c]))
+                todo.append(_Bracket(c, math.floor(at), math.ceil(at), n[c]))
+                marks.append(head[f"m{i}_{j}"])
     for _ in range(MAX_SCANS):
-        todo = [b for b in wanted.values() if b.found is None]
-        if not todo:
+        many = [k for k, b in enumerate(todo) if b.size > keep]
+        if not many:
             break
-        few = [b for b in todo if b.size <= keep]
-        many = [b for b in todo if b.size > keep]
-        if few:
-            rows = df.agg(*[F.get(F.array_sort(F.collect_list(b.inside())), F.lit(b.first - b.below)).alias(f"v{i}") for i, b in enumerate(few)]).first()
-            for i, b in enumerate(few):
-                b.found = (rows[i], rows[i])
-        if many:
-            at = [((b.first - b.below) / b.size) for b in many]
-            marks = df.agg(*[F.percentile_approx(b.inside(), F.array(F.lit(max(0.0, p - MARGIN)), F.lit(min(1.0, p + MARGIN))), ACCURACY).alias(f"m{i}") for i, (b, p) in enumerate(zip(many, at))]).first()
-            sums = []
-            for i, b in enumerate(many):
-                v, (lo, hi) = b.inside(), marks[i]
-                sums += [F.count_if(v < lo), F.count_if(v == lo), F.count_if((v > lo) & (v < hi)), F.count_if((v == hi) & (v > lo))]
-            got = df.agg(*[s.alias(f"s{i}") for i, s in enumerate(sums)]).first()
-            for i, b in enumerate(many):
-                b.settle(*marks[i], *got[4 * i : 4 * i + 4])
+        if marks is None:
+            row = df.agg(*[todo[k].marks().alias(f"m{k}") for k in many]).first()
+            marks = {k: row[f"m{k}"] for k in many}
+        counts = df.agg(*[x.alias(f"s{k}_{j}") for k in many for j, x in enumerate(todo[k].around(*marks[k]))]).first()
+        rest = [b for b in todo if b.size <= keep]
+        for k in many:
+            found, inner = todo[k].settle(*marks[k], *[counts[f"s{k}_{j}"] for j in range(4)])
+            have |= {(todo[k].column, x): v for x, v in found.items()}
+            rest += inner
+        todo, marks = rest, None
     else:
         raise ArithmeticError("quantiles did not settle")
+    # brackets with the same bounds are gathered once
+    same: dict[tuple, list[_Bracket]] = {}
+    for b in todo:
+        same.setdefault((b.column, b.lo, b.hi), []).append(b)
+    if same:
+        wanted = [sorted({k - b.below for b in group for k in range(b.first, b.last + 1)}) for group in same.values()]
+        lists = df.agg(*[F.array_sort(F.collect_list(group[0].inside())).alias(f"s{g}") for g, group in enumerate(same.values())])
+        rows = lists.select(*[F.array(*[F.get(f"s{g}", F.lit(i)) for i in at]).alias(f"v{g}") for g, at in enumerate(wanted)]).first()
+        for group, at, got in zip(same.values(), wanted, rows):
+            have |= {(group[0].column, i + group[0].below): v for i, v in zip(at, got)}
     out: dict[str, list[float] | None] = {}
     for c in columns:
         values = []
         for q in shares:
             if n[c]:
                 at = q * (n[c] - 1)
-                a, b = wanted[c, math.floor(at)].found[0], wanted[c, math.ceil(at)].found[0]
+                a, b = have[c, math.floor(at)], have[c, math.ceil(at)]
                 values.append(a + (b - a) * (at - math.floor(at)))
         out[c] = values or None
     return out

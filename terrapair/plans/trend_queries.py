@@ -85,7 +85,7 @@ def interaction_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 with {_PAIRS}, d as (select proj_slope - ref_slope as d from pairs where slope_diff is not null)
 select count(d) as n, round(avg(d), 3) as mean_diff, round(quantile_cont(abs(d), 0.5), 3) as median_abs_diff, round(stddev_samp(d), 3) as sd, round(avg(d) / (stddev_samp(d) / sqrt(count(d))), 6) as t from d""")
 def paired_slope_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = trend.paired_sums(sloped(spark, sf_dir))
+    out = trend.paired_sums(shared_store(spark, "slopes")(sloped(spark, sf_dir)))
     return out.select("n", r6("mean_diff", digits=3), r6("median_abs_diff", digits=3), r6("sd", digits=3), r6("t"))
 
 
