@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrapair.llm import _store, decontaminate, jaccard_join, language_id, media, mixing, oracles, secrets, substring_dedup, suffix_dedup, token_counts, token_file
+from terrapair.llm import _store, decontaminate, delta_lloyd, jaccard_join, language_id, media, mixing, oracles, prefix_trie, secrets, substring_dedup, suffix_dedup, token_counts, token_file
 
 documents = _store.documents
 
@@ -58,6 +58,14 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(media.to_media(documents(spark, sf_dir)))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delta_lloyd.clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_jaccard_join": op2_jaccard_join,
@@ -69,10 +77,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_media": op10_media,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_clusters": op13_clusters,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": mixing.MIX_SQL,
     "op2_jaccard_join": oracles.JACCARD,
     "op3_decontamination": oracles.CONTAMINATION,
     "op8_substring_dedup": oracles.SUBSTRINGS,
+    "op12_prefix_trie": prefix_trie.TRIE_SQL,
+    "op13_clusters": delta_lloyd.CLUSTERS_SQL,
 }
