@@ -16,7 +16,7 @@ Dense names: distinct pairs are dealt to BUCKETS by their hash, numbered in each
 behind the sizes of the buckets before. No name depends on the order of tasks.
 
 Defined cases: rows with a null conv_id belong to no conversation and are left out; a null role or
-text is empty; a null turn comes first, equal turns are ordered by role, then text; equal rows are
+text is empty; a null turn comes first, equal turns are ordered by the digest of role and text; equal rows are
 turns of their own; conv_id % 20 has the sign of conv_id; an empty table gives no rows (no conversation,
 no root); other columns are ignored.
 """
@@ -57,10 +57,9 @@ def numbered_turns(conversations: DataFrame, conv: str = "conv_id", turn: str =
     """
     who, said = F.coalesce(F.col(role).cast("string"), F.lit("")), F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = conversations.where(F.col(conv).isNotNull()).select(F.col(conv).cast("long").alias("conv"), F.col(turn).cast("long").alias("turn"), who.alias("role"), said.alias("text"))
-    order = ["conv", F.asc_nulls_first("turn"), "role", "hash", "salt"]
-    # equal turns go by role and text; only their digests travel, so text is ordered by its first characters, then its digest
-    narrow = rows.select("conv", "turn", "role", F.left("text", F.lit(64)).alias("head"), F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), F.col("role"), F.col("text")).cast("binary"), 256).alias("hash"), F.regexp_count("text", F.lit(WORDS)).cast("long").alias("n_words"), _salt().alias("salt"))
-    order.insert(3, "head")
+    order = ["conv", F.asc_nulls_first("turn"), "hash", "salt"]
+    digest = F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), F.col("role"), F.col("text")).cast("binary"), 256)
+    narrow = rows.select("conv", "turn", digest.alias("hash"), F.regexp_count("text", F.lit(WORDS)).cast("long").alias("n_words"), _salt().alias("salt"))
     placed = narrow.repartitionByRange(*order).sortWithinPartitions(*order)
     at = F.monotonically_increasing_id()  # task and place in it
     placed = placed.select("conv", F.unhex("hash").alias("role_text"), "n_words", F.shiftright(at, 33).cast("int").alias("task"), at.bitwiseAND((1 << 33) - 1).alias("at"))
@@ -230,7 +229,7 @@ def prefix_trie(conversations: DataFrame, every: int = 20, heads: int = 4, conv:
 
 #: Prefixes as lists, subtrees as pairs of nodes; crc32 by its bits.
 TRIE_SQL = r"""
-with t as materialized (select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as i, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+with t as materialized (select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 as i, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
 c as materialized (select c, c - c % 20 as base, n, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::bigint)), lambda a, x:
     list_reduce(list_prepend(xor(a, x), range(8)), lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295::bigint) % 4 as h from (select c, count(*) as n from t group by 1)),
 s as materialized (
@@ -243,6 +242,6 @@ up as materialized (select node.k, pre.k as above from node join pre on pre.c =
 kids as (select above as k, count(*) as n from up group by 1),
 below as materialized (select pre.k, x.w * (x.n - 1) as saved, x.k not in (select k from kids) as leaf from node x join pre on pre.c = x.c and pre.d <= x.d),
 sums as (select k, sum(saved) as saved, count(*) filter (where leaf) as leaves from below group by 1)
-select node.c as conv_id, node.d as depth, p.c as parent_conv_id, node.n as n_convs, coalesce(kids.n, 0)::bigint as n_children, leaves::bigint as n_leaves, saved::bigint as saved_tokens, sha256(coalesce(ends, '')) as ends_sha256
+select node.c as conv_id, node.d as depth, p.c as parent_conv_id, node.n as n_convs, coalesce(kids.n, 0)::bigint as n_children, leaves::bigint as n_leaves, saved::bigint as saved_tokens, sha256(coalesce(node.ends, '')) as ends_sha256
 from node join sums using (k) left join kids using (k) left join up using (k) left join node p on p.k = up.above
 """
