@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrapair.llm import _store, decontaminate, delta_lloyd, jaccard_join, language_id, media, mixing, oracles, prefix_trie, secrets, substring_dedup, suffix_dedup, token_counts, token_file
+from terrapair.llm import _store, decontaminate, delta_lloyd, jaccard_join, language_id, media, mixing, oracles, prefix_trie, scaled_sketch, secrets, substring_dedup, suffix_dedup, token_counts, token_file
 
 documents = _store.documents
 
@@ -58,6 +58,10 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(media.to_media(documents(spark, sf_dir)))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scaled_sketch.edit_report(documents(spark, sf_dir))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_media": op10_media,
+    "op11_fingerprints": op11_fingerprints,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_clusters": op13_clusters,
 }

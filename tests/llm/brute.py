@@ -171,3 +171,78 @@ def substrings(docs, k):
                 gone |= set(range(i, i + k))
         out.append((d, len(w), len(gone), sha(" ".join(x for i, x in enumerate(w) if i not in gone))))
     return sorted(out, key=str)
+
+
+def edited(docs):
+    """(doc_id, text, edited text, next text) in descending order; ties by the text's 64-bit hash."""
+    import xxhash
+
+    def key(row):
+        h = xxhash.xxh64((row[1] or "").encode(), seed=42).intdigest()
+        return (row[0] is not None, row[0] or 0, h - (1 << 64) if h >> 63 else h)
+
+    rows = [(d, t or "") for d, t in sorted(docs, key=key, reverse=True)]
+    out = []
+    for i, (d, t) in enumerate(rows):
+        after = rows[(i + 1) % len(rows)][1]
+        half = len(t) // 2
+        out.append((d, t, t[: len(t) - half] + after[:half], after))
+    return out
+
+
+def shingles(text, k=5):
+    w = WORD.findall(text.translate(LOWER))
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
+
+
+def contained(a, b):
+    return (len(a & b) / len(a), len(a & b) / len(a | b)) if a and b else (float(len(a) == len(b)),) * 2
+
+
+def trie(rows, every=20, heads=4):
+    """Nodes of the trie of rebuilt conversations; rows: (conv_id, turn, role, text)."""
+    import zlib
+
+    turns = collections.defaultdict(list)
+    for c, t, r, x in rows:
+        if c is not None:
+            r, x = r or "", x or ""
+            turns[c].append(((t is not None, t or 0), sha(f"{len(r)}:{r}{x}"), r, x))
+    turns = {c: [x[2:] for x in sorted(v)] for c, v in turns.items()}
+    made = {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % heads
+        made[c] = turns.get(c - int(math.fmod(c, every)), [])[:h] + own[h:]
+    members = collections.defaultdict(list)
+    for c, line in sorted(made.items()):
+        for d in range(len(line) + 1):
+            members[tuple(line[:d])].append(c)
+    below = {n: [m for m in members if m[: len(n)] == n] for n in members}
+    leaf = {n: not any(len(m) == len(n) + 1 for m in below[n]) for n in members}
+    out = []
+    for n, cs in members.items():
+        saved = sum((len(members[m]) - 1) * len(WORD.findall(m[-1][1])) for m in below[n] if m)
+        ends = ",".join(str(c) for c in cs if len(made[c]) == len(n))
+        up = members[n[:-1]][0] if n else None
+        out.append((cs[0], len(n), up, len(cs), sum(len(m) == len(n) + 1 for m in below[n]), sum(leaf[m] for m in below[n]), saved, sha(ends)))
+    return sorted(out, key=str)
+
+
+def clusters(rows, k=16, rounds=3, dims=64, scale=64, seed=1):
+    """Full Lloyd rounds over Python integers; rows: (vec_id, vector)."""
+    fine = [(v, [math.floor(scale * x) for x in e]) for v, e in rows if e is not None and len(e) == dims and all(x is not None and math.isfinite(x) and abs(scale * x) < 1 << 27 for x in e)]
+    order = sorted(fine, key=lambda r: (r[0] is None, sha(f"{seed}:{r[0]}") if r[0] is not None else "", r[1]))
+    centroids = [q for _, q in order[:k]]
+    far = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    for at in range(rounds + 1):
+        owner = [min((far(q, c), i) for i, c in enumerate(centroids)) for _, q in fine]
+        if at < rounds:
+            for i in range(len(centroids)):
+                mine = [q for (_, q), (_, o) in zip(fine, owner) if o == i]
+                if mine:
+                    centroids[i] = [sum(col) // len(mine) for col in zip(*mine)]
+    per = collections.Counter()
+    for d, i in owner:
+        per[i] += d
+    names = [sha(",".join(map(str, c))) for c in centroids]
+    return sorted(((v, i, d, per[i], sum(per.values()), names[i]) for (v, _), (d, i) in zip(fine, owner)), key=str)
