@@ -54,7 +54,7 @@ def seeds(vectors: DataFrame, k: int, seed: int) -> np.ndarray:
     h = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")).cast("binary"), 256)
     first = vectors.select(h.alias("h"), "q").orderBy(F.asc_nulls_last("h"), "q").limit(k)
     rows = [r["q"] for r in first.collect()]
-    return np.array(rows, np.int64).reshape(len(rows), -1)
+    return np.array(rows, np.int64)
 
 
 def _rows(col: pa.Array, dims: int) -> np.ndarray:

@@ -189,15 +189,23 @@ def _keep(log: np.ndarray, prior: np.ndarray, text_at: int, min_score: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in T.slices(iter([whole]), whole.schema.names[text_at], 1 << 20):
-                best, score = _decide(*T.buffers(batch.column(text_at)), log, prior)
-                yield batch.filter(pa.array((best < log.shape[1]) & (score >= min_score)))
+                text = T.buffers(batch.column(text_at))
+                if log.shape[1]:
+                    best, score = _decide(*text, log, prior)
+                    good = (best < log.shape[1]) & (score >= min_score)
+                else:
+                    good = _has_letter(*text)
+                yield batch.filter(pa.array(good))
 
     return run
 
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS) -> DataFrame:
     """`docs` with all columns, without the documents that are predicted to be ``und`` or
-    whose language is a guess (a score below `min_score`)."""
+    whose language is a guess (a score below `min_score`).
+
+    If no row has a label there is no language to learn and none to reject: every text with a letter stays.
+    """
     _, log, prior = fit(docs, id_col, text_col, lang_col, sample_rows, buckets)
     names = docs.columns
     inner = docs.toDF(*(f"c{i}" for i in range(len(names))))

@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import binascii
 import hashlib
+import itertools
 import json
 import re
 from bisect import bisect_right
@@ -39,6 +40,14 @@ SIGNED = re.compile(rb"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{14,}+)={0,2}+(?=(\.([A-Z
 #: A header is a JSON object; these are the characters its first byte, a brace or a blank, can start with.
 HEADER = re.compile(rb"[eICD]")
 OBJECT = re.compile(rb"[ \t\r\n]*(?:\{[ \t\r\n]*(?:\"|$)|$)")
+#: Three blanks each, as encoded.
+BLANKS = re.compile(b"(?:" + b"|".join(base64.b64encode(bytes(x)) for x in itertools.product(b" \t\r\n", repeat=3)) + b")*")
+JSON = json.JSONDecoder()
+#: Characters that an unfinished part of a JSON text may need: a word, an escape or a number's end.
+PART = 16
+QUOTED = re.compile(r'"(?:[^"\\]|\\.)*"')
+#: Levels that a header is nested in at most.
+DEEPEST = 16
 #: Runs, also wrapped over lines.
 BASE64 = re.compile(rb"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[ \t]*+(?:\r?\n|\r|\\r\\n|\\n)[ \t]*+[A-Za-z0-9+/_-]++)*+")
 BREAK = re.compile(rb"[ \t]*(?:\r?\n|\r|\\r\\n|\\n)[ \t]*")
@@ -50,6 +59,8 @@ DEK = re.compile(rb"DEK-Info:\s*[A-Za-z0-9-]+,[0-9A-Fa-f]{16,}")
 START64, START_HEX = re.compile(rb"(?=M[A-I])"), re.compile(rb"(?=30[0-8])")
 OPENSSH64 = re.compile(rb"b3BlbnNzaC1rZXktdjEA")
 OPENSSH = b"openssh-key-v1\x00"
+#: Characters that tell whether a container's first field is sane.
+OPENSSH_HEAD = 120
 #: A keyword is followed by a quote, blanks, then ':' or '='; texts without either need no search.
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 
@@ -124,24 +135,59 @@ def _unhex(raw: bytes) -> bytes | None:
     return binascii.unhexlify(raw) if len(raw) % 2 == 0 else None
 
 
+def _header(run: bytes, at: int) -> dict | None:
+    """The JSON object that run[at:] encodes, blanks around it.
+
+    It is decoded in growing parts, and given up where a part shows that it can't be one: only
+    an object that goes on to the run's end costs as much as the run is long.
+    """
+    size = 64
+    while True:
+        body = decode64(run[at : at + size])
+        if body is None:
+            return None
+        try:
+            if at + size >= len(run):
+                head = json.loads(body)
+                return head if isinstance(head, dict) else None
+            text = body.decode("utf-8", "replace")
+            head, end = JSON.raw_decode(text, len(text) - len(text.lstrip(" \t\r\n")))
+        except json.JSONDecodeError as e:
+            # a part may end in a word, a number or a string
+            if at + size >= len(run) or not e.msg.startswith("Unterminated string") and e.pos < len(text) - PART:
+                return None
+            bare = QUOTED.sub("", text)
+            if bare.count("{") + bare.count("[") - bare.count("}") - bare.count("]") > DEEPEST:
+                return None
+        except (ValueError, RecursionError):
+            return None
+        else:
+            rest = decode64(run[at + size :]) if not text[end:].strip(" \t\r\n") else None
+            return head if rest is not None and not rest.strip(b" \t\r\n") else None
+        size *= 2
+
+
 def _signed(raw: bytes) -> Iterator[tuple[int, int, str]]:
     """Tokens whose header, from any place in its run on, is a JSON object naming an algorithm."""
     upto = 0
     for m in SIGNED.finditer(raw):
         if m.start() < upto or decode64(m[3]) is None:
             continue
-        for x in HEADER.finditer(m[1]):
-            header = m[1][x.start() :]
-            first = decode64(header[:12])
-            if first is None or not OBJECT.match(first) or (body := decode64(header)) is None:
+        run = m[1]
+        blank = [0] * 4  # for each alignment: starts before this differ from one that failed in blanks only
+        for x in HEADER.finditer(run):
+            at = x.start()
+            if at < blank[at % 4]:
                 continue
-            try:
-                head = json.loads(body)
-            except ValueError:
+            first = decode64(run[at : at + 12])
+            if first is None or not OBJECT.match(first):
                 continue
-            if isinstance(head, dict) and isinstance(head.get("alg"), str):
+            blank[at % 4] = BLANKS.match(run, at).end()
+            # from the last group of blanks on it is the same object
+            head = _header(run, max(at, blank[at % 4] - 4))
+            if head is not None and isinstance(head.get("alg"), str):
                 upto = m.end(2)
-                yield m.start() + x.start(), upto, "signed"
+                yield m.start() + at, upto, "signed"
                 break
 
 
@@ -203,7 +249,8 @@ def _keys64(raw: bytes) -> Iterator[tuple[int, int, str]]:
         more = [0, *(g for _, g in gaps)]
         found = list(_keys(run, START64, decode64, 4))
         for x in OPENSSH64.finditer(run):
-            data = decode64(run[x.start() : len(run) - ((len(run) - x.start()) % 4 == 1)])
+            end = min(len(run) - ((len(run) - x.start()) % 4 == 1), x.start() + OPENSSH_HEAD)
+            data = decode64(run[x.start() : end])
             if data is not None and is_key(data):
                 found.append((x.start(), len(run)))
                 break

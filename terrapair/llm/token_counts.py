@@ -4,7 +4,8 @@ The distinct pre-tokens of a slice that a worker hasn't seen are sorted, which i
 trie: a node is a run of rows with a common prefix. The unigram forward pass (the best
 score of any segmentation of a prefix) is computed one depth at a time for all nodes of
 that depth, once per shared prefix; at a pre-token's last character its node holds the
-token count of the best segmentation. Counts are kept in the worker and summed per
+token count of the best segmentation. Tries of fewer than FEW words, as those of very long ones, are walked depth first
+instead, which shares prefixes just so. Counts are kept in the worker and summed per
 document. One scan, no shuffle.
 
 The vocabulary is that of a sentencepiece model; pieces of a model that stores ranks get
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ BYTE_SCORE = -14.0
 #: Tries hold words of up to TIER, 2 TIER, 4 TIER, ... characters, and about CELLS characters each.
 TIER = 48
 CELLS = 1 << 20
+#: Words from which on whole depths at once are faster than one node after the other.
+FEW = 16
 SCHEMA = "doc_id long, n_words long, n_tokens long"
 
 
@@ -98,10 +102,34 @@ class Unigram:
             upto = int(np.searchsorted(tier[order], tier[order[at]], "right"))
             many = max(1, CELLS // (TIER << int(tier[order[at]])))
             rows = order[at : min(upto, at + many)]
-            out[rows] = self._trie([words[i] for i in rows])
+            out[rows] = (self._walk if len(rows) < FEW else self._trie)([words[i] for i in rows])
             at += len(rows)
         return out
 
+    def _walk(self, words: list[str]) -> list[int]:
+        """Counts of sorted words: each goes on from where it parts from the one before."""
+        out, before = [], ""
+        best, count = [0.0], [0]
+        find, longest, worst = self.pieces.get, self.longest, -math.inf
+        for word in words:
+            at = len(commonprefix((before, word)))
+            del best[at + 1 :], count[at + 1 :]
+            for d in range(at + 1, len(word) + 1):
+                most, tokens = worst, 0
+                for n in range(1, min(longest, d) + 1):
+                    s, k = find(word[d - n : d]), 1
+                    if s is None:
+                        if n > 1:
+                            continue
+                        k = len(word[d - 1].encode("utf-8", "replace"))
+                        s = BYTE_SCORE * k
+                    if best[d - n] + s > most:
+                        most, tokens = best[d - n] + s, count[d - n] + k
+                best.append(most), count.append(tokens)
+            out.append(count[-1])
+            before = word
+        return out
+
     def _trie(self, words: list[str]) -> np.ndarray:
         """Counts of sorted words; a node is a run of rows with a common prefix."""
         size = np.fromiter(map(len, words), np.int64, len(words))

@@ -168,3 +168,47 @@ def test_only_moved_vectors_are_transferred(spark):
     state = spark.createDataFrame([(1, [1, 2], 0, 5, 0), (2, [3, 4], 1, 5, 0), (3, [5, 6], 1, 5, -1)], delta_lloyd._STATE)
     out = {r["cluster"]: tuple(r)[1:] for r in delta_lloyd.transfers(state, 2).collect()}
     assert out == {0: (-1, -3, -4), 1: (2, 8, 10)}
+
+
+def test_secrets_of_very_long_runs():
+    """Ten million characters of one run take seconds, whatever looks like a header in it."""
+    import time
+
+    from terrapair.llm import secrets
+
+    rng = random.Random(2)
+    letters = "".join(rng.choices("eICDabcxyzJhbGciOiJ", k=4_000_000))
+    for run in (letters, "ICAg" * 500_000, "eyJhbGci" * 250_000, "b3BlbnNzaC1rZXktdjEA" * 100_000, "eyI6" * 50_000):
+        began = time.time()
+        base, added = secrets.scan(f"{run}.abcd.efgh".encode())
+        assert not added and time.time() - began < 20
+    token = "eyJhbGciOiJIUzI1NiJ9.e30.c2ln"
+    at = len("ICAg" * 1000)
+    assert secrets.scan(("ICAg" * 1000 + token).encode())[1] == [(0, at + len(token), "signed")]
+    assert secrets.scan((letters[:4000] + token).encode())[1][-1][1] == 4000 + len(token)
+
+
+def test_token_counts_of_few_and_long_words(monkeypatch):
+    import time
+
+    from terrapair.llm import token_counts
+    from terrapair.llm.queries import tokenizer_path
+
+    model, rng = token_counts.Unigram(tokenizer_path("piece_bpe_32k.model")), random.Random(6)
+    words = ["".join(rng.choices("abcthe漢字é", k=rng.randint(1, 700))) for _ in range(30)]
+    words += [w + "xx" for w in words] + [w[:50] for w in words]
+    want = [model.count_one(w) for w in words]
+    for few in (0, 16, 1 << 30):
+        monkeypatch.setattr(token_counts, "FEW", few)
+        assert list(model.counts(words)) == want
+    monkeypatch.undo()
+    began = time.time()
+    model.counts(["".join(rng.choices("abcthe漢字é", k=200_000))])
+    assert time.time() - began < 10
+
+
+def test_texts_without_labels_stay(spark):
+    from terrapair.llm import language_id
+
+    df = frame(spark, [(1, "some text"), (2, "some text"), (3, "123"), (4, None)], lang=None)
+    assert got(language_id.keep_identified(df), "doc_id") == [(1,), (2,)]
