@@ -76,9 +76,11 @@ def close(cells: DataFrame, reach: int) -> DataFrame:
     return erode(dilate(cells, reach), reach)
 
 
-def components(cells: DataFrame, store: Callable[[DataFrame], DataFrame] | None = None, max_rounds: int = 200) -> DataFrame:
+def components(cells: DataFrame, store: Callable[[DataFrame], DataFrame] | None = None, max_rounds: int = 200, diagonal: bool = True) -> DataFrame:
     """(grid_row, grid_col, component) of 8-connected cells; a component is its smallest cell key.
 
+    Without `diagonal` cells that share a corner only are not connected.
+
     Horizontal runs are found first with a window over a row, so that the graph has a node a run,
     not a cell; labels then spread over touching runs by minima with path halving. `store`
     cuts the lineage of a round (default checkpoint()).
@@ -93,7 +95,8 @@ def components(cells: DataFrame, store: Callable[[DataFrame], DataFrame] | None
     node = F.col("grid_row").cast("long") * (1 << 32) + F.col("a")
     runs = store(runs.select(node.alias("node"), "grid_row", "a", "b"))
     below = runs.select(F.col("node").alias("other"), (F.col("grid_row") - 1).alias("grid_row"), F.col("a").alias("oa"), F.col("b").alias("ob"))
-    edges = store(runs.join(below, "grid_row").where("oa <= b + 1 and ob >= a - 1").select("node", "other"))
+    touch = "oa <= b + 1 and ob >= a - 1" if diagonal else "oa <= b and ob >= a"
+    edges = store(runs.join(below, "grid_row").where(touch).select("node", "other"))
     both = store(edges.union(edges.select(F.col("other").alias("node"), F.col("node").alias("other"))))
     label = runs.select("node", F.col("node").alias("label"))
     for _ in range(max_rounds):

@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrapair.config import BaselineConfig, SweepConfig
-from terrapair.operators import balance, baseline, matching
+from terrapair.config import BaselineConfig, SweepConfig, TrendConfig
+from terrapair.operators import balance, baseline, matching, trend
 from terrapair.operators.extract import bbox as extract_bbox
 
 FULL = float("inf")
@@ -29,29 +29,46 @@ def tag_extents(donors: DataFrame, box: tuple[float, float, float, float], exten
     return tagged.select(*donors.columns, F.col("_e.extent").alias("extent"), F.col("_e.extent_km").alias("extent_km"))
 
 
-def match_extents(project: DataFrame, donors: DataFrame, covs: Sequence[str], limits: Sequence[matching.Caliper], cls: str, metric: matching.Metric, extents: Sequence[float | str], balanced: Sequence[str], twin: Column) -> DataFrame:
+def match_extents(
+    project: DataFrame, donors: DataFrame, limits: Sequence[matching.Caliper], cls: str, metric: matching.Metric, extents: Sequence[float | str], balanced: Sequence[str],
+    years: Sequence[int] = (), trends: TrendConfig = TrendConfig(), prefix: str = "NDVI_", store: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Metrics of every extent from one matching: n_project, n_donor, n_matched, n_pairs, n_selected, smd_max, twin_compliant.
 
-    Candidates within all calipers are found once, each with the extent that it needs; an extent's pairs are
-    the nearest candidates that it holds. `twin` judges a pair by its p_ and d_ columns.
+    Candidates of the same class and, where both sides have it, tenure within all calipers are found once, each
+    with the extent that it needs; an extent's pairs are the nearest candidates that it holds. With
+    `years`, n_selected and twin_compliant are those of the parallel-trend selection of each extent's pairs
+    from both sides' yearly columns; without, both are null, and criteria that need them fail.
     """
+    store = store or (lambda df: df.checkpoint())
     box = extract_bbox(project)
     spark = project.sparkSession
     known = spark.createDataFrame([(str(e), FULL if e == "full" else float(e)) for e in extents], "extent string, extent_km double")
     donors = donors.withColumn("need", extent_of(F.col("x_utm"), F.col("y_utm"), box))
-    cand = matching.candidates_by_bins(project, donors, limits, cls).withColumn("distance", matching.whitened_distance(metric))
+    tenure = matching.tenure_column(project, donors)
+    cand = matching.candidates_by_bins(project, donors, limits, cls, tenure=tenure).withColumn("distance", matching.whitened_distance(metric))
+    series = [F.col(f"{side}_{prefix}{y}").alias(f"{name}_{prefix}{y}") for y in years for side, name in (("p", "proj"), ("d", "ref"))]
     kept = [f"d_{c}" for c in balanced]
     held = cand.join(F.broadcast(known), F.col("d_need") <= F.col("extent_km"))
-    best = held.groupBy("extent", "p_proj_idx").agg(F.min_by(F.struct(*kept, twin.alias("twin")), F.struct("distance", "d_donor_idx")).alias("pair")).select("extent", "pair.*")
+    best = held.groupBy("extent", F.col("p_proj_idx").alias("proj_idx")).agg(F.min_by(F.struct(*kept, *series), F.struct("distance", "d_donor_idx")).alias("pair")).select("extent", "proj_idx", "pair.*")
+    judged = None
+    if years:
+        best = store(trend.pair_slopes(best, years, trends, prefix))
+        found = trend.group_verdicts(best, "extent", years, trends, "proj_idx", prefix)
+        judged = spark.createDataFrame([(e, v.compliant, v.n_selected) for e, v in found.items()], "extent string, twin_compliant boolean, n_selected long")
     moments = [f(c).alias(f"{k}_{c}") for c in kept for k, f in (("m", F.avg), ("v", F.var_pop))]
-    pairs = best.groupBy("extent").agg(F.count(F.lit(1)).alias("n_matched"), F.count_if("twin").alias("n_selected"), *moments)
+    pairs = best.groupBy("extent").agg(F.count(F.lit(1)).alias("n_matched"), *moments)
     side = project.agg(F.count(F.lit(1)).alias("n_project"), *[f(c).alias(f"{k}_{c}") for c in balanced for k, f in (("pm", F.avg), ("pv", F.var_pop))])
     count = donors.join(F.broadcast(known), F.col("need") <= F.col("extent_km")).groupBy("extent").agg(F.count(F.lit(1)).alias("n_donor"))
     out = count.join(pairs, "extent", "left").crossJoin(side)  # one row
+    if judged is not None:
+        out = out.join(judged, "extent", "left").fillna({"n_selected": 0, "twin_compliant": False})
+    else:
+        out = out.withColumns({"n_selected": F.lit(None).cast("long"), "twin_compliant": F.lit(None).cast("boolean")})
     smd = [balance.difference(F.col(f"pm_{c}"), F.col(f"pv_{c}"), F.col(f"m_d_{c}"), F.col(f"v_d_{c}")) for c in balanced]
     largest = F.round(F.greatest(*smd) if len(smd) > 1 else smd[0], 4)
     matched = F.coalesce("n_matched", F.lit(0))
-    return out.select("extent", "n_project", "n_donor", matched.alias("n_matched"), matched.alias("n_pairs"), F.coalesce("n_selected", F.lit(0)).alias("n_selected"), largest.alias("smd_max"), F.lit(True).alias("twin_compliant"))
+    return out.select("extent", "n_project", "n_donor", matched.alias("n_matched"), matched.alias("n_pairs"), "n_selected", largest.alias("smd_max"), "twin_compliant")
 
 
 def comparison_table(criteria: DataFrame, names: Sequence[str]) -> DataFrame:

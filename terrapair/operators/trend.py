@@ -144,23 +144,20 @@ def _point_sums(columns: Sequence[str], years: Sequence[int], middle: float) ->
     }
 
 
-def prefix_statistics(pairs: DataFrame, sizes: Sequence[int], years: Sequence[int], pair_id: str = "pair_id", prefix: str = "NDVI_") -> DataFrame:
-    """Both tests' statistics of every nested prefix of the valid pairs by slope difference.
-
-    (size, n, mean_diff, sd; n_obs, interaction, se, t). One rank, then one sum for each step from a
-    prefix to the next longer one; their running totals are the prefixes.
-    """
-    sizes = sorted(sizes)
+def _row_sums(years: Sequence[int], prefix: str) -> tuple[dict[str, Column], dict[str, Column]]:
+    """What a pair adds to both tests' sums, and the years that it has a value in."""
     middle = sum(years) / len(years)
     sums = {f"{k}{g}": v for g, side in ((1, "proj"), (0, "ref")) for k, v in _point_sums([f"{side}_{prefix}{y}" for y in years], years, middle).items()}
     seen = {f"y{y}": F.coalesce(finite(F.col(f"proj_{prefix}{y}").cast("double")), finite(F.col(f"ref_{prefix}{y}").cast("double"))).isNotNull().cast("int") for y in years}
-    valid = pairs.where("ols_valid").select("slope_diff", pair_id, (F.col("proj_slope") - F.col("ref_slope")).alias("d"), *[v.alias(k) for k, v in (sums | seen).items()])
-    ranked = global_rank(valid, "slope_diff", pair_id)
-    step = F.array_min(F.filter(F.array(*map(F.lit, sizes)), lambda k: k >= F.col("rank")))
-    parts = ranked.withColumn("size", step).where("size is not null").groupBy("size")
-    parts = parts.agg(F.count("d").alias("c"), F.sum("d").alias("s"), F.sum(F.col("d") * F.col("d")).alias("q"), *[F.sum(k).alias(k) for k in sums], *[F.max(k).alias(k) for k in seen])
-    upto = Window.orderBy("size").rowsBetween(Window.unboundedPreceding, 0)  # a row for each size
-    parts = parts.select("size", *[F.sum(c).over(upto).alias(c) for c in ("c", "s", "q", *sums)], *[F.max(c).over(upto).alias(c) for c in seen])
+    return sums, seen
+
+
+def _summed(sums: Sequence[str], seen: Sequence[str]) -> list[Column]:
+    return [F.count("d").alias("c"), F.sum("d").alias("s"), F.sum(F.col("d") * F.col("d")).alias("q"), *[F.sum(k).alias(k) for k in sums], *[F.max(k).alias(k) for k in seen]]
+
+
+def _statistics(parts: DataFrame, seen: Sequence[str], *keys: str) -> DataFrame:
+    """(*keys, n, mean_diff, sd; n_obs, interaction, se, t) from the sums of each set of pairs."""
     c = F.col
     var = F.greatest(c("q") - c("s") * c("s") / c("c"), F.lit(0.0)) / (c("c") - 1)
     sxx, sxy, syy = ([c(f"{a}{b}{g}") - c(f"{a}{g}") * c(f"{b}{g}") / c(f"n{g}") for g in (0, 1)] for a, b in ("xx", "xy", "yy"))
@@ -170,10 +167,60 @@ def prefix_statistics(pairs: DataFrame, sizes: Sequence[int], years: Sequence[in
     sse = [F.greatest(syy[g] - sxy[g] * sxy[g] / sxx[g], F.lit(0.0)) for g in (0, 1)]
     se = F.when(ok, F.greatest(F.sqrt((sse[0] + sse[1]) / (n - 4) * (F.lit(1.0) / sxx[0] + F.lit(1.0) / sxx[1])), F.lit(SE_LEAST)))
     return parts.select(
-        "size", c("c").alias("n"), (c("s") / c("c")).alias("mean_diff"), F.when(c("c") > 1, F.sqrt(var)).alias("sd"), n.cast("long").alias("n_obs"), beta.alias("interaction"), se.alias("se"), (beta / se).alias("t")
+        *keys, c("c").alias("n"), F.when(c("c") > 0, c("s") / c("c")).alias("mean_diff"), F.when(c("c") > 1, F.sqrt(var)).alias("sd"), n.cast("long").alias("n_obs"), beta.alias("interaction"), se.alias("se"), (beta / se).alias("t")
     )
 
 
+def prefix_statistics(pairs: DataFrame, sizes: Sequence[int], years: Sequence[int], pair_id: str = "pair_id", prefix: str = "NDVI_") -> DataFrame:
+    """Both tests' statistics of every nested prefix of the valid pairs by slope difference.
+
+    (size, n, mean_diff, sd; n_obs, interaction, se, t). One rank, then one sum for each step from a
+    prefix to the next longer one; their running totals are the prefixes.
+    """
+    sizes = sorted(sizes)
+    sums, seen = _row_sums(years, prefix)
+    valid = pairs.where("ols_valid").select("slope_diff", pair_id, (F.col("proj_slope") - F.col("ref_slope")).alias("d"), *[v.alias(k) for k, v in (sums | seen).items()])
+    ranked = global_rank(valid, "slope_diff", pair_id)
+    step = F.array_min(F.filter(F.array(*map(F.lit, sizes)), lambda k: k >= F.col("rank")))
+    parts = ranked.withColumn("size", step).where("size is not null").groupBy("size").agg(*_summed(sums, seen))
+    upto = Window.orderBy("size").rowsBetween(Window.unboundedPreceding, 0)  # a row for each size
+    parts = parts.select("size", *[F.sum(c).over(upto).alias(c) for c in ("c", "s", "q", *sums)], *[F.max(c).over(upto).alias(c) for c in seen])
+    return _statistics(parts, list(seen), "size")
+
+
+@dataclass(frozen=True)
+class Verdict:
+    """Whether a group's pairs are parallel in aggregate, and how many of them are selected."""
+
+    compliant: bool
+    n_selected: int
+
+
+def group_verdicts(pairs: DataFrame, by: str, years: Sequence[int], cfg: TrendConfig = TrendConfig(), pair_id: str = "pair_id", prefix: str = "NDVI_") -> dict[str, Verdict]:
+    """`select_parallel`'s verdict on each of a handful of groups of `pairs` (after `pair_slopes`).
+
+    The first set of pairs of every group is tested in one grouped sum; only groups that fail it go
+    through their prefixes.
+    """
+    sums, seen = _row_sums(years, prefix)
+    rows = pairs.select(by, pair_id, "ols_valid", F.coalesce(F.col("ols_valid") & F.col("pair_slope_ok"), F.lit(False)).alias("fits"), F.when(F.col("ols_valid"), F.col("proj_slope") - F.col("ref_slope")).alias("d"), *[v.alias(k) for k, v in (sums | seen).items()])
+    # both sets that may come first: the pairs within the threshold, and all valid ones
+    sets = F.array(F.when(F.col("fits"), F.lit("fits")), F.when(F.col("ols_valid"), F.lit("valid")), F.lit("all"))
+    parts = rows.withColumn("_set", F.explode(F.array_compact(sets))).groupBy(by, "_set").agg(F.count(F.lit(1)).alias("rows"), *_summed(sums, seen))
+    found = {(r[by], r["_set"]): r for r in _statistics(parts, list(seen), by, "_set", "rows").collect()}  # three rows a group
+    out = {}
+    for g in {g for g, _ in found}:
+        n = found[g, "all"]["rows"]
+        fits = found.get((g, "fits"))
+        base = fits if fits is not None and fits["rows"] >= least_pairs(n, cfg) else found.get((g, "valid"))
+        if base is not None and _paired(base, cfg).passed and _interaction(base, cfg).passed:
+            out[g] = Verdict(True, base["n"])
+        else:
+            s = select_parallel(pairs.where(F.col(by) == g), years, cfg, pair_id, prefix)
+            out[g] = Verdict(s.compliant, s.n_selected)
+    return out
+
+
 def _interaction(r: Row, cfg: TrendConfig) -> Test:
     if r["t"] is None:
         return Test(int(r["n_obs"] or 0), r["interaction"], None, None, False)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrapair.config import AreaConfig, BaselineConfig, CarbonSpec, SweepConfig
-from terrapair.operators import area, baseline, carbon, extract, sweep
+from terrapair.config import AreaConfig, BaselineConfig, CarbonSpec
+from terrapair.operators import area, baseline, carbon, sweep
 from terrapair.plans.registry import CELLS_SQL, GRID, cells, query, r6, table
 
 AREA_HA, YEARS = 15713.91, 6
@@ -166,36 +166,6 @@ def carbon_table_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("c_custkey", carbon.delta_column(out, YEARS).alias("d")).select("c_custkey", r6("d", "deltaC_tC_ha_yr", 4))
 
 
-EXTENTS = SweepConfig().extents
-_BOX = "b as (select min(x_utm) x0, max(x_utm) x1, min(y_utm) y0, max(y_utm) y1 from c where grid_col between 40 and 60 and grid_row < 20)"
-_SWEEP = f"""c as ({CELLS_SQL}), {_BOX}, p as (select count(*) n_project from c where grid_col between 40 and 60 and grid_row < 20),
-e as (select * from (values ('full', 1e300), ('5', 5e0), ('10', 10e0), ('20', 20e0), ('30', 30e0)) e(extent, km)),
-n as (select extent, count(*) n_donor from c, b, e where l_returnflag <> 'R' and greatest(x0 - x_utm, x_utm - x1, y0 - y_utm, y_utm - y1, 0) / 1e3 <= km group by 1),
-m as (select extent, n_project, n_donor, least(n_project, n_donor // 20) as n_matched, n_donor / n_project::double as ratio, 1e-2 + 1e0 / sqrt(n_donor) as smd_max from n, p),
-k as (select extent, n_project, n_donor, n_matched, round(ratio, 2) as ratio, round(n_matched / n_project::double * 100, 2) as match_coverage_pct, ratio >= 3 as ok_ratio, n_matched / n_project::double * 100 >= 90 as ok_match, smd_max <= 1e-1 as ok_smd,
-ratio >= 3 and n_matched / n_project::double * 100 >= 90 and smd_max <= 1e-1 as all_sufficient from m)"""
-
-
-def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = cells(spark, sf_dir, "l_returnflag")
-    project = c.where("grid_col between 40 and 60 and grid_row < 20")
-    box = extract.bbox(project) or (0.0, 0.0, 0.0, 0.0)
-    tagged = sweep.tag_extents(c.where("l_returnflag <> 'R'"), box, EXTENTS)
-    n = tagged.groupBy("extent").agg(F.count(F.lit(1)).alias("n_donor")).crossJoin(project.agg(F.count(F.lit(1)).alias("n_project")))
-    n = n.withColumns({"n_matched": F.least("n_project", F.floor(F.col("n_donor") / 20)), "smd_max": F.lit(0.01) + F.lit(1.0) / F.sqrt("n_donor"), "twin_compliant": F.lit(True)})
-    return sweep.extent_criteria(n.withColumns({"n_pairs": F.col("n_matched"), "n_selected": F.col("n_matched")}))
-
-
-@query(f"with {_SWEEP} select * from k")
-def extent_sweep_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metrics(spark, sf_dir).select("extent", "n_project", "n_donor", "n_matched", "ratio", "match_coverage_pct", "ok_ratio", "ok_match", "ok_smd", "all_sufficient")
-
-
-@query(f"with {_SWEEP} select extent, n_donor from k where all_sufficient order by case extent when 'full' then 1e300 else try_cast(extent as double) end limit 1")
-def min_sufficient_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sweep.minimum_extent(_metrics(spark, sf_dir)).select("extent", "n_donor")
-
-
 SOURCES = ("A", "N", "R")
 PERIODS = tuple((1995, y) for y in range(1996, 2001))
 

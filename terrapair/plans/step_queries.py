@@ -302,13 +302,16 @@ _EXTENT = f"""{m._SIDES}, stats as (select {m._STATS} from pool), tol as (select
 box as (select min(p_partkey * 3e1) x0, max(p_partkey * 3e1) x1 from proj where p_partkey < 400), pr as (select * from proj where p_partkey < 400),
 dd as (select d.*, greatest(x0 - d.p_partkey * 3e1, d.p_partkey * 3e1 - x1, 0) / 1e3 as need from don d, box), e as (select * from {_KM}),
 c as (select p.p_partkey as proj_idx, d.p_partkey as donor_idx, d.need, {m._DIST} as distance, d.p_retailprice, d.p_size, p.p_retailprice as pp, p.p_size as ps from pr p join dd d on p.cls = d.cls, stats, tol where abs(d.p_retailprice - p.p_retailprice) <= t and abs(d.p_size - p.p_size) <= 10 and abs(d.elev - p.elev) <= 20),
-best as (select extent, c.* from c, e where need <= km qualify row_number() over (partition by extent, proj_idx order by distance, donor_idx) = 1),
+best as (select extent, c.*, (((proj_idx * 31) % 101) - ((donor_idx * 31) % 101)) * 4e-5 as sd, ((proj_idx * 31) % 101 - 50) * 4e-5 as sp, ((donor_idx * 31) % 101 - 50) * 4e-5 as sr from c, e where need <= km qualify row_number() over (partition by extent, proj_idx order by distance, donor_idx) = 1),
+tests as (select extent, count(*) n_ok, avg(sd) / (stddev_samp(sd) / sqrt(count(*))) as t, (avg(sp) - avg(sr)) / sqrt(10e0 * count(*) * (var_pop(sp) + var_pop(sr)) / (10e0 * count(*) - 4) * 2 / (10e0 * count(*))) as ti from best group by 1),
 side as (select avg(p_size) mp, var_pop(p_size) vp, count(*) n_project from pr),
-mm as (select extent, count(*) n_matched, count(*) filter (where abs(p_retailprice - pp) <= 1e1) n_selected, avg(p_size) mr, var_pop(p_size) vr from best group by 1),
+mm as (select extent, count(*) n_matched, any_value(n_ok) n_selected, any_value(abs(t) < 1.96e0 and abs(ti) < 1.96e0 and n_ok >= 30) compliant, avg(p_size) mr, var_pop(p_size) vr from best left join tests using (extent) group by 1),
 dn as (select extent, count(*) n_donor from dd, e where need <= km group by 1),
-k as (select extent, n_project, n_donor, coalesce(n_matched, 0) n_matched, coalesce(n_selected, 0) n_selected, abs(mp - mr) / sqrt((vp + vr) / 2) as smd from dn left join mm using (extent), side),
+k as (select extent, n_project, n_donor, coalesce(n_matched, 0) n_matched, coalesce(n_selected, 0) n_selected, coalesce(compliant, false) as ok_compliant, abs(mp - mr) / sqrt((vp + vr) / 2) as smd from dn left join mm using (extent), side),
 o as (select *, n_donor / n_project::double >= 3 as ok_ratio, coalesce(n_matched / n_project::double * 100 >= 50, false) as ok_match, coalesce(n_selected / greatest(n_matched, 1)::double * 100 >= 30, false) as ok_twin, coalesce(round(smd, 4) <= 5e-1, false) as ok_smd from k)"""
+_ALL = "ok_ratio and ok_match and ok_twin and ok_smd and ok_compliant"
 _SWEEP = SweepConfig(coverage_pct=50.0, smd=0.5)
+_YEARS = (2013, 2014, 2015, 2016, 2017)
 
 
 def _extent_criteria(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,21 +320,34 @@ def _extent_criteria(spark: SparkSession, sf_dir: str) -> DataFrame:
     limits = m.limits(project)
     place = lambda df, c: df.withColumns({"x_utm": F.col(c) * 30.0, "y_utm": F.lit(0.0)})
     project, donors = place(project.where("proj_idx < 400"), "proj_idx"), place(donors, "donor_idx")
-    metrics = sweep.match_extents(project, donors, m.COVS, limits, "cls", metric, _SWEEP.extents, ["p_size"], F.abs(F.col("d_p_retailprice") - F.col("p_p_retailprice")) <= 10)
+    # yearly values on lines of slopes that no covariate tells
+    line = lambda df, c: df.withColumns({f"NDVI_{y}": F.lit(0.4) + (F.col(c) * 31 % 101 - 50) * 4e-5 * (y - 2015) for y in _YEARS})
+    metrics = sweep.match_extents(line(project, "proj_idx"), line(donors, "donor_idx"), limits, "cls", metric, _SWEEP.extents, ["p_size"], _YEARS)
     return sweep.extent_criteria(metrics, _SWEEP)
 
 
-@query(f"with {_EXTENT} select extent, n_project, n_donor, n_matched, n_selected, round(smd, 4) as smd_max, ok_ratio, ok_match, ok_twin, ok_smd, ok_ratio and ok_match and ok_twin and ok_smd as all_sufficient from o")
+@query(f"with {_EXTENT} select extent, n_project, n_donor, n_matched, n_selected, round(smd, 4) as smd_max, ok_ratio, ok_match, ok_twin, ok_smd, ok_compliant, {_ALL} as all_sufficient from o")
 def extent_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matching, balance and twin share of all extents in one plan."""
-    return _extent_criteria(spark, sf_dir).select("extent", "n_project", "n_donor", "n_matched", "n_selected", "smd_max", "ok_ratio", "ok_match", "ok_twin", "ok_smd", "all_sufficient")
+    return _extent_criteria(spark, sf_dir).select("extent", "n_project", "n_donor", "n_matched", "n_selected", "smd_max", "ok_ratio", "ok_match", "ok_twin", "ok_smd", "ok_compliant", "all_sufficient")
+
+
+@query(f"with {_EXTENT} select extent, n_project, n_donor, n_matched, round(n_donor / n_project::double, 2) as ratio, round(n_matched / n_project::double * 100, 2) as match_coverage_pct, round(n_selected / greatest(n_matched, 1)::double * 100, 2) as twin_pct, {_ALL} as all_sufficient from o")
+def extent_sweep_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures that the criteria of the extents are held against."""
+    return _extent_criteria(spark, sf_dir).select("extent", "n_project", "n_donor", "n_matched", "ratio", "match_coverage_pct", "twin_pct", "all_sufficient")
+
+
+@query(f"with {_EXTENT} select extent, n_donor from o where {_ALL} order by case extent when 'full' then 1e300 else try_cast(extent as double) end limit 1")
+def min_sufficient_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sweep.minimum_extent(_extent_criteria(spark, sf_dir)).select("extent", "n_donor")
 
 
 @query(f"""
-with {_EXTENT} select criterion, x.extent, case when ok then 'PASS' else 'FAIL' end as cell from o, lateral (values ('ok_ratio', ok_ratio), ('ok_match', ok_match), ('ok_twin', ok_twin), ('ok_smd', ok_smd), ('all_sufficient', ok_ratio and ok_match and ok_twin and ok_smd)) c(criterion, ok), lateral (select o.extent) x(extent)""")
+with {_EXTENT} select criterion, x.extent, case when ok then 'PASS' else 'FAIL' end as cell from o, lateral (values ('ok_ratio', ok_ratio), ('ok_match', ok_match), ('ok_twin', ok_twin), ('ok_smd', ok_smd), ('ok_compliant', ok_compliant), ('all_sufficient', {_ALL})) c(criterion, ok), lateral (select o.extent) x(extent)""")
 def extent_comparison_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The comparison's cells: passed or failed, by criterion and extent."""
-    return sweep.comparison_table(_extent_criteria(spark, sf_dir), ("ok_ratio", "ok_match", "ok_twin", "ok_smd", "all_sufficient"))
+    return sweep.comparison_table(_extent_criteria(spark, sf_dir), ("ok_ratio", "ok_match", "ok_twin", "ok_smd", "ok_compliant", "all_sufficient"))
 
 
 @query("""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -75,22 +76,65 @@ def find_tiles(spark: SparkSession, folders: Sequence[str], pattern: str) -> lis
     return sorted(found)
 
 
+def _uri(spark: SparkSession, path: str) -> str:
+    """A path with its file system, written in one way."""
+    fs, p = _fs(spark, path)
+    return re.sub(r"^(\w+):/+", r"\1:/", fs.makeQualified(p).toUri().toString())
+
+
+def tile_name(path: str) -> str:
+    """A tile's file or folder name without its kind."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    return re.sub(r"\.(parquet|csv|json)$", "", name, flags=re.IGNORECASE)
+
+
+def _merged(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
+    """The tiles in as few scans as their schemas allow: one where these can be merged."""
+    if not all(".parquet" in p.lower() or "." not in p.rstrip("/").rsplit("/", 1)[-1] for p in paths):
+        return [load(spark, p) for p in paths]
+    every = spark.read.option("mergeSchema", True)
+    try:
+        return [clean(every.parquet(*paths))]
+    except Exception as e:  # bands of one name whose types differ
+        if "CANNOT_MERGE_SCHEMAS" not in str(e):
+            raise
+    kinds: dict[str, list[str]] = {}
+    for p in paths:
+        kinds.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
+    return [clean(every.parquet(*group)) for group in kinds.values()]
+
+
 def load_tiles(spark: SparkSession, paths: Sequence[str], keys: Sequence[str] = ("x_utm", "y_utm")) -> DataFrame:
     """Tiles as one pixel table: union with missing bands as nulls; of repeated positions the
-    first tile's first cell counts."""
+    first cell of the tile that `paths` lists first counts.
+
+    A tile without `source_tile` values is named after its file or folder; equal names get their parent
+    folder's before them. Bands of unequal numeric types become doubles.
+    """
     from terrapair.operators.extract import first_per_key
 
     if not paths:
         raise FileNotFoundError("no tiles")
-    # one scan over all files: bands that a tile lacks are null, a tile without a name gets its file's
-    if all(".parquet" in p.lower() or "." not in p.rsplit("/", 1)[-1] for p in paths):
-        every = clean(spark.read.option("mergeSchema", True).parquet(*paths))
-    else:
-        every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [load(spark, p) for p in paths])
-    named = F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[A-Za-z]+)?/[^/]*$", 1)
-    every = every.withColumn("source_tile", F.coalesce("source_tile", named) if "source_tile" in every.columns else named)
-    order = [c for c in ("source_tile", "grid_row", "grid_col") if c in every.columns]
-    return first_per_key(every, keys, order)
+    paths = list(dict.fromkeys(paths))
+    names = [tile_name(p) for p in paths]
+    names = [n if names.count(n) == 1 else "/".join([*p.rstrip("/").split("/")[-2:-1], n]) for n, p in zip(names, paths)]
+    parts = [x.select("*", F.col("_metadata.file_path").alias("_file")) for x in _merged(spark, paths)]
+    kinds: dict[str, set[str]] = {}
+    for x in parts:
+        for c, t in x.dtypes:
+            kinds.setdefault(c, set()).add(t)
+    numbers = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    wide = {c for c, t in kinds.items() if len(t) > 1 and t <= numbers}
+    parts = [x.withColumns({c: F.col(f"`{c}`").cast("double") for c in wide & set(x.columns)}) for x in parts]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    # the driver's own listing says which tile a file belongs to
+    tiles = sorted(((_uri(spark, p).rstrip("/"), i, n) for i, (p, n) in enumerate(zip(paths, names))), reverse=True)
+    files = [(_uri(spark, f), *next((i, n) for t, i, n in tiles if f"{_uri(spark, f)}/".startswith(f"{t}/"))) for x in parts for f in x.inputFiles()]
+    listed = spark.createDataFrame(files, "_file string, _at int, _name string")
+    every = every.withColumn("_file", F.regexp_replace("_file", r"^(\w+):/+", "$1:/")).join(listed, "_file").drop("_file")
+    every = every.withColumn("source_tile", F.coalesce("source_tile", "_name") if "source_tile" in every.columns else F.col("_name")).drop("_name")
+    order = ["_at", *(c for c in ("source_tile", "grid_row", "grid_col") if c in every.columns)]
+    return first_per_key(every, keys, order).drop("_at")
 
 
 def write_json(spark: SparkSession, path: str, obj: dict) -> None:
