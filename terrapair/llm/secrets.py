@@ -3,7 +3,7 @@
 Base patterns find assignments, access ids and long hex runs. Candidates that look
 like encodings are then *decoded* and parsed: base64, hex and PEM bodies must hold a
 DER key structure whose nested lengths add up (or an OpenSSH key container), signed
-tokens must have a JSON header naming an algorithm. Only confirmed structures add spans.
+tokens must have a JSON header naming an algorithm (nested DEEPEST levels at most). Only confirmed structures add spans.
 One narrow scan; no shuffle.
 
 Defined cases: a null or empty text has no spans and the digest of the empty string; a
