@@ -118,7 +118,7 @@ class _Reader(DataSourceReader):
     def partitions(self) -> list[_Stretch]:
         index = self._index()
         if not len(index):
-            return []
+            return [_Stretch(0, 0)]
         upto = np.cumsum(index[:, 1] + 8)
         cuts = np.unique([0, *np.searchsorted(upto, np.arange(self.split, upto[-1], self.split)), len(index)])
         return [_Stretch(a, b) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
@@ -251,7 +251,7 @@ def load_attributes(spark: SparkSession, path: str) -> DataFrame:
                 fields, rows = read_attributes(raw.as_py())
                 for at in range(0, len(rows), 10_000):
                     have = [(at + i, r) for i, r in enumerate(rows[at : at + 10_000]) if r is not None]
-                    maps = [[(f, None if v is None else f"{v:g}" if isinstance(v, float) else str(v)) for (f, _), v in zip(fields, r)] for _, r in have]
+                    maps = [[(f, None if v is None else f"{v:.0f}" if isinstance(v, float) and v.is_integer() else str(v)) for (f, _), v in zip(fields, r)] for _, r in have]
                     yield pa.record_batch([pa.array([i for i, _ in have], pa.int64()), pa.array(maps, kind)], names=["poly_id", "values"])
 
     files = spark.read.format("binaryFile").load(f"{base}.dbf").select("content")
@@ -371,6 +371,6 @@ def save_edges(edges: DataFrame, path: str, crs: str = "", mode: str = "overwrit
     """Write polygons to a shapefile at a path that the driver and all executors can open."""
     spark = edges.sparkSession
     spark.dataSource.register(ShapefileSource)
-    rows = edges.select(*(F.col(x.split()[0]).cast(x.split()[1]) for x in EDGES.split(", ")))
+    rows = edges.select(*(F.col(c).cast("long") for c in ("poly_id", "ring_id", "edge_id")), *(F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1")))
     rows = rows.repartitionByRange("poly_id").sortWithinPartitions("poly_id", "ring_id", "edge_id")
     rows.write.format("shapefile").mode(mode).option("path", path).option("crs", crs).save()

@@ -144,8 +144,8 @@ def test_shapefile_round_trip(spark, vertices, tmp_path):
     assert names == ["mask.dbf", "mask.prj", "mask.shp", "mask.shx"]
     back = shapefile.load_mask(spark, f"{tmp_path}/out/mask.shp", "EPSG:32734")
     assert burned(back) == mask()
-    ids = [int(r["values"]["POLY_ID"].split(".")[0]) if "e" not in r["values"]["POLY_ID"] else float(r["values"]["POLY_ID"]) for r in shapefile.load_attributes(spark, f"{tmp_path}/out/mask.shp").collect()]
-    assert len(ids) == len(four_connected(mask()))
+    ids = {int(r["values"]["POLY_ID"]) for r in shapefile.load_attributes(spark, f"{tmp_path}/out/mask.shp").collect()}
+    assert ids == {r["part"] for r in vertices.collect()}
     shapefile.save_edges(edges.limit(0), f"{tmp_path}/out/empty.shp", "EPSG:4326")
     assert shapefile.load_edges(spark, f"{tmp_path}/out/empty.shp").count() == 0
     assert shapefile.read_crs(spark, f"{tmp_path}/out/empty.shp") == "EPSG:4326"
@@ -164,3 +164,69 @@ def test_projection_files(spark, tmp_path):
     first = shapefile.load_edges(spark, f"{tmp_path}/a.shp").collect()
     assert np.allclose([tuple(r) for r in sorted(again)], [tuple(r) for r in sorted(first)], atol=1e-3)
     assert abs(there.agg({"x0": "min"}).first()[0] - 21.0) < 1e-9
+
+
+def closed(poly, ring, points):
+    return [(poly, ring, i, *a, *b) for i, (a, b) in enumerate(zip(points, points[1:] + points[:1]))]
+
+
+def cross(a, b, c):
+    return (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+
+
+def crossing(p, q):
+    """Do two edges meet anywhere but in a common end?"""
+    if {p[:2], p[2:]} & {q[:2], q[2:]}:
+        return False
+    a, b, c, d = cross(p[:2], p[2:], q[:2]), cross(p[:2], p[2:], q[2:]), cross(q[:2], q[2:], p[:2]), cross(q[:2], q[2:], p[2:])
+    return a * b < -1e-3 and c * d < -1e-3
+
+
+EDGES = "poly_id long, ring_id int, edge_id int, x0 double, y0 double, x1 double, y1 double"
+
+
+def broken():
+    rng = random.Random(8)
+    bow = closed(1, 0, [(0.0, 0.0), (200.0, 200.0), (200.0, 0.0), (0.0, 200.0)])
+    over = closed(2, 0, [(0.0, 0.0), (300.0, 0.0), (300.0, 300.0), (0.0, 300.0)]) + closed(2, 1, [(150.0, 150.0), (450.0, 150.0), (450.0, 450.0), (150.0, 450.0)])
+    spike = closed(3, 0, [(0.0, 0.0), (100.0, 0.0), (100.0, 100.0), (100.0, 260.0), (100.0, 100.0), (0.0, 100.0)])
+    touch = closed(4, 0, [(0.0, 0.0), (300.0, 0.0), (300.0, 300.0), (0.0, 300.0)]) + closed(4, 1, [(0.0, 0.0), (100.0, 200.0), (200.0, 100.0)])
+    same = closed(5, 0, [(0.0, 0.0), (90.0, 0.0), (90.0, 90.0)]) + closed(5, 1, [(90.0, 90.0), (90.0, 0.0), (0.0, 0.0)])
+    star = [r for k in range(6, 12) for r in closed(k, 0, [(float(rng.randint(0, 600)), float(rng.randint(0, 600))) for _ in range(k + 3)])]
+    nested = closed(20, 0, [(0.0, 0.0), (400.0, 0.0), (400.0, 400.0), (0.0, 400.0)]) + closed(20, 1, [(50.0, 50.0), (350.0, 50.0), (350.0, 350.0), (50.0, 350.0)]) + closed(20, 2, [(100.0, 100.0), (300.0, 100.0), (300.0, 300.0), (100.0, 300.0)])
+    odd = [(1, 9, 0, 5.0, 5.0, 5.0, 5.0), (2, 9, 0, None, 1.0, 2.0, 2.0), (2, 9, 1, float("nan"), 1.0, 2.0, 2.0)]
+    return bow + over + spike + touch + same + star + nested + odd
+
+
+def test_repair_keeps_the_interior(spark):
+    """The cells inside by the even-odd rule stay; rings don't cross; shells are counter-clockwise."""
+    from terrapair.operators import validity
+
+    df = spark.createDataFrame(broken(), EDGES)
+    store = shared_store(spark)
+    out = store(validity.repair(df, store))
+    fine = Grid(x0=-3.3, y0=703.7, dx=7.0, dy=7.0)
+    spans = lambda e: {(r["poly_id"], r["grid_row"], c) for r in raster.edge_spans(e, fine).collect() for c in range(r["col_start"], r["col_end"] + 1)}
+    assert spans(out) == spans(df.where("x0 is not null and not isnan(x0)"))
+    rows = [tuple(r) for r in out.collect()]
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r[0], r[1]].append(r[2:])
+    area = collections.Counter()
+    for (poly, _), ring in by.items():
+        ring.sort()
+        assert [r[0] for r in ring] == list(range(len(ring))) and all(a[3:] == b[1:3] for a, b in zip(ring, ring[1:] + ring[:1]))
+        assert len({r[1:3] for r in ring}) == len(ring)
+        area[poly] += sum(r[1] * r[4] - r[3] * r[2] for r in ring) / 2
+    for poly in {r[0] for r in rows}:
+        mine = [r[3:] for r in rows if r[0] == poly]
+        assert not any(crossing(a, b) for i, a in enumerate(mine) for b in mine[:i])
+    assert (area[1], area[2], area[3], area[20]) == (20000.0, 2 * 90000.0 - 2 * 150.0**2, 10000.0, 160000.0 - 90000.0 + 40000.0)
+    assert area[4] == 90000.0 - 15000.0 and 5 not in area
+    assert len({k for k in by if k[0] == 1}) == 2 and len({k for k in by if k[0] == 4}) == 2 and len({k for k in by if k[0] == 20}) == 3
+
+
+def test_repair_of_nothing(spark):
+    from terrapair.operators import validity
+
+    assert validity.repair(spark.createDataFrame([], EDGES), shared_store(spark)).count() == 0
