@@ -180,3 +180,117 @@ def polygon_wkt(vertices: DataFrame, poly_id: str = "component") -> DataFrame:
     body = F.concat(F.lit("("), F.array_join(F.transform("rs", lambda v: v["t"]), ", "), F.lit(")"))
     out = parts.groupBy(poly_id).agg(F.count(F.lit(1)).alias("n_parts"), F.sum("holes").alias("n_holes"), F.array_sort(F.collect_list(F.struct("part", body.alias("b")))).alias("bs"))
     return out.select(poly_id, "n_parts", "n_holes", F.concat(F.lit("MULTIPOLYGON ("), F.array_join(F.transform("bs", lambda v: v["b"]), ", "), F.lit(")")).alias("wkt"))
+
+
+def _chord() -> Column:
+    """Distance of (x, y) to the chord (ax, ay) - (bx, by), the same for both directions."""
+    turned = F.struct("ax", "ay") > F.struct("bx", "by")
+    px, py = F.when(turned, F.col("bx")).otherwise(F.col("ax")), F.when(turned, F.col("by")).otherwise(F.col("ay"))
+    qx, qy = F.when(turned, F.col("ax")).otherwise(F.col("bx")), F.when(turned, F.col("ay")).otherwise(F.col("by"))
+    dx, dy = qx - px, qy - py
+    n = dx * dx + dy * dy
+    t = F.when(n > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((F.col("x") - px) * dx + (F.col("y") - py) * dy) / n))).otherwise(F.lit(0.0))
+    return F.sqrt(F.pow(F.col("x") - px - t * dx, F.lit(2)) + F.pow(F.col("y") - py - t * dy, F.lit(2)))
+
+
+def _farthest(rows: DataFrame) -> DataFrame:
+    """Per open piece (poly_id, ring_id, lo): its farthest corner from the chord."""
+    return rows.groupBy("poly_id", "ring_id", "lo").agg(F.max(F.struct(_chord().alias("d"), "x", "y", "pos")).alias("f"))
+
+
+def _parted(rows: DataFrame, at: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(corners that are kept now, the others in their new pieces): pieces are cut at `at`."""
+    both = rows.join(at.select("poly_id", "ring_id", "lo", F.col("f.pos").alias("fp"), F.col("f.x").alias("fx"), F.col("f.y").alias("fy")), ["poly_id", "ring_id", "lo"])
+    before = F.col("pos") < F.col("fp")
+    kept = both.where("pos = fp").select("poly_id", "ring_id", "pos", "x", "y")
+    pick = lambda a, b: F.when(before, a).otherwise(b)
+    rest = both.where("pos <> fp").select(
+        "poly_id", "ring_id", "pos", "x", "y", pick(F.col("lo"), F.col("fp")).alias("lo"), pick(F.col("fp"), F.col("hi")).alias("hi"),
+        pick(F.col("ax"), F.col("fx")).alias("ax"), pick(F.col("ay"), F.col("fy")).alias("ay"), pick(F.col("fx"), F.col("bx")).alias("bx"), pick(F.col("fy"), F.col("by")).alias("by"),
+    )
+    return kept, rest
+
+
+def _closed(kept: DataFrame) -> DataFrame:
+    """Edges between the kept corners of each ring, by their places."""
+    w = Window.partitionBy("poly_id", "ring_id").orderBy("pos")
+    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    after = lambda c: F.coalesce(F.lead(c).over(w), F.first(c).over(every))
+    return kept.select("poly_id", "ring_id", "pos", F.col("x").alias("x0"), F.col("y").alias("y0"), after("x").alias("x1"), after("y").alias("y1"))
+
+
+def simplify(edges: DataFrame, tolerance: float, store: Store = _checkpointed) -> DataFrame:
+    """Douglas-Peucker of all rings of (poly_id, ring_id, edge_id, x0, y0, x1, y1) at once, keeping their topology.
+
+    A round finds the farthest corner of every open piece of every ring by one aggregate and cuts or
+    closes the piece. Corners where more than two outlines meet stay, distances and ties don't depend on the
+    direction, so an edge that two polygons share is simplified alike in both. Pieces that would cross others
+    afterwards are cut on at their farthest corners until nothing crosses. A ring keeps three corners at
+    least; rings must be simple (see `validity.repair`). Edges must be numbered from 0 along their ring.
+    """
+    from terrapair.operators import validity
+
+    ring = ["poly_id", "ring_id"]
+    if tolerance <= 0:
+        return edges
+    corners = store(edges.select(*ring, F.col("edge_id").cast("long").alias("pos"), F.col("x0").alias("x"), F.col("y0").alias("y")))
+    ways = edges.select(F.struct("x0", "y0").alias("v"), F.struct("x1", "y1").alias("w")).union(edges.select(F.struct("x1", "y1"), F.struct("x0", "y0")))
+    nodes = ways.distinct().groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n <> 2").select("v.*").toDF("x", "y")
+    fixed = corners.join(nodes, ["x", "y"], "left_semi").select(*corners.columns)
+    # the anchors of rings with one fixed corner or none: that one or the least, and the farthest from it
+    first = corners.groupBy(*ring).agg(F.min(F.struct("x", "y", "pos")).alias("m"), F.count(F.lit(1)).alias("n"))
+    have = fixed.groupBy(*ring).agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("x", "y", "pos")).alias("h"))
+    anchors = store(first.join(have, ring, "left").select(*ring, "n", F.coalesce("k", F.lit(0)).alias("k"), F.coalesce("h", "m").alias("a")))
+    far = corners.join(anchors.where("k < 2"), ring)
+    away = F.pow(F.col("x") - F.col("a.x"), F.lit(2)) + F.pow(F.col("y") - F.col("a.y"), F.lit(2))
+    far = far.groupBy(*ring).agg(F.max(F.struct(away.alias("d"), "x", "y", "pos")).alias("f"))
+    extra = far.select(*ring, "f.pos", "f.x", "f.y").union(anchors.where("k < 2").select(*ring, "a.pos", "a.x", "a.y"))
+    fixed = fixed.union(extra).distinct()
+    # places are counted from each ring's anchor on, so that no piece runs over the ring's end
+    turn = lambda df: df.join(anchors, ring).withColumn("pos", F.pmod(F.col("pos") - F.col("a.pos"), F.col("n")))
+    fixed = store(turn(fixed).select(*ring, "pos", "x", "y", "n"))
+    w = Window.partitionBy(*ring).orderBy("pos")
+    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    pieces = fixed.select(*ring, F.col("pos").alias("lo"), F.coalesce(F.lead("pos").over(w), F.col("n")).alias("hi"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.coalesce(F.lead("x").over(w), F.first("x").over(every)).alias("bx"), F.coalesce(F.lead("y").over(w), F.first("y").over(every)).alias("by"))
+    stretch = 1024
+    dealt = pieces.withColumn("s", F.explode(F.sequence(F.expr(f"lo div {stretch}"), F.expr(f"(hi - 1) div {stretch}"))))
+    inner = turn(corners).select(*ring, "pos", "x", "y").withColumn("s", F.expr(f"pos div {stretch}"))
+    open_ = store(inner.join(dealt, [*ring, "s"]).where("pos > lo and pos < hi").drop("s"))
+    kept, dropped = [fixed.select(*ring, "pos", "x", "y")], []
+    while open_.limit(1).count():
+        f = store(_farthest(open_))
+        now, rest = _parted(open_, f.where(F.col("f.d") > tolerance))
+        dropped.append(store(open_.join(f.where(F.col("f.d") <= tolerance), [*ring, "lo"], "left_semi").select(*open_.columns)))
+        kept.append(store(now))
+        open_ = store(rest.select(*open_.columns))
+    gone = dropped[0] if dropped else open_
+    for x in dropped[1:]:
+        gone = gone.unionByName(x)
+    stay = kept[0]
+    for x in kept[1:]:
+        stay = stay.unionByName(x)
+    stay, gone = store(stay), store(gone)
+    while True:
+        now = store(_closed(stay).withColumn("e", F.monotonically_increasing_id()))
+        size = now.agg(F.avg(F.greatest(F.abs(F.col("x1") - F.col("x0")), F.abs(F.col("y1") - F.col("y0"))))).first()[0]
+        if not size or not gone.limit(1).count():
+            break
+        # all polygons together, corners rounded as crossings are; an edge and its twin in another polygon are one
+        near = now.withColumns({c: F.round(c, validity.DIGITS) + F.lit(0.0) for c in ("x0", "y0", "x1", "y1")})
+        lines = store(validity._each_once(near))
+        met = store(validity.crossings(lines, 2 * size))
+        ends = lines.join(met.select("e").distinct(), "e", "left_semi").select("x0", "y0", "x1", "y1")
+        hit = ends.union(ends.select("x1", "y1", "x0", "y0"))
+        bad = near.join(hit.distinct(), ["x0", "y0", "x1", "y1"], "left_semi").select(*ring, F.col("pos").alias("lo"))
+        thin = stay.groupBy(*ring).agg(F.count(F.lit(1)).alias("c")).where("c < 3").select(*ring)
+        cut = gone.join(bad.distinct(), [*ring, "lo"], "left_semi").select(*gone.columns)
+        most = _farthest(gone.join(thin, ring, "left_semi").select(*gone.columns))
+        wide = most.groupBy(*ring).agg(F.max_by("lo", "f").alias("lo"), F.max("f").alias("f"))
+        at = store(_farthest(cut).unionByName(wide.select(*ring, "lo", "f")).dropDuplicates([*ring, "lo"]))
+        if not at.limit(1).count():
+            break
+        more, rest = _parted(gone, at)
+        untouched = gone.join(at, [*ring, "lo"], "left_anti").select(*gone.columns)
+        stay, gone = store(stay.unionByName(more)), store(rest.select(*gone.columns).unionByName(untouched))
+    w = Window.partitionBy(*ring).orderBy("pos")
+    return now.select(*ring, (F.row_number().over(w) - 1).alias("edge_id"), "x0", "y0", "x1", "y1")

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrapair.config import Grid
+from terrapair.functions.columns import finite
 
 CELL = ("grid_row", "grid_col")
 
@@ -140,6 +143,61 @@ def nearest_distance(cells: DataFrame, targets: DataFrame, reach: float, cap: fl
     return cells.join(near, [x, y], "left").withColumn("distance", F.coalesce("distance", F.lit(cap)))
 
 
+def _block_distances(side: int, reach: int, dx: float, dy: float):
+    """Squared distances of a block's cells to the sources in it and its halo, in two separable passes."""
+
+    def near(key, there: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        r0, c0 = int(key[0]) * side, int(key[1]) * side
+        if not len(asked):
+            return pd.DataFrame({"grid_row": [], "grid_col": [], "d2": []})
+        # along columns: rows to the nearest source above or below, for the block's rows and the halo's columns
+        high = side + 2 * reach
+        held = np.zeros((high, high), bool)
+        held[there["grid_row"].to_numpy() - r0 + reach, there["grid_col"].to_numpy() - c0 + reach] = True
+        columns = np.flatnonzero(held.any(0))
+        rows = np.arange(high)[:, None]
+        far = 4 * high
+        up = np.maximum.accumulate(np.where(held[:, columns], rows, -far), axis=0)
+        down = np.minimum.accumulate(np.where(held[:, columns], rows, high + far)[::-1], axis=0)[::-1]
+        steps = np.minimum(rows - up, down - rows)[reach : reach + side].astype(float)
+        g = np.full((side, high), np.inf)
+        g[:, columns] = np.where(steps <= reach, (steps * dy) ** 2, np.inf)
+        # along rows: the least of g plus the way, by growing ways, until no farther column can be nearer
+        r, c = asked["grid_row"].to_numpy() - r0, asked["grid_col"].to_numpy() - c0 + reach
+        best = g[r, c]
+        for k in range(1, reach + 1):
+            way = (k * dx) ** 2
+            if not (best > way).any():
+                break
+            best = np.minimum(best, np.minimum(g[r, c - k], g[r, c + k]) + way)
+        return pd.DataFrame({"grid_row": asked["grid_row"], "grid_col": asked["grid_col"], "d2": np.where(np.isfinite(best), best, np.nan)})
+
+    return near
+
+
+def distance_to_cells(cells: DataFrame, sources: DataFrame, grid: Grid, reach_m: float, block: int = 512) -> DataFrame:
+    """(grid_row, grid_col, distance): the exact distance between centres to the nearest source, null beyond `reach_m`.
+
+    A distance transform over blocks of cells: sources are dealt to the blocks that they may be near to, a
+    block and its halo being what a task holds, whatever their number. Only sources with a free neighbour
+    are dealt, a cell that is a source has a distance of 0. Rows and columns must not be null.
+    """
+    cells, sources = cells.select(*CELL).distinct(), sources.select(*CELL).distinct()
+    reach = int(max(reach_m / grid.dx, reach_m / grid.dy)) + 1
+    side = max(block, reach // 4)
+    edge = sources.join(erode(sources, 1), list(CELL), "left_anti")
+    span = lambda c: F.sequence(F.floor((F.col(c) - reach) / side), F.floor((F.col(c) + reach) / side))
+    dealt = edge.withColumn("br", F.explode(span("grid_row"))).withColumn("bc", F.explode(span("grid_col")))
+    free = cells.join(sources, list(CELL), "left_anti")
+    asked = free.withColumns({"br": F.floor(F.col("grid_row") / side), "bc": F.floor(F.col("grid_col") / side)})
+    # blocks without cells to measure get no sources
+    dealt = dealt.join(asked.select("br", "bc").distinct(), ["br", "bc"], "left_semi")
+    found = dealt.groupBy("br", "bc").cogroup(asked.groupBy("br", "bc")).applyInPandas(_block_distances(side, reach, grid.dx, grid.dy), "grid_row int, grid_col int, d2 double")
+    d = F.sqrt(finite(F.col("d2")))
+    near = found.select(*CELL, F.when(d <= reach_m, d).alias("distance"))
+    return near.unionByName(cells.join(sources, list(CELL), "left_semi").withColumn("distance", F.lit(0.0)))
+
+
 def terrain_slope(cells: DataFrame, grid: Grid, value: str = "elevation") -> DataFrame:
     """Adds slope_deg by Horn's 3x3 weights; null where a neighbour is missing.
 

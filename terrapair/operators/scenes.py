@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrapair.config import SceneConfig
+from terrapair.config import Grid, SceneConfig
 from terrapair.functions.columns import is_finite
 from terrapair.functions.ols import grouped_ols
 
@@ -109,6 +109,21 @@ def donor_domain(cells: DataFrame, project: DataFrame, regions: DataFrame | None
     return out.join(project.select("grid_row", "grid_col"), ["grid_row", "grid_col"], "left_anti")
 
 
+def donor_ring(cells: DataFrame, project: DataFrame, grid: Grid, regions: DataFrame | None, region_values: dict[str, Sequence[str]], buffer_km: float, exclusion_km: float) -> DataFrame:
+    """`cells` within buffer_km of the project's cells, in the wanted regions, and farther than exclusion_km.
+
+    The true buffer of an area of any shape, less the one that is excluded; adds `distance` in metres.
+    """
+    from terrapair.operators.raster import distance_to_cells
+
+    d = distance_to_cells(cells, project, grid, buffer_km * 1000).where((F.col("distance") > exclusion_km * 1000) & (F.col("distance") > 0))
+    out = cells.join(d, ["grid_row", "grid_col"])
+    if regions is not None:
+        wanted = reduce(and_, (F.col(k).isin(list(v)) for k, v in region_values.items()))
+        out = out.join(regions.where(wanted).select("grid_row", "grid_col"), ["grid_row", "grid_col"], "left_semi")
+    return out
+
+
 def mask_area(df: DataFrame, mask: Column, area: str = "pixel_area_ha") -> DataFrame:
     return df.agg(F.coalesce(F.sum(F.when(mask, F.col(area))), F.lit(0.0)).alias("area_ha"))
 

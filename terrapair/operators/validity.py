@@ -36,6 +36,13 @@ def _odd(edges: DataFrame) -> DataFrame:
     return one.where("n % 2 = 1").drop("n")
 
 
+def _each_once(edges: DataFrame) -> DataFrame:
+    """All polygons' edges as those of one, each piece once."""
+    turned = F.struct("x0", "y0") > F.struct("x1", "y1")
+    ends = [F.when(turned, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in (("x0", "x1"), ("y0", "y1"), ("x1", "x0"), ("y1", "y0"))]
+    return edges.where("x0 <> x1 or y0 <> y1").select("e", *ends).groupBy(*ENDS).agg(F.min("e").alias("e")).withColumn("poly_id", F.lit(0))
+
+
 def _tiles(edges: DataFrame, side: float) -> DataFrame:
     """A row for each tile that an edge passes: columns of tiles first, then those its part in a column passes."""
     tile = lambda c: F.floor(c / side)

@@ -230,3 +230,62 @@ def test_repair_of_nothing(spark):
     from terrapair.operators import validity
 
     assert validity.repair(spark.createDataFrame([], EDGES), shared_store(spark)).count() == 0
+
+
+def test_distances_of_a_concave_area(spark):
+    """A distance transform over small blocks against all pairs; ring of a buffer less an exclusion."""
+    from terrapair.operators import scenes
+
+    grid = Grid(x0=0.0, y0=0.0, dx=30.0, dy=20.0)
+    project = {(r, c) for r in range(10, 40) for c in range(10, 16)} | {(r, c) for r in range(34, 40) for c in range(10, 44)} | {(r, 43) for r in range(20, 40)}
+    cells = sorted({(r, c) for r in range(-5, 60) for c in range(-7, 60)})
+    p, df = spark.createDataFrame(sorted(project), "grid_row int, grid_col int"), spark.createDataFrame(cells, "grid_row int, grid_col int")
+    want = {}
+    for r, c in cells:
+        d = min(((r - a) * 20.0) ** 2 + ((c - b) * 30.0) ** 2 for a, b in project) ** 0.5
+        want[r, c] = d if d <= 300.0 else None
+    for block in (8, 512):
+        out = {(x["grid_row"], x["grid_col"]): x["distance"] for x in raster.distance_to_cells(df, p, grid, 300.0, block).collect()}
+        out = {k: out.get(k) for k in want}
+        assert {k for k, v in out.items() if v is None} == {k for k, v in want.items() if v is None}
+        assert all(v is None or abs(v - want[k]) < 1e-9 for k, v in out.items())
+    ring = scenes.donor_ring(df, p, grid, None, {}, 0.3, 0.1).collect()
+    assert {(x["grid_row"], x["grid_col"]) for x in ring} == {k for k, v in want.items() if v is not None and v > 100.0}
+    assert raster.distance_to_cells(df, p.limit(0), grid, 300.0).where("distance is not null").count() == 0
+    assert raster.distance_to_cells(df.limit(0), p, grid, 300.0).count() == 0
+
+
+def test_simplify_keeps_topology(spark, vertices):
+    edges = polygons.to_edges(vertices, "part")
+    store = shared_store(spark)
+    out = store(polygons.simplify(edges, 45.0, store))
+    rows = [tuple(r) for r in out.collect()]
+    assert len(rows) < edges.count() and {r[:2] for r in rows} == {(r["poly_id"], r["ring_id"]) for r in edges.collect()}
+    corners = {(r["x0"], r["y0"]) for r in edges.collect()}
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r[:2]].append(r[2:])
+        assert r[3:5] in corners
+    for ring in by.values():
+        ring.sort()
+        assert len(ring) >= 3 and all(a[3:] == b[1:3] for a, b in zip(ring, ring[1:] + ring[:1]))
+    flat = sorted({min(r[3:], r[5:] + r[3:5]) for r in rows})
+    assert not any(crossing(a, b) for i, a in enumerate(flat) for b in flat[:i])
+    same = polygons.simplify(edges, 0.0, store)
+    assert same.count() == edges.count()
+
+
+def test_simplify_shared_edges_alike(spark):
+    rng = random.Random(4)
+    line = [(100.0 + rng.uniform(-8, 8), float(y)) for y in range(0, 301, 10)]
+    left = [(0.0, 0.0), *line, (0.0, 300.0)]
+    right = [(200.0, 300.0), *line[::-1], (200.0, 0.0)]
+    edges = spark.createDataFrame(closed(1, 0, left) + closed(2, 0, right), EDGES)
+    store = shared_store(spark)
+    rows = [tuple(r) for r in polygons.simplify(edges, 6.0, store).collect()]
+    inner = {k: {frozenset((r[3:5], r[5:7])) for r in rows if r[0] == k and 50 < r[3] < 150 and 50 < r[5] < 150} for k in (1, 2)}
+    assert inner[1] == inner[2] and 1 <= len(inner[1]) < 20
+    # every dropped corner is within the tolerance of the simplified line
+    for x, y in line:
+        d = min(abs(cross(a, b, (x, y))) / max(1e-9, ((a[0] - b[0]) ** 2 + (a[1] - b[1]) ** 2) ** 0.5) for e in inner[1] for a, b in [sorted(e, key=lambda p: p[1])] if a[1] - 1e-9 <= y <= b[1] + 1e-9)
+        assert d <= 6.0 + 1e-6
