@@ -104,6 +104,8 @@ class AreaConfig:
     buffer_cells: int = 0
     closing_cells: int = 0
     min_polygon_ha: float = 0.0
+    #: Tolerance of the reference area's outlines; its cells and hectares stay.
+    simplify_m: float = 0.0
     monitoring: str = "matched_pixels"
     spacing_m: float = 500.0
     validity_years: int = 10

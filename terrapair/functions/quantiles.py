@@ -11,7 +11,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from terrapair.functions.columns import finite
@@ -76,13 +76,23 @@ def _marks(v: Column, a: float, b: float) -> Column:
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], keep: int = KEEP) -> dict[str, list[float] | None]:
-    """Quantiles of each column by linear interpolation between its finite values; None without any."""
+    """Quantiles of each column by linear interpolation between its finite values; None without any.
+
+    Jobs run at once, three scans of `df` in most cases: store it first if it is costly.
+    """
+    return with_quantiles(df, columns, shares, [], keep)[0]
+
+
+def with_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], also: Sequence[Column], keep: int = KEEP) -> tuple[dict[str, list[float] | None], Row | None]:
+    """`exact_quantiles`, and the row of other aggregates that its first scan takes along."""
     columns = list(dict.fromkeys(columns))
     if not columns:
-        return {}
+        return {}, None
     value = {c: finite(F.col(f"`{c}`").cast("double")) for c in columns}
-    # one scan counts and marks: a share's rank is that share of the count, but for one place
-    head = df.agg(*[F.count(value[c]).alias(f"n{i}") for i, c in enumerate(columns)], *[_marks(value[c], q, q).alias(f"m{i}_{j}") for i, c in enumerate(columns) for j, q in enumerate(shares)]).first()
+    # one scan counts and marks, with one sketch a column: a share's rank is that share of the count, but for one place
+    sides = [min(1.0, max(0.0, q + side)) for q in shares for side in (-MARGIN, MARGIN)]
+    sketch = lambda c: F.percentile_approx(value[c], F.array(*map(F.lit, sides)), ACCURACY)
+    head = df.agg(*[F.count(value[c]).alias(f"n{i}") for i, c in enumerate(columns)], *[sketch(c).alias(f"m{i}") for i, c in enumerate(columns)], *also).first()
     n = {c: head[i] for i, c in enumerate(columns)}
     have: dict[tuple[str, int], float] = {}
     todo, marks = [], []
@@ -91,7 +101,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
             if n[c]:
                 at = q * (n[c] - 1)
                 todo.append(_Bracket(c, math.floor(at), math.ceil(at), n[c]))
-                marks.append(head[f"m{i}_{j}"])
+                marks.append(head[f"m{i}"][2 * j : 2 * j + 2])
     for _ in range(MAX_SCANS):
         many = [k for k, b in enumerate(todo) if b.size > keep]
         if not many:
@@ -127,4 +137,4 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
                 a, b = have[c, math.floor(at)], have[c, math.ceil(at)]
                 values.append(a + (b - a) * (at - math.floor(at)))
         out[c] = values or None
-    return out
+    return out, head

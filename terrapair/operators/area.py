@@ -131,27 +131,6 @@ def geojson(geometry_type: str, coordinates: Column, properties: list[str]) -> C
     return F.to_json(F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), F.struct(*properties).alias("properties")))
 
 
-def simplify(points: list[tuple[float, float]], tolerance: float) -> list[tuple[float, float]]:
-    """A line with the points that the farthest-point rule (Douglas-Peucker) keeps; for one ring on the driver or in a UDF."""
-    if len(points) < 3:
-        return list(points)
-    keep, stack = {0, len(points) - 1}, [(0, len(points) - 1)]
-    while stack:
-        a, b = stack.pop()
-        (x0, y0), (x1, y1) = points[a], points[b]
-        length = ((x1 - x0) ** 2 + (y1 - y0) ** 2) ** 0.5
-        far, most = -1, tolerance
-        for i in range(a + 1, b):
-            x, y = points[i]
-            d = abs((y1 - y0) * (x - x0) - (x1 - x0) * (y - y0)) / length if length else ((x - x0) ** 2 + (y - y0) ** 2) ** 0.5
-            if d > most:
-                far, most = i, d
-        if far > 0:
-            keep.add(far)
-            stack += [(a, far), (far, b)]
-    return [points[i] for i in sorted(keep)]
-
-
 def check_twin(compliant: bool, allow: bool = False) -> str:
     """The lock status; refuses a reference area whose twin test isn't compliant."""
     if not compliant and not allow:

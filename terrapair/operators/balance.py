@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrapair.functions.columns import finite
-from terrapair.functions.quantiles import exact_quantiles
+from terrapair.functions.quantiles import with_quantiles
 
 
 def difference(mean_p: Column, var_p: Column, mean_r: Column, var_r: Column) -> Column:
@@ -42,8 +42,9 @@ def covariate_summary(df: DataFrame, covs: Sequence[str], decimals: int = 6) ->
     """n, mean, median, sample deviation, 2nd and 98th percentile; covariates without values are left out."""
     v = {c: finite(F.col(f"`{c}`").cast("double")) for c in covs}
     aggs = [f(v[c]).alias(f"{k}_{c}") for c in covs for k, f in (("n", F.count), ("m", F.avg), ("s", F.stddev_samp))]
-    row = df.agg(*aggs).first()
-    marks = exact_quantiles(df, covs, [0.02, 0.5, 0.98])
+    if not covs:
+        return df.sparkSession.createDataFrame([], "covariate string, n long, mean double, median double, std double, q02 double, q98 double")
+    marks, row = with_quantiles(df, covs, [0.02, 0.5, 0.98], aggs)
     rows = [(c, row[f"n_{c}"], row[f"m_{c}"], marks[c][1], row[f"s_{c}"], marks[c][0], marks[c][2]) for c in covs if marks.get(c)]
     r = lambda c: F.round(c, decimals).alias(c)
     out = df.sparkSession.createDataFrame(rows, "covariate string, n long, mean double, median double, std double, q02 double, q98 double")

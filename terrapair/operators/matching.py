@@ -429,7 +429,8 @@ def candidates_by_bins(project: DataFrame, donors: DataFrame, limits: Sequence[C
     used = list(limits[:bins])
     whole = reduce(and_, has[: len(used)], F.lit(True))
     parts = [joined(left.where(whole), used) if used else left.where("false").join(right, reduce(and_, same))]
-    if len(used) > 1:
+    # the other bins are for project rows that lack a value: most tables have none
+    if len(used) > 1 and not left.where(~whole).isEmpty():
         for i, c in enumerate(limits):
             first = reduce(and_, [~x for x in has[:i]], has[i])
             parts.append(joined(left.where(~whole & first), [c]))

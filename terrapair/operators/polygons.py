@@ -79,29 +79,23 @@ def links(segments: DataFrame, left: DataFrame | None = None) -> DataFrame:
 
 
 def ring_order(linked: DataFrame, store: Store = _checkpointed) -> DataFrame:
-    """(seg, ring, pos) of the cycles of (seg, next): ring is the smallest seg, pos counts from it."""
-    linked = store(linked.select("seg", "next"))
-    now = linked.withColumn("ring", F.col("seg"))
-    for _ in range(MAX_ROUNDS):
-        far = now.select(F.col("seg").alias("next"), F.col("next").alias("jump"), F.col("ring").alias("there"))
-        step = now.join(far, "next").select("seg", F.col("jump").alias("next"), F.least("ring", "there").alias("ring"), (F.col("there") < F.col("ring")).alias("changed"))
+    """(seg, ring, pos) of the cycles of (seg, next): ring is the smallest seg, pos counts from it.
+
+    After a round each segment knows the least of twice as many segments from it on, and how far on that is; when
+    a round changes nothing, the least is that of the whole ring.
+    """
+    now = store(linked.select("seg", "next", F.col("seg").alias("ring"), F.lit(0).cast("long").alias("ahead")))
+    for k in range(MAX_ROUNDS):
+        far = now.select(F.col("seg").alias("next"), F.col("next").alias("jump"), F.col("ring").alias("there"), (F.col("ahead") + (1 << k)).alias("then"))
+        less = F.col("there") < F.col("ring")
+        step = now.drop("changed").join(far, "next").select("seg", F.col("jump").alias("next"), F.least("ring", "there").alias("ring"), F.when(less, F.col("then")).otherwise(F.col("ahead")).alias("ahead"), less.alias("changed"))
         now = store(step)
         if not now.where("changed").limit(1).count():
             break
-        now = now.drop("changed")
     else:
         raise RuntimeError("rings did not close")
-    ring = now.select("seg", "ring")
-    # the way to the ring's last segment, that which leads back to its first
-    way = linked.join(ring, "seg").select("seg", "ring", F.when(F.col("next") != F.col("ring"), F.col("next")).alias("next"))
-    way = store(way.withColumn("d", F.col("next").isNotNull().cast("long")))
-    for _ in range(MAX_ROUNDS):
-        if not way.where("next is not null").limit(1).count():
-            break
-        far = way.select(F.col("seg").alias("next"), F.col("next").alias("jump"), F.col("d").alias("more"))
-        way = store(way.join(far, "next", "left").select("seg", "ring", F.col("jump").alias("next"), (F.col("d") + F.coalesce("more", F.lit(0))).alias("d")))
-    longest = way.where("seg = ring").select("ring", F.col("d").alias("last"))
-    return way.join(longest, "ring").select("seg", "ring", (F.col("last") - F.col("d")).alias("pos"))
+    sizes = now.groupBy("ring").agg(F.count(F.lit(1)).alias("n"))
+    return now.join(sizes, "ring").select("seg", "ring", F.pmod(F.col("n") - F.col("ahead"), F.col("n")).alias("pos"))
 
 
 def rings(cells: DataFrame, store: Store = _checkpointed) -> DataFrame:

@@ -192,6 +192,7 @@ def distance_to_cells(cells: DataFrame, sources: DataFrame, grid: Grid, reach_m:
     asked = free.withColumns({"br": F.floor(F.col("grid_row") / side), "bc": F.floor(F.col("grid_col") / side)})
     # blocks without cells to measure get no sources
     dealt = dealt.join(asked.select("br", "bc").distinct(), ["br", "bc"], "left_semi")
+    asked = asked.select(*(F.col(c).alias(c) for c in asked.columns))  # both sides may come from one table
     found = dealt.groupBy("br", "bc").cogroup(asked.groupBy("br", "bc")).applyInPandas(_block_distances(side, reach, grid.dx, grid.dy), "grid_row int, grid_col int, d2 double")
     d = F.sqrt(finite(F.col("d2")))
     near = found.select(*CELL, F.when(d <= reach_m, d).alias("distance"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrapair.config import RunConfig
-from terrapair.operators import area, balance, baseline, carbon, extract, matching, sweep, trend
+from terrapair.operators import area, balance, baseline, carbon, extract, matching, polygons, sweep, trend
 from terrapair.sources import tables
 
 
@@ -118,6 +118,9 @@ def locked(run: Run, store: Callable) -> Run:
     run.manifest = {"run_id": cfg.effective_id, "lock_status": status, "total_ha": total, "twin_mode": run.selection.mode, "twin_compliant": run.selection.compliant, "crs": cfg.grid.crs, "config": asdict(cfg.area)}
     if cfg.root:
         tables.save(run.cells, f"{cfg.root}/{cfg.effective_id}/reference_area")
+        outlines = polygons.mask_polygons(run.cells, cfg.grid, store)
+        edges = polygons.simplify(polygons.to_edges(outlines, "part"), cfg.area.simplify_m, store)
+        tables.save(edges, f"{cfg.root}/{cfg.effective_id}/reference_outlines")
         sums = tables.checksums(run.cells.sparkSession, f"{cfg.root}/{cfg.effective_id}/reference_area.parquet", "*.parquet")
         run.manifest["sha256"] = {r["path"].rsplit("/", 1)[1]: r["sha256"] for r in sums.collect()}  # one row a file
         tables.write_json(run.cells.sparkSession, f"{cfg.root}/{cfg.effective_id}/manifest.json", run.manifest)

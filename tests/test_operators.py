@@ -518,7 +518,6 @@ def test_area_and_monitoring(spark):
         area.check_twin(False)
     with pytest.raises(ValueError):
         area.check_lock(None)
-    assert area.simplify([(0, 0), (1, 0.01), (2, 0), (2, 2)], 0.1) == [(0, 0), (2, 0), (2, 2)]
 
 
 def test_sweep(spark):
