@@ -176,3 +176,87 @@ def curated(out: DataFrame, keys: Sequence[str]) -> DataFrame:
         "surplus_period", (F.col("surplus_period") * c).alias("surplus_period_tco2e"), "uncbsl", (F.col("uncbsl") * 100).alias("uncbsl_percent"), "ci", "ci_total_period", "ci_source",
         "n_rows", "n_eff", "project_unique", "project_area_ha", "baseline_status",
     )
+
+
+@dataclass(frozen=True)
+class Batch:
+    """What a batch gave: `master` by falling surplus, and a `status` row for every item of the plan."""
+
+    master: DataFrame
+    status: DataFrame
+
+
+def run_batch(points: DataFrame, sources: dict[str, str], years: Sequence[tuple[int, int]], factor: Column, area_ha: float, folder: str | None = None, cfg: BaselineConfig = BaselineConfig(), side: str = "side", store: Callable[[DataFrame], DataFrame] | None = None) -> Batch:
+    """`source_period_batch` over carbon tables at paths, where one bad source doesn't end the others.
+
+    An item's status is done, empty (no row for lack of values), missing_table, missing_start, missing_end, or failed with the
+    error's text. All readable sources go through one plan; only if that fails is each run on its own to find out
+    which one it is. With `folder` the master table (CSV), its records and a summary of every item (JSON) are saved.
+    """
+    from terrapair.sources import tables
+
+    spark = points.sparkSession
+    store = store or (lambda df: df.checkpoint())
+    need = ("grid_row", "grid_col", "year", "value")
+    ready: dict[str, DataFrame] = {}
+    status: dict[tuple[str, int, int], tuple[str, str | None]] = {}
+
+    def failed(source: str, kind: str, error: str | None) -> None:
+        status.update({(source, a, b): (kind, error) for a, b in years})
+
+    for name, path in sources.items():
+        if not tables.exists(spark, path):
+            failed(name, "missing_table", None)
+            continue
+        try:
+            df = tables.load(spark, path)
+            if missing := [c for c in need if c not in df.columns]:
+                raise ValueError(f"missing columns {missing}")
+            have = {r[0] for r in df.select("year").distinct().collect()}  # a handful of years
+        except Exception as e:  # a source that can't be read is a row of the status
+            failed(name, "failed", f"{type(e).__name__}: {str(e).splitlines()[0]}")
+            continue
+        ready[name] = df.select(*need).withColumn("source", F.lit(name))
+        for a, b in years:
+            lack = "missing_start" if a not in have else "missing_end" if b not in have else None
+            if lack:
+                status[name, a, b] = (lack, None)
+
+    def rows(names: Sequence[str]) -> DataFrame | None:
+        todo = [(n, a, b) for n in names for a, b in years if (n, a, b) not in status]
+        if not todo:
+            return None
+        carbon = ready[names[0]]
+        for n in names[1:]:
+            carbon = carbon.unionByName(ready[n])
+        plan = spark.createDataFrame(todo, "source string, t0_year int, monitoring_year int")
+        return store(source_period_batch(points, carbon, plan, factor, area_ha, cfg, side))
+
+    parts: list[DataFrame] = []
+    if ready:
+        try:
+            parts = [x for x in [rows(list(ready))] if x is not None]
+        except Exception:  # one of the sources: each on its own
+            for n in ready:
+                try:
+                    parts += [x for x in [rows([n])] if x is not None]
+                except Exception as e:
+                    failed(n, "failed", f"{type(e).__name__}: {str(e).splitlines()[0]}")
+    keys = ["source", "t0_year", "monitoring_year"]
+    if parts:
+        master = parts[0]
+        for x in parts[1:]:
+            master = master.unionByName(x)
+    else:
+        master = source_period_batch(points.limit(0), spark.createDataFrame([], "grid_row int, grid_col int, year int, value double, source string"), periods(spark, [], []), factor, area_ha, cfg, side)
+    done = {tuple(r) for r in master.select(*keys).collect()}  # a row an item
+    items = [(n, a, b, *status.get((n, a, b), ("done" if (n, a, b) in done else "empty", None))) for n in sources for a, b in years]
+    told = spark.createDataFrame(items, "source string, t0_year int, monitoring_year int, status string, error string")
+    master = master.orderBy(F.desc_nulls_last("surplus_period"), *keys)
+    if folder:
+        tables.save(master.coalesce(1), f"{folder}/master", "csv")
+        records = {(r["source"], r["t0_year"], r["monitoring_year"]): r.asDict() for r in master.collect()}
+        tables.write_json(spark, f"{folder}/master.json", {"records": list(records.values())})
+        for n, a, b, state, error in items:
+            tables.write_json(spark, f"{folder}/{n}_{a}_{b}.json", {"source": n, "t0_year": a, "monitoring_year": b, "status": state, "error": error, **records.get((n, a, b), {})})
+    return Batch(master, told)

@@ -109,3 +109,33 @@ def test_quantiles_of_many_shares_from_one_sketch(spark):
     for c, x in (("a", v), ("b", -v)):
         assert np.allclose(out[c], np.quantile(x, shares), rtol=0, atol=1e-12)
     assert abs(row["m"] - v.mean()) < 1e-12 and exact_quantiles(df, [], [0.5]) == {}
+
+
+def test_batch_goes_on_after_a_broken_source(spark, tmp_path):
+    import json
+
+    from terrapair.operators import carbon
+
+    points = spark.createDataFrame([(r, c, "control" if r < 4 else "project", float(c), float(r), 30.0 * c, -30.0 * r) for r in range(8) for c in range(10)], "grid_row int, grid_col int, side string, lon double, lat double, x_utm double, y_utm double")
+    points = carbon.with_blocks(points, 60.0)
+    stock = lambda rate, years: spark.createDataFrame([(r, c, y, 50.0 + (y - 2018) * (rate + (0.5 if r < 4 else 0.0) + 0.01 * c)) for r in range(8) for c in range(10) for y in years], "grid_row int, grid_col int, year int, value double")
+    paths = {k: f"{tmp_path}/{k}.parquet" for k in ("good", "better", "short", "broken", "columns", "none")}
+    stock(1.0, (2018, 2022, 2024)).write.parquet(paths["good"])
+    stock(3.0, (2018, 2022, 2024)).write.parquet(paths["better"])
+    stock(1.0, (2018, 2022)).write.parquet(paths["short"])
+    stock(1.0, (2018,)).drop("value").write.parquet(paths["columns"])
+    with open(paths["broken"], "w") as f:
+        f.write("no table")
+    out = sweep.run_batch(points, paths, [(2018, 2022), (2018, 2024)], F.lit(0.47), 100.0, f"{tmp_path}/out", store=shared_store(spark))
+    got = {(r["source"], r["monitoring_year"]): r for r in out.status.collect()}
+    assert {k: r["status"] for k, r in got.items()} == {
+        **{(s, y): "done" for s in ("good", "better") for y in (2022, 2024)}, ("short", 2022): "done", ("short", 2024): "missing_end",
+        **{(s, y): k for s, k in (("broken", "failed"), ("columns", "failed"), ("none", "missing_table")) for y in (2022, 2024)},
+    }
+    assert "missing columns" in got["columns", 2022]["error"] and got["broken", 2022]["error"]
+    surplus = [r["surplus_period"] for r in out.master.collect()]
+    assert len(surplus) == 5 and surplus == sorted(surplus, reverse=True)
+    report = json.load(open(f"{tmp_path}/out/broken_2018_2022.json"))
+    assert report["status"] == "failed" and len(json.load(open(f"{tmp_path}/out/master.json"))["records"]) == 5
+    nothing = sweep.run_batch(points, {"none": paths["none"]}, [(2018, 2022)], F.lit(0.47), 100.0, store=shared_store(spark))
+    assert nothing.master.count() == 0 and nothing.status.first()["status"] == "missing_table"
