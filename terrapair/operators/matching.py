@@ -31,6 +31,8 @@ BLOCK_ROWS = 300_000
 #: Donors that the boxes of more are made from, and boxes at most.
 SAMPLE = 50_000
 MAX_LEAVES = 4096
+#: Donors of a ball, about.
+BALL = 256
 #: Distances are rounded to this, so that equal ones don't depend on the order of additions.
 DIGITS = 9
 #: Distances computed at once, in cells.
@@ -190,7 +192,65 @@ def _least_of_equals(k: int, donor_ids: np.ndarray, donor_z: np.ndarray) -> np.n
     return np.sort(order[np.arange(len(z)) - first[np.cumsum(new) - 1] < k])
 
 
-def _nearest(k: int, donor_ids: np.ndarray, donor_z: np.ndarray):
+class Balls:
+    """Donors in balls of about BALL: the triangle inequality tells which ones can hold a row's nearest donors."""
+
+    def __init__(self, z: np.ndarray):
+        good = np.flatnonzero(np.isfinite(z).all(1))
+        tree = Leaves.of(z[good], BALL)
+        leaf = tree.home(z[good])
+        order = np.argsort(leaf, kind="stable")
+        #: Donors without a place are in a ball of their own that is always searched.
+        self.rest = np.setdiff1d(np.arange(len(z)), good)
+        self.order, self.z = good[order], z
+        sizes = np.bincount(leaf, minlength=len(tree.low))
+        self.off = np.concatenate([[0], np.cumsum(sizes)])[np.append(sizes > 0, True)]
+        self.size = np.diff(self.off)
+        start = self.off[:-1]
+        self.centre = np.add.reduceat(z[self.order], start, axis=0) / self.size[:, None] if len(start) else np.zeros((0, z.shape[1]))
+        away = np.sqrt(((z[self.order] - np.repeat(self.centre, self.size, axis=0)) ** 2).sum(1))
+        self.radius = np.maximum.reduceat(away, start) * (1 + 1e-12) + 1e-12 if len(start) else np.zeros(0)
+
+    def donors(self, balls: np.ndarray) -> np.ndarray:
+        return np.concatenate([*(self.order[self.off[b] : self.off[b + 1]] for b in balls.tolist()), self.rest])
+
+    def searched(self, z: np.ndarray, keep: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows, donors) of rows that share a nearest ball, with every donor that may be among their `keep` nearest.
+
+        The balls around theirs that hold `keep` donors bound the keep-th distance; then all balls within
+        that bound are searched.
+        """
+        lost = ~np.isfinite(z).all(1)
+        everything = np.arange(len(self.z))
+        if lost.any() or len(self.size) < 2:
+            yield np.flatnonzero(lost) if len(self.size) >= 2 else np.arange(len(z)), everything
+        if len(self.size) < 2:
+            return
+        rows = np.flatnonzero(~lost)
+        step = max(1, CELLS // len(self.size))
+        for a in range(0, len(rows), step):
+            some = rows[a : a + step]
+            d = np.sqrt(np.maximum((z[some] ** 2).sum(1)[:, None] + (self.centre**2).sum(1) - 2 * z[some] @ self.centre.T, 0))
+            home = d.argmin(1)
+            for g in np.unique(home).tolist():
+                mine = np.flatnonzero(home == g)
+                around = np.argsort(((self.centre - self.centre[g]) ** 2).sum(1))
+                first = self.donors(around[: int(np.searchsorted(np.cumsum(self.size[around]), keep)) + 1])
+                at = z[some[mine]]
+                reach = np.zeros(len(mine))
+                for b in range(0, len(mine), max(1, CELLS // (len(first) * z.shape[1]))):
+                    piece = slice(b, b + max(1, CELLS // (len(first) * z.shape[1])))
+                    far = ((at[piece, None, :] - self.z[first]) ** 2).sum(2)
+                    far[np.isnan(far)] = np.inf
+                    reach[piece] = np.sqrt(np.partition(far, min(keep, len(first)) - 1, axis=1)[:, min(keep, len(first)) - 1])
+                # the product form may be off by a share of the squares
+                slack = 1e-6 * (1 + np.sqrt((at**2).sum(1)) + np.abs(self.centre).max()) + 4 * 10.0**-DIGITS
+                may = (d[mine] - self.radius <= (reach + slack)[:, None]).any(0)
+                yield some[mine], self.donors(np.flatnonzero(may))
+
+
+def _nearest(k: int, donor_ids: np.ndarray, donor_z: np.ndarray, tally: list[tuple[int, int]] | None = None):
+    """The k nearest of the donors; `tally` is told how many pairs were measured of how many."""
     few = _least_of_equals(k, donor_ids, donor_z)
     donor_ids, donor_z = donor_ids[few], donor_z[few]
     norms = (donor_z**2).sum(1)
@@ -199,32 +259,37 @@ def _nearest(k: int, donor_ids: np.ndarray, donor_z: np.ndarray):
     longest = float(np.nan_to_num(norms).max(initial=0.0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = max(1, CELLS // max(1, len(donor_ids)))
+        balls = Balls(donor_z)
         keep = min(k, len(donor_ids))
         for batch in batches:
             names = batch.schema.names
             ids = batch.column(names.index("proj_idx")).to_numpy()
             z = np.stack([batch.column(i).to_numpy() for i in range(1, batch.num_columns)], axis=1)
-            for a in range(0, len(ids), step):
-                part = z[a : a + step]
-                square = (part**2).sum(1)
-                rough = square[:, None] + norms - 2 * part @ donor_z.T
-                rough[np.isnan(rough)] = np.inf
-                # every donor that may have the rounded distance of the k-th one or less is measured exactly
-                slack = unit * (square + longest)
-                rim = np.sqrt(np.maximum(np.partition(rough, keep - 1, axis=1)[:, keep - 1], 0) + slack) + 2 * 10.0**-DIGITS
-                row, near = np.nonzero(~(rough > (rim**2 + slack)[:, None]))
-                dist = np.zeros(len(row))
-                for j in range(z.shape[1]):
-                    dist += (part[row, j] - donor_z[near, j]) ** 2
-                dist = np.round(np.sqrt(dist), DIGITS)
-                order = np.lexsort((donor_ids[near], dist, row))
-                start = np.searchsorted(row, np.arange(len(part)))
-                order = order[(start[:, None] + np.arange(keep)).reshape(-1)]
-                yield pa.record_batch(
-                    [pa.array(np.repeat(ids[a : a + step], keep)), pa.array(donor_ids[near[order]]), pa.array(dist[order]), pa.array(np.tile(np.arange(1, keep + 1), len(part)).astype(np.int32))],
-                    names=["proj_idx", "donor_idx", "distance", "rank"],
-                )
+            for rows, there in balls.searched(z, keep):
+                step = max(1, CELLS // max(1, len(there)))
+                their_ids, their_z, their_norms = donor_ids[there], donor_z[there], norms[there]
+                if tally is not None:
+                    tally.append((len(rows) * len(there), len(rows) * len(donor_ids)))
+                for a in range(0, len(rows), step):
+                    part = z[rows[a : a + step]]
+                    square = (part**2).sum(1)
+                    rough = square[:, None] + their_norms - 2 * part @ their_z.T
+                    rough[np.isnan(rough)] = np.inf
+                    # every donor that may have the rounded distance of the k-th one or less is measured exactly
+                    slack = unit * (square + longest)
+                    rim = np.sqrt(np.maximum(np.partition(rough, keep - 1, axis=1)[:, keep - 1], 0) + slack) + 2 * 10.0**-DIGITS
+                    row, near = np.nonzero(~(rough > (rim**2 + slack)[:, None]))
+                    dist = np.zeros(len(row))
+                    for j in range(z.shape[1]):
+                        dist += (part[row, j] - their_z[near, j]) ** 2
+                    dist = np.round(np.sqrt(dist), DIGITS)
+                    order = np.lexsort((their_ids[near], dist, row))
+                    start = np.searchsorted(row, np.arange(len(part)))
+                    order = order[(start[:, None] + np.arange(keep)).reshape(-1)]
+                    yield pa.record_batch(
+                        [pa.array(np.repeat(ids[rows[a : a + step]], keep)), pa.array(their_ids[near[order]]), pa.array(dist[order]), pa.array(np.tile(np.arange(1, keep + 1), len(part)).astype(np.int32))],
+                        names=["proj_idx", "donor_idx", "distance", "rank"],
+                    )
 
     return run
 

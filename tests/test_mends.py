@@ -139,3 +139,29 @@ def test_batch_goes_on_after_a_broken_source(spark, tmp_path):
     assert report["status"] == "failed" and len(json.load(open(f"{tmp_path}/out/master.json"))["records"]) == 5
     nothing = sweep.run_batch(points, {"none": paths["none"]}, [(2018, 2022)], F.lit(0.47), 100.0, store=shared_store(spark))
     assert nothing.master.count() == 0 and nothing.status.first()["status"] == "missing_table"
+
+
+def test_nearest_search_measures_few_pairs(monkeypatch):
+    """Balls and the triangle inequality: the same rows as with all pairs, a small share of them measured."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(40, 5)) * 6
+    donors = centres[rng.integers(0, 40, 30_000)] + rng.normal(size=(30_000, 5)) * 0.5
+    donors[:500] = donors[0]  # ties
+    donors[500] = np.nan
+    asked = np.concatenate([donors[rng.integers(0, 30_000, 300)] + 0.1, donors[:3], np.full((1, 5), np.nan), np.full((1, 5), 1e3)])
+    ids = rng.permutation(30_000).astype(np.int64)
+
+    def run(tally=None):
+        batch = pa.record_batch([pa.array(np.arange(len(asked))), *[pa.array(asked[:, i].copy()) for i in range(5)]], names=["proj_idx", *[f"z{i}" for i in range(5)]])
+        out = pa.Table.from_batches(list(matching._nearest(20, ids, donors, tally)(iter([batch]))))
+        rows = sorted(zip(*(out[c].to_pylist() for c in ("proj_idx", "rank", "donor_idx", "distance"))))
+        return [r for r in rows if np.isfinite(asked[r[0]]).all()]
+
+    tally = []
+    found = run(tally)
+    finite = [t for t in tally if t[0] < t[1]]
+    assert sum(a for a, _ in finite) < 0.25 * sum(b for _, b in finite) and len(finite) > 10
+    monkeypatch.setattr(matching, "BALL", 1 << 40)
+    assert run() == found and len(found) == 304 * 20
