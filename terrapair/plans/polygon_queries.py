@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrapair.operators import polygons, raster, scenes, validity
-from terrapair.plans.extract_queries import _SPARSE, _dense
+from terrapair.plans.extract_queries import _DENSE, _SPARSE, _dense
 from terrapair.plans.pipeline import shared_store
 from terrapair.plans.registry import CELLS_SQL, GRID, cells, query, r6, table
-from terrapair.sources import shapefile, tables
+from terrapair.sources import geotiff, geotiff_sink, shapefile, tables
 
 #: Cells with their 8- and 4-connected components, and for each grid corner how many cells meet there.
 _PARTS = f"""s as materialized (select grid_row, grid_col, grid_row::bigint * 4294967296 + grid_col as id from ({_SPARSE})),
@@ -88,3 +88,11 @@ def donor_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     regions = c.withColumn("region", (F.col("grid_col") % 5 != 0).cast("string"))
     out = scenes.donor_ring(c, c.where(_AREA), GRID, regions, {"region": ["true"]}, 1.2, 0.3)
     return out.select("grid_row", "grid_col", r6("distance"))
+
+
+@query(f"select 'r' as source_tile, grid_row, grid_col, v::double as v, k::double as k from ({_DENSE})")
+def raster_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells exported as a tiled raster with overviews and read back by its own header."""
+    path = f"{tables.new_folder(spark, 'raster')}/r.tif"
+    geotiff_sink.save_raster(_dense(spark, sf_dir), path, GRID, ["v", "k"], tile=64, overviews=2)
+    return geotiff.load_files(spark, path).select("source_tile", "grid_row", "grid_col", "v", "k")

@@ -165,3 +165,38 @@ def test_nearest_search_measures_few_pairs(monkeypatch):
     assert sum(a for a, _ in finite) < 0.25 * sum(b for _, b in finite) and len(finite) > 10
     monkeypatch.setattr(matching, "BALL", 1 << 40)
     assert run() == found and len(found) == 304 * 20
+
+
+def test_raster_round_trip(spark, tmp_path):
+    """Written by tasks, read back by its own header; overviews hold means."""
+    import struct
+
+    from terrapair.config import Grid
+    from terrapair.sources import geotiff, geotiff_sink
+
+    grid, rng = Grid(x0=1000.0, y0=9000.0), random.Random(3)
+    cells = {(rng.randrange(150), rng.randrange(90)): (rng.uniform(-5, 5), float(i)) for i in range(900)} | {(149, 200): (1.5, 2.5)}
+    df = spark.createDataFrame([(*k, *v) for k, v in cells.items()] + [(0, 3, None, 1.0), (0, 4, float("nan"), 1.0)], "grid_row int, grid_col int, NDVI_t0 double, n double")
+    cells = {k: v for k, v in cells.items() if k not in ((0, 3), (0, 4))}
+    df = df.where("not (grid_row = 0 and grid_col in (3, 4)) or n = 1.0")
+    path = f"{tmp_path}/deep/r.tif"
+    geotiff_sink.save_raster(df.repartition(5), path, grid, ["NDVI_t0", "n"], tile=64, overviews=2)
+    assert [p.name for p in (tmp_path / "deep").iterdir()] == ["r.tif"]
+    spark.dataSource.register(geotiff.GeoTiffSource)
+    for back in (spark.read.format("cells").option("path", path).option("blockRows", 40).load(), geotiff.load_files(spark, path)):
+        assert {(r["grid_row"], r["grid_col"]): (r["NDVI_t0"], r["n"]) for r in back.collect()} == cells
+    with open(path, "rb") as f:
+        h = geotiff.read_header(f)
+        assert h.size == (150, 201) and h.transform == (1000.0, 9000.0, 30.0, 30.0) and h.names == ["NDVI_t0", "n"]
+        raw = open(path, "rb").read()
+        place, sizes = struct.unpack_from("<Q", raw, 8)[0], []
+        while place:
+            n = struct.unpack_from("<Q", raw, place)[0]
+            tags = {struct.unpack_from("<H", raw, place + 8 + 20 * i)[0]: struct.unpack_from("<I", raw, place + 8 + 20 * i + 12)[0] for i in range(n)}
+            sizes.append((tags[257], tags[256], tags[254]))
+            place = struct.unpack_from("<Q", raw, place + 8 + 20 * n)[0]
+        assert sizes == [(150, 201, 0), (75, 101, 1), (38, 51, 1)]
+    small = {(r["level"], r["tr"], r["tc"]) for r in geotiff_sink.tiles(df, ["n"], 64, 2).select("level", "tr", "tc").collect()}
+    assert (2, 0, 0) in small and (0, 2, 3) in small
+    geotiff_sink.save_raster(df.limit(0), f"{tmp_path}/none.tif", grid, ["n"])
+    assert geotiff.load_files(spark, f"{tmp_path}/none.tif").count() == 0
