@@ -305,7 +305,7 @@ c as (select p.p_partkey as proj_idx, d.p_partkey as donor_idx, d.need, {m._DIST
 best as (select extent, c.*, (((proj_idx * 31) % 101) - ((donor_idx * 31) % 101)) * 4e-5 as sd, ((proj_idx * 31) % 101 - 50) * 4e-5 as sp, ((donor_idx * 31) % 101 - 50) * 4e-5 as sr from c, e where need <= km qualify row_number() over (partition by extent, proj_idx order by distance, donor_idx) = 1),
 tests as (select extent, count(*) n_ok, avg(sd) / (stddev_samp(sd) / sqrt(count(*))) as t, (avg(sp) - avg(sr)) / sqrt(10e0 * count(*) * (var_pop(sp) + var_pop(sr)) / (10e0 * count(*) - 4) * 2 / (10e0 * count(*))) as ti from best group by 1),
 side as (select avg(p_size) mp, var_pop(p_size) vp, count(*) n_project from pr),
-mm as (select extent, count(*) n_matched, any_value(n_ok) n_selected, any_value(abs(t) < 1.96e0 and abs(ti) < 1.96e0 and n_ok >= 30) compliant, avg(p_size) mr, var_pop(p_size) vr from best left join tests using (extent) group by 1),
+mm as (select extent, count(*) n_matched, any_value(n_ok) n_selected, any_value(abs(t) < 1.96e0 and abs(ti) < 1.96e0 and n_ok >= 3) compliant, avg(p_size) mr, var_pop(p_size) vr from best left join tests using (extent) group by 1),
 dn as (select extent, count(*) n_donor from dd, e where need <= km group by 1),
 k as (select extent, n_project, n_donor, coalesce(n_matched, 0) n_matched, coalesce(n_selected, 0) n_selected, coalesce(compliant, false) as ok_compliant, abs(mp - mr) / sqrt((vp + vr) / 2) as smd from dn left join mm using (extent), side),
 o as (select *, n_donor / n_project::double >= 3 as ok_ratio, coalesce(n_matched / n_project::double * 100 >= 50, false) as ok_match, coalesce(n_selected / greatest(n_matched, 1)::double * 100 >= 30, false) as ok_twin, coalesce(round(smd, 4) <= 5e-1, false) as ok_smd from k)"""
