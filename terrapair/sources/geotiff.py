@@ -3,8 +3,8 @@
 ``spark.dataSource.register(GeoTiffSource)`` then
 ``spark.read.format("cells").option("path", file).load()`` gives a row for each valid cell with
 grid_row, grid_col and a double column a band. A partition is a block of rows, of which
-only its own strips are read; the path must be one that executors can open. `load_files` reads
-files from any store that Spark reads, a task each. Written from the public TIFF 6.0, BigTIFF
+only its own strips are read; the path may be a URI of any store of `stores`. `load_files` reads
+many files, in stretches of rows planned from their headers. Written from the public TIFF 6.0, BigTIFF
 and GeoTIFF specifications.
 """
 
@@ -20,10 +20,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from terrapair.sources import stores
+
 _TYPES = {1: "B", 2: "s", 3: "H", 4: "I", 5: "II", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 13: "I", 16: "Q", 17: "q", 18: "Q"}
 BLOCK_ROWS = 2048
+#: Decoded bytes of the rows that a task of `load_files` reads.
+PART_BYTES = 64 << 20
+#: Tasks of one `load_files`; with more stretches a task takes several.
+MAX_TASKS = 20_000
 
 
 @dataclass
@@ -38,6 +45,11 @@ class Header:
     def size(self) -> tuple[int, int]:
         return self.one(257), self.one(256)
 
+    @property
+    def block_rows(self) -> int:
+        """Rows of a strip or tile."""
+        return self.one(323) if 324 in self.tags else min(self.one(278, self.size[0]), self.size[0])
+
     @property
     def bands(self) -> int:
         return self.one(277, 1)
@@ -152,7 +164,7 @@ def read_rows(f, h: Header, first: int, last: int) -> np.ndarray:
     planes = h.bands if separate else 1
     per = 1 if separate else h.bands
     tiled = 324 in h.tags
-    bh, bw = (h.one(323), h.one(322)) if tiled else (min(h.one(278, height), height), width)
+    bh, bw = h.block_rows, h.one(322) if tiled else width
     offsets, sizes = (h.tags[324], h.tags[325]) if tiled else (h.tags[273], h.tags[279])
     across, down = -(-width // bw), -(-height // bh)
     out = np.zeros((last - first, width, h.bands), h.dtype)
@@ -180,7 +192,7 @@ class GeoTiffSource(DataSource):
         return "cells"
 
     def _header(self) -> Header:
-        with open(self.options["path"], "rb") as f:
+        with stores.opened(self.options["path"]) as f:
             return read_header(f)
 
     def schema(self) -> str:
@@ -199,22 +211,62 @@ class _Reader(DataSourceReader):
         return [_Rows(self.path, a, min(height, a + self.block)) for a in range(0, height, self.block)]
 
     def read(self, part: _Rows) -> Iterator[pa.RecordBatch]:
-        with open(part.path, "rb") as f:
+        with stores.opened(part.path) as f:
             yield from _cells(f, read_header(f), part.first, part.last)
 
 
 def _cells(f, h: Header, first: int, last: int) -> Iterator[pa.RecordBatch]:
     """Valid cells of rows [first, last)."""
-    for a in range(first, last, 256):
-        x = read_rows(f, h, a, min(last, a + 256)).astype(np.float64)
+    # whole rows of blocks, so that none is decoded twice
+    block = h.block_rows
+    step = block if 256 < block <= 1024 else max(1, 256 // block) * block if block <= 256 else 256
+    for a in range(first // step * step, last, step):
+        begin = max(a, first)
+        x = read_rows(f, h, begin, min(last, a + step)).astype(np.float64)
         ok = np.isfinite(x).all(2)
         if h.nodata is not None:
             ok &= (x != h.nodata).all(2)
         r, c = np.nonzero(ok)
-        yield pa.record_batch([pa.array((r + a).astype(np.int32)), pa.array(c.astype(np.int32)), *(pa.array(x[r, c, b]) for b in range(h.bands))], names=["grid_row", "grid_col", *h.names])
+        yield pa.record_batch([pa.array((r + begin).astype(np.int32)), pa.array(c.astype(np.int32)), *(pa.array(x[r, c, b]) for b in range(h.bands))], names=["grid_row", "grid_col", *h.names])
+
+
+def _named(names: list[str], path: str, cells: pa.RecordBatch) -> pa.RecordBatch:
+    """Cells with the file's name, and null for bands that it lacks."""
+    tile = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+    have = [cells.column(cells.schema.get_field_index(n)) if n in cells.schema.names else pa.nulls(cells.num_rows, pa.float64()) for n in names]
+    return pa.record_batch([pa.array([tile] * cells.num_rows, pa.string()), cells.column(0), cells.column(1), *have], names=["source_tile", "grid_row", "grid_col", *names])
+
+
+def _planned(part_bytes: int):
+    """Stretches of rows of each file: whole rows of its blocks, of about part_bytes once decoded."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with stores.opened(path) as f:
+                    h = read_header(f)
+                height, width = h.size
+                block = h.block_rows
+                rows = max(1, part_bytes // (width * h.bands * h.dtype.itemsize * block)) * block
+                first = np.arange(0, height, rows, np.int32)
+                k = len(first)
+                yield pa.record_batch([pa.array([path] * k, pa.string()), pa.array([h.names] * k, pa.list_(pa.string())), pa.array(first), pa.array(np.minimum(first + rows, height).astype(np.int32))], names=["path", "names", "first", "last"])
 
+    return run
+
+
+def _stretches(names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, first, last in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                with stores.opened(path) as f:
+                    for cells in _cells(f, read_header(f), first, last):
+                        yield _named(names, path, cells)
 
-def _opened(names: list[str] | None):
+    return run
+
+
+def _whole(names: list[str] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
@@ -223,21 +275,34 @@ def _opened(names: list[str] | None):
                 if names is None:
                     yield pa.record_batch([pa.array([h.names], pa.list_(pa.string()))], names=["names"])
                     continue
-                tile = path.as_py().rsplit("/", 1)[-1].rsplit(".", 1)[0]
                 for cells in _cells(f, h, 0, h.size[0]):
-                    have = [cells.column(h.names.index(n) + 2) if n in h.names else pa.nulls(cells.num_rows, pa.float64()) for n in names]
-                    yield pa.record_batch([pa.array([tile] * cells.num_rows, pa.string()), cells.column(0), cells.column(1), *have], names=["source_tile", "grid_row", "grid_col", *names])
+                    yield _named(names, path.as_py(), cells)
 
     return run
 
 
-def load_files(spark: SparkSession, paths: str | list[str], pattern: str = "*.tif") -> DataFrame:
+def load_files(spark: SparkSession, paths: str | list[str], pattern: str = "*.tif", part_bytes: int = PART_BYTES, ranges: bool | None = None) -> DataFrame:
     """Valid cells of files or folders in any store that Spark reads, with source_tile.
 
-    A file is one task and one value (2 GB at most), so that larger rasters should come as tiles. Bands that
-    a file lacks are null; of its header only the names of bands come to the driver.
+    Where the store can be read by ranges (`stores.seekable`; `ranges` overrides it), tasks plan the files from their
+    headers, and each stretch of rows is a task of its own that fetches only its strips or tiles: the size of a
+    file doesn't matter. From other stores a file is one task and one value (2 GB at most). Bands
+    that a file lacks are null; only names of bands and a count come to the driver. No files give no rows.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(paths).select("path", "content")
-    found = files.mapInArrow(_opened(None), "names array<string>").selectExpr("explode(names) name").distinct().orderBy("name")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(paths)
+    if ranges is None:
+        ranges = stores.seekable(files)
+    if ranges:
+        plan = files.select("path").mapInArrow(_planned(part_bytes), "path string, names array<string>, first int, last int")
+        found, n = plan.agg(F.flatten(F.collect_set("names")), F.count(F.lit(1))).first()
+        names = sorted(set(found))
+        rows = plan.select("path", "first", "last").repartition(max(1, min(n, MAX_TASKS))).mapInArrow
+        return rows(_stretches(names), _cell_schema(names))
+    whole = files.select("path", "content")
+    found = whole.mapInArrow(_whole(None), "names array<string>").selectExpr("explode(names) name").distinct().orderBy("name")
     names = [r[0] for r in found.collect()]  # a handful of bands
-    return files.mapInArrow(_opened(names), "source_tile string, grid_row int, grid_col int, " + ", ".join(f"`{n}` double" for n in names))
+    return whole.mapInArrow(_whole(names), _cell_schema(names))
+
+
+def _cell_schema(names: list[str]) -> str:
+    return "source_tile string, grid_row int, grid_col int" + "".join(f", `{n}` double" for n in names)

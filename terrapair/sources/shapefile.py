@@ -2,7 +2,7 @@
 
 A layer is a table (poly_id, ring_id, edge_id, x0, y0, x1, y1) of edges, with the record's attributes
 on request. The index (.shx) tells where each record lies, so a task reads a stretch of whole records by
-offset; files in stores that only Spark reads come as one value each (`load_edges`; the format's
+offset; files in stores without ranges come as one value each (`load_edges`; the format's
 limit is 2 GB a file). Null shapes, shapes without points and rings of fewer than three edges give nothing.
 
 The sink takes (poly_id, ring_id, edge_id, x0, y0, x1, y1) grouped by polygon. Tasks write their records to parts
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from terrapair.functions import projection
+from terrapair.sources import stores
 
 # Fixed values of the format.
 FILE_CODE, VERSION, HEADER = 9994, 1000, 100
@@ -87,7 +88,7 @@ class _Stretch(InputPartition):
 
 
 class ShapefileSource(DataSource):
-    """format("shapefile"): polygons as edges, from a path that Python can open."""
+    """format("shapefile"): polygons as edges, from a path or URI of any store of `stores`."""
 
     @classmethod
     def name(cls) -> str:
@@ -112,7 +113,7 @@ class _Reader(DataSourceReader):
         self.base, self.split = _base(path), split
 
     def _index(self) -> np.ndarray:
-        with open(f"{self.base}.shx", "rb") as f:
+        with stores.opened(f"{self.base}.shx") as f:
             return read_index(f.read())
 
     def partitions(self) -> list[_Stretch]:
@@ -127,7 +128,7 @@ class _Reader(DataSourceReader):
         index = self._index()[part.first : part.last]
 
         def records() -> Iterator[tuple[int, bytes]]:
-            with open(f"{self.base}.shp", "rb") as f:
+            with stores.opened(f"{self.base}.shp") as f:
                 for i, (at, size) in enumerate(index.tolist()):
                     f.seek(at + 8)
                     yield part.first + i, f.read(size)
@@ -152,11 +153,23 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _edges(zip(batch.column(0).to_pylist(), (x.as_py() for x in batch.column(1))))
 
 
-def load_edges(spark: SparkSession, path: str) -> DataFrame:
-    """The same table from any store that Spark reads; records are dealt out before they are parsed."""
+def load_edges(spark: SparkSession, path: str, ranges: bool | None = None) -> DataFrame:
+    """The same table from any store that Spark reads.
+
+    With an index, and where the store can be read by ranges (`ranges` overrides that), by stretches of records; else as
+    one value, whose records are dealt out before they are parsed.
+    """
+    from terrapair.sources import tables
+
     base = re.sub(r"\.shp$", "", path)
-    files = spark.read.format("binaryFile").load(f"{base}.shp").select("content")
-    return files.mapInArrow(_whole, "poly_id long, content binary").repartition("poly_id").mapInArrow(_parsed, EDGES)
+    files = spark.read.format("binaryFile").load(f"{base}.shp")
+    if ranges is None:
+        ranges = tables.exists(spark, f"{base}.shx") and stores.seekable(files)
+    if ranges:
+        spark.dataSource.register(ShapefileSource)
+        # the path as Spark resolved it, so that both look into the same store
+        return spark.read.format("shapefile").option("path", files.select("path").first()[0]).load()
+    return files.select("content").mapInArrow(_whole, "poly_id long, content binary").repartition("poly_id").mapInArrow(_parsed, EDGES)
 
 
 def crs_of(wkt: str) -> str | None:

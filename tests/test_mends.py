@@ -200,3 +200,27 @@ def test_raster_round_trip(spark, tmp_path):
     assert (2, 0, 0) in small and (0, 2, 3) in small
     geotiff_sink.save_raster(df.limit(0), f"{tmp_path}/none.tif", grid, ["n"])
     assert geotiff.load_files(spark, f"{tmp_path}/none.tif").count() == 0
+
+
+def test_rasters_by_ranges(spark, tmp_path):
+    """One file is several tasks, its content is no column of the plan; whole values give the same rows."""
+    from terrapair.config import Grid
+    from terrapair.sources import geotiff, geotiff_sink, stores
+
+    df = spark.range(300 * 40).selectExpr("cast(id div 40 as int) grid_row", "cast(id % 40 as int) grid_col", "cast(id as double) v")
+    for name, rows in (("a", 300), ("b", 10)):
+        geotiff_sink.save_raster(df.where(f"grid_row < {rows}"), f"{tmp_path}/t/{name}.tif", Grid(x0=0.0, y0=9000.0), ["v"], tile=16)
+    spark.range(3).write.parquet(f"{tmp_path}/t/other")
+    path = f"file://{tmp_path}/t"
+    assert stores.seekable(spark.createDataFrame([(f"file:{tmp_path}/t/a.tif",), ("/x/y.tif",)], "path string"))
+    assert not stores.seekable(spark.createDataFrame([("nosuchstore://x/y.tif",)], "path string"))
+    cut = geotiff.load_files(spark, path, part_bytes=64 * 40 * 8)
+    tasks = [n for n in cut.groupBy(F.spark_partition_id()).count().toPandas()["count"]]
+    assert len(tasks) > 2 and max(tasks) < 300 * 40
+    assert "content" not in cut._jdf.queryExecution().executedPlan().toString()
+    want = sorted((t, i // 40, i % 40, float(i)) for t, rows in (("a", 300), ("b", 10)) for i in range(rows * 40))
+    assert sorted(tuple(r) for r in cut.collect()) == want
+    assert sorted(tuple(r) for r in geotiff.load_files(spark, path, ranges=False).collect()) == want
+    spark.dataSource.register(geotiff.GeoTiffSource)
+    assert spark.read.format("cells").option("path", f"{path}/a.tif").option("blockRows", 50).load().count() == 300 * 40
+    assert geotiff.load_files(spark, path, "*.tiff").count() == 0

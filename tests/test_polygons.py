@@ -126,7 +126,9 @@ def test_shapefile_source(spark, tmp_path):
     assert split.rdd.getNumPartitions() > 2
     rows = sorted(tuple(r) for r in split.collect())
     want = sorted((i, k, j, *a, *b) for i, rings in enumerate(records) if rings for k, r in enumerate(rings) for j, (a, b) in enumerate(zip(r, r[1:])))
-    assert rows == want and sorted(tuple(r) for r in shapefile.load_edges(spark, f"{tmp_path}/a.shp").collect()) == want
+    assert rows == want
+    for ranges in (True, False, None):
+        assert sorted(tuple(r) for r in shapefile.load_edges(spark, f"file://{tmp_path}/a.shp", ranges).collect()) == want
     area = {r["poly_id"]: r["area_ha"] * 1e4 for r in raster.polygon_area_ha(split).collect()}
     assert area == pytest.approx({0: 91.0, 3: 25.0, 4: 30.0})
     written(f"{tmp_path}/none", [])
