@@ -5,20 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrapair.llm import _store
+from terrapair.llm import _store, hot
 
 MAX_ROUNDS = 60
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, many: bool) -> DataFrame:
     """Connect each node's larger (or smaller) neighbours to its smallest one.
 
-    Minima are partial sums before the shuffle; the join back is an ordinary equi-join that
-    Spark can split where a node has very many neighbours.
+    Minima are partial sums before the shuffle; `many`: a node may have so many neighbours that
+    its edges are not shuffled for the join back (see `hot`).
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    at = both.join(least, "a")
+    minima = lambda x: x.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = minima(both)
+    at = hot.joined(both, "a", "b", minima) if many else both.join(least, "a")
     if large:
         out = at.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
@@ -35,7 +36,8 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     held = None
     for _ in range(MAX_ROUNDS):
-        now = _store.stored(_star(_star(edges, True), False), "components")
+        many = before is None or before[0] >= hot.ROWS // 2
+        now = _store.stored(_star(_star(edges, True, many), False, many), "components")
         if held is not None:
             _store.drop_stored(held)
         edges = held = now

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrapair.llm import _store, bloom
+from terrapair.llm import _store, bloom, hot
 from terrapair.llm import _text as T
 from terrapair.llm.components import components
 
@@ -49,6 +49,8 @@ SHINGLE, THRESHOLD = 5, 80
 SAMPLE = 4 / 3
 ROUNDS = 2
 BLOCK = 512
+#: Shingles of a block's sets, about: long texts have blocks of fewer sets.
+BLOCK_SHINGLES = 4_000_000
 QUERIES = 4096
 #: Classes that a task remembers so as to send their shingles once.
 SEEN = 500_000
@@ -137,14 +139,20 @@ def _full_sets(k: int, bits: np.ndarray):
 def _shared(rows: DataFrame, df: bool) -> DataFrame:
     """Of (token, cid) the rows whose token is in several classes; with `df` their number.
 
-    The tokens are dealt out once; the aggregate and the join read the same exchange.
+    Tokens are dealt out once, and the aggregate and the join read the same exchange; rows of hot
+    tokens stay where they are.
     """
-    dealt = rows.repartition("token")
-    if df:
-        many = dealt.groupBy("token").agg(F.count(F.lit(1)).cast("int").alias("df")).where("df > 1")
-    else:
-        many = dealt.groupBy("token").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo < hi").select("token")
-    return dealt.join(many.hint("shuffle_hash"), "token")
+
+    def many(x: DataFrame) -> DataFrame:
+        if df:
+            return x.groupBy("token").agg(F.count(F.lit(1)).cast("int").alias("df")).where("df > 1")
+        return x.groupBy("token").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo < hi").select("token")
+
+    def dealt(x: DataFrame) -> DataFrame:
+        y = x.repartition("token")
+        return y.join(many(y).hint("shuffle_hash"), "token")
+
+    return hot.joined(rows, "token", "cid", many, dealt)
 
 
 def _prefixes(threshold: int):
@@ -246,8 +254,8 @@ def _leaders(heads: DataFrame, round_: int) -> DataFrame:
     """(cid, leader): the first set, in this round's order, of all that share a prefix shingle."""
     # the order is a bijection of the class hash, so that the first set is found with min()
     rank = F.col("cid") if round_ == 0 else F.struct(F.xxhash64("cid", F.lit(round_)).alias("r"), "cid")
-    first = heads.groupBy("token").agg(F.min(rank).alias("first"))
-    mine = heads.select("token", "cid").join(first, "token").groupBy("cid").agg(F.min("first").alias("first"))
+    at = hot.joined(heads.select("token", "cid"), "token", "cid", lambda x: x.groupBy("token").agg(F.min(rank).alias("first")))
+    mine = at.groupBy("cid").agg(F.min("first").alias("first"))
     return mine.select("cid", (F.col("first") if round_ == 0 else F.col("first.cid")).alias("leader"))
 
 
@@ -263,7 +271,7 @@ def _group_links(sets: DataFrame, heads: DataFrame, leaders: DataFrame, known: D
     """Links between sets of different components, through the token-group matrix."""
     label = sets.select("cid", "n").join(leaders, "cid").join(known, F.col("cid") == F.col("node"), "left")
     label = label.select("cid", "n", F.col("leader").alias("group"), F.coalesce("label", "cid").alias("comp"))
-    size = label.groupBy("group").agg(F.expr(f"cast(ceil(count(1) / {BLOCK}) as int)").alias("parts"))
+    size = label.groupBy("group").agg(F.expr(f"cast(ceil(greatest(count(1) / {BLOCK}, sum(n) / {BLOCK_SHINGLES})) as int)").alias("parts"))
     label = label.join(size, "group").select("cid", "n", "comp", "group", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("cid"), "parts")).otherwise(0).cast("int").alias("part"))
     label = _store.stored(label, "groups")
     bounds = [F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("lo"), F.max("comp").alias("hi")]
@@ -271,8 +279,8 @@ def _group_links(sets: DataFrame, heads: DataFrame, leaders: DataFrame, known: D
     fits = (F.lit(100) * F.col("most") >= F.lit(threshold) * F.col("n")) & (F.lit(threshold) * F.col("least") <= F.lit(100) * F.col("n"))
 
     rows = heads.select("token", "cid").join(label, "cid")
-    mixed = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-    rows = _store.stored(rows.join(mixed, "token"), "mixed")
+    mixed = lambda x: x.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
+    rows = _store.stored(hot.joined(rows, "token", "cid", mixed), "mixed")
     matrix = rows.groupBy("token", "group").agg(*bounds)
     query = rows.select("token", "cid", "n", "comp", F.col("group").alias("own"), F.col("part").alias("own_part"))
     asked = query.join(matrix, "token").where((F.col("own") >= F.col("group")) & fits & open_)
