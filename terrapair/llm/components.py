@@ -33,17 +33,20 @@ def components(edges: DataFrame) -> DataFrame:
     Rounds end when the edges stay the same, which their count and an order-free checksum show.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    before = None
-    held = None
+    edges = held = _store.stored(edges, "components")
+    before, n = None, edges.count()
     for _ in range(MAX_ROUNDS):
-        many = before is None or before[0] >= hot.ROWS // 2
-        now = _store.stored(_star(_star(edges, True, many), False, many), "components")
-        if held is not None:
-            _store.drop_stored(held)
+        many = n >= hot.ROWS // 2
+        # looking for hot nodes reads the edges once more, so that they must be a table
+        large = _store.stored(_star(edges, True, many), "stars") if many else _star(edges, True, False)
+        now = _store.stored(_star(large, False, many), "components")
+        if many:
+            _store.drop_stored(large)
+        _store.drop_stored(held)
         edges = held = now
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if state == before:
             roots = now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
             return now.select(F.col("a").alias("node"), F.col("b").alias("label")).union(roots)
-        before = state
+        before, n = state, state[0]
     raise RuntimeError("components did not converge")
