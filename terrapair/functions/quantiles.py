@@ -3,15 +3,19 @@
 An approximate quantile with a bounded sketch brackets each wanted value between two others; the next scan
 counts what lies below and between, and looks between them again. A bracket shrinks by
 some hundred times a scan, so four scans do for 10**12 rows; at most KEEP values are gathered.
+
+With groups, every group's brackets are rows of a table and shrink at the same time (`grouped_quantiles`).
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from terrapair.functions.columns import finite
@@ -21,6 +25,8 @@ KEEP = 100_000
 #: A sketch's ranks are off by one in ACCURACY at most; the margin that is taken is wider.
 ACCURACY, MARGIN = 2000, 1 / 500
 MAX_SCANS = 60
+#: Marks that cut a group's bracket in a round.
+MARKS = 64
 
 
 @dataclass
@@ -138,3 +144,80 @@ def with_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float
                 values.append(a + (b - a) * (at - math.floor(at)))
         out[c] = values or None
     return out, head
+
+
+def grouped_quantiles(df: DataFrame, by: Sequence[str], column: str, shares: dict[str, float], keep: int = KEEP, store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(by, a column a share) with each group's exact quantiles by linear interpolation; a null key is a group.
+
+    A group without finite values has no row. A bracket is a row (by, bounds, wanted order statistics); in a round
+    a sketch of each bracket's values gives MARKS marks, partial counts at and between them tell which of these hold
+    something wanted, and those between become the next brackets. So however many rows a group has, no
+    task gets more than `keep` distinct values of a bracket to sort, and equal values are one row by then. Jobs run at once,
+    two scans of `df` a round: store it first if it is costly. `store` cuts the lineage of the brackets, checkpoint() by default.
+    """
+    store = store or (lambda x: x.checkpoint())
+    keys = list(by)
+    rows = df.select(*keys, finite(F.col(f"`{column}`").cast("double")).alias("_v")).where("_v is not null")
+    at = [f(F.lit(float(q)) * (F.col("_n") - 1)).cast("long") for q in shares.values() for f in (F.floor, F.ceil)]
+    size = store(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+    none = F.lit(None).cast("double")
+    brackets = size.select(*keys, none.alias("_lo"), none.alias("_hi"), F.lit(0).cast("long").alias("_below"), F.array_distinct(F.array(*at)).alias("_ks"), "_n")
+    parts: list[DataFrame] = []
+    for _ in range(MAX_SCANS):
+        parts.append(_sorted_statistics(rows, brackets.where(F.col("_n") <= keep), keys))
+        large = brackets.where(F.col("_n") > keep)
+        if large.isEmpty():
+            break
+        cut = store(_cut(rows, large, keys, store))
+        parts.append(cut.where("_equal").select(*keys, F.explode("_ks").alias("_k"), F.col("_lo").alias("_v")))
+        brackets = cut.where("not _equal").drop("_equal")
+    else:
+        raise ArithmeticError("quantiles did not settle")
+    found = reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_k", "_v"))).alias("_at"))  # two values a share
+    both = _same_keys(size, found, keys)
+
+    def value(q: float) -> Column:
+        place = F.lit(float(q)) * (F.col("_n") - 1)
+        a, b = (F.element_at("_at", f(place).cast("long")) for f in (F.floor, F.ceil))
+        return a + (b - a) * (place - F.floor(place))
+
+    return both.select(*keys, *[value(q).alias(name) for name, q in shares.items()])
+
+
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+    """Inner join on the keys, null equal to null; the right side's keys go."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"`_r_{k}`")) for k in keys]
+    return left.join(other, reduce(and_, [*same, *more])).drop(*[f"_r_{k}" for k in keys])
+
+
+def _inside(rows: DataFrame, brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of the groups with the brackets that their values lie in, bounds left out."""
+    inside = (F.col("_lo").isNull() | (F.col("_v") > F.col("_lo"))) & (F.col("_hi").isNull() | (F.col("_v") < F.col("_hi")))
+    return _same_keys(rows, brackets, keys, inside)
+
+
+def _sorted_statistics(rows: DataFrame, brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(by, _k, _v) of brackets with few values: equal values are counted first, then all are added up in order."""
+    counts = _inside(rows, brackets.drop("_n"), keys).groupBy(*keys, "_lo", "_hi", "_below", "_ks", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    upto = F.col("_below") + F.sum("_c").over(Window.partitionBy(*keys, "_lo", "_hi").orderBy("_v"))
+    counts = counts.withColumn("_upto", upto)
+    return counts.select(*keys, F.explode(F.filter("_ks", lambda k: (k < F.col("_upto")) & (k >= F.col("_upto") - F.col("_c")))).alias("_k"), "_v")
+
+
+def _cut(rows: DataFrame, brackets: DataFrame, keys: Sequence[str], store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Of each bracket, cut by marks, the parts with wanted statistics: single values (_equal, then _lo is it) and what lies between."""
+    held = [*keys, "_lo", "_hi", "_below", "_ks"]
+    sketch = F.percentile_approx("_v", F.array(*[F.lit(i / MARKS) for i in range(MARKS + 1)]), ACCURACY)
+    # stored, so that both uses see the same marks: a sketch depends on the order of its merges
+    marked = store(_inside(rows, brackets.drop("_n"), keys).groupBy(*held).agg(F.array_sort(F.array_distinct(sketch)).alias("_marks")))
+    placed = _inside(rows, marked, keys)
+    placed = placed.withColumns({"_i": F.size(F.filter("_marks", lambda m: m < F.col("_v"))), "_equal": F.array_contains("_marks", F.col("_v"))})
+    part = placed.groupBy(*held, "_marks", "_i", "_equal").agg(F.count(F.lit(1)).alias("_n"))  # at most 2 MARKS rows a bracket
+    order = Window.partitionBy(*keys, "_lo", "_hi").orderBy("_i", "_equal")
+    part = part.withColumn("_below", F.col("_below") + F.sum("_n").over(order) - F.col("_n"))
+    part = part.withColumn("_ks", F.filter("_ks", lambda k: (k >= F.col("_below")) & (k < F.col("_below") + F.col("_n")))).where(F.size("_ks") > 0)
+    mark = lambda i: F.get("_marks", i)
+    lo = F.when(F.col("_equal"), mark(F.col("_i"))).when(F.col("_i") > 0, mark(F.col("_i") - 1)).otherwise(F.col("_lo"))
+    hi = F.when(F.col("_i") < F.size("_marks"), mark(F.col("_i"))).otherwise(F.col("_hi"))
+    return part.select(*keys, lo.alias("_lo"), hi.alias("_hi"), "_below", "_ks", "_n", "_equal")

@@ -6,14 +6,16 @@ aggregates give a row for each group in one job.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrapair.config import TC_TO_TCO2E, Z90, BaselineConfig
 from terrapair.functions.columns import finite
-from terrapair.functions.quantiles import exact_quantiles
+from terrapair.functions.quantiles import exact_quantiles, grouped_quantiles
 
 
 def control_rows(df: DataFrame, unique: bool = False, lon: str = "ref_lon", lat: str = "ref_lat", decimals: int = 7, order: Sequence[str] = ()) -> DataFrame:
@@ -34,29 +36,30 @@ def block_interval(df: DataFrame, delta: str, block: str = "block_id", z: float
     return out.withColumns({"ci_block": F.when(enough, F.lit(z) * F.col("block_sd") / F.sqrt("n_blocks")), "block_status": F.when(enough, "computed").otherwise("not_enough_blocks")})
 
 
-def control_interval(df: DataFrame, delta: str = "delta_tC_ha_yr", lon: str = "ref_lon", lat: str = "ref_lat", cfg: BaselineConfig = BaselineConfig(), block: str = "block_id", by: Sequence[str] = (), median: bool = True) -> DataFrame:
+def control_interval(df: DataFrame, delta: str = "delta_tC_ha_yr", lon: str = "ref_lon", lat: str = "ref_lat", cfg: BaselineConfig = BaselineConfig(), block: str = "block_id", by: Sequence[str] = (), median: bool = True, store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Mean change of the controls with its 90 % interval and the uncertainty ratio.
 
     Mean and deviation are over all rows; the standard error uses the distinct positions
-    if there are two at least. The wider of the pixel and the block interval counts. The median is
-    exact, a quantile search without groups and one percentile a group with them.
+    if there are two at least. The wider of the pixel and the block interval counts. A null group is a
+    group. The median is exact and found by jobs that run at once over `df` (store it first if it is costly);
+    with groups, `store` cuts the lineage between their rounds, checkpoint() by default.
     """
     d = finite(F.col(delta).cast("double"))
     key = F.struct(F.round(lon, cfg.decimals), F.round(lat, cfg.decimals))
     rows = df.select("*", d.alias("_d")).where("_d is not null")
     middle = []
-    if median and by:
-        middle = [F.percentile("_d", F.lit(0.5)).alias("median")]
-    elif median:
+    if median and not by:
         half = exact_quantiles(rows, ["_d"], [0.5])["_d"]
         middle = [F.lit(half[0] if half else None).cast("double").alias("median")]
     agg = rows.groupBy(*by).agg(F.count("_d").alias("n_rows"), F.avg("_d").alias("mean"), *middle, F.stddev_samp("_d").alias("sd"), F.count_distinct(key).alias("n_unique"))
+    if median and by:
+        agg = _with_groups(agg, grouped_quantiles(rows, by, "_d", {"median": 0.5}, store=store), by)
     out = agg.withColumn("n_eff", F.when(F.col("n_unique") >= 2, F.col("n_unique")).otherwise(F.col("n_rows")))
     out = out.where(F.col("n_rows") >= cfg.min_controls)
     out = out.withColumns({"se": F.col("sd") / F.sqrt("n_eff"), "ci_pixel": F.lit(cfg.z) * F.col("sd") / F.sqrt("n_eff"), "ci_naive": F.lit(cfg.z) * F.col("sd") / F.sqrt("n_rows")})
     if cfg.use_blocks:
         blocks = block_interval(rows.withColumn("_delta", F.col("_d")).drop("_d"), "_delta", block, cfg.z, by)
-        out = out.join(blocks, list(by), "left") if by else out.crossJoin(blocks)
+        out = _with_groups(out, blocks, by) if by else out.crossJoin(blocks)
     else:
         out = out.withColumns({"n_blocks": F.lit(0).cast("long"), "block_sd": F.lit(None).cast("double"), "ci_block": F.lit(None).cast("double"), "block_status": F.lit("off")})
     out = out.withColumn("ci", F.greatest("ci_pixel", "ci_block"))  # greatest leaves nulls out
@@ -64,6 +67,13 @@ def control_interval(df: DataFrame, delta: str = "delta_tC_ha_yr", lon: str = "r
     return out.withColumns({"ci_source": source, "lower": F.col("mean") - F.col("ci"), "upper": F.col("mean") + F.col("ci"), **_ratio()})
 
 
+def _with_groups(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Left join of two frames with a row a group, null equal to null."""
+    other = right.withColumnsRenamed({c: f"_g_{c}" for c in by})
+    same = reduce(and_, [left[c].eqNullSafe(other[f"_g_{c}"]) for c in by])
+    return left.join(other, same, "left").drop(*[f"_g_{c}" for c in by])
+
+
 def _ratio() -> dict[str, Column]:
     positive = F.col("mean") > 0
     return {"uncbsl": F.when(positive, F.col("ci") / F.col("mean")), "uncbsl_status": F.when(positive, "computed").otherwise("not_applicable_non_positive_mean")}

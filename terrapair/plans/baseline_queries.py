@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terrapair.config import AreaConfig, BaselineConfig, CarbonSpec
 from terrapair.operators import area, baseline, carbon, sweep
+from terrapair.plans.pipeline import shared_store
 from terrapair.plans.registry import CELLS_SQL, GRID, cells, query, r6, table
 
 AREA_HA, YEARS = 15713.91, 6
@@ -15,7 +16,7 @@ _C = f"c as (select *, l_partkey / 1e3 as ref_lon, -l_suppkey / 1e3 as ref_lat,
 
 def controls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matched rows: cells that share a part and supplier share a position."""
-    c = cells(spark, sf_dir, "l_orderkey", "l_linenumber", "l_tax", "l_discount", "l_returnflag")
+    c = cells(spark, sf_dir, "l_orderkey", "l_linenumber", "l_tax", "l_discount", "l_returnflag", "l_linestatus")
     c = c.withColumns({"ref_lon": F.col("grid_col") / 1000, "ref_lat": -F.col("grid_row") / 1000, "delta_tC_ha_yr": F.col("l_tax") * 10 - F.col("l_discount") * 5})
     return carbon.with_blocks(c, 500.0)
 
@@ -42,6 +43,17 @@ def control_ci90(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("n_rows", "n_unique", "n_eff", *eight, "ci_source", r6("uncbsl"), "uncbsl_status")
 
 
+@query(f"""
+with {_C}, rows as (select l_returnflag, l_linestatus, d, round(ref_lon, 7) lo, round(ref_lat, 7) la, floor(x_utm / 5e2) bx, floor(y_utm / 5e2) by_ from c),
+p as (select l_returnflag, l_linestatus, count(d) n_rows, avg(d) mean, quantile_cont(d, 0.5) median, stddev_samp(d) sd, count(distinct (lo, la)) n_unique from rows group by all),
+b as (select l_returnflag, l_linestatus, count(*) n_blocks, stddev_samp(m) block_sd from (select l_returnflag, l_linestatus, avg(d) m from rows group by l_returnflag, l_linestatus, bx, by_) group by all),
+i as (select *, greatest(1.645e0 * sd / sqrt(case when n_unique >= 2 then n_unique else n_rows end), case when n_blocks >= 2 then 1.645e0 * block_sd / sqrt(n_blocks) end) ci from p join b using (l_returnflag, l_linestatus) where n_rows >= {BaselineConfig().min_controls})
+select l_returnflag, l_linestatus, n_rows, n_unique, n_blocks, round(mean, 8) as mean, round(median, 8) as median, round(ci, 8) as ci from i""")
+def control_ci90_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = baseline.control_interval(controls(spark, sf_dir), by=("l_returnflag", "l_linestatus"), store=shared_store(spark))
+    return out.select("l_returnflag", "l_linestatus", "n_rows", "n_unique", "n_blocks", *[r6(x, digits=8) for x in ("mean", "median", "ci")])
+
+
 @query(f"with {_CONTROL} select n_blocks, round(block_sd, 8) as block_sd, round(ci_block, 8) as ci_block, 'computed' as block_status from i")
 def block_ci90(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = baseline.block_interval(controls(spark, sf_dir).where("l_returnflag = 'A'"), "delta_tC_ha_yr")

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrapair.functions.columns import clean
+from terrapair.sources import stores
+
+#: Bytes of a file that are hashed at once.
+CHUNK = 8 << 20
 
 
 def _fs(spark: SparkSession, path: str):
@@ -156,9 +162,27 @@ def read_json(spark: SparkSession, path: str) -> dict | None:
 
 
 def checksums(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """(path, length, sha256) of the files of a folder: files are read and hashed by the executors."""
+    """(path, length, sha256) of the files of a folder, hashed by the executors in pieces of CHUNK bytes, whatever their size.
+
+    In a store that Arrow can't open a file is one value, of 2 GB at most. Spark lists no empty files.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
-    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    listed = files.select("path", "length")
+    if not stores.seekable(listed):
+        return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    return listed.mapInArrow(_digests, "path string, length long, sha256 string")
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sums = []
+        for path in batch.column("path").to_pylist():
+            h = hashlib.sha256()
+            with stores.opened(path) as f:
+                while piece := f.read(CHUNK):
+                    h.update(piece)
+            sums.append(h.hexdigest())
+        yield pa.record_batch([batch.column("path"), batch.column("length"), pa.array(sums, pa.string())], names=["path", "length", "sha256"])
 
 
 def remove(spark: SparkSession, path: str) -> None:
