@@ -39,7 +39,10 @@ def audit(df: DataFrame, flags: Sequence[str]) -> DataFrame:
 
 
 def covariate_summary(df: DataFrame, covs: Sequence[str], decimals: int = 6) -> DataFrame:
-    """n, mean, median, sample deviation, 2nd and 98th percentile; covariates without values are left out."""
+    """n, mean, median, sample deviation, 2nd and 98th percentile; covariates without values are left out.
+
+    The quantile search runs its jobs at once, two or three scans of `df`: store it first if it is costly.
+    """
     v = {c: finite(F.col(f"`{c}`").cast("double")) for c in covs}
     aggs = [f(v[c]).alias(f"{k}_{c}") for c in covs for k, f in (("n", F.count), ("m", F.avg), ("s", F.stddev_samp))]
     if not covs:

@@ -106,7 +106,8 @@ def join_by_position(locked: DataFrame, table: DataFrame, lon: str = "ref_lon",
 def delta_column(df: DataFrame, years: float, carbon_fraction: float = 0.47, root_shoot: float = 0.0) -> Column:
     """Carbon change of a prepared table: a direct column, else a pair of carbon stocks, else of biomass.
 
-    Chosen when the plan is made, from the columns there are.
+    Chosen when the plan is made, from the columns there are. Stocks are also taken under their names
+    without the units, which the method itself doesn't do; names with units win.
     """
     have = set(df.columns)
     for c in DELTA_COLUMNS:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapair.config import MANDATORY_COLUMNS, TENURE_COLUMNS, TEXTURE_FALLBACK, MatchConfig
-from terrapair.functions.columns import finite
+from terrapair.functions.columns import all_finite, finite
 
 #: Donor rows that are broadcast at most; with 8 covariates they have about 20 MB.
 BLOCK_ROWS = 300_000
@@ -390,16 +390,21 @@ def _leaf_search(queries: DataFrame, donors: DataFrame, k: int, dims: int, rows:
     return asked.groupBy("leaf", "part").cogroup(there.groupBy("leaf", "part")).applyInArrow(search, "proj_idx long, donor_idx long, distance double, rank int")
 
 
+def _placed(df: DataFrame, metric: Metric) -> DataFrame:
+    return df.where(all_finite(metric.covariates))
+
+
 def knn(project: DataFrame, donors: DataFrame, metric: Metric, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(proj_idx, donor_idx, distance, rank): the k nearest donors, ties by donor_idx.
 
     Up to block_rows donors are broadcast, a bound that is checked. More are dealt to the boxes of a
     k-d tree that a bounded sample of them gives: a project row searches its own box, and then
     the others that its k-th distance there still reaches. No donors come to the driver but the sample.
+    A row with a missing or infinite covariate has no place: it has no neighbours and is nobody's.
     """
     coords = [c.alias(f"z{i}") for i, c in enumerate(whitened(metric))]
-    left = project.select(F.col("proj_idx").cast("long").alias("proj_idx"), *coords)
-    right = donors.select(F.col("donor_idx").cast("long").alias("donor_idx"), *coords)
+    left = _placed(project, metric).select(F.col("proj_idx").cast("long").alias("proj_idx"), *coords)
+    right = _placed(donors, metric).select(F.col("donor_idx").cast("long").alias("donor_idx"), *coords)
     n, dims = right.count(), len(coords)
     out = "proj_idx long, donor_idx long, distance double, rank int"
     if not n:
@@ -432,6 +437,7 @@ def knn(project: DataFrame, donors: DataFrame, metric: Metric, k: int, block_row
 
 def knn_sql(project: DataFrame, donors: DataFrame, metric: Metric, k: int, most_donors: int = 20_000) -> DataFrame:
     """`knn` as a broadcast theta join with a group limit, for donor sides of a checked size."""
+    project, donors = _placed(project, metric), _placed(donors, metric)
     if donors.count() > most_donors:
         raise ValueError("too many donors for a theta join; use knn")
     coords = whitened(metric)

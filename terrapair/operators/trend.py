@@ -100,7 +100,10 @@ def interaction_test(long: DataFrame, cfg: TrendConfig = TrendConfig()) -> Test:
 
 
 def paired_sums(pairs: DataFrame) -> DataFrame:
-    """One row: n, mean, median |d| and t of the pairs' slope differences d (project - reference)."""
+    """One row: n, mean, median |d| and t of the pairs' slope differences d (project - reference).
+
+    The median is searched at once, in two or three scans of `pairs`: store them first if they are costly.
+    """
     d = F.when(F.col("ols_valid"), F.col("proj_slope") - F.col("ref_slope"))
     d = pairs.select(d.alias("d")).where("d is not null")
     median = exact_quantiles(d.select(F.abs("d").alias("a")), ["a"], [0.5])["a"]

@@ -1,4 +1,4 @@
-"""Quantiles of groups, and checksums of files of any size."""
+"""Quantiles of groups, checksums of files of any size, rows without a place, queries that SQL can't express."""
 
 import hashlib
 import math
@@ -8,10 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrapair.functions import quantiles
-from terrapair.operators import baseline
+from terrapair.operators import baseline, matching
+from terrapair.plans import extract_queries, match_queries
 from terrapair.plans.pipeline import shared_store
 from terrapair.sources import stores, tables
 
+SF = "/root/testdata/sf0.001"
+
 
 def plain(values, q):
     return float(np.quantile(np.array(values, float), q))
@@ -87,3 +90,33 @@ def test_checksums_of_files_in_pieces(spark, tmp_path, monkeypatch):
     assert sums() == want
     monkeypatch.setattr(stores, "seekable", lambda files: False)  # a store without ranges
     assert sums() == want
+
+
+def test_rows_without_a_place_have_no_neighbours(spark):
+    """Missing and infinite covariates on both sides, for broadcast donors, boxes and the SQL form."""
+    bad = [None, float("nan"), float("inf")]
+    p = spark.createDataFrame([(i, float(i % 7), float(i % 3)) for i in range(30)] + [(100 + i, x, 1.0) for i, x in enumerate(bad)], "proj_idx long, a double, b double")
+    d = spark.createDataFrame([(i, i / 10, float(i % 5)) for i in range(200)] + [(1000 + i, 1.0, x) for i, x in enumerate(bad)], "donor_idx long, a double, b double")
+    metric = matching.Metric(("a", "b"), np.zeros(2), np.ones(2), np.eye(2))
+    names = ["proj_idx", "donor_idx", "distance", "rank"]
+    one, boxes, sql = (sorted(map(tuple, x.select(*names).collect())) for x in (matching.knn(p, d, metric, 4), matching.knn(p, d, metric, 4, block_rows=50), matching.knn_sql(p, d, metric, 4)))
+    assert one == boxes == sql and len(one) == 30 * 4
+    assert {x[0] for x in one} == set(range(30)) and max(x[1] for x in one) < 200
+
+
+def test_enforced_reuse_query_equals_greedy(spark):
+    """The registered query over its whole table, against the pairs gone through one by one."""
+    done, uses, want = set(), set(), []
+    cand = match_queries.run(spark, SF, "caliper_first").candidates.where("passed")
+    for dist, p, d in sorted((r["distance"], r["p_proj_idx"], r["d_donor_idx"]) for r in cand.select("distance", "p_proj_idx", "d_donor_idx").collect()):
+        if p not in done and d not in uses:
+            done.add(p), uses.add(d)
+            want.append((p, d))
+    got = match_queries.enforced_reuse_match(spark, SF).collect()
+    assert want and sorted((r["proj_idx"], r["donor_idx"]) for r in got) == sorted(want)
+
+
+def test_file_checksums_query_equals_hashlib(spark):
+    with open(f"{SF}/region.parquet", "rb") as f:
+        data = f.read()
+    assert [tuple(r) for r in extract_queries.file_checksums(spark, SF).collect()] == [(len(data), hashlib.sha256(data).hexdigest())]
