@@ -25,7 +25,7 @@ KEEP = 100_000
 #: A sketch's ranks are off by one in ACCURACY at most; the margin that is taken is wider.
 ACCURACY, MARGIN = 2000, 1 / 500
 MAX_SCANS = 60
-#: Marks that cut a group's bracket in a round.
+#: Marks that cut a group's bracket in all rounds but the first.
 MARKS = 64
 
 
@@ -150,7 +150,7 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], column: str, shares: dic
     """(by, a column a share) with each group's exact quantiles by linear interpolation; a null key is a group.
 
     A group without finite values has no row. A bracket is a row (by, bounds, wanted order statistics); in a round
-    a sketch of each bracket's values gives MARKS marks, partial counts at and between them tell which of these hold
+    a sketch of each bracket's values gives marks (close to the shares at first, then MARKS of them), partial counts at and between them tell which of these hold
     something wanted, and those between become the next brackets. So however many rows a group has, no
     task gets more than `keep` distinct values of a bracket to sort, and equal values are one row by then. Jobs run at once,
     two scans of `df` a round: store it first if it is costly. `store` cuts the lineage of the brackets, checkpoint() by default.
@@ -163,12 +163,13 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], column: str, shares: dic
     none = F.lit(None).cast("double")
     brackets = size.select(*keys, none.alias("_lo"), none.alias("_hi"), F.lit(0).cast("long").alias("_below"), F.array_distinct(F.array(*at)).alias("_ks"), "_n")
     parts: list[DataFrame] = []
-    for _ in range(MAX_SCANS):
+    at_shares = sorted({min(1.0, max(0.0, q + side)) for q in shares.values() for side in (-MARGIN, MARGIN)})
+    for scan in range(MAX_SCANS):
         parts.append(_sorted_statistics(rows, brackets.where(F.col("_n") <= keep), keys))
         large = brackets.where(F.col("_n") > keep)
         if large.isEmpty():
             break
-        cut = store(_cut(rows, large, keys, store))
+        cut = store(_cut(rows, large, keys, [i / MARKS for i in range(MARKS + 1)] if scan else at_shares, store))
         parts.append(cut.where("_equal").select(*keys, F.explode("_ks").alias("_k"), F.col("_lo").alias("_v")))
         brackets = cut.where("not _equal").drop("_equal")
     else:
@@ -205,15 +206,15 @@ def _sorted_statistics(rows: DataFrame, brackets: DataFrame, keys: Sequence[str]
     return counts.select(*keys, F.explode(F.filter("_ks", lambda k: (k < F.col("_upto")) & (k >= F.col("_upto") - F.col("_c")))).alias("_k"), "_v")
 
 
-def _cut(rows: DataFrame, brackets: DataFrame, keys: Sequence[str], store: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Of each bracket, cut by marks, the parts with wanted statistics: single values (_equal, then _lo is it) and what lies between."""
+def _cut(rows: DataFrame, brackets: DataFrame, keys: Sequence[str], at: list[float], store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Of each bracket, cut by marks at the shares `at`, the parts with wanted statistics: single values (_equal, then _lo is it) and what lies between."""
     held = [*keys, "_lo", "_hi", "_below", "_ks"]
-    sketch = F.percentile_approx("_v", F.array(*[F.lit(i / MARKS) for i in range(MARKS + 1)]), ACCURACY)
+    sketch = F.percentile_approx("_v", F.array(*map(F.lit, at)), ACCURACY)
     # stored, so that both uses see the same marks: a sketch depends on the order of its merges
     marked = store(_inside(rows, brackets.drop("_n"), keys).groupBy(*held).agg(F.array_sort(F.array_distinct(sketch)).alias("_marks")))
     placed = _inside(rows, marked, keys)
     placed = placed.withColumns({"_i": F.size(F.filter("_marks", lambda m: m < F.col("_v"))), "_equal": F.array_contains("_marks", F.col("_v"))})
-    part = placed.groupBy(*held, "_marks", "_i", "_equal").agg(F.count(F.lit(1)).alias("_n"))  # at most 2 MARKS rows a bracket
+    part = placed.groupBy(*held, "_marks", "_i", "_equal").agg(F.count(F.lit(1)).alias("_n"))  # two rows a mark and bracket
     order = Window.partitionBy(*keys, "_lo", "_hi").orderBy("_i", "_equal")
     part = part.withColumn("_below", F.col("_below") + F.sum("_n").over(order) - F.col("_n"))
     part = part.withColumn("_ks", F.filter("_ks", lambda k: (k >= F.col("_below")) & (k < F.col("_below") + F.col("_n")))).where(F.size("_ks") > 0)
