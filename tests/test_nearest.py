@@ -60,3 +60,27 @@ def test_caliper_first_pairs_do_not_pass_through_all_pairs(spark, monkeypatch):
     assert {r["p_proj_idx"]: r["d_donor_idx"] for r in m.pairs.collect()} == {i: 1000 + 10 * i for i in range(200)}
     plan = m.pairs._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and m.candidates.count() == 400_000
+
+
+@pytest.mark.parametrize("max_reuse", [1, 3])
+def test_enforced_reuse_within_calipers_equals_greedy(spark, max_reuse):
+    """Few donors for many projects, so that first lists are used up and grow."""
+    p, d = tables(spark, 150, 90, 2)
+    done, uses, want = set(), {}, []
+    for _, x, y in brute(p, d):
+        if x not in done and uses.get(y, 0) < max_reuse:
+            done.add(x)
+            uses[y] = uses.get(y, 0) + 1
+            want.append((x, y))
+    out = matching.enforce_reuse_within(p, d, LIMITS, "cls", METRIC, max_reuse, shared_store(spark, "within"), "tenure_status", first=1, growth=2)
+    assert sorted((r["p_proj_idx"], r["d_donor_idx"]) for r in out.collect()) == sorted(want) and len(want) > 30
+
+
+def test_enforced_reuse_query_asks_for_few_candidates(spark, monkeypatch):
+    from terrapair.plans import match_queries
+
+    seen = []
+    whole = matching.enforce_reuse
+    monkeypatch.setattr(matching, "enforce_reuse", lambda cand, *args, **kw: seen.append(cand.groupBy("p_proj_idx").count().agg({"count": "max"}).first()[0]) or whole(cand, *args, **kw))
+    match_queries.enforced_reuse_match(spark, "/root/testdata/sf0.01").collect()
+    assert seen and seen[0] <= matching.FIRST_CANDIDATES
