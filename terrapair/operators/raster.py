@@ -13,6 +13,8 @@ from terrapair.config import Grid
 from terrapair.functions.columns import finite
 
 CELL = ("grid_row", "grid_col")
+#: Cells on a side of the blocks that neighbours are looked up in, at least.
+BLOCK = 512
 
 
 def edge_spans(edges: DataFrame, grid: Grid) -> DataFrame:
@@ -52,31 +54,69 @@ def polygon_area_ha(edges: DataFrame) -> DataFrame:
     return edges.groupBy("poly_id").agg((F.abs(F.sum(F.col("x0") * F.col("y1") - F.col("x1") * F.col("y0"))) / 2 / 1e4).alias("area_ha"))
 
 
-def _offsets(reach: int) -> Column:
-    return F.array(*[F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a in range(-reach, reach + 1) for b in range(-reach, reach + 1)])
+def _in_blocks(cells: DataFrame, halo: int, work: Callable[[np.ndarray, pd.DataFrame], np.ndarray], columns: tuple[str, ...] = (), more: str = "") -> DataFrame:
+    """`work` over blocks of cells with a halo: a task holds a block, and a cell goes to the blocks that it is in or near to.
+
+    `work` gets the count of cells at each position of a block and its halo, and the block's rows with their positions r and c; it
+    gives an array over them of what the block's own positions get, NaN for none. Rows and columns must not be null.
+    """
+    side = max(BLOCK, 4 * halo)
+
+    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+        r0, c0 = int(key[0]) * side - halo, int(key[1]) * side - halo
+        r, c = rows["grid_row"].to_numpy() - r0, rows["grid_col"].to_numpy() - c0
+        # the part of the block that has cells, and their halo
+        top, left = max(int(r.min()) - halo, 0), max(int(c.min()) - halo, 0)
+        high, wide = min(int(r.max()) + halo + 1, side + 2 * halo) - top, min(int(c.max()) + halo + 1, side + 2 * halo) - left
+        r, c = r - top, c - left
+        held = np.bincount(r * wide + c, minlength=high * wide).reshape(high, wide)
+        out = work(held, rows.assign(r=r, c=c)).astype(float)
+        y, x = np.nonzero(~np.isnan(out))
+        own = (y + top >= halo) & (y + top < halo + side) & (x + left >= halo) & (x + left < halo + side)
+        y, x = y[own], x[own]
+        return pd.DataFrame({"grid_row": y + top + r0, "grid_col": x + left + c0, **({"value": out[y, x]} if more else {})})
+
+    span = lambda c: F.explode(F.sequence(F.floor((F.col(c) - halo) / side), F.floor((F.col(c) + halo) / side)))
+    dealt = cells.select(*CELL, *columns).withColumn("br", span("grid_row")).withColumn("bc", span("grid_col"))
+    kinds = ", ".join(f"{c} {cells.schema[c].dataType.simpleString()}" for c in CELL)
+    return dealt.groupBy("br", "bc").applyInPandas(run, kinds + more)
+
+
+def _window(held: np.ndarray, reach: int, every: bool) -> np.ndarray:
+    """Whether every, or any, position within `reach` rows and columns is held; nothing is held beyond the array."""
+    for axis in (0, 1):
+        pad = [(reach, reach) if i == axis else (0, 0) for i in (0, 1)]
+        total = np.cumsum(np.pad(held.astype(np.int64), pad), axis=axis)
+        total = np.concatenate([np.zeros_like(total.take([0], axis)), total], axis=axis)
+        n = held.shape[axis]
+        count = total.take(np.arange(2 * reach + 1, n + 2 * reach + 1), axis) - total.take(np.arange(n), axis)
+        held = count == 2 * reach + 1 if every else count > 0
+    return held
 
 
 def dilate(cells: DataFrame, reach: int = 1) -> DataFrame:
-    """Cells within `reach` rows and columns of a cell: an explode and a distinct, no join."""
-    if reach < 1:
-        return cells.select(*CELL).distinct()
-    near = cells.select(*CELL, F.explode(_offsets(reach)).alias("o"))
-    return near.select((F.col("grid_row") + F.col("o.dr")).alias("grid_row"), (F.col("grid_col") + F.col("o.dc")).alias("grid_col")).distinct()
+    """Cells within `reach` rows and columns of a cell."""
+    cells = cells.select(*CELL).distinct()
+    return cells if reach < 1 else _in_blocks(cells, reach, lambda held, _: np.where(_window(held > 0, reach, False), 1.0, np.nan))
 
 
 def erode(cells: DataFrame, reach: int = 1) -> DataFrame:
-    """Cells all of whose neighbours within `reach` are cells: each cell is counted by its neighbours."""
-    if reach < 1:
-        return cells.select(*CELL).distinct()
+    """Cells all of whose neighbours within `reach` are cells."""
     cells = cells.select(*CELL).distinct()
-    near = cells.select(*CELL, F.explode(_offsets(reach)).alias("o"))
-    votes = near.select((F.col("grid_row") + F.col("o.dr")).alias("grid_row"), (F.col("grid_col") + F.col("o.dc")).alias("grid_col")).groupBy(*CELL).count()
-    return votes.where(F.col("count") == (2 * reach + 1) ** 2).select(*CELL)
+    return cells if reach < 1 else _in_blocks(cells, reach, lambda held, _: np.where(_window(held > 0, reach, True), 1.0, np.nan))
 
 
 def close(cells: DataFrame, reach: int) -> DataFrame:
-    """Closing: dilation, then erosion."""
-    return erode(dilate(cells, reach), reach)
+    """Closing: dilation, then erosion, of a block with a halo that is wide enough for both."""
+    cells = cells.select(*CELL).distinct()
+    if reach < 1:
+        return cells
+
+    def work(held: np.ndarray, _: pd.DataFrame) -> np.ndarray:
+        wide = _window(np.pad(held > 0, reach), reach, False)
+        return np.where(_window(wide, reach, True)[reach:-reach, reach:-reach], 1.0, np.nan)
+
+    return _in_blocks(cells, 2 * reach, work)
 
 
 def components(cells: DataFrame, store: Callable[[DataFrame], DataFrame] | None = None, max_rounds: int = 200, diagonal: bool = True) -> DataFrame:
@@ -202,16 +242,20 @@ def distance_to_cells(cells: DataFrame, sources: DataFrame, grid: Grid, reach_m:
 def terrain_slope(cells: DataFrame, grid: Grid, value: str = "elevation") -> DataFrame:
     """Adds slope_deg by Horn's 3x3 weights; null where a neighbour is missing.
 
-    Each cell sends its weighted elevation to its neighbours, whose sums give both
-    gradients: an explode and one aggregate instead of eight self-joins.
+    Neighbours meet in blocks of cells with a halo of one; positions that several rows share send them all.
     """
-    # weight of the sender at offset (dr, dc) from the receiver
-    wx = {(-1, -1): -1, (0, -1): -2, (1, -1): -1, (-1, 1): 1, (0, 1): 2, (1, 1): 1}
-    wy = {(-1, -1): 1, (-1, 0): 2, (-1, 1): 1, (1, -1): -1, (1, 0): -2, (1, 1): -1}
-    sent = F.array(*[F.struct(F.lit(-a).alias("dr"), F.lit(-b).alias("dc"), F.lit(float(wx.get((a, b), 0))).alias("wx"), F.lit(float(wy.get((a, b), 0))).alias("wy")) for a in (-1, 0, 1) for b in (-1, 0, 1) if (a, b) != (0, 0)])
-    rows = cells.where(F.col(value).isNotNull()).select(*CELL, F.col(value).cast("double").alias("v"), F.explode(sent).alias("o"))
-    sums = rows.groupBy((F.col("grid_row") + F.col("o.dr")).alias("grid_row"), (F.col("grid_col") + F.col("o.dc")).alias("grid_col")).agg(
-        F.sum(F.col("v") * F.col("o.wx")).alias("gx"), F.sum(F.col("v") * F.col("o.wy")).alias("gy"), F.count(F.lit(1)).alias("n")
-    )
-    slope = F.degrees(F.atan(F.sqrt(F.pow(F.col("gx") / (8 * grid.dx), F.lit(2)) + F.pow(F.col("gy") / (8 * grid.dy), F.lit(2)))))
-    return cells.join(sums.where("n = 8").select(*CELL, slope.alias("slope_deg")), list(CELL), "left")
+    wx = {(0, 1): 2, (-1, 1): 1, (1, 1): 1, (0, -1): -2, (-1, -1): -1, (1, -1): -1}  # weight of the neighbour at (dr, dc)
+    wy = {(-1, 0): 2, (-1, -1): 1, (-1, 1): 1, (1, 0): -2, (1, -1): -1, (1, 1): -1}
+
+    def work(held: np.ndarray, rows: pd.DataFrame) -> np.ndarray:
+        high, wide = held.shape
+        total = np.bincount(rows["r"] * wide + rows["c"], weights=rows["_v"], minlength=high * wide).reshape(high, wide)
+        total, count = np.pad(total, 1), np.pad(held, 1)
+        at = {(a, b): (slice(1 + a, 1 + a + high), slice(1 + b, 1 + b + wide)) for a in (-1, 0, 1) for b in (-1, 0, 1) if (a, b) != (0, 0)}
+        gx, gy = (sum(w * total[at[k]] for k, w in ws.items()) for ws in (wx, wy))
+        slope = np.degrees(np.arctan(np.sqrt((gx / (8 * grid.dx)) ** 2 + (gy / (8 * grid.dy)) ** 2)))
+        return np.where(sum(count[k] for k in at.values()) == 8, slope, np.nan)
+
+    sent = cells.where(F.col(value).isNotNull()).select(*CELL, F.col(value).cast("double").alias("_v"))
+    slopes = _in_blocks(sent, 1, work, ("_v",), ", value double").withColumnRenamed("value", "slope_deg")
+    return cells.join(slopes, list(CELL), "left")
