@@ -84,3 +84,18 @@ def test_enforced_reuse_query_asks_for_few_candidates(spark, monkeypatch):
     monkeypatch.setattr(matching, "enforce_reuse", lambda cand, *args, **kw: seen.append(cand.groupBy("p_proj_idx").count().agg({"count": "max"}).first()[0]) or whole(cand, *args, **kw))
     match_queries.enforced_reuse_match(spark, "/root/testdata/sf0.01").collect()
     assert seen and seen[0] <= matching.FIRST_CANDIDATES
+
+
+def test_box_search_gives_back_a_bounded_number_of_neighbours(spark, monkeypatch):
+    """A task's queries are bounded by what it gives back, k rows each; the neighbours are the same."""
+    rng = np.random.default_rng(4)
+    p = spark.createDataFrame([(i, *map(float, rng.normal(size=2))) for i in range(60)], "proj_idx long, a double, b double")
+    d = spark.createDataFrame([(i, *map(float, rng.normal(size=2))) for i in range(300)], "donor_idx long, a double, b double")
+    metric = matching.Metric(("a", "b"), np.zeros(2), np.ones(2), np.eye(2))
+    asked = []
+    search = matching._leaf_search
+    monkeypatch.setattr(matching, "FOUND", 100)
+    monkeypatch.setattr(matching, "_leaf_search", lambda q, d, k, dims, rows: asked.append(rows * k) or search(q, d, k, dims, rows))
+    names = ["proj_idx", "donor_idx", "rank"]
+    one, boxes = (sorted(map(tuple, x.select(*names).collect())) for x in (matching.knn(p, d, metric, 20), matching.knn(p, d, metric, 20, block_rows=100)))
+    assert one == boxes and asked and max(asked) <= 100
