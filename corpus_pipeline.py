@@ -17,8 +17,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without a language (null or letterless texts) go."""
-    return language_id.keep_identified(docs, min_score=0.0).select(*COLUMNS)
+    """Language ID: documents without a language (null or letterless texts) go, and those whose language is a guess."""
+    return language_id.keep_identified(docs).select(*COLUMNS)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
