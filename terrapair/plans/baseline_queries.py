@@ -190,8 +190,9 @@ c as (select source, t0_year, monitoring_year, count(d) n, avg(d) mean, stddev_s
 b as (select source, t0_year, monitoring_year, count(*) nb, stddev_samp(m) bsd from (select source, t0_year, monitoring_year, avg(d) m from r where side = 'control' group by 1, 2, 3, floor((5e5 + (col + 5e-1) * 3e1) / 5e2), floor((7e6 - (l_suppkey + 5e-1) * 3e1) / 5e2)) group by 1, 2, 3),
 p as (select source, t0_year, monitoring_year, avg(d) pm, count(distinct (l_suppkey, col)) pu from r where side = 'project' group by 1, 2, 3),
 j as (select *, case when u >= 2 then u else n end ne, 1.645e0 * sd / sqrt(case when u >= 2 then u else n end) cp, case when nb >= 2 then 1.645e0 * bsd / sqrt(nb) end cb from c join b using (source, t0_year, monitoring_year) join p using (source, t0_year, monitoring_year) where n >= 2)
-select source, t0_year::int as t0_year, monitoring_year::int as monitoring_year, n as n_rows, ne as n_eff, pu as project_unique, round(mean, 6) as rate, round(greatest(cp, cb), 6) as ci, case when coalesce(cb > cp, false) then 'block' else 'pixel' end as ci_source, round(mean * 15713.91e0 * (monitoring_year - 1995), 3) as bl_period, round(pm * 15713.91e0 * (monitoring_year - 1995) - mean * 15713.91e0 * (monitoring_year - 1995), 3) as surplus_period from j""")
+select source, t0_year::int as t0_year, monitoring_year::int as monitoring_year, n as n_rows, ne as n_eff, pu as project_unique, round(mean::decimal(38, 12), 6)::double as rate, round(greatest(cp, cb)::decimal(38, 12), 6)::double as ci, case when coalesce(cb > cp, false) then 'block' else 'pixel' end as ci_source, round((mean * 15713.91e0 * (monitoring_year - 1995))::decimal(38, 8), 3)::double as bl_period, round((pm * 15713.91e0 * (monitoring_year - 1995) - mean * 15713.91e0 * (monitoring_year - 1995))::decimal(38, 8), 3)::double as surplus_period from j""")
 def source_period_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Baseline rows of sources and periods; figures are rounded at 12 (totals at 8) decimals before those shown."""
     li = table(spark, sf_dir, "lineitem").select("l_returnflag", F.col("l_suppkey").cast("int").alias("grid_row"), F.floor(F.col("l_partkey") / 50).cast("int").alias("grid_col"), F.year("l_shipdate").alias("year"), "l_quantity")
     stock = li.groupBy(F.col("l_returnflag").alias("source"), "grid_row", "grid_col", "year").agg(F.avg("l_quantity").alias("value"))
     points = li.select("grid_row", "grid_col").distinct()
@@ -199,4 +200,6 @@ def source_period_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = sweep.periods(spark, SOURCES, PERIODS)
     factor = F.lit(carbon.conversion_factor("AGB_Mg_ha"))
     out = sweep.source_period_batch(carbon.with_blocks(points, 500.0), stock, plan, factor, AREA_HA, BaselineConfig())
-    return out.select("source", "t0_year", "monitoring_year", "n_rows", "n_eff", "project_unique", r6("rate"), r6("ci"), "ci_source", r6("bl_period", digits=3), r6("surplus_period", digits=3))
+    # a mean may be a tie at the last digit shown (0.0886655): without its last bits, which hang on the order of summation
+    firm = lambda c, inner, digits: F.round(F.col(c).cast(f"decimal(38,{inner})"), digits).cast("double").alias(c)
+    return out.select("source", "t0_year", "monitoring_year", "n_rows", "n_eff", "project_unique", firm("rate", 12, 6), firm("ci", 12, 6), "ci_source", firm("bl_period", 8, 3), firm("surplus_period", 8, 3))
