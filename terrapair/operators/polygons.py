@@ -9,7 +9,10 @@ task. Rings are simple: where a ring would touch itself at a corner it is cut in
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,21 +84,25 @@ def links(segments: DataFrame, left: DataFrame | None = None) -> DataFrame:
 def ring_order(linked: DataFrame, store: Store = _checkpointed) -> DataFrame:
     """(seg, ring, pos) of the cycles of (seg, next): ring is the smallest seg, pos counts from it.
 
-    After a round each segment knows the least of twice as many segments from it on, and how far on that is; when
-    a round changes nothing, the least is that of the whole ring.
+    After a round each segment knows the least of twice as many segments from it on, and how far on that is. If the
+    stretch after that has the same least, both go round the whole ring. Then a segment is done and leaves; the
+    others of its ring, which may still jump to it, follow in the next round at the latest.
     """
-    now = store(linked.select("seg", "next", F.col("seg").alias("ring"), F.lit(0).cast("long").alias("ahead")))
+    now = store(linked.select("seg", "next", F.col("seg").alias("ring"), F.lit(0).cast("long").alias("ahead"), F.lit(False).alias("done")))
+    closed = []
     for k in range(MAX_ROUNDS):
         far = now.select(F.col("seg").alias("next"), F.col("next").alias("jump"), F.col("ring").alias("there"), (F.col("ahead") + (1 << k)).alias("then"))
-        less = F.col("there") < F.col("ring")
-        step = now.drop("changed").join(far, "next").select("seg", F.col("jump").alias("next"), F.least("ring", "there").alias("ring"), F.when(less, F.col("then")).otherwise(F.col("ahead")).alias("ahead"), less.alias("changed"))
+        less, same = F.col("there") < F.col("ring"), F.col("there") == F.col("ring")
+        step = now.where("not done").join(far, "next").select("seg", F.col("jump").alias("next"), F.least("ring", "there").alias("ring"), F.when(less, F.col("then")).otherwise(F.col("ahead")).alias("ahead"), same.alias("done"))
         now = store(step)
-        if not now.where("changed").limit(1).count():
+        closed.append(now.where("done").select("seg", "ring", "ahead"))
+        if not now.where("not done").limit(1).count():
             break
     else:
         raise RuntimeError("rings did not close")
-    sizes = now.groupBy("ring").agg(F.count(F.lit(1)).alias("n"))
-    return now.join(sizes, "ring").select("seg", "ring", F.pmod(F.col("n") - F.col("ahead"), F.col("n")).alias("pos"))
+    every = reduce(DataFrame.unionByName, closed)
+    sizes = every.groupBy("ring").agg(F.count(F.lit(1)).alias("n"))
+    return every.join(sizes, "ring").select("seg", "ring", F.pmod(F.col("n") - F.col("ahead"), F.col("n")).alias("pos"))
 
 
 def rings(cells: DataFrame, store: Store = _checkpointed) -> DataFrame:
@@ -110,25 +117,88 @@ def rings(cells: DataFrame, store: Store = _checkpointed) -> DataFrame:
     twice = at.groupBy("ring", F.col("r0").alias("r"), F.col("c0").alias("c")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("r", "c")
     twice = store(twice)
     if twice.limit(1).count():
-        order = store(ring_order(links(segments, twice), store))
-        at = segments.join(order, "seg")
+        touching = at.join(twice, (F.col("r0") == F.col("r")) & (F.col("c0") == F.col("c"))).select("ring").distinct()
+        again = store(at.join(touching, "ring", "left_semi").select(*segments.columns))
+        order = store(ring_order(links(again, twice), store))
+        at = at.join(touching, "ring", "left_anti").select(*segments.columns, "ring", "pos").unionByName(again.join(order, "seg").select(*segments.columns, "ring", "pos"))
     area = at.groupBy("ring").agg(F.sum(F.col("c0") * F.col("r1") - F.col("c1") * F.col("r0")).alias("twice"))
     return at.join(area, "ring").select("part", "ring", (F.col("twice") < 0).alias("hole"), "pos", F.col("r0").alias("r"), F.col("c0").alias("c"))
 
 
+def _cycles(follow: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest place of each cycle of follow, and how far from it a place is; as `ring_order`."""
+    ring, ahead, jump, k = np.arange(len(follow)), np.zeros(len(follow), np.int64), follow, 1
+    while (less := ring[jump] < ring).any():
+        ahead = np.where(less, ahead[jump] + k, ahead)
+        ring, jump, k = np.minimum(ring, ring[jump]), jump[jump], 2 * k
+    size = np.bincount(ring, minlength=len(ring))[ring]
+    return ring, (size - ahead) % size
+
+
+def _traced(key, rows: pd.DataFrame) -> pd.DataFrame:
+    """`rings` of the parts that lie in one block: the same segments, links and order over arrays."""
+    r, c = (rows[x].to_numpy(np.int64) for x in raster.CELL)
+    top, left = r.min() - 1, c.min() - 1
+    which = np.full((r.max() - top + 2, c.max() - left + 2), -1)
+    which[r - top, c - left] = np.arange(len(r))
+    held = which >= 0
+
+    def runs(free: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        step = np.diff(np.pad(free.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+        line, a = np.nonzero(step == 1)
+        return line, a, np.nonzero(step == -1)[1]
+
+    found = []
+    for way, axis, shift in ((EAST, 0, 1), (WEST, 0, -1), (NORTH, 1, 1), (SOUTH, 1, -1)):
+        free = held & ~np.roll(held, shift, axis)
+        line, a, b = runs(free if axis == 0 else free.T)
+        owner = which[line, a] if axis == 0 else which[a, line]
+        place = line + (way in (WEST, SOUTH))
+        start, end = (a, b) if way in (EAST, SOUTH) else (b, a)
+        found.append((np.full(len(a), way), *((place, start, place, end) if axis == 0 else (start, place, end, place)), owner))
+    way, r0, c0, r1, c1, owner = (np.concatenate(x).astype(np.int64) for x in zip(*found))
+    name = lambda y, x, d: (y + top + _HALF << 33) | (x + left + _HALF << 2) | d
+    seg = name(r0, c0, way)
+    order = np.argsort(seg)
+    seg, way, r0, c0, r1, c1, owner = (x[order] for x in (seg, way, r0, c0, r1, c1, owner))
+
+    def turned(by: int) -> np.ndarray:
+        want = name(r1, c1, (way + by) % 4)
+        at = np.minimum(np.searchsorted(seg, want), len(seg) - 1)
+        return np.where(seg[at] == want, at, -1)
+
+    to_right, to_left = turned(1), turned(3)
+    follow = np.where(to_right >= 0, to_right, to_left)
+    ring, pos = _cycles(follow)
+    by = np.lexsort((seg >> 2, ring))
+    again = (ring[by][1:] == ring[by][:-1]) & (seg[by][1:] >> 2 == seg[by][:-1] >> 2)
+    if again.any():
+        twice = np.isin(name(r1, c1, 0) >> 2, seg[by][1:][again] >> 2)
+        ring, pos = _cycles(np.where(twice & (to_left >= 0), to_left, follow))
+    area = np.bincount(ring, c0 * r1 - c1 * r0, len(ring))[ring]
+    of = {k: rows[k].to_numpy()[owner] for k in ("component", "part")}
+    return pd.DataFrame({**of, "ring": seg[ring], "hole": area < 0, "pos": pos, "r": r0 + top, "c": c0 + left})
+
+
 def mask_polygons(cells: DataFrame, grid: Grid, store: Store = _checkpointed) -> DataFrame:
     """(component, part, ring, hole, pos, x, y): the polygons of a mask's 8-connected components.
 
     A component is one multipolygon: its parts, 4-connected, are polygons that touch at corners at most.
     Components and parts are named by their smallest cell. Null rows or columns are no cells.
+
+    Parts within a block of cells are traced where the block is; only the rings of parts that reach over blocks are found by joins.
     """
-    cells = store(cells.where("grid_row is not null and grid_col is not null").select("grid_row", "grid_col").distinct())
-    parts = store(raster.components(cells, store, diagonal=False).withColumnRenamed("component", "part"))
-    # of a part's cells one will do to tell its component
-    whole = raster.components(cells, store)
-    of = parts.join(whole, ["grid_row", "grid_col"]).groupBy("part").agg(F.min("component").alias("component"))
+    found = store(raster.connected(cells, store).withColumnsRenamed({"four": "part", "eight": "component"}))
+    block = lambda c: F.floor(F.col(c) / raster.BLOCK)
+    kinds = "component long, part long, ring long, hole boolean, pos long, r long, c long"
+    inner = found.where("inner").withColumns({"br": block("grid_row"), "bc": block("grid_col")})
+    out = inner.drop("inner").groupBy("br", "bc").applyInPandas(_traced, kinds)
+    wide = found.where("not inner")
+    if not wide.isEmpty():
+        of = wide.select("part", "component").distinct()
+        out = out.unionByName(rings(wide.select("grid_row", "grid_col", "part"), store).join(of, "part").select(*out.columns))
     x, y = F.lit(grid.x0) + F.col("c") * grid.dx, F.lit(grid.y0) - F.col("r") * grid.dy
-    return rings(parts, store).join(of, "part").select("component", "part", "ring", "hole", "pos", x.alias("x"), y.alias("y"))
+    return store(out.select("component", "part", "ring", "hole", "pos", x.alias("x"), y.alias("y")))
 
 
 def ring_areas(vertices: DataFrame, *keys: str) -> DataFrame:

@@ -119,29 +119,40 @@ def close(cells: DataFrame, reach: int) -> DataFrame:
     return _in_blocks(cells, 2 * reach, work)
 
 
-def components(cells: DataFrame, store: Callable[[DataFrame], DataFrame] | None = None, max_rounds: int = 200, diagonal: bool = True) -> DataFrame:
-    """(grid_row, grid_col, component) of 8-connected cells; a component is its smallest cell key.
-
-    Without `diagonal` cells that share a corner only are not connected.
-
-    Horizontal runs are found first with a window over a row, so that the graph has a node a run,
-    not a cell; labels then spread over touching runs by minima with path halving. `store`
-    cuts the lineage of a round (default checkpoint()).
-    """
-    from pyspark.sql import Window
-
-    store = store or (lambda df: df.checkpoint())
-    cells = cells.select(*CELL).distinct()
-    w = Window.partitionBy("grid_row").orderBy("grid_col")
-    run = cells.withColumn("_g", F.col("grid_col") - F.row_number().over(w))
-    runs = run.groupBy("grid_row", "_g").agg(F.min("grid_col").alias("a"), F.max("grid_col").alias("b"))
-    node = F.col("grid_row").cast("long") * (1 << 32) + F.col("a")
-    runs = store(runs.select(node.alias("node"), "grid_row", "a", "b"))
-    below = runs.select(F.col("node").alias("other"), (F.col("grid_row") - 1).alias("grid_row"), F.col("a").alias("oa"), F.col("b").alias("ob"))
-    touch = "oa <= b + 1 and ob >= a - 1" if diagonal else "oa <= b and ob >= a"
-    edges = store(runs.join(below, "grid_row").where(touch).select("node", "other"))
-    both = store(edges.union(edges.select(F.col("other").alias("node"), F.col("node").alias("other"))))
-    label = runs.select("node", F.col("node").alias("label"))
+def _least(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The least node of each node's component, of n nodes with edges a to b: roots are hooked to smaller ones."""
+    root = np.arange(n)
+    while len(a):
+        a, b = root[a], root[b]
+        apart = a != b
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(up := root[root], root):
+            root = up
+    return root
+
+
+def _labelled(key, rows: pd.DataFrame) -> pd.DataFrame:
+    """A block's cells with the smallest cell key of their 4-connected and of their 8-connected neighbours within the block."""
+    rows = rows.sort_values(list(CELL))
+    r, c = (rows[x].to_numpy(np.int64) for x in CELL)
+    top, left = r.min() - 1, c.min() - 1
+    at = np.full((r.max() - top + 2, c.max() - left + 2), -1)
+    at[r - top, c - left] = np.arange(len(r))
+    pairs = []
+    for dr, dc in ((0, 1), (1, 0), (1, 1), (1, -1)):
+        other = at[r - top + dr, c - left + dc]
+        pairs.append((np.flatnonzero(other >= 0), other[other >= 0]))
+    sides = _least(*(np.concatenate([p[i] for p in pairs[:2]]) for i in (0, 1)), len(r))
+    every = _least(*(np.concatenate([p[i] for p in pairs]) for i in (0, 1)), len(r))
+    name = r * (1 << 32) + c
+    return pd.DataFrame({"grid_row": r, "grid_col": c, "four": name[sides], "eight": name[every]})
+
+
+def _spread(edges: DataFrame, store: Callable[[DataFrame], DataFrame], max_rounds: int) -> DataFrame:
+    """(node, label): the least node of each component of edges (node, other); minima spread with path halving."""
+    both = store(edges.union(edges.select("other", "node")).distinct())
+    label = both.select("node", F.col("node").alias("label")).distinct()
     for _ in range(max_rounds):
         seen = both.join(label.withColumnsRenamed({"node": "other", "label": "l"}), "other").groupBy("node").agg(F.min("l").alias("l"))
         spread = label.join(seen, "node", "left").select("node", F.least("label", F.coalesce("l", "label")).alias("label"), F.col("label").alias("old"))
@@ -151,11 +162,49 @@ def components(cells: DataFrame, store: Callable[[DataFrame], DataFrame] | None
         changed = now.where("label <> old").limit(1).count()
         label = now.select("node", "label")
         if not changed:
-            break
-    else:
-        raise RuntimeError("components did not converge")
-    named = runs.join(label, "node")
-    return named.select("grid_row", F.explode(F.sequence("a", "b")).alias("grid_col"), F.col("label").alias("component"))
+            return label
+    raise RuntimeError("components did not converge")
+
+
+def connected(cells: DataFrame, store: Callable[[DataFrame], DataFrame] | None = None, max_rounds: int = 200, kinds: tuple[str, ...] = ("four", "eight")) -> DataFrame:
+    """(grid_row, grid_col, four, eight, inner): cells with the smallest cell key of their 4- and of their 8-connected component.
+
+    Cells are dealt to blocks, whose cells are joined where they are. Only what meets at the sides of blocks is a graph, of block
+    components, over which labels spread. `inner`: the 4-connected component lies in one block. `kinds` are the labels asked for.
+    """
+    store = store or (lambda df: df.checkpoint())
+    side = BLOCK
+    cells = cells.select(*(F.col(c).cast("int").alias(c) for c in CELL)).where("grid_row is not null and grid_col is not null").distinct()
+    dealt = cells.withColumns({"br": F.floor(F.col("grid_row") / side), "bc": F.floor(F.col("grid_col") / side)})
+    found = store(dealt.groupBy("br", "bc").applyInPandas(_labelled, "grid_row int, grid_col int, four long, eight long"))
+    last = lambda c: F.pmod(F.col(c), F.lit(side)) == side - 1
+    first = lambda c: F.pmod(F.col(c), F.lit(side)) == 0
+    outer = found.where(last("grid_row") | last("grid_col") | first("grid_row") | first("grid_col"))
+    here = outer.select(F.col("grid_row").alias("r"), F.col("grid_col").alias("c"), F.col("four").alias("f"), F.col("eight").alias("e"))
+    steps = F.array(*[F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr, dc in ((0, 1), (1, 0), (1, 1), (1, -1))])
+    here = here.select("*", F.explode(steps).alias("s")).withColumns({"grid_row": F.col("r") + F.col("s.dr"), "grid_col": F.col("c") + F.col("s.dc")})
+    block = lambda c: F.floor(F.col(c) / side)
+    here = here.where((block("r") != block("grid_row")) | (block("c") != block("grid_col")))
+    met = store(here.join(outer, list(CELL)).select("f", "four", "e", "eight", (F.col("s.dr") * F.col("s.dc") == 0).alias("side")))
+    out = found.withColumn("inner", F.lit(True))
+    for kind, mine, some in (("four", "f", met.where("side")), ("eight", "e", met)):
+        if kind in kinds:
+            edges = some.select(F.col(mine).alias("node"), F.col(kind).alias("other")).distinct()
+            whole = store(_spread(edges, store, max_rounds)).select(F.col("node").alias(kind), "label")
+            out = out.join(whole, kind, "left")
+            inner = F.col("label").isNull() if kind == "four" else F.col("inner")
+            out = out.select(*CELL, *(F.coalesce("label", kind).alias(k) if k == kind else k for k in ("four", "eight")), inner.alias("inner"))
+    return out
+
+
+def components(cells: DataFrame, store: Callable[[DataFrame], DataFrame] | None = None, max_rounds: int = 200, diagonal: bool = True) -> DataFrame:
+    """(grid_row, grid_col, component) of 8-connected cells; a component is its smallest cell key.
+
+    Without `diagonal` cells that share a corner only are not connected. `store` cuts the lineage of a round (default
+    checkpoint()); see `connected`.
+    """
+    kind = "eight" if diagonal else "four"
+    return connected(cells, store, max_rounds, (kind,)).select(*CELL, F.col(kind).alias("component"))
 
 
 def keep_large_components(cells: DataFrame, grid: Grid, least_ha: float, store=None) -> DataFrame:

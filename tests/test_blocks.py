@@ -43,3 +43,38 @@ def test_slope_in_blocks(spark, monkeypatch):
         gy = sum(x * -a * (2 - abs(b)) for (a, b), x in n.items()) / (8 * GRID.dy)
         assert slope == pytest.approx(math.degrees(math.atan(math.hypot(gx, gy))))
     assert sum(x is not None for x in got.values()) > 50
+
+
+def test_polygons_over_blocks(spark, monkeypatch):
+    """Parts within blocks and parts over many give the polygons and components of one block that holds all."""
+    from terrapair.operators import polygons
+    from terrapair.plans.pipeline import shared_store
+
+    rng = random.Random(8)
+    have = {(r, c) for r in range(33) for c in range(33) if rng.random() < 0.5} | {(39, c) for c in range(20)} | {(r, 47) for r in range(17)}
+    df, store = spark.createDataFrame(sorted(have), "grid_row int, grid_col int"), shared_store(spark)
+    seen = []
+    for side, wide in ((512, False), (7, True)):
+        monkeypatch.setattr(raster, "BLOCK", side)
+        found = raster.connected(df, store)
+        assert bool(found.where("not inner").count()) == wide and found.where("inner").count()
+        labels = [sorted(tuple(r) for r in raster.components(df, store, diagonal=d).collect()) for d in (False, True)]
+        seen.append((sorted(tuple(r) for r in polygons.mask_polygons(df, GRID, store).collect()), labels))
+    assert seen[0] == seen[1]
+
+
+def test_finished_rings_leave(spark, tmp_path):
+    """A long ring doesn't keep the rows of short ones in its rounds."""
+    from terrapair.operators import polygons
+    from terrapair.plans.pipeline import shared_store
+
+    rows = [(4 * k + i, 4 * k + (i + 1) % 4) for k in range(500) for i in range(4)] + [(5000 + i, 5000 + (i + 1) % 300) for i in range(300)]
+    sizes, keep = [], shared_store(spark)
+
+    def store(df):
+        out = keep(df)
+        sizes.append(out.count())
+        return out
+
+    assert polygons.ring_order(spark.createDataFrame(rows, "seg long, next long"), store).count() == 2300
+    assert len(sizes) >= 8 and sizes[5] <= 300
