@@ -12,6 +12,7 @@ failed write leaves no file.
 
 from __future__ import annotations
 
+import io
 import os
 import re
 import struct
@@ -33,6 +34,10 @@ FILE_CODE, VERSION, HEADER = 9994, 1000, 100
 NULL, POLYGONS = 0, (5, 15, 25)
 #: Bytes of records that a task reads at least.
 SPLIT = 8 << 20
+#: Bytes of an index, or of records, that are held at a time.
+INDEX_PIECE = 8 << 20
+#: Rows of attributes that a task reads.
+ATTRIBUTE_ROWS = 100_000
 EDGES = "poly_id long, ring_id int, edge_id int, x0 double, y0 double, x1 double, y1 double"
 
 
@@ -40,7 +45,11 @@ def read_index(raw: bytes) -> np.ndarray:
     """(offset, bytes of content) of each record, from the index file."""
     if len(raw) < HEADER or struct.unpack(">i", raw[:4])[0] != FILE_CODE:
         raise ValueError("not a shapefile index")
-    return np.frombuffer(raw[HEADER : HEADER + (len(raw) - HEADER) // 8 * 8], ">i4").astype(np.int64).reshape(-1, 2) * 2
+    return _places(raw[HEADER:])
+
+
+def _places(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw[: len(raw) // 8 * 8], ">i4").astype(np.int64).reshape(-1, 2) * 2
 
 
 def rings_of(content: bytes) -> list[np.ndarray]:
@@ -112,20 +121,23 @@ class _Reader(DataSourceReader):
     def __init__(self, path: str, split: int):
         self.base, self.split = _base(path), split
 
-    def _index(self) -> np.ndarray:
-        with stores.opened(f"{self.base}.shx") as f:
-            return read_index(f.read())
-
     def partitions(self) -> list[_Stretch]:
-        index = self._index()
-        if not len(index):
-            return [_Stretch(0, 0)]
-        upto = np.cumsum(index[:, 1] + 8)
-        cuts = np.unique([0, *np.searchsorted(upto, np.arange(self.split, upto[-1], self.split)), len(index)])
-        return [_Stretch(a, b) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        """Stretches of about `split` bytes of records; the index is gone through in pieces."""
+        cuts, n, total = [0], 0, 0
+        with stores.opened(f"{self.base}.shx") as f:
+            read_index(f.read(HEADER))
+            while len(raw := f.read(INDEX_PIECE)) >= 8:
+                upto = np.cumsum(_places(raw)[:, 1] + 8)
+                marks = np.arange(-(-total // self.split) * self.split, total + upto[-1], self.split) - total
+                cuts += (n + np.searchsorted(upto, marks)).tolist()
+                n, total = n + len(upto), total + int(upto[-1])
+        cuts = sorted({*cuts, n})
+        return [_Stretch(a, b) for a, b in zip(cuts[:-1], cuts[1:])] or [_Stretch(0, 0)]
 
     def read(self, part: _Stretch) -> Iterator[pa.RecordBatch]:
-        index = self._index()[part.first : part.last]
+        with stores.opened(f"{self.base}.shx") as f:
+            f.seek(HEADER + 8 * part.first)
+            index = _places(f.read(8 * (part.last - part.first)))
 
         def records() -> Iterator[tuple[int, bytes]]:
             with stores.opened(f"{self.base}.shp") as f:
@@ -235,40 +247,80 @@ def _field(raw: bytes, kind: str):
     return text or None
 
 
-def read_attributes(raw: bytes) -> tuple[list[tuple[str, str]], list[tuple]]:
-    """((name, kind) of the fields, a row a record or None for a deleted one) of a .dbf file."""
+def _layout(raw: bytes) -> tuple[int, int, int, list[tuple[str, str, int]]]:
+    """(records, bytes before them, bytes of one, (name, kind, width) of the fields) of a .dbf file's first bytes."""
     n, head, size = struct.unpack("<IHH", raw[4:12])
     fields, at = [], 32
     while raw[at] != 0x0D:
         fields.append((raw[at : at + 11].split(b"\0")[0].decode(), chr(raw[at + 11]), raw[at + 16]))
         at += 32
+    return n, head, size, fields
+
+
+def _rows(raw: bytes, size: int, fields: list[tuple[str, str, int]]) -> list:
+    """A tuple a record of `size` bytes, or None for a deleted one."""
     rows: list = []
-    for i in range(n):
-        row, p = raw[head + i * size : head + (i + 1) * size], 1
+    for i in range(len(raw) // size):
+        row, p = raw[i * size : (i + 1) * size], 1
         out = []
         for _, kind, width in fields:
             out.append(_field(row[p : p + width], kind))
             p += width
         rows.append(None if row[:1] == b"*" else tuple(out))
-    return [(f, k) for f, k, _ in fields], rows
+    return rows
 
 
-def load_attributes(spark: SparkSession, path: str) -> DataFrame:
-    """(poly_id, values map<string, string>) of the records that aren't deleted."""
+def read_attributes(raw: bytes) -> tuple[list[tuple[str, str]], list[tuple]]:
+    """((name, kind) of the fields, a row a record or None for a deleted one) of a .dbf file."""
+    n, head, size, fields = _layout(raw)
+    return [(f, k) for f, k, _ in fields], _rows(raw[head : head + n * size], size, fields)
+
+
+def _attributes(f, first: int, last: int | None) -> Iterator[pa.RecordBatch]:
+    """(poly_id, values) of the records first to last, 10,000 at a time."""
+    start = f.read(32)
+    n, head, size, fields = _layout(start + f.read(struct.unpack("<H", start[8:10])[0] - 32))
+    f.seek(head + first * size)
+    end = n if last is None else min(n, last)
+    for at in range(first, end, 10_000):
+        have = [(at + i, r) for i, r in enumerate(_rows(f.read(size * min(10_000, end - at)), size, fields)) if r is not None]
+        maps = [[(x, None if v is None else f"{v:.0f}" if isinstance(v, float) and v.is_integer() else str(v)) for (x, _, _), v in zip(fields, r)] for _, r in have]
+        yield pa.record_batch([pa.array([i for i, _ in have], pa.int64()), pa.array(maps, pa.map_(pa.string(), pa.string()))], names=["poly_id", "values"])
+
+
+def load_attributes(spark: SparkSession, path: str, ranges: bool | None = None) -> DataFrame:
+    """(poly_id, values map<string, string>) of the records that aren't deleted.
+
+    Records are of one length, so that tasks read stretches of them, where the store can be read by ranges (`ranges` overrides that).
+    """
     base = re.sub(r"\.shp$", "", path)
+    kinds = "poly_id long, values map<string,string>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.map_(pa.string(), pa.string())
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for raw in batch.column(0):
-                fields, rows = read_attributes(raw.as_py())
-                for at in range(0, len(rows), 10_000):
-                    have = [(at + i, r) for i, r in enumerate(rows[at : at + 10_000]) if r is not None]
-                    maps = [[(f, None if v is None else f"{v:.0f}" if isinstance(v, float) and v.is_integer() else str(v)) for (f, _), v in zip(fields, r)] for _, r in have]
-                    yield pa.record_batch([pa.array([i for i, _ in have], pa.int64()), pa.array(maps, kind)], names=["poly_id", "values"])
+                yield from _attributes(io.BytesIO(raw.as_buffer()), 0, None)
+
+    def planned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in batch.column(0).to_pylist():
+                with stores.opened(at) as f:
+                    first = np.arange(0, max(1, struct.unpack("<I", f.read(8)[4:])[0]), ATTRIBUTE_ROWS)
+                yield pa.record_batch([pa.array([at] * len(first), pa.string()), pa.array(first, pa.int64())], names=["path", "first"])
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, first in zip(*(x.to_pylist() for x in batch.columns)):
+                with stores.opened(at) as f:
+                    yield from _attributes(f, first, first + ATTRIBUTE_ROWS)
 
-    files = spark.read.format("binaryFile").load(f"{base}.dbf").select("content")
-    return files.mapInArrow(run, "poly_id long, values map<string,string>")
+    files = spark.read.format("binaryFile").load(f"{base}.dbf")
+    if ranges is None:
+        ranges = stores.seekable(files)
+    if not ranges:
+        return files.select("content").mapInArrow(whole, kinds)
+    plan = files.select("path").mapInArrow(planned, "path string, first long")
+    return plan.repartition(max(1, plan.count())).mapInArrow(stretches, kinds)
 
 
 # writing
@@ -284,11 +336,26 @@ def polygon_content(rings: list[np.ndarray]) -> bytes:
 
 @dataclass
 class _Part(WriterCommitMessage):
+    """A task's records: those at `path` without their numbers, and beside them (poly_id, bytes of content) of each."""
+
     path: str
-    ids: list[int]
-    sizes: list[int]
+    least: int | None
+    n: int
+    size: int
     box: tuple[float, float, float, float]
 
+    def pieces(self) -> Iterator[tuple[np.ndarray, np.ndarray, bytearray]]:
+        """(ids, sizes, records) of as many records at a time as a piece holds, one at least."""
+        with open(self.path, "rb") as body, open(f"{self.path}.part", "rb") as index:
+            while raw := index.read(16 * 50_000):
+                ids, sizes = np.frombuffer(raw, np.int64).reshape(-1, 2).T
+                upto = np.cumsum(sizes + 8)
+                a = before = 0
+                while a < len(ids):
+                    b = max(a + 1, int(np.searchsorted(upto, before + INDEX_PIECE, "right")))
+                    yield ids[a:b], sizes[a:b], bytearray(body.read(int(upto[b - 1]) - before))
+                    a, before = b, int(upto[b - 1])
+
 
 class _Writer(DataSourceWriter):
     def __init__(self, path: str, crs: str, overwrite: bool):
@@ -298,15 +365,17 @@ class _Writer(DataSourceWriter):
     def write(self, rows) -> WriterCommitMessage:
         """Rows come in the order of (poly_id, ring_id, edge_id): a polygon's are consecutive."""
         path = f"{self.base}.{self.run}-{uuid.uuid4().hex}.part"
-        part = _Part(path, [], [], (np.inf, np.inf, -np.inf, -np.inf))
+        part = _Part(path, None, 0, 0, (np.inf, np.inf, -np.inf, -np.inf))
         os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-        with open(path, "wb") as f:
+        with open(path, "wb") as f, open(f"{path}.part", "wb") as index:
 
             def put(poly: int, rings: list[list[tuple[float, float]]]) -> None:
                 closed = [np.array([*r, r[0]] if r[0] != r[-1] else r) for r in rings]
                 body = polygon_content(closed)
-                f.write(body)
-                part.ids.append(poly), part.sizes.append(len(body))
+                f.write(struct.pack(">2i", 0, len(body) // 2) + body)
+                index.write(struct.pack("=2q", poly, len(body)))
+                part.least = poly if part.least is None else part.least
+                part.n, part.size = part.n + 1, part.size + len(body) + 8
                 xy = np.concatenate(closed)
                 part.box = (*np.minimum(part.box[:2], xy.min(0)), *np.maximum(part.box[2:], xy.max(0)))
 
@@ -325,17 +394,15 @@ class _Writer(DataSourceWriter):
         return part
 
     def commit(self, messages) -> None:
-        parts = sorted((m for m in messages if m is not None), key=lambda m: m.ids[:1] or [0])
-        sizes = [s for m in parts for s in m.sizes]
-        ids = [i for m in parts for i in m.ids]
-        total = HEADER + sum(sizes) + 8 * len(sizes)
+        parts = sorted((m for m in messages if m is not None and m.n), key=lambda m: m.least)
+        count, total = sum(m.n for m in parts), HEADER + sum(m.size for m in parts)
         if total >= 1 << 31:
             self.abort(messages)
             raise ValueError("a shapefile holds less than 2 GB")
         if not self.overwrite and os.path.exists(f"{self.base}.shp"):
             self.abort(messages)
             raise FileExistsError(f"{self.base}.shp")
-        box = np.array([m.box for m in parts if m.ids]).reshape(-1, 4)
+        box = np.array([m.box for m in parts]).reshape(-1, 4)
         box = (*box[:, :2].min(0), *box[:, 2:].max(0)) if len(box) else (0.0,) * 4
 
         def head(size: int) -> bytes:
@@ -343,17 +410,18 @@ class _Writer(DataSourceWriter):
 
         new = {k: f"{self.base}.{self.run}.{k}" for k in ("shp", "shx", "dbf")}
         with open(new["shp"], "wb") as shp, open(new["shx"], "wb") as shx, open(new["dbf"], "wb") as dbf:
-            shp.write(head(total)), shx.write(head(HEADER + 8 * len(sizes)))
-            dbf.write(struct.pack("<B3BIHH20x", 3, 126, 1, 1, len(ids), 65, 20) + struct.pack("<11sc4xBB14x", b"POLY_ID", b"N", 19, 0) + b"\x0d")
-            n = 0
+            shp.write(head(total)), shx.write(head(HEADER + 8 * count))
+            dbf.write(struct.pack("<B3BIHH20x", 3, 126, 1, 1, count, 65, 20) + struct.pack("<11sc4xBB14x", b"POLY_ID", b"N", 19, 0) + b"\x0d")
+            n, at = 0, HEADER
             for m in parts:
-                with open(m.path, "rb") as body:
-                    for i, size in zip(m.ids, m.sizes):
-                        n += 1
-                        shx.write(struct.pack(">2i", shp.tell() // 2, size // 2))
-                        shp.write(struct.pack(">2i", n, size // 2))
-                        shp.write(body.read(size))
-                        dbf.write(f" {i:19d}".encode())
+                for ids, sizes, records in m.pieces():
+                    start = np.cumsum(sizes + 8) - sizes - 8
+                    number = np.arange(n + 1, n + 1 + len(ids)).astype(">i4").view(np.uint8).reshape(-1, 4)
+                    np.frombuffer(records, np.uint8)[start[:, None] + np.arange(4)] = number
+                    shp.write(records)
+                    shx.write(np.stack([(at + start) // 2, sizes // 2], 1).astype(">i4").tobytes())
+                    dbf.write(b"".join(b" %19d" % i for i in ids.tolist()))
+                    n, at = n + len(ids), at + len(records)
             dbf.write(b"\x1a")
         for k, path in new.items():
             os.replace(path, f"{self.base}.{k}")

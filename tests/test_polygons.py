@@ -224,6 +224,30 @@ def test_repair_keeps_the_interior(spark):
     assert len({k for k in by if k[0] == 1}) == 2 and len({k for k in by if k[0] == 4}) == 2 and len({k for k in by if k[0] == 20}) == 3
 
 
+def test_shapefile_in_pieces(spark, tmp_path, monkeypatch):
+    """Index, records and attributes in small pieces give the same layer; a part's message doesn't grow with its records."""
+    import pickle
+
+    rows = [(i * 7, 0, j, *p, *q) for i in range(400) for j, (p, q) in enumerate(zip(square(i * 9.0, 0.0, 1.0 + i % 5), square(i * 9.0, 0.0, 1.0 + i % 5)[1:]))]
+    edges = spark.createDataFrame(rows, EDGES)
+    shapefile.save_edges(edges, f"{tmp_path}/a", "EPSG:32734")
+    whole = [sorted(tuple(r) for r in shapefile.load_edges(spark, f"{tmp_path}/a").collect()), {r[0]: r[1] for r in shapefile.load_attributes(spark, f"{tmp_path}/a", False).collect()}]
+    assert len(whole[0]) == len(rows) and [whole[1][i]["POLY_ID"] for i in range(400)] == [str(i * 7) for i in range(400)]
+    monkeypatch.setattr(shapefile, "INDEX_PIECE", 160)
+    monkeypatch.setattr(shapefile, "ATTRIBUTE_ROWS", 64)
+    cut = shapefile._Reader(f"{tmp_path}/a", 1000).partitions()
+    assert len(cut) > 20 and (cut[0].first, cut[-1].last) == (0, 400) and all(a.last == b.first for a, b in zip(cut, cut[1:]))
+    parts = shapefile.load_attributes(spark, f"{tmp_path}/a")
+    assert {r[0]: r[1] for r in parts.collect()} == whole[1]
+    writer, sizes = shapefile._Writer(f"{tmp_path}/b", "", True), []
+    for some in (rows[:800], rows[800:]):
+        sizes.append(writer.write(iter([dict(zip(("poly_id", "ring_id", "edge_id", "x0", "y0", "x1", "y1"), r)) for r in some])))
+    assert all(len(pickle.dumps(m)) < 600 for m in sizes)
+    writer.commit(sizes[::-1])
+    assert sorted(p.name for p in tmp_path.iterdir() if p.name[0] == "b") == ["b.dbf", "b.shp", "b.shx"]
+    assert all((tmp_path / f"a.{k}").read_bytes() == (tmp_path / f"b.{k}").read_bytes() for k in ("shp", "shx", "dbf"))
+
+
 def test_repair_of_nothing(spark):
     from terrapair.operators import validity
 
