@@ -279,13 +279,16 @@ def distance_to_cells(cells: DataFrame, sources: DataFrame, grid: Grid, reach_m:
     dealt = edge.withColumn("br", F.explode(span("grid_row"))).withColumn("bc", F.explode(span("grid_col")))
     free = cells.join(sources, list(CELL), "left_anti")
     asked = free.withColumns({"br": F.floor(F.col("grid_row") / side), "bc": F.floor(F.col("grid_col") / side)})
-    # blocks without cells to measure get no sources
+    # cells of blocks that no source is near to have no distance, and blocks without cells to measure get no sources
+    reached = dealt.select("br", "bc").distinct()
+    beyond = asked.join(reached, ["br", "bc"], "left_anti").select(*CELL, F.lit(None).cast("double").alias("distance"))
     dealt = dealt.join(asked.select("br", "bc").distinct(), ["br", "bc"], "left_semi")
+    asked = asked.join(reached, ["br", "bc"], "left_semi")
     asked = asked.select(*(F.col(c).alias(c) for c in asked.columns))  # both sides may come from one table
     found = dealt.groupBy("br", "bc").cogroup(asked.groupBy("br", "bc")).applyInPandas(_block_distances(side, reach, grid.dx, grid.dy), "grid_row int, grid_col int, d2 double")
     d = F.sqrt(finite(F.col("d2")))
     near = found.select(*CELL, F.when(d <= reach_m, d).alias("distance"))
-    return near.unionByName(cells.join(sources, list(CELL), "left_semi").withColumn("distance", F.lit(0.0)))
+    return near.unionByName(beyond).unionByName(cells.join(sources, list(CELL), "left_semi").withColumn("distance", F.lit(0.0)))
 
 
 def terrain_slope(cells: DataFrame, grid: Grid, value: str = "elevation") -> DataFrame:

@@ -116,6 +116,11 @@ def donor_ring(cells: DataFrame, project: DataFrame, grid: Grid, regions: DataFr
     """
     from terrapair.operators.raster import distance_to_cells
 
+    # only cells in the buffer of the project's box can be in it: literals that reach the scan of either table
+    low_row, high_row, low_col, high_col = project.agg(F.min("grid_row"), F.max("grid_row"), F.min("grid_col"), F.max("grid_col")).first()
+    down, across = (int(buffer_km * 1000 / size) + 1 for size in (grid.dy, grid.dx))
+    inside = F.lit(False) if low_row is None else F.col("grid_row").between(low_row - down, high_row + down) & F.col("grid_col").between(low_col - across, high_col + across)
+    cells, regions = cells.where(inside), None if regions is None else regions.where(inside)
     d = distance_to_cells(cells, project, grid, buffer_km * 1000).where((F.col("distance") > exclusion_km * 1000) & (F.col("distance") > 0))
     out = cells.join(d, ["grid_row", "grid_col"])
     if regions is not None:

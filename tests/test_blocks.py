@@ -78,3 +78,32 @@ def test_finished_rings_leave(spark, tmp_path):
 
     assert polygons.ring_order(spark.createDataFrame(rows, "seg long, next long"), store).count() == 2300
     assert len(sizes) >= 8 and sizes[5] <= 300
+
+
+def test_only_reached_blocks_are_measured(spark, monkeypatch):
+    """Cells far from all sources are in no group, and far from a project's box they don't leave the scan."""
+    from terrapair.operators import scenes
+
+    made = raster._block_distances
+
+    def strict(*args):
+        near = made(*args)
+
+        def run(key, there, asked):
+            if not len(there):
+                raise AssertionError("a block without sources was measured")
+            return near(key, there, asked)
+
+        return run
+
+    monkeypatch.setattr(raster, "_block_distances", strict)
+    project = [(r, c) for r in range(3) for c in range(3)]
+    cells = project + [(r, c) for r in range(20) for c in range(20)] + [(r, 5000) for r in range(0, 5000, 50)]
+    df, p = (spark.createDataFrame(x, "grid_row int, grid_col int") for x in (cells, project))
+    found = {(r[0], r[1]): r[2] for r in raster.distance_to_cells(df, p, GRID, 150.0, 8).collect()}
+    assert set(found) == set(cells) and found[0, 5000] is None and found[0, 4] == 60.0 and found[0, 0] == 0.0
+    ring = scenes.donor_ring(df, p, GRID, None, {}, 0.15, 0.03)
+    want = {(r, c) for r in range(20) for c in range(20) if 30 < math.hypot(max(r - 2, 0), max(c - 2, 0)) * 30 <= 150}
+    assert {(r["grid_row"], r["grid_col"]) for r in ring.collect()} == want
+    assert "grid_col#" in (plan := ring._jdf.queryExecution().optimizedPlan().toString()) and "<= 8" in plan
+    assert scenes.donor_ring(df, p.limit(0), GRID, None, {}, 0.15, 0.03).count() == 0
