@@ -107,3 +107,25 @@ def test_only_reached_blocks_are_measured(spark, monkeypatch):
     assert {(r["grid_row"], r["grid_col"]) for r in ring.collect()} == want
     assert "grid_col#" in (plan := ring._jdf.queryExecution().optimizedPlan().toString()) and "<= 8" in plan
     assert scenes.donor_ring(df, p.limit(0), GRID, None, {}, 0.15, 0.03).count() == 0
+
+
+def test_masks_meet_the_rows_in_one_exchange(spark, monkeypatch):
+    """Both masks over one deal of the rows; rows beyond the first few decide where those are all masked."""
+    from terrapair.config import ExtractConfig
+    from terrapair.operators import extract
+
+    monkeypatch.setattr(extract, "PROBE", 5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = spark.range(400).selectExpr("id", "cast(id div 20 as int) r", "cast(id % 20 as int) c").selectExpr("id", "15D + c * 30 as x_utm", "285D - r * 30 as y_utm")
+        cell = lambda where: df.where(where).selectExpr("cast(id div 20 as int) mask_row", "cast(id % 20 as int) mask_col")
+        kept = extract.apply_masks(df, "donor", GRID, cell("id % 3 = 0"), cell("id >= 100"), ExtractConfig())
+        assert sorted(r["id"] for r in kept.collect()) == [i for i in range(100, 400) if i % 3]
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning(mask_row") == 3
+        with pytest.raises(ValueError):
+            extract.apply_masks(df, "donor", GRID, cell("true"), cell("id >= 100"), ExtractConfig())
+        with pytest.raises(ValueError):
+            extract.apply_masks(df.limit(0), "project", GRID, None, None, ExtractConfig())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
