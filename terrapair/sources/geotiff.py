@@ -33,6 +33,24 @@ PART_BYTES = 64 << 20
 MAX_TASKS = 20_000
 
 
+#: Places and sizes of strips and tiles.
+_PLACES = (273, 279, 324, 325)
+#: Cells of one batch, about.
+BATCH = 1 << 16
+
+
+@dataclass
+class Placed:
+    """A list of numbers that stays in the file, of which a part is read."""
+
+    at: int
+    dtype: np.dtype
+
+    def read(self, f, first: int, n: int) -> list[int]:
+        f.seek(self.at + first * self.dtype.itemsize)
+        return np.frombuffer(f.read(n * self.dtype.itemsize), self.dtype).tolist()
+
+
 @dataclass
 class Header:
     order: str
@@ -98,6 +116,9 @@ def read_header(f) -> Header:
         if code is None:
             continue
         size = struct.calcsize(order + code) * n
+        if tag in _PLACES and size > wide:
+            tags[tag] = Placed(struct.unpack_from(order + word, e, 4 + wide)[0], np.dtype(order + {"H": "u2", "I": "u4", "Q": "u8"}[code]))
+            continue
         data = e[4 + wide : 4 + wide + size]
         if size > wide:
             f.seek(struct.unpack_from(order + word, e, 4 + wide)[0])
@@ -157,27 +178,54 @@ def _unpack(data: bytes, h: Header, rows: int, width: int, bands: int) -> np.nda
     return x
 
 
-def read_rows(f, h: Header, first: int, last: int) -> np.ndarray:
-    """Rows [first, last) as [rows, columns, bands]; only the blocks that hold them are read."""
+def _blocks(f, h: Header, first: int, last: int) -> Iterator[tuple[int, int, np.ndarray | None]]:
+    """(row, column, [rows, columns, bands]) of the strips or tiles with rows in [first, last), cut to them and to the raster.
+
+    None stands for a tile like one that had no valid cell: absent tiles share a place.
+    """
     height, width = h.size
-    separate = h.one(284, 1) == 2
-    planes = h.bands if separate else 1
-    per = 1 if separate else h.bands
+    planes, per = (h.bands, 1) if h.one(284, 1) == 2 else (1, h.bands)
     tiled = 324 in h.tags
     bh, bw = h.block_rows, h.one(322) if tiled else width
-    offsets, sizes = (h.tags[324], h.tags[325]) if tiled else (h.tags[273], h.tags[279])
     across, down = -(-width // bw), -(-height // bh)
-    out = np.zeros((last - first, width, h.bands), h.dtype)
-    for p in range(planes):
-        for r in range(first // bh, -(-last // bh)):
-            for c in range(across):
-                k = (p * down + r) * across + c
-                f.seek(offsets[k])
-                rows = bh if tiled else min(bh, height - r * bh)
-                block = _unpack(f.read(sizes[k]), h, rows, bw, per)
-                a, b = max(first, r * bh), min(last, r * bh + rows)
-                wide = min(bw, width - c * bw)
-                out[a - first : b - first, c * bw : c * bw + wide, p * per : p * per + per] = block[a - r * bh : b - r * bh, :wide]
+    part = lambda tag, at, n: h.tags[tag].read(f, at, n) if isinstance(h.tags[tag], Placed) else h.tags[tag][at : at + n]
+    empty: set[tuple[int, ...]] = set()
+    for r in range(first // bh, -(-last // bh)):
+        rows = bh if tiled else min(bh, height - r * bh)
+        a, b = max(first, r * bh), min(last, r * bh + rows, height)
+        line = [[part(tag, (p * down + r) * across, across) for tag in ((324, 325) if tiled else (273, 279))] for p in range(planes)]
+        for c in range(across):
+            at = tuple(places[c] for places, _ in line)
+            if at in empty or not any(sizes[c] for _, sizes in line):
+                yield a, c * bw, None
+                continue
+            wide = min(bw, width - c * bw)
+            out = np.empty((b - a, wide, h.bands), h.dtype)
+            whole = True
+            for p, (places, sizes) in enumerate(line):
+                f.seek(places[c])
+                block = _unpack(f.read(sizes[c]), h, rows, bw, per)
+                out[:, :, p * per : p * per + per] = block[a - r * bh : b - r * bh, :wide]
+                whole = whole and not _valid(block, h).any()
+            if whole:
+                empty.add(at)
+            yield a, c * bw, out
+
+
+def _valid(x: np.ndarray, h: Header) -> np.ndarray:
+    """Which of [rows, columns, bands] are finite and have data in all bands."""
+    ok = np.isfinite(x).all(2)
+    return ok if h.nodata is None else ok & (x != h.nodata).all(2)
+
+
+def read_rows(f, h: Header, first: int, last: int) -> np.ndarray:
+    """Rows [first, last) as [rows, columns, bands]; only the blocks that hold them are read."""
+    floats = h.dtype.kind == "f"
+    fits = h.nodata is not None and (floats or (h.nodata.is_integer() and np.iinfo(h.dtype).min <= h.nodata <= np.iinfo(h.dtype).max))
+    out = np.full((last - first, h.size[1], h.bands), h.nodata if fits else np.nan if floats else 0, h.dtype)
+    for r, c, x in _blocks(f, h, first, last):
+        if x is not None:
+            out[r - first : r - first + x.shape[0], c : c + x.shape[1]] = x
     return out
 
 
@@ -216,18 +264,27 @@ class _Reader(DataSourceReader):
 
 
 def _cells(f, h: Header, first: int, last: int) -> Iterator[pa.RecordBatch]:
-    """Valid cells of rows [first, last)."""
-    # whole rows of blocks, so that none is decoded twice
-    block = h.block_rows
-    step = block if 256 < block <= 1024 else max(1, 256 // block) * block if block <= 256 else 256
-    for a in range(first // step * step, last, step):
-        begin = max(a, first)
-        x = read_rows(f, h, begin, min(last, a + step)).astype(np.float64)
-        ok = np.isfinite(x).all(2)
-        if h.nodata is not None:
-            ok &= (x != h.nodata).all(2)
-        r, c = np.nonzero(ok)
-        yield pa.record_batch([pa.array((r + begin).astype(np.int32)), pa.array(c.astype(np.int32)), *(pa.array(x[r, c, b]) for b in range(h.bands))], names=["grid_row", "grid_col", *h.names])
+    """Valid cells of rows [first, last): a strip or tile at a time is decoded, however wide the raster is."""
+    held: list[list[np.ndarray]] = []
+    n = 0
+
+    def flush() -> pa.RecordBatch:
+        columns = [np.concatenate(x) for x in zip(*held)]
+        held.clear()
+        return pa.record_batch([pa.array(x) for x in columns], names=["grid_row", "grid_col", *h.names])
+
+    for top, left, x in _blocks(f, h, first, last):
+        if x is None:
+            continue
+        r, c = np.nonzero(_valid(x, h))
+        if len(r):
+            held.append([(r + top).astype(np.int32), (c + left).astype(np.int32), *(x[r, c, b].astype(np.float64) for b in range(h.bands))])
+            n += len(r)
+        if n >= BATCH:
+            yield flush()
+            n = 0
+    if held:
+        yield flush()
 
 
 def _named(names: list[str], path: str, cells: pa.RecordBatch) -> pa.RecordBatch:

@@ -106,13 +106,17 @@ class _Writer(DataSourceWriter):
             link = 8  # where the offset of the next directory goes
             for level in range(levels + 1):
                 h, w = -(-height // (1 << level)), -(-width // (1 << level))
-                places = [at.get((level, r, c), nothing) for r in range(-(-h // tile)) for c in range(-(-w // tile))]
+                across = -(-w // tile)
+                places = np.tile(np.array([nothing], np.int64), (-(-h // tile) * across, 1))
+                for (k, r, c), place in at.items():
+                    if k == level:
+                        places[r * across + c] = place
                 link = self._directory(f, link, level, h, w, tile, names, places, (x0, y0, dx * (1 << level), dy * (1 << level)), int(o["epsg"]))
         os.replace(new, self.path)
         self.abort(messages)
 
     @staticmethod
-    def _directory(f, link: int, level: int, height: int, width: int, tile: int, names: list[str], places: list[tuple[int, int]], at: tuple[float, ...], epsg: int) -> int:
+    def _directory(f, link: int, level: int, height: int, width: int, tile: int, names: list[str], places: np.ndarray, at: tuple[float, ...], epsg: int) -> int:
         """Write one directory with its values and let the one before point to it."""
         n = len(names)
         items = "".join(f'<Item name="DESCRIPTION" sample="{i}" role="description">{x}</Item>' for i, x in enumerate(names))
@@ -122,16 +126,16 @@ class _Writer(DataSourceWriter):
         # (tag, type, values): 2 text, 3 and 4 and 16 whole numbers of 2, 4 and 8 bytes, 12 doubles
         tags = [
             (254, "I", [int(level > 0)]), (256, "I", [width]), (257, "I", [height]), (258, "H", [64] * n), (259, "H", [8]), (262, "H", [1]), (277, "H", [n]), (284, "H", [1]),
-            (322, "I", [tile]), (323, "I", [tile]), (324, "Q", [p for p, _ in places]), (325, "Q", [s for _, s in places]), (338, "H", [0] * (n - 1)), (339, "H", [3] * n),
+            (322, "I", [tile]), (323, "I", [tile]), (324, "Q", places[:, 0]), (325, "Q", places[:, 1]), (338, "H", [0] * (n - 1)), (339, "H", [3] * n),
             (33550, "d", [dx, dy, 0.0]), (33922, "d", [0.0, 0.0, 0.0, x0, y0, 0.0]), (34735, "H", keys),
             (42112, "s", f"<GDALMetadata>{items}</GDALMetadata>".encode() + b"\0"), (42113, "s", f"{NODATA:g}".encode() + b"\0"),
         ]
         kinds = {"s": 2, "H": 3, "I": 4, "Q": 16, "d": 12}
         entries = []
         for tag, code, values in tags:
-            if not values:
+            if not len(values):
                 continue
-            raw = values if code == "s" else struct.pack(f"<{len(values)}{code}", *values)
+            raw = values if code == "s" else values.astype("<u8").tobytes() if isinstance(values, np.ndarray) else struct.pack(f"<{len(values)}{code}", *values)
             if len(raw) > 8:
                 place = f.tell()
                 f.write(raw)

@@ -224,3 +224,27 @@ def test_rasters_by_ranges(spark, tmp_path):
     spark.dataSource.register(geotiff.GeoTiffSource)
     assert spark.read.format("cells").option("path", f"{path}/a.tif").option("blockRows", 50).load().count() == 300 * 40
     assert geotiff.load_files(spark, path, "*.tiff").count() == 0
+
+
+def test_wide_rasters_by_tiles(spark, tmp_path, monkeypatch):
+    """A row of tiles is never held whole, lists of tiles stay in the file, and a shared empty tile is decoded once."""
+    import tracemalloc
+
+    from terrapair.config import Grid
+    from terrapair.sources import geotiff, geotiff_sink
+
+    df = spark.createDataFrame([(i, i * 2000, float(i)) for i in range(50)], "grid_row int, grid_col int, v double")
+    geotiff_sink.save_raster(df, f"{tmp_path}/w.tif", Grid(x0=0.0, y0=9000.0), ["v"], tile=16, overviews=1)
+    decoded, unpack = [], geotiff._unpack
+    monkeypatch.setattr(geotiff, "_unpack", lambda *a: decoded.append(1) or unpack(*a))
+    with open(f"{tmp_path}/w.tif", "rb") as f:
+        tracemalloc.start()
+        h = geotiff.read_header(f)
+        found = [tuple(r.values()) for b in geotiff._cells(f, h, 0, 50) for r in b.to_pylist()]
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert sorted(found) == [(i, i * 2000, float(i)) for i in range(50)]
+        assert len(decoded) == 51 and most < 3_000_000  # a row of tiles has 16 * 98,016 * 8 bytes
+        assert isinstance(h.tags[324], geotiff.Placed)
+        rows = geotiff.read_rows(f, h, 3, 5)
+        assert rows.shape == (2, 98_001, 1) and rows[0, 6000, 0] == 3.0 and (rows == -9999).sum() == 2 * 98_001 - 2
