@@ -73,10 +73,10 @@ def boundary(cells: DataFrame) -> DataFrame:
 def links(segments: DataFrame, left: DataFrame | None = None) -> DataFrame:
     """(seg, next): at a corner where four segments meet a ring turns right, at those of `left` (r, c) left."""
     there = segments.select(F.col("r0").alias("r1"), F.col("c0").alias("c1"), F.col("seg").alias("next"), F.col("dir").alias("out"))
-    both = segments.select("seg", "dir", "r1", "c1").join(there, ["r1", "c1"])
+    both = segments.select("seg", "dir", "r1", "c1").join(raster.apart(there), ["r1", "c1"])
     turn = F.pmod(F.col("out") - F.col("dir"), F.lit(4))  # 1 right, 3 left
     if left is not None:
-        both = both.join(left.select(F.col("r").alias("r1"), F.col("c").alias("c1"), F.lit(True).alias("_left")), ["r1", "c1"], "left")
+        both = both.join(raster.apart(left.select(F.col("r").alias("r1"), F.col("c").alias("c1"), F.lit(True).alias("_left"))), ["r1", "c1"], "left")
         turn = F.when(F.col("_left"), -turn).otherwise(turn)
     return both.groupBy("seg").agg(F.min_by("next", turn).alias("next"))
 
@@ -93,7 +93,7 @@ def ring_order(linked: DataFrame, store: Store = _checkpointed) -> DataFrame:
     for k in range(MAX_ROUNDS):
         far = now.select(F.col("seg").alias("next"), F.col("next").alias("jump"), F.col("ring").alias("there"), (F.col("ahead") + (1 << k)).alias("then"))
         less, same = F.col("there") < F.col("ring"), F.col("there") == F.col("ring")
-        step = now.where("not done").join(far, "next").select("seg", F.col("jump").alias("next"), F.least("ring", "there").alias("ring"), F.when(less, F.col("then")).otherwise(F.col("ahead")).alias("ahead"), same.alias("done"))
+        step = now.where("not done").join(raster.apart(far), "next").select("seg", F.col("jump").alias("next"), F.least("ring", "there").alias("ring"), F.when(less, F.col("then")).otherwise(F.col("ahead")).alias("ahead"), same.alias("done"))
         now = store(step)
         closed.append(now.where("done").select("seg", "ring", "ahead"))
         if not now.where("not done").limit(1).count():
@@ -102,7 +102,7 @@ def ring_order(linked: DataFrame, store: Store = _checkpointed) -> DataFrame:
         raise RuntimeError("rings did not close")
     every = reduce(DataFrame.unionByName, closed)
     sizes = every.groupBy("ring").agg(F.count(F.lit(1)).alias("n"))
-    return every.join(sizes, "ring").select("seg", "ring", F.pmod(F.col("n") - F.col("ahead"), F.col("n")).alias("pos"))
+    return every.join(raster.apart(sizes), "ring").select("seg", "ring", F.pmod(F.col("n") - F.col("ahead"), F.col("n")).alias("pos"))
 
 
 def rings(cells: DataFrame, store: Store = _checkpointed) -> DataFrame:
@@ -112,17 +112,17 @@ def rings(cells: DataFrame, store: Store = _checkpointed) -> DataFrame:
     """
     segments = store(boundary(cells))
     order = store(ring_order(links(segments), store))
-    at = segments.join(order, "seg")
+    at = segments.join(raster.apart(order), "seg")
     # a ring that passes a corner twice is two rings that touch there
     twice = at.groupBy("ring", F.col("r0").alias("r"), F.col("c0").alias("c")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("r", "c")
     twice = store(twice)
     if twice.limit(1).count():
-        touching = at.join(twice, (F.col("r0") == F.col("r")) & (F.col("c0") == F.col("c"))).select("ring").distinct()
-        again = store(at.join(touching, "ring", "left_semi").select(*segments.columns))
+        touching = at.join(raster.apart(twice), (F.col("r0") == F.col("r")) & (F.col("c0") == F.col("c"))).select("ring").distinct()
+        again = store(at.join(raster.apart(touching), "ring", "left_semi").select(*segments.columns))
         order = store(ring_order(links(again, twice), store))
-        at = at.join(touching, "ring", "left_anti").select(*segments.columns, "ring", "pos").unionByName(again.join(order, "seg").select(*segments.columns, "ring", "pos"))
+        at = at.join(raster.apart(touching), "ring", "left_anti").select(*segments.columns, "ring", "pos").unionByName(again.join(raster.apart(order), "seg").select(*segments.columns, "ring", "pos"))
     area = at.groupBy("ring").agg(F.sum(F.col("c0") * F.col("r1") - F.col("c1") * F.col("r0")).alias("twice"))
-    return at.join(area, "ring").select("part", "ring", (F.col("twice") < 0).alias("hole"), "pos", F.col("r0").alias("r"), F.col("c0").alias("c"))
+    return at.join(raster.apart(area), "ring").select("part", "ring", (F.col("twice") < 0).alias("hole"), "pos", F.col("r0").alias("r"), F.col("c0").alias("c"))
 
 
 def _cycles(follow: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,7 +196,7 @@ def mask_polygons(cells: DataFrame, grid: Grid, store: Store = _checkpointed) ->
     wide = found.where("not inner")
     if not wide.isEmpty():
         of = wide.select("part", "component").distinct()
-        out = out.unionByName(rings(wide.select("grid_row", "grid_col", "part"), store).join(of, "part").select(*out.columns))
+        out = out.unionByName(rings(wide.select("grid_row", "grid_col", "part"), store).join(raster.apart(of), "part").select(*out.columns))
     x, y = F.lit(grid.x0) + F.col("c") * grid.dx, F.lit(grid.y0) - F.col("r") * grid.dy
     return store(out.select("component", "part", "ring", "hole", "pos", x.alias("x"), y.alias("y")))
 
@@ -211,12 +211,13 @@ def ring_areas(vertices: DataFrame, *keys: str) -> DataFrame:
 def edges_of(vertices: DataFrame, *keys: str) -> DataFrame:
     """(*keys, ring, hole, pos, x0, y0, x1, y1): each corner with the next one, the last with the first.
 
-    A join on consecutive places, so that a ring's rows needn't meet in one task.
+    A join on consecutive places, so that a ring's rows needn't meet in one task; a ring's first corner stands after its last one too.
     """
-    last = vertices.groupBy("ring").agg((F.max("pos") + 1).alias("_n"))
-    here = vertices.join(last, "ring").withColumn("_to", F.when(F.col("pos") + 1 < F.col("_n"), F.col("pos") + 1).otherwise(F.lit(0)))
-    there = vertices.select("ring", F.col("pos").alias("_to"), F.col("x").alias("x1"), F.col("y").alias("y1"))
-    return here.join(there, ["ring", "_to"]).select(*keys, "ring", "hole", "pos", F.col("x").alias("x0"), F.col("y").alias("y0"), "x1", "y1")
+    corner = lambda place, x, y: (place.alias("_to"), x.alias("x1"), y.alias("y1"))
+    first = vertices.groupBy("ring").agg(*corner(F.max("pos") + 1, F.min_by("x", "pos"), F.min_by("y", "pos")))
+    there = vertices.where("pos > 0").select("ring", *corner(F.col("pos"), F.col("x"), F.col("y"))).unionByName(first)
+    here = vertices.withColumn("_to", F.col("pos") + 1)
+    return here.join(raster.apart(there), ["ring", "_to"]).select(*keys, "ring", "hole", "pos", F.col("x").alias("x0"), F.col("y").alias("y0"), "x1", "y1")
 
 
 def to_edges(vertices: DataFrame, poly_id: str = "component") -> DataFrame:

@@ -17,6 +17,12 @@ CELL = ("grid_row", "grid_col")
 BLOCK = 512
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the data: joined by sorted rows. A table's size on disk is a fraction of that of its rows,
+    which a broadcast would gather in the driver."""
+    return df.hint("merge")
+
+
 def edge_spans(edges: DataFrame, grid: Grid) -> DataFrame:
     """Spans (grid_row, col_start, col_end) of cells whose centre is inside the polygons.
 
@@ -49,9 +55,10 @@ def rasterize(edges: DataFrame, grid: Grid, rows: int | None = None, cols: int |
     return s.select(F.col("grid_row").alias("mask_row"), F.explode(F.sequence("col_start", "col_end")).alias("mask_col")).distinct()
 
 
-def polygon_area_ha(edges: DataFrame) -> DataFrame:
-    """(poly_id, area_ha) by the shoelace sum of rings with holes running the other way."""
-    return edges.groupBy("poly_id").agg((F.abs(F.sum(F.col("x0") * F.col("y1") - F.col("x1") * F.col("y0"))) / 2 / 1e4).alias("area_ha"))
+def polygon_area_ha(edges: DataFrame, **more: Column) -> DataFrame:
+    """(poly_id, area_ha) by the shoelace sum of rings with holes running the other way; `more` are further aggregates."""
+    area = F.abs(F.sum(F.col("x0") * F.col("y1") - F.col("x1") * F.col("y0"))) / 2 / 1e4
+    return edges.groupBy("poly_id").agg(area.alias("area_ha"), *(v.alias(k) for k, v in more.items()))
 
 
 def _in_blocks(cells: DataFrame, halo: int, work: Callable[[np.ndarray, pd.DataFrame], np.ndarray], columns: tuple[str, ...] = (), more: str = "") -> DataFrame:
@@ -154,11 +161,11 @@ def _spread(edges: DataFrame, store: Callable[[DataFrame], DataFrame], max_round
     both = store(edges.union(edges.select("other", "node")).distinct())
     label = both.select("node", F.col("node").alias("label")).distinct()
     for _ in range(max_rounds):
-        seen = both.join(label.withColumnsRenamed({"node": "other", "label": "l"}), "other").groupBy("node").agg(F.min("l").alias("l"))
-        spread = label.join(seen, "node", "left").select("node", F.least("label", F.coalesce("l", "label")).alias("label"), F.col("label").alias("old"))
+        seen = both.join(apart(label.withColumnsRenamed({"node": "other", "label": "l"})), "other").groupBy("node").agg(F.min("l").alias("l"))
+        spread = label.join(apart(seen), "node", "left").select("node", F.least("label", F.coalesce("l", "label")).alias("label"), F.col("label").alias("old"))
         # halving: a label's own label
         jump = spread.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        now = store(spread.join(jump, "label", "left").select("node", F.least("label", F.coalesce("up", "label")).alias("label"), "old"))
+        now = store(spread.join(apart(jump), "label", "left").select("node", F.least("label", F.coalesce("up", "label")).alias("label"), "old"))
         changed = now.where("label <> old").limit(1).count()
         label = now.select("node", "label")
         if not changed:
@@ -185,13 +192,13 @@ def connected(cells: DataFrame, store: Callable[[DataFrame], DataFrame] | None =
     here = here.select("*", F.explode(steps).alias("s")).withColumns({"grid_row": F.col("r") + F.col("s.dr"), "grid_col": F.col("c") + F.col("s.dc")})
     block = lambda c: F.floor(F.col(c) / side)
     here = here.where((block("r") != block("grid_row")) | (block("c") != block("grid_col")))
-    met = store(here.join(outer, list(CELL)).select("f", "four", "e", "eight", (F.col("s.dr") * F.col("s.dc") == 0).alias("side")))
+    met = store(here.join(apart(outer), list(CELL)).select("f", "four", "e", "eight", (F.col("s.dr") * F.col("s.dc") == 0).alias("side")))
     out = found.withColumn("inner", F.lit(True))
     for kind, mine, some in (("four", "f", met.where("side")), ("eight", "e", met)):
         if kind in kinds:
             edges = some.select(F.col(mine).alias("node"), F.col(kind).alias("other")).distinct()
             whole = store(_spread(edges, store, max_rounds)).select(F.col("node").alias(kind), "label")
-            out = out.join(whole, kind, "left")
+            out = out.join(apart(whole), kind, "left")
             inner = F.col("label").isNull() if kind == "four" else F.col("inner")
             out = out.select(*CELL, *(F.coalesce("label", kind).alias(k) if k == kind else k for k in ("four", "eight")), inner.alias("inner"))
     return out

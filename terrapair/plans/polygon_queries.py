@@ -45,9 +45,8 @@ def shapefile_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     shapefile.save_edges(polygons.to_edges(v, "part"), path, GRID.crs)
     names = shapefile.load_attributes(spark, path).select(F.col("poly_id").alias("at"), F.col("values")["POLY_ID"].cast("long").alias("id"))
     back = shapefile.load_mask(spark, path, GRID.crs)
-    length = F.sqrt(F.pow(F.col("x1") - F.col("x0"), F.lit(2)) + F.pow(F.col("y1") - F.col("y0"), F.lit(2)))
-    whole = back.groupBy("poly_id").agg(F.sum(length).alias("m")).join(raster.polygon_area_ha(back), "poly_id")
-    return whole.join(names, F.col("poly_id") == F.col("at")).select(F.col("id").alias("poly_id"), r6("area_ha"), r6("m", "length_m"))
+    whole = raster.polygon_area_ha(back, m=F.sum(F.sqrt(F.pow(F.col("x1") - F.col("x0"), F.lit(2)) + F.pow(F.col("y1") - F.col("y0"), F.lit(2)))))
+    return whole.join(raster.apart(names), F.col("poly_id") == F.col("at")).select(F.col("id").alias("poly_id"), r6("area_ha"), r6("m", "length_m"))
 
 
 def _supplier_rings(spark: SparkSession, sf_dir: str, *corners: tuple[str, str]) -> DataFrame:

@@ -8,6 +8,9 @@ limit is 2 GB a file). Null shapes, shapes without points and rings of fewer tha
 The sink takes (poly_id, ring_id, edge_id, x0, y0, x1, y1) grouped by polygon. Tasks write their records to parts
 of their own; the commit numbers them, moves offsets on and joins the parts to .shp, .shx, .dbf and .prj. A
 failed write leaves no file.
+
+`load_edges` and `save_edges` do the same in Arrow batches: for a data source of Python the driver keeps two
+processes for each of five steps (about 35 MB each), besides its own.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ import os
 import re
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -160,6 +163,20 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at, i = at + 8 + size, i + 1
 
 
+def _planned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, first, last): stretches of records of each file."""
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            parts = _Reader(path, SPLIT).partitions()
+            yield pa.record_batch([pa.array([path] * len(parts), pa.string()), pa.array([p.first for p in parts], pa.int64()), pa.array([p.last for p in parts], pa.int64())], names=["path", "first", "last"])
+
+
+def _edge_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, first, last in zip(*(x.to_pylist() for x in batch.columns)):
+            yield from _Reader(path, SPLIT).read(_Stretch(first, last))
+
+
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield from _edges(zip(batch.column(0).to_pylist(), (x.as_py() for x in batch.column(1))))
@@ -178,9 +195,9 @@ def load_edges(spark: SparkSession, path: str, ranges: bool | None = None) -> Da
     if ranges is None:
         ranges = tables.exists(spark, f"{base}.shx") and stores.seekable(files)
     if ranges:
-        spark.dataSource.register(ShapefileSource)
         # the path as Spark resolved it, so that both look into the same store
-        return spark.read.format("shapefile").option("path", files.select("path").first()[0]).load()
+        plan = files.select("path").mapInArrow(_planned, "path string, first long, last long")
+        return plan.repartition(max(1, plan.count())).mapInArrow(_edge_stretches, EDGES)
     return files.select("content").mapInArrow(_whole, "poly_id long, content binary").repartition("poly_id").mapInArrow(_parsed, EDGES)
 
 
@@ -363,7 +380,10 @@ class _Writer(DataSourceWriter):
         self.run = uuid.uuid4().hex
 
     def write(self, rows) -> WriterCommitMessage:
-        """Rows come in the order of (poly_id, ring_id, edge_id): a polygon's are consecutive."""
+        return self.write_corners((r["poly_id"], r["ring_id"], r["x0"], r["y0"]) for r in rows)
+
+    def write_corners(self, corners: Iterable[tuple[int, int, float, float]]) -> _Part:
+        """Corners (poly_id, ring_id, x, y) come in the order of their edges: a polygon's are consecutive."""
         path = f"{self.base}.{self.run}-{uuid.uuid4().hex}.part"
         part = _Part(path, None, 0, 0, (np.inf, np.inf, -np.inf, -np.inf))
         os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
@@ -380,15 +400,15 @@ class _Writer(DataSourceWriter):
                 part.box = (*np.minimum(part.box[:2], xy.min(0)), *np.maximum(part.box[2:], xy.max(0)))
 
             poly, ring, rings = None, None, []
-            for r in rows:
-                if r["poly_id"] != poly:
+            for of, at, x, y in corners:
+                if of != poly:
                     if rings:
                         put(poly, rings)
-                    poly, ring, rings = r["poly_id"], None, []
-                if r["ring_id"] != ring:
-                    ring = r["ring_id"]
+                    poly, ring, rings = of, None, []
+                if at != ring:
+                    ring = at
                     rings.append([])
-                rings[-1].append((r["x0"], r["y0"]))
+                rings[-1].append((x, y))
             if rings:
                 put(poly, rings)
         return part
@@ -409,6 +429,7 @@ class _Writer(DataSourceWriter):
             return struct.pack(">7i", FILE_CODE, 0, 0, 0, 0, 0, size // 2) + struct.pack("<2i8d", VERSION, 5, *box, 0, 0, 0, 0)
 
         new = {k: f"{self.base}.{self.run}.{k}" for k in ("shp", "shx", "dbf")}
+        os.makedirs(os.path.dirname(self.base) or ".", exist_ok=True)
         with open(new["shp"], "wb") as shp, open(new["shx"], "wb") as shx, open(new["dbf"], "wb") as dbf:
             shp.write(head(total)), shx.write(head(HEADER + 8 * count))
             dbf.write(struct.pack("<B3BIHH20x", 3, 126, 1, 1, count, 65, 20) + struct.pack("<11sc4xBB14x", b"POLY_ID", b"N", 19, 0) + b"\x0d")
@@ -432,7 +453,7 @@ class _Writer(DataSourceWriter):
 
     def abort(self, messages) -> None:
         folder, name = os.path.split(f"{self.base}.{self.run}")
-        for x in os.listdir(folder or "."):
+        for x in os.listdir(folder or ".") if os.path.isdir(folder or ".") else ():
             if x.startswith(name):
                 os.remove(os.path.join(folder, x))
 
@@ -449,9 +470,22 @@ def projection_text(crs: str) -> str:
 
 
 def save_edges(edges: DataFrame, path: str, crs: str = "", mode: str = "overwrite") -> None:
-    """Write polygons to a shapefile at a path that the driver and all executors can open."""
-    spark = edges.sparkSession
-    spark.dataSource.register(ShapefileSource)
-    rows = edges.select(*(F.col(c).cast("long") for c in ("poly_id", "ring_id", "edge_id")), *(F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1")))
+    """Write polygons to a shapefile at a path that the driver and all executors can open; mode is overwrite or append (to no file)."""
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"mode {mode} of a shapefile")
+    writer = _Writer(path, crs, mode == "overwrite")
+    kinds = "path string, least long, n long, size long, box array<double>"
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = writer.write_corners(c for b in batches for c in zip(*(b.column(i).to_pylist() for i in (0, 1, 3, 4))))
+        have = ([part.path], [part.least], [part.n], [part.size], [list(map(float, part.box))])
+        yield pa.record_batch([pa.array(v, k) for v, k in zip(have, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float64())))], names=[k.split()[0] for k in kinds.split(", ")])
+
+    rows = edges.select(*(F.col(c).cast("long") for c in ("poly_id", "ring_id", "edge_id")), *(F.col(c).cast("double") for c in ("x0", "y0")))
     rows = rows.repartitionByRange("poly_id").sortWithinPartitions("poly_id", "ring_id", "edge_id")
-    rows.write.format("shapefile").mode(mode).option("path", path).option("crs", crs).save()
+    try:
+        messages = [_Part(r["path"], r["least"], r["n"], r["size"], tuple(r["box"])) for r in rows.mapInArrow(parts, kinds).collect()]  # a row a task
+        writer.commit(messages)
+    except BaseException:
+        writer.abort([])
+        raise
