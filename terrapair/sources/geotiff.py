@@ -178,6 +178,27 @@ def _unpack(data: bytes, h: Header, rows: int, width: int, bands: int) -> np.nda
     return x
 
 
+def _part(f, h: Header, tag: int, first: int, n: int) -> list[int]:
+    return h.tags[tag].read(f, first, n) if isinstance(h.tags[tag], Placed) else h.tags[tag][first : first + n]
+
+
+def _stored(f, h: Header) -> Iterator[int]:
+    """For each row of strips or tiles the decoded bytes of those that it has; absent tiles, which share a place, count once."""
+    height, width = h.size
+    planes, per = (h.bands, 1) if h.one(284, 1) == 2 else (1, h.bands)
+    tiled = 324 in h.tags
+    bw = h.one(322) if tiled else width
+    across, down = -(-width // bw), -(-height // h.block_rows)
+    rows = max(1, BATCH // across)
+    for r in range(0, down, rows):
+        k, found = min(rows, down - r), 0
+        for p in range(planes):
+            at, size = (np.array(_part(f, h, tag, (p * down + r) * across, k * across), np.int64).reshape(k, across) for tag in ((324, 325) if tiled else (273, 279)))
+            at = np.sort(np.where(size > 0, at, -1), axis=1)
+            found = found + (np.diff(at, axis=1, prepend=-1) != 0).sum(1)
+        yield from (found * (h.block_rows * bw * per * h.dtype.itemsize)).tolist()
+
+
 def _blocks(f, h: Header, first: int, last: int) -> Iterator[tuple[int, int, np.ndarray | None]]:
     """(row, column, [rows, columns, bands]) of the strips or tiles with rows in [first, last), cut to them and to the raster.
 
@@ -188,12 +209,11 @@ def _blocks(f, h: Header, first: int, last: int) -> Iterator[tuple[int, int, np.
     tiled = 324 in h.tags
     bh, bw = h.block_rows, h.one(322) if tiled else width
     across, down = -(-width // bw), -(-height // bh)
-    part = lambda tag, at, n: h.tags[tag].read(f, at, n) if isinstance(h.tags[tag], Placed) else h.tags[tag][at : at + n]
     empty: set[tuple[int, ...]] = set()
     for r in range(first // bh, -(-last // bh)):
         rows = bh if tiled else min(bh, height - r * bh)
         a, b = max(first, r * bh), min(last, r * bh + rows, height)
-        line = [[part(tag, (p * down + r) * across, across) for tag in ((324, 325) if tiled else (273, 279))] for p in range(planes)]
+        line = [[_part(f, h, tag, (p * down + r) * across, across) for tag in ((324, 325) if tiled else (273, 279))] for p in range(planes)]
         for c in range(across):
             at = tuple(places[c] for places, _ in line)
             if at in empty or not any(sizes[c] for _, sizes in line):
@@ -295,19 +315,21 @@ def _named(names: list[str], path: str, cells: pa.RecordBatch) -> pa.RecordBatch
 
 
 def _planned(part_bytes: int):
-    """Stretches of rows of each file: whole rows of its blocks, of about part_bytes once decoded."""
+    """Stretches of rows of each file: whole rows of its blocks, of about part_bytes once what is there is decoded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 with stores.opened(path) as f:
                     h = read_header(f)
-                height, width = h.size
-                block = h.block_rows
-                rows = max(1, part_bytes // (width * h.bands * h.dtype.itemsize * block)) * block
-                first = np.arange(0, height, rows, np.int32)
+                    first, held = [0], 0
+                    for i, n in enumerate(_stored(f, h)):
+                        if held and held + n > part_bytes:
+                            first.append(i * h.block_rows)
+                            held = 0
+                        held += n
                 k = len(first)
-                yield pa.record_batch([pa.array([path] * k, pa.string()), pa.array([h.names] * k, pa.list_(pa.string())), pa.array(first), pa.array(np.minimum(first + rows, height).astype(np.int32))], names=["path", "names", "first", "last"])
+                yield pa.record_batch([pa.array([path] * k, pa.string()), pa.array([h.names] * k, pa.list_(pa.string())), pa.array(first, pa.int32()), pa.array([*first[1:], h.size[0]], pa.int32())], names=["path", "names", "first", "last"])
 
     return run
 
